@@ -9,7 +9,7 @@ against an independent formulation on the same raw rows.
 from __future__ import annotations
 
 from snaplake.schemas import DOMAIN_TABLES, PORTE_LABELS, RAW_COLUMNS, STATES
-from snaplake.sources.derived import raw_sql
+from snaplake.sources.derived import VARIANTS, raw_sql
 
 
 def nn(c: str, alias: str | None = None) -> str:
@@ -33,6 +33,7 @@ KEYF = "WHERE NULLIF(TRIM({k}), '') IS NOT NULL"
 
 def _stg_body(table: str, src: str | None = None) -> str:
     src = src or f"raw_{table}"
+    table = VARIANTS.get(table, table)
     if table in DOMAIN_TABLES:
         return (f"SELECT TRIM(codigo) AS codigo, TRIM(descricao) AS descricao, {META} "
                 f"FROM {src} WHERE NULLIF(TRIM(codigo), '') IS NOT NULL")

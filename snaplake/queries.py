@@ -225,3 +225,133 @@ def q_monthly_dynamics_null_safe(spark, sf_dir):
 @register("monthly_dynamics_by_join", O.dynamics_sql(null_safe=False))
 def q_monthly_dynamics_by_join(spark, sf_dir):
     return gold.monthly_dynamics_by_join(_core(spark, sf_dir), stg(spark, sf_dir, "cnaes"))
+
+
+# ------------------------------------------------ snapshots and increments
+
+from snaplake.operators import incremental as inc  # noqa: E402
+from snaplake.operators.snapshot import latest_snapshot  # noqa: E402
+from snaplake.session import work_dir  # noqa: E402
+from snaplake.sinks import tables  # noqa: E402
+
+
+def _est_three_months(spark, sf_dir):
+    """Establishments as loaded (2026-01/02) plus the full 2026-03 snapshot."""
+    return stg(spark, sf_dir, "estabelecimentos").unionByName(
+        silver.stage_establishments(raw_table(spark, sf_dir, "estabelecimentos_next")))
+
+
+_THREE = O.ctes("stg_estabelecimentos", "stg_estabelecimentos_next", extra=[(
+    "est3", "SELECT * FROM stg_estabelecimentos UNION ALL SELECT * FROM stg_estabelecimentos_next")])
+
+
+@register("latest_snapshot", _THREE + """SELECT * FROM est3
+WHERE _competencia = (SELECT max(_competencia) FROM est3)""")
+def q_latest_snapshot(spark, sf_dir):
+    return latest_snapshot(_est_three_months(spark, sf_dir))
+
+
+@register("latest_snapshot_by_state", O.ctes("stg_estabelecimentos") + """SELECT s.* FROM stg_estabelecimentos s
+JOIN (SELECT uf, max(_competencia) AS m FROM stg_estabelecimentos GROUP BY uf) x
+  ON s.uf IS NOT DISTINCT FROM x.uf AND s._competencia = x.m""")
+def q_latest_snapshot_by_state(spark, sf_dir):
+    return latest_snapshot(stg(spark, sf_dir, "estabelecimentos"), by=["uf"])
+
+
+_ACTIVE_LATEST = O.ctes(*O.ACTIVE_DEPS, "stg_estabelecimentos_next", extra=[
+    ("est3", "SELECT * FROM stg_estabelecimentos UNION ALL SELECT * FROM stg_estabelecimentos_next"),
+    ("est_latest", "SELECT * FROM est3 WHERE _competencia = (SELECT max(_competencia) FROM est3)"),
+]) + O.active_sql(src="est_latest")
+
+
+@register("active_latest_snapshot", _ACTIVE_LATEST)
+def q_active_latest_snapshot(spark, sf_dir):
+    """The active mart over a multi-month table, one snapshot per input (D3)."""
+    d = dims(spark, sf_dir)
+    return gold.active_establishments(
+        latest_snapshot(_est_three_months(spark, sf_dir)),
+        latest_snapshot(stg(spark, sf_dir, "empresas")),
+        latest_snapshot(stg(spark, sf_dir, "simples")),
+        *(latest_snapshot(d[t]) for t in ["municipios", "cnaes", "naturezas", "motivos", "paises"]))
+
+
+_PARTNERS = O.ctes("stg_socios", "stg_paises", "stg_qualificacoes", extra=[
+    ("p", O.PARTNERS_SQL.format(src="stg_socios")),
+    ("t", "SELECT * FROM p WHERE _competencia = '2026-01'"),
+    ("s0", "SELECT * FROM p WHERE _competencia > (SELECT max(_competencia) FROM t)"),
+])
+
+
+@register("incremental_since", _PARTNERS + "SELECT * FROM s0")
+def q_incremental_since(spark, sf_dir):
+    p = silver.partners_enriched(stg(spark, sf_dir, "socios"), stg(spark, sf_dir, "paises"),
+                                 stg(spark, sf_dir, "qualificacoes"))
+    target = p.where(F.col("_competencia") == "2026-01")
+    return inc.since(p, inc.watermark(target))
+
+
+def _dedup_sql(src: str, keys: list[str], cols: list[str]) -> str:
+    rest = [c for c in cols if c not in keys and c != "_competencia"]
+    order = ", ".join(["_competencia DESC NULLS LAST"] + [f"{c} DESC NULLS LAST" for c in rest])
+    return (f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY "
+            f"{', '.join(keys)} ORDER BY {order}) AS rn FROM {src}) WHERE rn = 1")
+
+
+def _upsert_sql(keys: list[str], cols: list[str], deletes: str | None = None) -> str:
+    match = " AND ".join(f"g.{k} IS NOT DISTINCT FROM t.{k}" for k in keys)
+    gone = f"SELECT {', '.join(keys)} FROM s"
+    if deletes:
+        gone += f" UNION ALL {deletes}"
+    return (f", s AS ({_dedup_sql('s0', keys, cols)}),\n g AS ({gone})\n"
+            f"SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM g WHERE {match})\n"
+            "UNION ALL SELECT * FROM s")
+
+
+@register("upsert_composite_key", _PARTNERS.rstrip() + _upsert_sql(
+    ["cnpj_basico", "cnpj_cpf_socio"], silver.PARTNER_COLUMNS))
+def q_upsert_composite_key(spark, sf_dir):
+    p = silver.partners_enriched(stg(spark, sf_dir, "socios"), stg(spark, sf_dir, "paises"),
+                                 stg(spark, sf_dir, "qualificacoes"))
+    target = p.where(F.col("_competencia") == "2026-01")
+    source = inc.since(p, inc.watermark(target))
+    return inc.upsert(target, source, ["cnpj_basico", "cnpj_cpf_socio"])
+
+
+_ACTIVE_NEXT = O.ctes(*O.ACTIVE_DEPS, "stg_estabelecimentos_next", extra=[
+    ("t", O.active_sql()), ("s0", O.active_sql(src="stg_estabelecimentos_next"))])
+
+
+def _active_next(spark, sf_dir):
+    d = dims(spark, sf_dir)
+    args = (stg(spark, sf_dir, "empresas"), stg(spark, sf_dir, "simples"), d["municipios"],
+            d["cnaes"], d["naturezas"], d["motivos"], d["paises"])
+    nxt = silver.stage_establishments(raw_table(spark, sf_dir, "estabelecimentos_next"))
+    return (gold.active_establishments(stg(spark, sf_dir, "estabelecimentos"), *args),
+            gold.active_establishments(nxt, *args), nxt)
+
+
+@register("upsert_single_key", _ACTIVE_NEXT.rstrip() + _upsert_sql(["cnpj"], gold.ACTIVE_COLUMNS))
+def q_upsert_single_key(spark, sf_dir):
+    """Merge next month's active establishments into the mart table on disk.
+
+    The mart is written as version 1 partitioned by (uf, ano_abertura); the
+    merge writes version 2. A quarter of the establishments change state, so
+    their rows move partition; the read-back must hold no stale copy.
+    """
+    target, source, _ = _active_next(spark, sf_dir)
+    root = work_dir(spark, "active_mart")
+    parts = ["uf", "ano_abertura"]
+    tables.write_version(target, root, partition_by=parts, sort_by=["data_inicio_atividade"])
+    return tables.merge_into(spark, root, source, ["cnpj"], partition_by=parts,
+                             sort_by=["data_inicio_atividade"])
+
+
+@register("upsert_with_deletes", _ACTIVE_NEXT.rstrip() + _upsert_sql(
+    ["cnpj"], gold.ACTIVE_COLUMNS,
+    deletes="SELECT cnpj FROM stg_estabelecimentos_next "
+            "WHERE cod_situacao_cadastral IS DISTINCT FROM '02'"))
+def q_upsert_with_deletes(spark, sf_dir):
+    """As above, and establishments no longer active leave the mart (D5)."""
+    target, source, nxt = _active_next(spark, sf_dir)
+    gone = nxt.where(~F.col("cod_situacao_cadastral").eqNullSafe("02")).select("cnpj")
+    return inc.upsert(target, source, ["cnpj"], deletes=gone)

@@ -32,11 +32,25 @@ _DIALECT = {
 }
 
 
-def _uf_case() -> str:
-    arms = " ".join(f"when {i} then '{uf}'" for i, uf in enumerate(STATES[:25]))
+def _uf_case(shift: int = 0) -> str:
+    arms = " ".join(f"when {i} then '{STATES[(i + shift) % 25]}'" for i in range(25))
     return f"case c_nationkey {arms} end"
 
 
+def _next_snapshot(template: str) -> str:
+    """The following month's full snapshot: same establishments, a third of
+    them change status (active <-> closed) and a quarter move state."""
+    t = template.replace(
+        "case when o_orderstatus='O' then '02'",
+        "case when o_orderkey%3=0 and o_orderstatus='O' then '08'"
+        " when o_orderkey%3=0 then '02' when o_orderstatus='O' then '02'")
+    t = t.replace("{UF} uf", "case when o_orderkey%4=0 then {UF2} else {UF} end uf")
+    t = t.replace("case when o_orderkey%2=0 then '2026-01' else '2026-02' end _competencia",
+                  "'2026-03' _competencia")
+    t = t.replace("'2026-02-20' _data_extracao", "'2026-03-20' _data_extracao")
+    return t
+
+
 _TEMPLATES = {
     "estabelecimentos": """
 select case when o_orderkey%5=0 then ' '||lpad(cast(o_custkey as {S}),8,'0')||' '
@@ -123,15 +137,21 @@ select case when n_nationkey<9 then lpad(cast(n_nationkey as {S}),2,'0') else ''
 }
 
 
+_TEMPLATES["estabelecimentos_next"] = _next_snapshot(_TEMPLATES["estabelecimentos"])
+
+# Derived tables that are not raw extracts of their own, and their layout.
+VARIANTS = {"estabelecimentos_next": "estabelecimentos"}
+
+
 def raw_sql(table: str, dialect: str) -> str:
     """SQL text deriving raw ``table`` from the base tables.
 
     For ``duckdb`` the base tables are referenced by name; for ``spark`` they
     stay ``{orders}``-style placeholders for ``spark.sql(..., orders=df)``.
     """
-    columns_of(table)  # unknown table -> ValueError
+    columns_of(VARIANTS.get(table, table))  # unknown table -> ValueError
     text = _TEMPLATES[table]
-    subs = dict(_DIALECT[dialect], UF=_uf_case())
+    subs = dict(_DIALECT[dialect], UF2=_uf_case(1), UF=_uf_case())
     for key, value in subs.items():
         text = text.replace("{" + key + "}", value)
     if dialect == "duckdb":
