@@ -209,3 +209,28 @@ def domain_union_sql() -> str:
 __all__ = ["ctes", "active_sql", "dynamics_sql", "domain_union_sql", "PARTNERS_SQL",
            "OPENINGS_SQL", "CLOSINGS_SQL", "ACTIVE_DEPS", "pdate_expr", "nn", "RAW_COLUMNS",
            "STATES", "KEYF"]
+
+
+def dq_sql(model: str, src: str, rules) -> list[str]:
+    """One SELECT per rule, same report columns as ``quality.check``."""
+    out = []
+    for r in rules:
+        head = f"SELECT '{model}' AS model, '{r.label}' AS column_name, '{r.test}' AS test_name, "
+        if r.test == "not_null":
+            out.append(head + f"CAST(count(*) FILTER (WHERE {r.column} IS NULL) AS BIGINT) "
+                       f"AS failures FROM {src}")
+        elif r.test == "unique":
+            cols = list(r.per) + r.columns
+            present = " AND ".join(f"{c} IS NOT NULL" for c in r.columns)
+            out.append(head + f"CAST(count(*) AS BIGINT) AS failures FROM (SELECT {', '.join(cols)} "
+                       f"FROM {src} WHERE {present} GROUP BY {', '.join(cols)} HAVING count(*) > 1)")
+        elif r.test == "accepted_values":
+            vals = ", ".join(f"'{v}'" for v in r.values)
+            out.append(head + f"CAST(count(*) AS BIGINT) AS failures FROM (SELECT {r.column} AS v "
+                       f"FROM {src} GROUP BY {r.column}) WHERE v NOT IN ({vals})")
+    return out
+
+
+def dynamics_body(null_safe: bool = False) -> str:
+    """The dynamics query without its ORDER BY, usable as a CTE body."""
+    return dynamics_sql(null_safe).rsplit("ORDER BY", 1)[0]

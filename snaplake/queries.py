@@ -355,3 +355,82 @@ def q_upsert_with_deletes(spark, sf_dir):
     target, source, nxt = _active_next(spark, sf_dir)
     gone = nxt.where(~F.col("cod_situacao_cadastral").eqNullSafe("02")).select("cnpj")
     return inc.upsert(target, source, ["cnpj"], deletes=gone)
+
+
+# ------------------------------------------------------------ data checks
+
+from snaplake.operators import quality as dq  # noqa: E402
+from snaplake.plans.checks import RULES, scoped  # noqa: E402
+from snaplake.schemas import STATUS_ACTIVE  # noqa: E402
+
+_EST_ALL_NOT_NULL = dq.not_null(*silver.CORE_COLUMNS)
+
+
+@register("dq_not_null", O.ctes("stg_estabelecimentos") + "\nUNION ALL\n".join(
+    O.dq_sql("stg_estabelecimentos", "stg_estabelecimentos", _EST_ALL_NOT_NULL)))
+def q_dq_not_null(spark, sf_dir):
+    """Null counts of every establishment column, all from one scan."""
+    return dq.check(stg(spark, sf_dir, "estabelecimentos"), "stg_estabelecimentos",
+                    _EST_ALL_NOT_NULL)
+
+
+_UNIQUE_CASES = [
+    ("stg_estabelecimentos", [dq.unique("cnpj"), dq.unique("cnpj_basico"),
+                              dq.unique("cnpj", per=["_competencia"])]),
+    ("stg_socios", [dq.unique(("cnpj_basico", "cnpj_cpf_socio")),
+                    dq.unique(("cnpj_basico", "cnpj_cpf_socio"), per=["_competencia"])]),
+    ("stg_empresas", [dq.unique("cnpj_basico")]),
+]
+
+
+@register("dq_unique", O.ctes("stg_estabelecimentos", "stg_socios", "stg_empresas")
+          + "\nUNION ALL\n".join(s for m, rules in _UNIQUE_CASES for s in O.dq_sql(m, m, rules)))
+def q_dq_unique(spark, sf_dir):
+    """Duplicate keys, including partner-key collisions within a month."""
+    frames = {"stg_estabelecimentos": "estabelecimentos", "stg_socios": "socios",
+              "stg_empresas": "empresas"}
+    return dq.check_all({m: (stg(spark, sf_dir, frames[m]), rules) for m, rules in _UNIQUE_CASES})
+
+
+_ACCEPT = [dq.accepted_values("cod_situacao_cadastral", [STATUS_ACTIVE]),
+           dq.accepted_values("cod_porte_empresa", ["00", "01", "03", "05"])]
+
+
+@register("dq_accepted_values", O.ctes("stg_estabelecimentos", "stg_empresas") + "\nUNION ALL\n".join(
+    O.dq_sql("stg_estabelecimentos", "stg_estabelecimentos", _ACCEPT[:1])
+    + O.dq_sql("stg_empresas", "stg_empresas", _ACCEPT[1:])))
+def q_dq_accepted_values(spark, sf_dir):
+    return dq.check_all({
+        "stg_estabelecimentos": (stg(spark, sf_dir, "estabelecimentos"), _ACCEPT[:1]),
+        "stg_empresas": (stg(spark, sf_dir, "empresas"), _ACCEPT[1:]),
+    })
+
+
+def _models(spark, sf_dir) -> dict[str, DataFrame]:
+    s = {f"stg_{t}": stg(spark, sf_dir, t) for t in
+         ["empresas", "estabelecimentos", "socios", "simples", *DOMAIN_TABLES]}
+    return {
+        **s,
+        "int_estabelecimentos": silver.establishments_core(s["stg_estabelecimentos"]),
+        "int_socios": silver.partners_enriched(s["stg_socios"], s["stg_paises"],
+                                               s["stg_qualificacoes"]),
+        "mrt_dinamica_mensal": gold.monthly_dynamics(
+            silver.establishments_core(s["stg_estabelecimentos"]), s["stg_cnaes"], ordered=False),
+        "mrt_estabelecimentos_ativos": gold.active_establishments(
+            s["stg_estabelecimentos"], s["stg_empresas"], s["stg_simples"], s["stg_municipios"],
+            s["stg_cnaes"], s["stg_naturezas"], s["stg_motivos"], s["stg_paises"]),
+    }
+
+
+_DQ_ALL_CTES = O.ctes(*O.ACTIVE_DEPS, "stg_socios", "stg_qualificacoes", "int_estabelecimentos",
+                      extra=[("int_socios", O.PARTNERS_SQL.format(src="stg_socios")),
+                             ("mrt_dinamica_mensal", O.dynamics_body()),
+                             ("mrt_estabelecimentos_ativos", O.active_sql())])
+
+
+@register("dq_all", _DQ_ALL_CTES + "\nUNION ALL\n".join(
+    s for m, rules in RULES.items() for s in O.dq_sql(m, m, rules)))
+def q_dq_all(spark, sf_dir):
+    """All 40 declared tests over the pipeline's models, as one report."""
+    models = _models(spark, sf_dir)
+    return dq.check_all({m: (models[m], rules) for m, rules in RULES.items()})
