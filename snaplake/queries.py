@@ -434,3 +434,102 @@ def q_dq_all(spark, sf_dir):
     """All 40 declared tests over the pipeline's models, as one report."""
     models = _models(spark, sf_dir)
     return dq.check_all({m: (models[m], rules) for m, rules in RULES.items()})
+
+
+# -------------------------------------------------- landing and bronze files
+
+from snaplake.schemas import ALL_TABLES, FILE_PREFIXES  # noqa: E402
+from snaplake.sources import bronze, landing  # noqa: E402
+from snaplake.sources.derived import file_name_sql  # noqa: E402
+
+_LAKE: dict[tuple, tuple[str, str]] = {}
+EXTRACTION_DATE = "2026-02-20"
+
+
+def lake(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Landing zips and bronze tables written from the derived extracts.
+
+    Built once per session and scale factor under the shared checkpoint
+    folder: Spark writes the CSV members, zips them in parallel tasks, then
+    ingests every table (both months in one job per table).
+    """
+    key = (id(spark), sf_dir)
+    if key in _LAKE:
+        return _LAKE[key]
+    base = work_dir(spark, "lake")
+    land, stage_dir, bz = f"{base}/landing", f"{base}/staging", f"{base}/bronze"
+    for t in ALL_TABLES:
+        raw = raw_table(spark, sf_dir, t)
+        raw = raw.withColumn("nome", F.expr(file_name_sql(t, "spark")))
+        landing.write_extracts(raw, land, f"{stage_dir}/{t}", t).collect()
+    periods = [r["pasta"] for r in landing.periods(spark, land).collect()]
+    bronze.ingest(spark, land, bz, periods, EXTRACTION_DATE)
+    _LAKE[key] = (land, bz)
+    return _LAKE[key]
+
+
+def _files_sql() -> str:
+    parts = [f"SELECT DISTINCT {file_name_sql(t, 'duckdb')} AS nome, _competencia AS pasta, "
+             f"'{t}' AS tabela_src FROM raw_{t}" for t in ALL_TABLES]
+    return ",\nfiles AS (" + "\nUNION ALL\n".join(parts) + ")\n"
+
+
+_ROUTE = "CASE " + " ".join(
+    f"WHEN regexp_replace(lower(nome), '\\.zip$', '') LIKE '{p}%' THEN '{t}'"
+    for p, t in FILE_PREFIXES) + " ELSE regexp_replace(lower(nome), '\\.zip$', '') END"
+
+_RAW_ALL = O.ctes(*[f"raw_{t}" for t in ALL_TABLES]).rstrip()
+
+
+@register("file_table_routing", _RAW_ALL + _files_sql()
+          + f"SELECT nome, pasta, {_ROUTE} AS tabela FROM files")
+def q_file_table_routing(spark, sf_dir):
+    land, _ = lake(spark, sf_dir)
+    return landing.list_files(spark, land).select("nome", "pasta", "tabela")
+
+
+@register("file_listing_summary", _RAW_ALL + _files_sql() + f"""SELECT pasta, {_ROUTE} AS tabela,
+ CAST(count(*) AS BIGINT) AS n_files, TRUE AS has_bytes FROM files GROUP BY 1, 2""")
+def q_file_listing_summary(spark, sf_dir):
+    land, _ = lake(spark, sf_dir)
+    s = landing.listing_summary(landing.list_files(spark, land))
+    return s.select("pasta", "tabela", "n_files", (F.col("total_bytes") > 0).alias("has_bytes"))
+
+
+@register("latest_period", _RAW_ALL + _files_sql()
+          + "SELECT max(pasta) AS latest_period FROM files")
+def q_latest_period(spark, sf_dir):
+    land, _ = lake(spark, sf_dir)
+    return landing.periods(spark, land).agg(F.max("pasta").alias("latest_period"))
+
+
+def _rows_sql() -> str:
+    parts = [f"SELECT '{t}' AS tabela, _competencia AS competencia, "
+             f"CAST(count(DISTINCT {file_name_sql(t, 'duckdb')}) AS BIGINT) AS n_files, "
+             f"CAST(count(*) AS BIGINT) AS n_rows FROM raw_{t} GROUP BY _competencia"
+             for t in ALL_TABLES]
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("bronze_ingest_summary", _RAW_ALL + "\n" + _rows_sql())
+def q_bronze_ingest_summary(spark, sf_dir):
+    """Zips read and rows landed per table and month: every shard kept."""
+    _, bz = lake(spark, sf_dir)
+    return bronze.summary(spark, bz, ALL_TABLES)
+
+
+@register("bronze_stage_establishments", O.ctes("stg_estabelecimentos")
+          + "SELECT * FROM stg_estabelecimentos")
+def q_bronze_stage_establishments(spark, sf_dir):
+    """Staging fed from bronze (zips -> Parquet) equals staging fed directly."""
+    _, bz = lake(spark, sf_dir)
+    return silver.stage_establishments(bronze.read_table(spark, bz, "estabelecimentos"))
+
+
+@register("bronze_monthly_dynamics", O.dynamics_sql(null_safe=False))
+def q_bronze_monthly_dynamics(spark, sf_dir):
+    _, bz = lake(spark, sf_dir)
+    core = silver.establishments_core(
+        silver.stage_establishments(bronze.read_table(spark, bz, "estabelecimentos")))
+    cn = silver.stage_domain(bronze.read_table(spark, bz, "cnaes"))
+    return gold.monthly_dynamics(core, cn)

@@ -174,3 +174,18 @@ def raw_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def raw_tables(spark: SparkSession, sf_dir: str, tables=None) -> dict[str, DataFrame]:
     from snaplake.schemas import ALL_TABLES
     return {t: raw_table(spark, sf_dir, t) for t in (tables or ALL_TABLES)}
+
+
+# Landing file name of each raw row: the three large tables are sharded into
+# ten zips by a number carried in the row, the others are single files.
+_FILE_NAME = {
+    "estabelecimentos": "'Estabelecimentos' || cast(cast(cnpj_dv as int) % 10 as {S}) || '.zip'",
+    "empresas": "'Empresas' || cast(cast(cnpj_basico as int) % 10 as {S}) || '.zip'",
+    "socios": "'Socios' || cast(cast(substr(nome_socio_razao_social, 7) as int) % 10 as {S}) || '.zip'",
+}
+
+
+def file_name_sql(table: str, dialect: str) -> str:
+    """SQL expression naming the landing zip a raw row of ``table`` goes to."""
+    text = _FILE_NAME.get(table, f"'{table.capitalize()}.zip'")
+    return text.replace("{S}", _DIALECT[dialect]["S"])
