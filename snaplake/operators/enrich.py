@@ -8,15 +8,24 @@ join, which AQE may still turn into a broadcast from runtime sizes.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
+# Size checks already made, per code-table frame (a frame is an immutable
+# plan, so its answer holds while the frame lives).
+_CHECKED: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
+
 
 def bounded(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (reads at most n+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    seen = _CHECKED.setdefault(df, {})
+    if max_rows not in seen:
+        seen[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+    return seen[max_rows]
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -34,7 +43,8 @@ def lookup(df: DataFrame, dim: DataFrame, on: str | Column, as_: str,
     """
     tag = f"__lk_{as_}"
     right = dim.select(F.col(key).alias(tag), F.col(value).alias(as_))
-    right = maybe_broadcast(right, max_broadcast_rows)
+    if bounded(dim, max_broadcast_rows):
+        right = F.broadcast(right)
     left_key = F.col(on) if isinstance(on, str) else on
     return df.join(right, left_key == F.col(tag), "left").drop(tag)
 

@@ -42,8 +42,15 @@ def register(name: str, sql: str | None):
     return deco
 
 
+_STG: dict[tuple, DataFrame] = {}
+
+
 def stg(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return silver.stage(table, raw_table(spark, sf_dir, table))
+    """Staged derived extract; the lazy frame is reused within a session."""
+    key = (id(spark), sf_dir, table)
+    if key not in _STG:
+        _STG[key] = silver.stage(table, raw_table(spark, sf_dir, table))
+    return _STG[key]
 
 
 def dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -160,14 +160,25 @@ def raw_sql(table: str, dialect: str) -> str:
     return text.strip()
 
 
+_BASE_CACHE: dict[tuple, DataFrame] = {}
+
+
+def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A base test table; the lazy frame is reused within a session."""
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    if key not in _BASE_CACHE:
+        _BASE_CACHE[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _BASE_CACHE[key]
+
+
 def base_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in BASE_TABLES}
+    return {t: base_table(spark, sf_dir, t) for t in BASE_TABLES}
 
 
 def raw_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """Raw extract ``table`` (all strings + ``_competencia``, ``_data_extracao``)."""
     text = raw_sql(table, "spark")
-    used = {t: df for t, df in base_tables(spark, sf_dir).items() if "{" + t + "}" in text}
+    used = {t: base_table(spark, sf_dir, t) for t in BASE_TABLES if "{" + t + "}" in text}
     return spark.sql(text, **used)
 
 
