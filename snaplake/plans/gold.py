@@ -17,6 +17,8 @@ from snaplake.schemas import (
 
 CLOSING_STATUSES = [STATUS_SUSPENDED, STATUS_UNFIT, STATUS_CLOSED]
 DYNAMICS_KEYS = ["mes_referencia", "uf", "cod_cnae_principal"]
+DYNAMICS_COLUMNS = DYNAMICS_KEYS + ["qtd_aberturas", "qtd_baixadas", "qtd_inaptadas",
+                                    "qtd_suspensas", "saldo_liquido", "descricao_cnae_principal"]
 
 
 # ---------------------------------------------------------------- dynamics

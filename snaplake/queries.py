@@ -540,3 +540,44 @@ def q_bronze_monthly_dynamics(spark, sf_dir):
         silver.stage_establishments(bronze.read_table(spark, bz, "estabelecimentos")))
     cn = silver.stage_domain(bronze.read_table(spark, bz, "cnaes"))
     return gold.monthly_dynamics(core, cn)
+
+
+# ------------------------------------------------- the whole flow, on disk
+
+from snaplake.plans.runner import Lakehouse  # noqa: E402
+
+
+def _built(spark, sf_dir, snapshot="as_loaded"):
+    """Landing zips -> bronze (month by month) -> silver -> gold, on disk.
+
+    The first month is ingested and built, then the second month is
+    ingested and the build rerun, so the incremental models go through a
+    first load and one merge.
+    """
+    land, _ = lake(spark, sf_dir)
+    lh = Lakehouse(spark, work_dir(spark, "lakehouse"), snapshot=snapshot)
+    for period in ["2026-01", "2026-02"]:
+        lh.ingest(land, [period], EXTRACTION_DATE)
+        lh.build()
+    return lh
+
+
+_LH: dict[tuple, Lakehouse] = {}
+
+
+def built(spark, sf_dir) -> Lakehouse:
+    key = (id(spark), sf_dir)
+    if key not in _LH:
+        _LH[key] = _built(spark, sf_dir)
+    return _LH[key]
+
+
+@register("lakehouse_monthly_dynamics", O.dynamics_sql(null_safe=False))
+def q_lakehouse_monthly_dynamics(spark, sf_dir):
+    return built(spark, sf_dir).table("mrt_dinamica_mensal").select(*gold.DYNAMICS_COLUMNS)
+
+
+@register("lakehouse_incremental_partners", ORACLE["upsert_composite_key"])
+def q_lakehouse_incremental_partners(spark, sf_dir):
+    """int_socios after a first load of 2026-01 and a merge of 2026-02."""
+    return built(spark, sf_dir).table("int_socios").select(*silver.PARTNER_COLUMNS)

@@ -4,7 +4,8 @@ A table lives under ``root`` as committed version directories
 ``root/_v=000001/``, ``root/_v=000002/``, ... each holding the full table,
 partitioned as requested. A version counts once its write job finished and
 the ``_COMMITTED`` marker was created after it; readers take the newest
-committed version. Writing a new
+committed version. The marker holds the table's schema (JSON), so
+partition columns read back with their written types. Writing a new
 version never touches the one being read, so a merge can read the current
 table and write the next in one job, and a failed job leaves the current
 version in place (rerunning it is safe).
@@ -72,10 +73,24 @@ def write_version(df: DataFrame, root: str, partition_by: list[str] | None = Non
     path = version_path(root, version)
     w.save(path)
     fs, hpath, jvm = _fs(spark, path)
-    fs.create(jvm.org.apache.hadoop.fs.Path(hpath, MARKER), True).close()
+    out = fs.create(jvm.org.apache.hadoop.fs.Path(hpath, MARKER), True)
+    out.write(bytearray(df.schema.json().encode("utf-8")))
+    out.close()
     return version
 
 
+def _stored_schema(spark: SparkSession, path: str):
+    from pyspark.sql.types import StructType
+
+    fs, hpath, jvm = _fs(spark, path)
+    stream = fs.open(jvm.org.apache.hadoop.fs.Path(hpath, MARKER))
+    try:
+        text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return StructType.fromJson(__import__("json").loads(text)) if text else None
+
+
 def read_table(spark: SparkSession, root: str, version: int | None = None,
                schema=None) -> DataFrame | None:
     """The newest committed version (or ``version``), None when none exists.
@@ -89,10 +104,14 @@ def read_table(spark: SparkSession, root: str, version: int | None = None,
             return None
         version = versions[-1]
     path = version_path(root, version)
+    stored = _stored_schema(spark, path)
     reader = spark.read.option("basePath", path)
+    if schema is None:
+        schema = stored
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.parquet(path)
+    out = reader.parquet(path)
+    return out.select(*stored.fieldNames()) if stored is not None else out
 
 
 def write_full(df: DataFrame, root: str, partition_by: list[str] | None = None,

@@ -74,6 +74,37 @@ def list_zips(uri: str) -> list[str]:
     return sorted((prefix + p for p in found), key=lambda p: (posixpath.basename(p), p))
 
 
+class _RandomAccess(io.RawIOBase):
+    """pyarrow input file as a Python file; bad seeks raise ``OSError`` as
+    ``zipfile`` expects (pyarrow raises its own error type)."""
+
+    def __init__(self, f):
+        self.f = f
+
+    def readable(self):
+        return True
+
+    def seekable(self):
+        return True
+
+    def readinto(self, b):
+        data = self.f.read(len(b))
+        b[: len(data)] = data
+        return len(data)
+
+    def read(self, n=-1):
+        return self.f.read() if n is None or n < 0 else self.f.read(n)
+
+    def seek(self, offset, whence=0):
+        try:
+            return self.f.seek(offset, whence)
+        except Exception as e:  # noqa: BLE001
+            raise OSError(str(e)) from e
+
+    def tell(self):
+        return self.f.tell()
+
+
 class ZipPartition(InputPartition):
     def __init__(self, path: str):
         super().__init__(path)
@@ -126,7 +157,7 @@ class ZipCsvReader(DataSourceReader):
         names = self.columns + [ORIGIN_COLUMN]
         arrow_schema = pa.schema([(n, pa.string()) for n in names])
         dropped = 0
-        with fs.open_input_file(path) as raw, zipfile.ZipFile(raw) as zf:
+        with fs.open_input_file(path) as raw, zipfile.ZipFile(_RandomAccess(raw)) as zf:
             members = zf.namelist()
             if not members:
                 raise RuntimeError(f"empty zip: {name}")
