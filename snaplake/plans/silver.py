@@ -178,3 +178,43 @@ def partners_enriched(stg_partners: DataFrame, paises: DataFrame,
     out = lookup(out, qualificacoes, "cod_qualificacao_representante",
                  "descricao_qualificacao_representante")
     return out.select(*PARTNER_COLUMNS)
+
+
+# Raw columns each staging model parses, and how (for the loss report).
+PARSED = {
+    "estabelecimentos": [("data_situacao_cadastral", "date"), ("data_inicio_atividade", "date"),
+                         ("data_situacao_especial", "date")],
+    "simples": [("data_opcao_simples", "date"), ("data_exclusao_simples", "date"),
+                ("data_opcao_mei", "date"), ("data_exclusao_mei", "date")],
+    "socios": [("data_entrada_sociedade", "date")],
+    "empresas": [("capital_social", "double")],
+}
+
+
+def parse_losses(raw: DataFrame, table: str) -> DataFrame:
+    """Values staging turned to null although they were meant to parse.
+
+    A date is lost when its trimmed text has 8 characters, is not
+    ``00000000``, and still is no valid ``YYYYMMDD`` date; a number is lost
+    when non-blank text does not read as a decimal. The reference would stop
+    the whole run on the first one; here they become null and are counted.
+    One scan per table: ``(tabela, column_name, n_values, n_lost)``.
+    """
+    from snaplake.functions import decimal_comma as dc
+
+    kept = raw.where(nonblank("cnpj_basico"))
+    aggs = []
+    for col, kind in PARSED[table]:
+        t = F.trim(F.col(col))
+        if kind == "date":
+            meant = (F.length(t) == 8) & (t != "00000000")
+            lost = meant & parse_compact_date(col).isNull()
+        else:
+            meant = nonblank(col)
+            lost = meant & dc(col).isNull()
+        aggs += [F.count_if(meant).alias(f"n_{col}"), F.count_if(lost).alias(f"l_{col}")]
+    counts = kept.agg(*aggs)
+    rows = F.array(*[F.struct(F.lit(table).alias("tabela"), F.lit(c).alias("column_name"),
+                              F.col(f"n_{c}").alias("n_values"), F.col(f"l_{c}").alias("n_lost"))
+                     for c, _ in PARSED[table]])
+    return counts.select(F.inline(rows))

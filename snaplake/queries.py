@@ -581,3 +581,31 @@ def q_lakehouse_monthly_dynamics(spark, sf_dir):
 def q_lakehouse_incremental_partners(spark, sf_dir):
     """int_socios after a first load of 2026-01 and a merge of 2026-02."""
     return built(spark, sf_dir).table("int_socios").select(*silver.PARTNER_COLUMNS)
+
+
+def _loss_sql() -> str:
+    parts = []
+    for t, cols in silver.PARSED.items():
+        for c, kind in cols:
+            tc = f"TRIM({c})"
+            if kind == "date":
+                meant = f"LENGTH({tc}) = 8 AND {tc} <> '00000000'"
+                lost = f"{meant} AND try_strptime({tc}, '%Y%m%d') IS NULL"
+            else:
+                meant = f"NULLIF({tc}, '') IS NOT NULL"
+                lost = f"{meant} AND TRY_CAST(REPLACE({tc}, ',', '.') AS DOUBLE) IS NULL"
+            parts.append(f"SELECT '{t}' AS tabela, '{c}' AS column_name, "
+                         f"CAST(count(*) FILTER (WHERE {meant}) AS BIGINT) AS n_values, "
+                         f"CAST(count(*) FILTER (WHERE {lost}) AS BIGINT) AS n_lost "
+                         f"FROM raw_{t} WHERE NULLIF(TRIM(cnpj_basico), '') IS NOT NULL")
+    return O.ctes(*[f"raw_{t}" for t in silver.PARSED]) + "\nUNION ALL\n".join(parts)
+
+
+@register("dq_parse_losses", _loss_sql())
+def q_dq_parse_losses(spark, sf_dir):
+    """Malformed dates / numbers counted instead of failing the run (D11)."""
+    out = None
+    for t in silver.PARSED:
+        r = silver.parse_losses(raw_table(spark, sf_dir, t), t)
+        out = r if out is None else out.unionByName(r)
+    return out

@@ -1,0 +1 @@
+"""Sinks: versioned Parquet tables, extraction series, JDBC export."""
