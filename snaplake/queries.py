@@ -609,3 +609,24 @@ def q_dq_parse_losses(spark, sf_dir):
         r = silver.parse_losses(raw_table(spark, sf_dir, t), t)
         out = r if out is None else out.unionByName(r)
     return out
+
+
+# ------------------------------------------------------------- streaming
+
+from snaplake.streaming import incremental as sinc  # noqa: E402
+
+
+@register("streamed_partners", O.ctes("stg_socios", "stg_paises", "stg_qualificacoes", extra=[
+    ("s0", O.PARTNERS_SQL.format(src="stg_socios"))]) + _dedup_sql(
+        "s0", ["cnpj_basico", "cnpj_cpf_socio"], silver.PARTNER_COLUMNS))
+def q_streamed_partners(spark, sf_dir):
+    """Bronze partner files streamed (availableNow, several micro-batches),
+    staged, enriched and merged latest-wins into a versioned table."""
+    _, bz = lake(spark, sf_dir)
+    paises, quals = stg(spark, sf_dir, "paises"), stg(spark, sf_dir, "qualificacoes")
+    root = work_dir(spark, "streamed_partners")
+    stream = silver.stage_partners(sinc.bronze_stream(spark, bz, "socios", max_files_per_trigger=8))
+    q = sinc.stream_merge(stream, root, ["cnpj_basico", "cnpj_cpf_socio"],
+                          transform=lambda b: silver.partners_enriched(b, paises, quals))
+    sinc.run_until_done(q)
+    return tables.read_table(spark, root).select(*silver.PARTNER_COLUMNS)
