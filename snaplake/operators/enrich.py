@@ -62,3 +62,42 @@ def snapshot_join(left: DataFrame, right: DataFrame, keys: list[str],
     for k in keys:
         out = out.drop(r[k])
     return out.drop(tag)
+
+
+def hot_keys(df: DataFrame, keys: list[str], min_rows: int) -> DataFrame:
+    """Keys holding at least ``min_rows`` rows of ``df`` (partial aggregate).
+
+    There can be at most ``count(df) / min_rows`` of them, so the result is
+    small by construction when ``min_rows`` is a fraction of the table.
+    """
+    present = None
+    for k in keys:
+        e = F.col(k).isNotNull()
+        present = e if present is None else present & e
+    return (df.where(present).groupBy(*keys).count()
+            .where(F.col("count") >= min_rows).select(*keys))
+
+
+def split_hot_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left",
+                   min_rows: int = 1_000_000, max_hot_keys: int = 10_000,
+                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Equi-join that routes hot keys of ``left`` around the shuffle.
+
+    Rows of keys with at least ``min_rows`` rows on the left join a broadcast
+    of the right side's rows for those keys (no single task receives a hot
+    key); the rest takes the ordinary shuffled join. When there are no hot
+    keys, or their right-side rows are not provably small, this is the plain
+    join (AQE's skew-join splitting still applies to it).
+    """
+    hot = hot_keys(left, keys, min_rows)
+    if not bounded(hot, max_hot_keys) or hot.limit(1).count() == 0:
+        return left.join(right, keys, how)
+    hot_b = F.broadcast(hot)
+    right_hot = right.join(hot_b, keys, "left_semi")
+    if not bounded(right_hot, max_broadcast_rows):
+        return left.join(right, keys, how)
+    left_hot = left.join(hot_b, keys, "left_semi")
+    left_cold = left.join(hot_b, keys, "left_anti")
+    out_hot = left_hot.join(F.broadcast(right_hot), keys, how)
+    out_cold = left_cold.join(right, keys, how)
+    return out_cold.unionByName(out_hot.select(*out_cold.columns))

@@ -25,13 +25,15 @@ def latest_snapshot(df: DataFrame, period: str = "_competencia",
     Without ``by`` the maximum is a scalar subquery, so the plan stays lazy
     and, on a table partitioned by ``period``, the filter prunes partitions.
     With ``by`` (e.g. ``["uf"]``) the maximum is taken per scope with a
-    partial aggregate and joined back (no window over a possibly hot scope).
+    partial aggregate and semi-joined back, broadcast when the number of
+    scopes is proven small (no window over a possibly hot scope).
     """
     if not by:
         latest = df.select(F.max(period)).scalar()
         return df.where(F.col(period) == latest)
+    from snaplake.operators.enrich import maybe_broadcast
+
     tag = "__latest_period"
-    scopes = df.groupBy(*by).agg(F.max(period).alias(tag))
+    scopes = maybe_broadcast(df.groupBy(*by).agg(F.max(period).alias(tag)), 100_000)
     cond = [df[c].eqNullSafe(scopes[c]) for c in by] + [df[period] == scopes[tag]]
-    out = df.join(scopes, cond, "left_semi")
-    return out
+    return df.join(scopes, cond, "left_semi")

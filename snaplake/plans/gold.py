@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snaplake.functions import decode, flag, month_start
-from snaplake.operators.enrich import lookup
+from snaplake.operators.enrich import lookup, split_hot_join
 from snaplake.schemas import (
     PORTE_LABELS,
     STATUS_ACTIVE,
@@ -153,13 +153,18 @@ def active_establishments(stg_est: DataFrame, companies: DataFrame, tax: DataFra
                           municipios: DataFrame, cnaes: DataFrame, naturezas: DataFrame,
                           motivos: DataFrame, paises: DataFrame,
                           uf: str | None = None,
-                          since: str | None = None) -> DataFrame:
+                          since: str | None = None,
+                          hot_key_rows: int | None = None) -> DataFrame:
     """Active establishments with company, tax regime and code labels.
 
     The status filter (and the optional state / watermark filters) runs first
-    and reaches the Parquet scan. Companies and tax regime join on the same
-    key ``cnpj_basico``, so one shuffle of the filtered establishments serves
-    both; the code tables are broadcast after a size check.
+    and reaches the Parquet scan. Companies and tax regime share the key
+    ``cnpj_basico``, so they are joined to each other first (full outer
+    join, equal to two successive left joins from the establishments side)
+    and the establishments meet them in a single shuffled join: AQE can split
+    a hot company's partition there, and ``hot_key_rows`` additionally routes
+    companies with that many active establishments through a broadcast join.
+    The code tables are broadcast after a size check.
     """
     a = stg_est.where(F.col("cod_situacao_cadastral") == STATUS_ACTIVE)
     if uf is not None:
@@ -168,7 +173,11 @@ def active_establishments(stg_est: DataFrame, companies: DataFrame, tax: DataFra
         a = a.where(F.col("_competencia") > since)
     emp = companies.select(*COMPANY_COLUMNS)
     smp = tax.select(*TAX_COLUMNS)
-    out = a.join(emp, "cnpj_basico", "left").join(smp, "cnpj_basico", "left")
+    company_side = emp.join(smp, "cnpj_basico", "full")
+    if hot_key_rows:
+        out = split_hot_join(a, company_side, ["cnpj_basico"], "left", min_rows=hot_key_rows)
+    else:
+        out = a.join(company_side, "cnpj_basico", "left")
     out = lookup(out, municipios, "cod_municipio", "nome_municipio")
     out = lookup(out, cnaes, "cod_cnae_principal", "descricao_cnae_principal")
     out = lookup(out, naturezas, "cod_natureza_juridica", "descricao_natureza_juridica")

@@ -630,3 +630,10 @@ def q_streamed_partners(spark, sf_dir):
                           transform=lambda b: silver.partners_enriched(b, paises, quals))
     sinc.run_until_done(q)
     return tables.read_table(spark, root).select(*silver.PARTNER_COLUMNS)
+
+
+@register("active_establishments_hot_split", ORACLE["active_establishments"])
+def q_active_establishments_hot_split(spark, sf_dir):
+    """The active mart with companies of 4+ active establishments joined
+    through the broadcast path (same rows as the plain join)."""
+    return _active(spark, sf_dir, hot_key_rows=4)
