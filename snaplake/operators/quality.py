@@ -1,6 +1,6 @@
 """Declarative data checks, run as Spark aggregates.
 
-A rule names a column (or columns) and a test. Like dbt's generic tests, the
+A rule names a column (or columns) and a test. Like generic SQL data tests, the
 ``failures`` of a rule are the rows its failing-rows query would return:
 
 * ``not_null``: rows where the column is null;
