@@ -6,8 +6,8 @@ pyarrow can open: local, HDFS, S3, GCS). One input partition per zip: zips
 cannot be split, so parallelism is the number of zips. Each executor streams
 the zip's **first** member (an empty zip is an error), decodes it as
 ISO-8859-1 and parses it with ``;`` separators and ``"`` quotes (doubled
-quotes and quoted newlines honoured), yielding Arrow batches of
-``chunk_rows`` rows, so a multi-GB member never sits in memory.
+quotes and quoted newlines honoured) with pyarrow's streaming CSV parser,
+yielding Arrow batches, so a multi-GB member never sits in memory.
 
 Row rules (matching the reference's reader): empty lines are skipped; short
 rows are padded with nulls; rows with too many fields are dropped (counted
@@ -136,6 +136,8 @@ class ZipCsvReader(DataSourceReader):
         self.columns = [f.name for f in schema.fields if f.name != ORIGIN_COLUMN]
         self.encoding = options.get("encoding", "iso-8859-1")
         self.chunk_rows = int(options.get("chunk_rows", 100_000))
+        self.block_bytes = int(options.get("block_bytes", 8 << 20))
+        self.parser = options.get("parser", "arrow")
         tokens = options.get("na_tokens", "")
         if tokens == "pandas":
             self.na = frozenset(PANDAS_DEFAULT_NA)
@@ -149,46 +151,100 @@ class ZipCsvReader(DataSourceReader):
         return [ZipPartition(p) for p in found]
 
     def read(self, partition: ZipPartition):
-        import pyarrow as pa
-
         fs, path = _filesystem(partition.path)
         name = posixpath.basename(path)
-        width = len(self.columns)
-        names = self.columns + [ORIGIN_COLUMN]
-        arrow_schema = pa.schema([(n, pa.string()) for n in names])
-        dropped = 0
         with fs.open_input_file(path) as raw, zipfile.ZipFile(_RandomAccess(raw)) as zf:
             members = zf.namelist()
             if not members:
                 raise RuntimeError(f"empty zip: {name}")
             with zf.open(members[0]) as stream:
-                text = io.TextIOWrapper(stream, encoding=self.encoding, newline="")
-                cols: list[list] = [[] for _ in range(width)]
-                n = 0
-                for row in parse_lines(text, width, self.na):
-                    if row is None:
-                        dropped += 1
-                        continue
-                    for i, v in enumerate(row):
-                        cols[i].append(v)
-                    n += 1
-                    if n == self.chunk_rows:
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(c, pa.string()) for c in cols] + [pa.array([name] * n, pa.string())],
-                            schema=arrow_schema)
-                        cols, n = [[] for _ in range(width)], 0
-                if n:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, pa.string()) for c in cols] + [pa.array([name] * n, pa.string())],
-                        schema=arrow_schema)
+                if self.parser == "python":
+                    yield from self._read_python(stream, name)
+                else:
+                    yield from self._read_arrow(stream, name)
+
+    def _batch(self, cols: list[list], name: str):
+        import pyarrow as pa
+
+        n = len(cols[0]) if cols else 0
+        arrays = [pa.array(c, pa.string()) for c in cols] + [pa.array([name] * n, pa.string())]
+        return pa.RecordBatch.from_arrays(arrays, names=self.columns + [ORIGIN_COLUMN])
+
+    def _read_python(self, stream, name: str):
+        """Pure-Python parse (``csv`` module), ``chunk_rows`` rows per batch."""
+        width = len(self.columns)
+        text = io.TextIOWrapper(stream, encoding=self.encoding, newline="")
+        rows, dropped = [], 0
+        for row in parse_lines(text, width, self.na):
+            if row is None:
+                dropped += 1
+                continue
+            rows.append(row)
+            if len(rows) == self.chunk_rows:
+                yield self._batch([list(c) for c in zip(*rows)], name)
+                rows = []
+        if rows:
+            yield self._batch([list(c) for c in zip(*rows)], name)
+        if dropped:
+            log.warning("%s: %d over-long rows skipped", name, dropped)
+
+    def _read_arrow(self, stream, name: str):
+        """pyarrow's streaming C++ parser; rows with the wrong field count are
+        handed back by its invalid-row hook and finished by ``parse_lines``
+        (short rows padded, long rows dropped), so no row is lost."""
+        import pyarrow as pa
+        import pyarrow.csv as pc
+
+        width = len(self.columns)
+        odd: list[str] = []
+
+        def on_invalid(row):
+            odd.append(row.text)
+            return "skip"
+
+        reader = pc.open_csv(
+            stream,
+            read_options=pc.ReadOptions(column_names=self.columns, encoding=self.encoding,
+                                        block_size=self.block_bytes),
+            parse_options=pc.ParseOptions(delimiter=";", quote_char='"', double_quote=True,
+                                          newlines_in_values=True, ignore_empty_lines=True,
+                                          invalid_row_handler=on_invalid),
+            convert_options=pc.ConvertOptions(
+                column_types={c: pa.string() for c in self.columns},
+                strings_can_be_null=True, quoted_strings_can_be_null=True,
+                null_values=sorted(self.na | {""})),
+        )
+        origin = None
+        for batch in reader:
+            if batch.num_rows:
+                if origin is None or len(origin) != batch.num_rows:
+                    origin = pa.array([name] * batch.num_rows, pa.string())
+                yield pa.RecordBatch.from_arrays(list(batch.columns) + [origin],
+                                                 names=self.columns + [ORIGIN_COLUMN])
+            if len(odd) >= self.chunk_rows:
+                yield from self._finish(odd, width, name)
+                odd = []
+        if odd:
+            yield from self._finish(odd, width, name)
+
+    def _finish(self, texts: list[str], width: int, name: str):
+        rows, dropped = [], 0
+        for row in parse_lines(io.StringIO("\n".join(texts)), width, self.na):
+            if row is None:
+                dropped += 1
+            else:
+                rows.append(row)
         if dropped:
             log.warning("%s: %d over-long rows skipped", name, dropped)
+        if rows:
+            yield self._batch([list(c) for c in zip(*rows)], name)
 
 
 class ZipCsvDataSource(DataSource):
     """Options: ``table`` (schema by name) or ``columns`` (``a,b,c``),
     ``encoding``, ``na_tokens`` (``|``-separated, or ``pandas``),
-    ``chunk_rows``."""
+    ``parser`` (``arrow``, default, or ``python``), ``chunk_rows``,
+    ``block_bytes``."""
 
     @classmethod
     def name(cls) -> str:
@@ -210,13 +266,14 @@ def register(spark) -> None:
 
 def read_zips(spark, path: str | list[str], table: str | None = None,
               columns: list[str] | None = None,
-              na_tokens: str | list[str] | None = None, encoding: str = "iso-8859-1"):
+              na_tokens: str | list[str] | None = None, encoding: str = "iso-8859-1",
+              parser: str = "arrow"):
     """DataFrame over the zips at ``path`` (a zip, a folder, or a list of
     zips): declared columns + ``_arquivo_origem``."""
     if table is not None:
         columns_of(table)  # unknown table -> ValueError before any read
     register(spark)
-    r = spark.read.format("zipcsv").option("encoding", encoding)
+    r = spark.read.format("zipcsv").option("encoding", encoding).option("parser", parser)
     if table is not None:
         r = r.option("table", table)
     if columns is not None:

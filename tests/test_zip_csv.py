@@ -21,18 +21,20 @@ def rows(df):
     return sorted(tuple(r) for r in df.drop("_arquivo_origem").collect())
 
 
-def test_literal_fixture_default(spark, scratch):
+@pytest.mark.parametrize("parser", ["arrow", "python"])
+def test_literal_fixture_default(spark, scratch, parser):
     p = f"{scratch}/F.zip"
     make_zip(p, [("F.CSV", "\r\n".join(LINES) + "\r\n"), ("other.csv", '"9";"9";"9";"9"\n')])
-    got = rows(read_zips(spark, p, columns=["a", "b", "c", "d"]))
+    got = rows(read_zips(spark, p, columns=["a", "b", "c", "d"], parser=parser))
     assert got == [("1", 'a "q" b', None, "x"), ("2", "São; Paulo", "NA", "y"),
                    ("3", "short", None, None), ("5", "line1\nline2", "NULL", " sp ")]
 
 
-def test_literal_fixture_pandas_tokens(spark, scratch):
+@pytest.mark.parametrize("parser", ["arrow", "python"])
+def test_literal_fixture_pandas_tokens(spark, scratch, parser):
     p = f"{scratch}/F.zip"
     make_zip(p, [("F.CSV", "\n".join(LINES))])
-    got = rows(read_zips(spark, p, columns=["a", "b", "c", "d"], na_tokens="pandas"))
+    got = rows(read_zips(spark, p, columns=["a", "b", "c", "d"], na_tokens="pandas", parser=parser))
     assert ("2", "São; Paulo", None, "y") in got and ("5", "line1\nline2", None, " sp ") in got
 
 
