@@ -1,20 +1,31 @@
 """Table materialisation on plain Parquet: layouts, versions, publishing.
 
-A table lives under ``root`` as committed version directories
-``root/_v=000001/``, ``root/_v=000002/``, ... each holding the full table,
-partitioned as requested. A version counts once its write job finished and
-the ``_COMMITTED`` marker was created after it; readers take the newest
-committed version. The marker holds the table's schema (JSON), so
-partition columns read back with their written types. Writing a new
-version never touches the one being read, so a merge can read the current
-table and write the next in one job, and a failed job leaves the current
-version in place (rerunning it is safe).
+A table lives under ``root`` as version directories ``root/_v=000001/``,
+``root/_v=000002/``, ... A version counts once its write job finished and
+its ``_COMMITTED`` marker was created afterwards; readers take the newest
+committed version. The marker is a small JSON document: the table's schema
+(so partition columns read back with their written types), its partition
+columns, and a manifest mapping every live partition directory (e.g.
+``uf=SP/ano_abertura=2020``) to the version holding its current files.
+
+A full write puts the whole table in the new version. A merge into a
+partitioned table writes only the partitions it touches (those receiving
+source rows and those losing matched or deleted keys) and carries the
+others over by reference, so a monthly or per-state merge costs the
+partitions it changes, not the table. A touched partition left empty drops
+out of the manifest, so a key that moved partition leaves no stale row.
+Writing a new version never modifies files being read, and a failed job
+leaves the previous version current; rerunning it is safe.
 """
 
 from __future__ import annotations
 
+import json
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 VERSION_PREFIX = "_v="
 MARKER = "_COMMITTED"
@@ -46,6 +57,46 @@ def version_path(root: str, version: int) -> str:
     return f"{root.rstrip('/')}/{VERSION_PREFIX}{version:06d}"
 
 
+def _next_version(spark: SparkSession, root: str) -> int:
+    versions = committed_versions(spark, root)
+    return (versions[-1] + 1) if versions else 1
+
+
+def _write_marker(spark: SparkSession, path: str, meta: dict) -> None:
+    fs, hpath, jvm = _fs(spark, path)
+    out = fs.create(jvm.org.apache.hadoop.fs.Path(hpath, MARKER), True)
+    out.write(bytearray(json.dumps(meta).encode("utf-8")))
+    out.close()
+
+
+def read_meta(spark: SparkSession, root: str, version: int) -> dict:
+    """Schema, partition columns and manifest of one committed version."""
+    path = version_path(root, version)
+    fs, hpath, jvm = _fs(spark, path)
+    stream = fs.open(jvm.org.apache.hadoop.fs.Path(hpath, MARKER))
+    try:
+        text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return json.loads(text)
+
+
+def _partition_dirs(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Relative partition directories ``depth`` levels below ``path``."""
+    fs, hpath, jvm = _fs(spark, path)
+    level = [("", hpath)]
+    for _ in range(depth):
+        nxt = []
+        for rel, p in level:
+            for st in fs.listStatus(p):
+                name = st.getPath().getName()
+                # partition folders may start with "_" (e.g. _competencia=...)
+                if st.isDirectory() and "=" in name and not name.startswith("."):
+                    nxt.append((f"{rel}/{name}" if rel else name, st.getPath()))
+        level = nxt
+    return sorted(rel for rel, _ in level)
+
+
 def layout(df: DataFrame, partition_by: list[str] | None = None,
            sort_by: list[str] | None = None) -> DataFrame:
     """Cluster rows for a partitioned write: one shuffle on the partition
@@ -59,12 +110,8 @@ def layout(df: DataFrame, partition_by: list[str] | None = None,
     return out
 
 
-def write_version(df: DataFrame, root: str, partition_by: list[str] | None = None,
-                  sort_by: list[str] | None = None, max_records_per_file: int | None = None) -> int:
-    """Write ``df`` as the next version of the table at ``root``; returns it."""
-    spark = df.sparkSession
-    versions = committed_versions(spark, root)
-    version = (versions[-1] + 1) if versions else 1
+def _write(df: DataFrame, root: str, version: int, partition_by, sort_by,
+           max_records_per_file) -> list[str]:
     w = layout(df, partition_by, sort_by).write.mode("overwrite").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -72,46 +119,65 @@ def write_version(df: DataFrame, root: str, partition_by: list[str] | None = Non
         w = w.option("maxRecordsPerFile", max_records_per_file)
     path = version_path(root, version)
     w.save(path)
-    fs, hpath, jvm = _fs(spark, path)
-    out = fs.create(jvm.org.apache.hadoop.fs.Path(hpath, MARKER), True)
-    out.write(bytearray(df.schema.json().encode("utf-8")))
-    out.close()
-    return version
-
+    return _partition_dirs(df.sparkSession, path, len(partition_by)) if partition_by else [""]
 
-def _stored_schema(spark: SparkSession, path: str):
-    from pyspark.sql.types import StructType
 
-    fs, hpath, jvm = _fs(spark, path)
-    stream = fs.open(jvm.org.apache.hadoop.fs.Path(hpath, MARKER))
-    try:
-        text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    return StructType.fromJson(__import__("json").loads(text)) if text else None
+def write_version(df: DataFrame, root: str, partition_by: list[str] | None = None,
+                  sort_by: list[str] | None = None, max_records_per_file: int | None = None) -> int:
+    """Write ``df`` as the next (full) version of the table at ``root``."""
+    spark = df.sparkSession
+    version = _next_version(spark, root)
+    parts = _write(df, root, version, partition_by or [], sort_by, max_records_per_file)
+    _write_marker(spark, version_path(root, version), {
+        "schema": json.loads(df.schema.json()),
+        "partition_by": list(partition_by or []),
+        "manifest": {rel: version for rel in parts},
+        "written": {str(version): len(parts)},
+    })
+    return version
 
 
 def read_table(spark: SparkSession, root: str, version: int | None = None,
-               schema=None) -> DataFrame | None:
+               schema=None, with_file: bool = False) -> DataFrame | None:
     """The newest committed version (or ``version``), None when none exists.
 
-    Pass ``schema`` to keep partition columns typed as written (otherwise
-    Spark infers them from directory names, and ``'007'`` would read as 7).
+    ``with_file`` adds ``__file``, the data file each row came from.
     """
     if version is None:
         versions = committed_versions(spark, root)
         if not versions:
             return None
         version = versions[-1]
-    path = version_path(root, version)
-    stored = _stored_schema(spark, path)
-    reader = spark.read.option("basePath", path)
-    if schema is None:
-        schema = stored
-    if schema is not None:
-        reader = reader.schema(schema)
-    out = reader.parquet(path)
-    return out.select(*stored.fieldNames()) if stored is not None else out
+    meta = read_meta(spark, root, version)
+    stored = StructType.fromJson(meta["schema"])
+    schema = schema or stored
+    names = stored.fieldNames() + (["__file"] if with_file else [])
+    manifest: dict = meta["manifest"]
+    if not manifest:
+        empty = spark.createDataFrame([], schema)
+        return empty.withColumn("__file", F.lit(None).cast("string")).select(*names) \
+            if with_file else empty
+    if meta["partition_by"]:
+        # A version whose written partitions are all still live is read as
+        # one folder; otherwise its live partition folders are listed.
+        live: dict[int, list[str]] = {}
+        for rel, v in manifest.items():
+            live.setdefault(v, []).append(rel)
+        written = meta.get("written", {})
+        paths = []
+        for v, rels in sorted(live.items()):
+            if written.get(str(v)) == len(rels):
+                paths.append(version_path(root, v))
+            else:
+                paths += [f"{version_path(root, v)}/{rel}" for rel in sorted(rels)]
+        df = spark.read.option("basePath", root.rstrip("/")).schema(schema).parquet(*paths)
+    else:
+        (v,) = set(manifest.values())
+        path = version_path(root, v)
+        df = spark.read.option("basePath", path).schema(schema).parquet(path)
+    if with_file:
+        df = df.withColumn("__file", F.input_file_name())
+    return df.select(*names)
 
 
 def write_full(df: DataFrame, root: str, partition_by: list[str] | None = None,
@@ -130,22 +196,65 @@ def publish(spark: SparkSession, name: str, root: str) -> DataFrame:
     return table
 
 
+def _rel_dir(file_uri: str, depth: int) -> str:
+    """Partition directory of a data file, as named on disk."""
+    parts = file_uri.rstrip("/").split("/")
+    return unquote("/".join(parts[-1 - depth:-1]))
+
+
 def merge_into(spark: SparkSession, root: str, source: DataFrame, keys: list[str],
                partition_by: list[str] | None = None, sort_by: list[str] | None = None,
                order: list[str] | None = None, deletes: DataFrame | None = None,
                null_safe: bool = True) -> DataFrame:
     """Upsert ``source`` into the table at ``root`` as a new version.
 
-    The new version holds the whole merged table, so a key that moved to
-    another partition leaves no stale row behind in its old one.
+    Unpartitioned tables are rewritten whole. Partitioned tables rewrite the
+    touched partitions only: partitions receiving source rows, plus the
+    partitions currently holding matched or deleted keys (a key may move).
+    Their new content is the old rows minus matched/deleted keys plus the
+    deduplicated source; untouched partitions stay where they are.
     """
-    from snaplake.operators.incremental import upsert
+    from snaplake.operators.incremental import _key_match, latest_per_key, upsert
+
+    current = read_table(spark, root, schema=source.schema, with_file=bool(partition_by))
+    if current is None:
+        write_version(latest_per_key(source, keys, order), root, partition_by, sort_by)
+        return read_table(spark, root, schema=source.schema).select(*source.columns)
+    if not partition_by:
+        merged = upsert(current.select(*source.columns), source, keys, order=order,
+                        deletes=deletes, null_safe=null_safe)
+        write_version(merged, root, partition_by, sort_by)
+        return read_table(spark, root, schema=source.schema).select(*source.columns)
 
-    current = read_table(spark, root, schema=source.schema)
-    if current is not None:
-        current = current.select(*source.columns)
-    merged = upsert(current, source, keys, order=order, deletes=deletes, null_safe=null_safe)
-    write_version(merged, root, partition_by, sort_by)
+    src = latest_per_key(source, keys, order)
+    gone = src.select(*keys)
+    if deletes is not None:
+        gone = gone.unionByName(deletes.select(*keys))
+    moved = current.join(gone, _key_match(current, gone, keys, null_safe), "left_semi")
+    touched = src.select(*partition_by).unionByName(moved.select(*partition_by)).distinct()
+    cond = None
+    for c in partition_by:
+        e = current[c].eqNullSafe(touched[c])
+        cond = e if cond is None else cond & e
+    old_rows = current.join(F.broadcast(touched), cond, "left_semi")
+    # Directories being replaced (bounded by the number of partitions).
+    depth = len(partition_by)
+    replaced = {_rel_dir(r["__file"], depth)
+                for r in old_rows.select("__file").distinct().collect()}
+    new_content = upsert(old_rows.select(*source.columns), src, keys, deletes=deletes,
+                         null_safe=null_safe, dedup=False)
+    prev_meta = read_meta(spark, root, committed_versions(spark, root)[-1])
+    version = _next_version(spark, root)
+    written = _write(new_content, root, version, partition_by, sort_by, None)
+    manifest = {rel: v for rel, v in prev_meta["manifest"].items() if rel not in replaced}
+    manifest.update({rel: version for rel in written})
+    counts = dict(prev_meta.get("written", {}), **{str(version): len(written)})
+    _write_marker(spark, version_path(root, version), {
+        "schema": json.loads(source.schema.json()),
+        "partition_by": list(partition_by),
+        "manifest": manifest,
+        "written": counts,
+    })
     return read_table(spark, root, schema=source.schema).select(*source.columns)
 
 

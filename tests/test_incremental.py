@@ -102,3 +102,33 @@ def test_latest_snapshot(spark):
     assert rows(latest_per_key(df, ["k"])) == [("a", "x", 2, "AC", "2026-02"),
                                                ("b", "x", 3, "SP", "2026-01")]
     assert dt  # keep import
+
+
+def test_merge_rewrites_only_touched_partitions(spark, scratch):
+    root = f"{scratch}/parts"
+    t = spark.createDataFrame([(str(i), "x", i, uf, "2026-01") for i, uf in
+                               enumerate(["AC", "AC", "SP", "SP", "RJ"])], SCHEMA)
+    tables.write_version(t, root, partition_by=["uf"])
+    # key 0 moves AC -> RJ, key 2 is updated in SP, AC keeps key 1
+    s = spark.createDataFrame([("0", "x", 100, "RJ", "2026-02"), ("2", "x", 200, "SP", "2026-02")], SCHEMA)
+    out = tables.merge_into(spark, root, s, ["k"], partition_by=["uf"])
+    assert rows(out) == [("0", "x", 100, "RJ", "2026-02"), ("1", "x", 1, "AC", "2026-01"),
+                         ("2", "x", 200, "SP", "2026-02"), ("3", "x", 3, "SP", "2026-01"),
+                         ("4", "x", 4, "RJ", "2026-01")]
+    meta = tables.read_meta(spark, root, 2)
+    assert meta["manifest"] == {"uf=AC": 2, "uf=RJ": 2, "uf=SP": 2}
+    # a merge touching SP only leaves AC and RJ in version 2
+    s2 = spark.createDataFrame([("3", "x", 300, "SP", "2026-03")], SCHEMA)
+    tables.merge_into(spark, root, s2, ["k"], partition_by=["uf"])
+    meta = tables.read_meta(spark, root, 3)
+    assert meta["manifest"] == {"uf=AC": 2, "uf=RJ": 2, "uf=SP": 3}
+    # the last key of a partition leaving it empties it out of the manifest
+    gone = spark.createDataFrame([("1",)], "k string")
+    empty_src = spark.createDataFrame([], SCHEMA)
+    from snaplake.operators.incremental import upsert  # noqa: F401
+    tables.merge_into(spark, root, empty_src, ["k"], partition_by=["uf"], deletes=gone)
+    meta = tables.read_meta(spark, root, 4)
+    assert "uf=AC" not in meta["manifest"]
+    assert tables.read_table(spark, root).count() == 4
+    # an untouched-partition read path still works after several versions
+    assert {r.uf for r in tables.read_table(spark, root).collect()} == {"SP", "RJ"}
