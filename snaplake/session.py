@@ -36,6 +36,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_code(spark)
     return spark
 
 
@@ -60,6 +61,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Make ``snaplake`` importable in Python workers (data source, pandas
+    functions, foreachBatch), wherever the driver was started from.
+
+    The package is zipped into the shared folder and added with
+    ``addPyFile`` once per SparkContext.
+    """
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    import os
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    target = local_path(work_dir(spark, "code")) + ".zip"
+    if not is_local_fs(target):
+        raise RuntimeError("ship_code needs a local or mounted checkpoint folder")
+    os.makedirs(os.path.dirname(target), exist_ok=True)
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(target)
+    _SHIPPED.add(id(sc))
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
@@ -79,5 +111,5 @@ def is_local_fs(path: str) -> bool:
     return "://" not in path or path.startswith("file:")
 
 
-__all__ = ["build_session", "ensure_checkpoint_dir", "work_dir", "local_path",
+__all__ = ["build_session", "ensure_checkpoint_dir", "ship_code", "work_dir", "local_path",
            "is_local_fs"]

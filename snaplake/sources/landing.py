@@ -138,7 +138,10 @@ def write_extracts(df: DataFrame, root: str, staging: str, table: str,
     job zips each folder in its own task, streaming, so no file passes
     through the driver. Returns ``(nome, csv_bytes)`` per zip (lazy).
     """
+    from snaplake.session import ship_code
+
     spark = df.sparkSession
+    ship_code(spark)
     cols = columns_of(table)
     write_csv(df.select(*cols, F.col(period_col).alias("__p"), F.col(file_col).alias("__f")),
               staging, partition_by=["__p", "__f"])
@@ -150,5 +153,4 @@ def write_extracts(df: DataFrame, root: str, staging: str, table: str,
                          F.col("f")).alias("dest"),
                 F.regexp_replace(F.col("f"), r"(?i)\.zip$", ".CSV").alias("member")))
     n = max(1, plan.count())
-    del spark
     return plan.repartition(n).mapInPandas(_zip_tasks, "nome string, csv_bytes long")

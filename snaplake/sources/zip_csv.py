@@ -261,6 +261,9 @@ class ZipCsvDataSource(DataSource):
 
 
 def register(spark) -> None:
+    from snaplake.session import ship_code
+
+    ship_code(spark)
     spark.dataSource.register(ZipCsvDataSource)
 
 
