@@ -124,8 +124,7 @@ class Lakehouse:
         if n == "int_estabelecimentos":
             return silver.establishments_core(ins[0])
         if n == "mrt_dinamica_mensal":
-            core = ins[0] if uf is None else ins[0].where(F.col("uf") == uf)
-            return gold.monthly_dynamics(core, ins[1], ordered=False)
+            return gold.monthly_dynamics(ins[0], ins[1], ordered=False)
         raise KeyError(n)
 
     def _incremental(self, m: Model, uf: str | None, full_refresh: bool) -> DataFrame:
@@ -157,6 +156,8 @@ class Lakehouse:
               full_refresh: bool = False) -> list[tuple[str, str, int | None]]:
         """Build ``targets`` (default: all) in dependency order.
 
+        ``uf`` restricts the active-establishments mart to one state (its
+        watermark is then taken within that state); other models ignore it.
         Returns ``(model, kind, version)`` per model built.
         """
         wanted = set(targets or BY_NAME)
@@ -178,10 +179,19 @@ class Lakehouse:
             log.info("built %s", m.name)
         return done
 
+    def backfill(self, landing_root: str, periods: list[str], extraction_date: str,
+                 targets: list[str] | None = None) -> list[tuple[str, str, int | None]]:
+        """Ingest a range of months (one job per table for all of them), then
+        build once; incremental models take all new months in one merge."""
+        self.ingest(landing_root, periods, extraction_date)
+        return self.build(targets)
+
     def run_by(self, values: list[str], targets: list[str] | None = None,
                build: Callable | None = None) -> tuple[list[str], list[tuple[str, str]]]:
-        """Build ``targets`` once per state; a failing state does not stop the
-        others. Returns (ok states, [(failed state, error)])."""
+        """Build ``targets`` (default: the active mart) once per state; a
+        failing state does not stop the others. Returns (ok states,
+        [(failed state, error)])."""
+        targets = targets or ["mrt_estabelecimentos_ativos"]
         ok, failed = [], []
         for v in values:
             try:

@@ -52,6 +52,12 @@ def list_files(spark: SparkSession, root: str, period: str | None = None) -> Dat
     ).orderBy("nome")
 
 
+def period_of(run_date) -> str:
+    """``YYYY-MM`` of a run date (a ``date``/``datetime`` or ISO text)."""
+    text = run_date if isinstance(run_date, str) else run_date.isoformat()
+    return text[:7]
+
+
 def periods(spark: SparkSession, root: str) -> DataFrame:
     """Distinct period folders (``YYYY-MM``: length 7, ``-`` at index 4), ascending."""
     p = list_files(spark, root).select("pasta").distinct()
