@@ -82,25 +82,31 @@ def read_table(spark: SparkSession, root: str, table: str,
 
 def ingest(spark: SparkSession, landing_root: str, bronze_root: str, periods: list[str],
            extraction_date: str, tables: list[str] | None = None, na_tokens=None) -> DataFrame:
-    """Landing zips of ``periods`` -> bronze, one job per table (all months).
-
-    Returns the per-table row counts read back from bronze (lazy).
+    """Landing zips of ``periods`` -> bronze: one listing job, then one scan
+    and one write job per table covering all the months (each zip's month
+    comes from its folder). Returns per-table row counts read back (lazy).
     """
+    from snaplake.sources.landing import list_files
+    from snaplake.sources.zip_csv import PATH_COLUMN
+
+    wanted = tables or ALL_TABLES
+    for t in wanted:
+        columns_of(t)
+    listing = (list_files(spark, landing_root)
+               .where(F.col("pasta").isin(*periods) & F.col("tabela").isin(*wanted))
+               .select("tabela", "path").collect())  # one row per zip
+    by_table: dict[str, list[str]] = {}
+    for r in listing:
+        by_table.setdefault(r["tabela"], []).append(r["path"])
     done = []
-    for table in tables or ALL_TABLES:
-        scans = []
-        for period in periods:
-            try:
-                scans.append(scan_period(spark, landing_root, period, table, extraction_date,
-                                         na_tokens))
-            except FileNotFoundError:
-                continue
-        if not scans:
+    for table in wanted:
+        paths = sorted(by_table.get(table, []))
+        if not paths:
             continue
-        df = scans[0]
-        for s in scans[1:]:
-            df = df.unionByName(s)
-        write_table(df, bronze_root, table)
+        df = read_zips(spark, paths, table=table, na_tokens=na_tokens, with_path=True)
+        df = df.withColumn("_competencia",
+                           F.regexp_extract(F.col(PATH_COLUMN), r"competencia=([^/]+)/[^/]+$", 1))
+        write_table(with_metadata(df.drop(PATH_COLUMN), None, extraction_date), bronze_root, table)
         done.append(table)
     return summary(spark, bronze_root, done, periods)
 

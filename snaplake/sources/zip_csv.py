@@ -41,6 +41,7 @@ PANDAS_DEFAULT_NA = [
 ]
 
 ORIGIN_COLUMN = "_arquivo_origem"
+PATH_COLUMN = "_path"
 
 
 def _filesystem(uri: str):
@@ -133,7 +134,8 @@ class ZipCsvReader(DataSourceReader):
         self.paths = [p for p in options.get("paths", "").split("\n") if p]
         if not self.path and not self.paths:
             raise ValueError("zipcsv needs a path (or paths)")
-        self.columns = [f.name for f in schema.fields if f.name != ORIGIN_COLUMN]
+        self.columns = [f.name for f in schema.fields if f.name not in (ORIGIN_COLUMN, PATH_COLUMN)]
+        self.with_path = any(f.name == PATH_COLUMN for f in schema.fields)
         self.encoding = options.get("encoding", "iso-8859-1")
         self.chunk_rows = int(options.get("chunk_rows", 100_000))
         self.block_bytes = int(options.get("block_bytes", 8 << 20))
@@ -159,9 +161,19 @@ class ZipCsvReader(DataSourceReader):
                 raise RuntimeError(f"empty zip: {name}")
             with zf.open(members[0]) as stream:
                 if self.parser == "python":
-                    yield from self._read_python(stream, name)
+                    batches = self._read_python(stream, name)
                 else:
-                    yield from self._read_arrow(stream, name)
+                    batches = self._read_arrow(stream, name)
+                for b in batches:
+                    yield self._with_path(b, partition.path) if self.with_path else b
+
+    @staticmethod
+    def _with_path(batch, path: str):
+        import pyarrow as pa
+
+        return pa.RecordBatch.from_arrays(
+            list(batch.columns) + [pa.array([path] * batch.num_rows, pa.string())],
+            names=list(batch.schema.names) + [PATH_COLUMN])
 
     def _batch(self, cols: list[list], name: str):
         import pyarrow as pa
@@ -253,8 +265,8 @@ class ZipCsvDataSource(DataSource):
     def schema(self):
         cols = self.options.get("columns")
         names = cols.split(",") if cols else columns_of(self.options.get("table", ""))
-        return StructType([StructField(c, StringType(), True) for c in names]
-                          + [StructField(ORIGIN_COLUMN, StringType(), True)])
+        extra = [ORIGIN_COLUMN] + ([PATH_COLUMN] if self.options.get("with_path") == "true" else [])
+        return StructType([StructField(c, StringType(), True) for c in names + extra])
 
     def reader(self, schema: StructType) -> ZipCsvReader:
         return ZipCsvReader(self.options, schema)
@@ -270,13 +282,14 @@ def register(spark) -> None:
 def read_zips(spark, path: str | list[str], table: str | None = None,
               columns: list[str] | None = None,
               na_tokens: str | list[str] | None = None, encoding: str = "iso-8859-1",
-              parser: str = "arrow"):
+              parser: str = "arrow", with_path: bool = False):
     """DataFrame over the zips at ``path`` (a zip, a folder, or a list of
     zips): declared columns + ``_arquivo_origem``."""
     if table is not None:
         columns_of(table)  # unknown table -> ValueError before any read
     register(spark)
-    r = spark.read.format("zipcsv").option("encoding", encoding).option("parser", parser)
+    r = (spark.read.format("zipcsv").option("encoding", encoding).option("parser", parser)
+         .option("with_path", "true" if with_path else "false"))
     if table is not None:
         r = r.option("table", table)
     if columns is not None:
