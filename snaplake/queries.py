@@ -27,6 +27,7 @@ from snaplake.functions import (
 )
 from snaplake.plans import gold, silver
 from snaplake.schemas import DOMAIN_TABLES, PORTE_LABELS
+from snaplake.session import session_key
 from snaplake.sources.derived import raw_table
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,7 +48,7 @@ _STG: dict[tuple, DataFrame] = {}
 
 def stg(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """Staged derived extract; the lazy frame is reused within a session."""
-    key = (id(spark), sf_dir, table)
+    key = (*session_key(spark), sf_dir, table)
     if key not in _STG:
         _STG[key] = silver.stage(table, raw_table(spark, sf_dir, table))
     return _STG[key]
@@ -460,7 +461,7 @@ def lake(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     folder: Spark writes the CSV members, zips them in parallel tasks, then
     ingests every table (both months in one job per table).
     """
-    key = (id(spark), sf_dir)
+    key = (*session_key(spark), sf_dir)
     if key in _LAKE:
         return _LAKE[key]
     base = work_dir(spark, "lake")
@@ -566,7 +567,7 @@ _LH: dict[tuple, Lakehouse] = {}
 
 
 def built(spark, sf_dir) -> Lakehouse:
-    key = (id(spark), sf_dir)
+    key = (*session_key(spark), sf_dir)
     if key not in _LH:
         _LH[key] = _built(spark, sf_dir)
     return _LH[key]

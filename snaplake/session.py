@@ -92,6 +92,11 @@ def ship_code(spark: SparkSession) -> None:
     _SHIPPED.add(id(sc))
 
 
+def session_key(spark: SparkSession) -> tuple:
+    """Identity of a session and its running context (for frame caches)."""
+    return (id(spark), spark.sparkContext.applicationId)
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

@@ -196,12 +196,6 @@ def publish(spark: SparkSession, name: str, root: str) -> DataFrame:
     return table
 
 
-def _rel_dir(file_uri: str, depth: int) -> str:
-    """Partition directory of a data file, as named on disk."""
-    parts = file_uri.rstrip("/").split("/")
-    return unquote("/".join(parts[-1 - depth:-1]))
-
-
 def merge_into(spark: SparkSession, root: str, source: DataFrame, keys: list[str],
                partition_by: list[str] | None = None, sort_by: list[str] | None = None,
                order: list[str] | None = None, deletes: DataFrame | None = None,
@@ -237,10 +231,10 @@ def merge_into(spark: SparkSession, root: str, source: DataFrame, keys: list[str
         e = current[c].eqNullSafe(touched[c])
         cond = e if cond is None else cond & e
     old_rows = current.join(F.broadcast(touched), cond, "left_semi")
-    # Directories being replaced (bounded by the number of partitions).
-    depth = len(partition_by)
-    replaced = {_rel_dir(r["__file"], depth)
-                for r in old_rows.select("__file").distinct().collect()}
+    # Directories being replaced: one row per partition folder reaches the
+    # driver (bounded by the table's partition count, not its files).
+    rel = F.regexp_extract("__file", r"/_v=[0-9]+/(.+)/[^/]+$", 1).alias("rel")
+    replaced = {unquote(r["rel"]) for r in old_rows.select(rel).distinct().collect()}
     new_content = upsert(old_rows.select(*source.columns), src, keys, deletes=deletes,
                          null_safe=null_safe, dedup=False)
     prev_meta = read_meta(spark, root, committed_versions(spark, root)[-1])

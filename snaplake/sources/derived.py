@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from snaplake.session import session_key
+
 from snaplake.schemas import STATES, columns_of
 
 BASE_TABLES = ["orders", "customer", "nation", "region"]
@@ -171,7 +173,7 @@ SPREAD_MIN_ROWS = 50_000
 
 def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A base test table; the lazy frame is reused within a session."""
-    key = (id(spark), sf_dir.rstrip("/"), name)
+    key = (*session_key(spark), sf_dir.rstrip("/"), name)
     if key not in _BASE_CACHE:
         df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
         cores = spark.sparkContext.defaultParallelism

@@ -55,3 +55,16 @@ def test_checks_on_built_models(spark):
     assert len(rep) == 40
     assert rep[("mrt_estabelecimentos_ativos", "cod_situacao_cadastral", "accepted_values")] == 0
     assert rep[("stg_estabelecimentos", "cnpj", "unique")] == 0
+
+
+def test_gold_filters_reach_the_silver_scan(spark):
+    from snaplake.plans import gold
+    lh = Q.built(spark, SF)
+    t = lh.table
+    mart = gold.active_establishments(t("stg_estabelecimentos"), t("stg_empresas"), t("stg_simples"),
+                                      t("stg_municipios"), t("stg_cnaes"), t("stg_naturezas"),
+                                      t("stg_motivos"), t("stg_paises"), uf="AC")
+    plan = mart._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(cod_situacao_cadastral,02)" in plan      # row-group filter at the scan
+    assert "PartitionFilters: [isnotnull(uf" in plan and "(uf" in plan and "= AC)" in plan
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
