@@ -81,7 +81,8 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: list[str],
     if target is None:
         return src
     cols = target.columns
-    gone = src.select(*keys)
+    # The anti join needs the source keys, not distinct ones: no aggregate.
+    gone = source.select(*keys)
     if deletes is not None:
         gone = gone.unionByName(deletes.select(*keys))
     kept = target.join(gone, _key_match(target, gone, keys, null_safe), "left_anti")

@@ -220,7 +220,10 @@ def merge_into(spark: SparkSession, root: str, source: DataFrame, keys: list[str
         write_version(merged, root, partition_by, sort_by)
         return read_table(spark, root, schema=source.schema).select(*source.columns)
 
-    src = latest_per_key(source, keys, order)
+    # The deduplicated source feeds three steps (touched partitions, the
+    # folders they replace, the write): materialise it once in the shared
+    # checkpoint folder, which also cuts its lineage.
+    src = latest_per_key(source, keys, order).checkpoint(eager=True)
     gone = src.select(*keys)
     if deletes is not None:
         gone = gone.unionByName(deletes.select(*keys))
