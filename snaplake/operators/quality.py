@@ -8,11 +8,9 @@ A rule names a column (or columns) and a test. Like generic SQL data tests, the
   than once, optionally within a scope such as ``_competencia``;
 * ``accepted_values``: distinct non-null values outside the list.
 
-All ``not_null`` rules of a model are answered by one pass (one
-``count_if`` per column); each ``unique`` / ``accepted_values`` rule is one
-grouped aggregate whose partial step runs map-side. Nothing is collected:
-``check`` returns a lazy report frame ``(model, column_name, test_name,
-failures)``.
+All rules of a model are answered by one scan and one shuffle (a
+``GROUPING SETS`` aggregate, see ``check``). Nothing is collected: ``check``
+returns a lazy report frame ``(model, column_name, test_name, failures)``.
 """
 
 from __future__ import annotations
@@ -88,23 +86,61 @@ def rejected_count(df: DataFrame, model: str, rule: Rule) -> DataFrame:
 
 
 def check(df: DataFrame, model: str, rules: Iterable[Rule]) -> DataFrame:
-    """Report frame with one row per rule (lazy; ``failures == 0`` passes)."""
+    """Report frame with one row per rule (lazy; ``failures == 0`` passes).
+
+    All rules of a model come from one scan: a ``GROUPING SETS`` aggregate
+    with one set per ``unique`` / ``accepted_values`` rule plus the empty set
+    (whose row carries the ``not_null`` counts). Its partial step runs
+    map-side, so a hot value collapses before the shuffle; each rule's
+    failures are then counted on the small grouped result.
+    """
     rules = list(rules)
-    parts = []
-    nn = null_counts(df, model, [r for r in rules if r.test == "not_null"])
-    if nn is not None:
-        parts.append(nn)
     for r in rules:
-        if r.test == "unique":
-            parts.append(duplicate_count(df, model, r))
-        elif r.test == "accepted_values":
-            parts.append(rejected_count(df, model, r))
-        elif r.test != "not_null":
+        if r.test not in ("not_null", "unique", "accepted_values"):
             raise ValueError(f"unknown test {r.test!r}")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    nulls = [r for r in rules if r.test == "not_null"]
+    grouped = [r for r in rules if r.test != "not_null"]
+    if not grouped:
+        return null_counts(df, model, nulls)
+    sets, cols = [], []
+    for r in grouped:
+        key = tuple(r.per) + tuple(r.columns)
+        if key not in sets:
+            sets.append(key)
+        cols += [c for c in key if c not in cols]
+    sets.append(())
+    aggs = [F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__gid")]
+    aggs += [F.count_if(F.col(r.column).isNull()).alias(f"__null{i}") for i, r in enumerate(nulls)]
+    g = df.groupingSets([[F.col(c) for c in k] for k in sets], *cols).agg(*aggs)
+
+    def gid(key) -> int:
+        # grouping_id: one bit per grouping column, set when it is absent.
+        bits = 0
+        for c in cols:
+            bits = (bits << 1) | (0 if c in key else 1)
+        return bits
+
+    # One global aggregate over the (small) grouped result answers every
+    # rule, so the scan and the grouping shuffle happen once.
+    gid_col = F.col("__gid")
+    counts, rows = [], []
+    for i, r in enumerate(nulls):
+        counts.append(F.coalesce(F.max(F.when(gid_col == gid(()), F.col(f"__null{i}"))),
+                                 F.lit(0)).alias(f"__f{len(rows)}"))
+        rows.append(r)
+    for r in grouped:
+        key = tuple(r.per) + tuple(r.columns)
+        cond = gid_col == gid(key)
+        for c in r.columns:
+            cond = cond & F.col(c).isNotNull()
+        if r.test == "unique":
+            cond = cond & (F.col("__n") > 1)
+        else:
+            cond = cond & ~F.col(r.column).isin(*r.values)
+        counts.append(F.count_if(cond).alias(f"__f{len(rows)}"))
+        rows.append(r)
+    packed = F.array(*[F.struct(*_row(model, r, F.col(f"__f{i}"))) for i, r in enumerate(rows)])
+    return g.agg(*counts).select(F.inline(packed))
 
 
 def check_all(models: dict[str, tuple[DataFrame, list[Rule]]]) -> DataFrame:

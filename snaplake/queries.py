@@ -25,10 +25,18 @@ from snaplake.functions import (
     parse_compact_date,
     trim_spaces,
 )
+from snaplake.operators import incremental as inc
+from snaplake.operators import quality as dq
+from snaplake.operators.snapshot import latest_snapshot
 from snaplake.plans import gold, silver
-from snaplake.schemas import DOMAIN_TABLES, PORTE_LABELS
-from snaplake.session import session_key
-from snaplake.sources.derived import raw_table
+from snaplake.plans.checks import RULES
+from snaplake.plans.runner import Lakehouse
+from snaplake.schemas import ALL_TABLES, DOMAIN_TABLES, FILE_PREFIXES, PORTE_LABELS, STATUS_ACTIVE
+from snaplake.session import session_key, work_dir
+from snaplake.sinks import tables
+from snaplake.sources import bronze, landing
+from snaplake.sources.derived import file_name_sql, raw_table
+from snaplake.streaming import incremental as sinc
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -237,10 +245,6 @@ def q_monthly_dynamics_by_join(spark, sf_dir):
 
 # ------------------------------------------------ snapshots and increments
 
-from snaplake.operators import incremental as inc  # noqa: E402
-from snaplake.operators.snapshot import latest_snapshot  # noqa: E402
-from snaplake.session import work_dir  # noqa: E402
-from snaplake.sinks import tables  # noqa: E402
 
 
 def _est_three_months(spark, sf_dir):
@@ -367,9 +371,6 @@ def q_upsert_with_deletes(spark, sf_dir):
 
 # ------------------------------------------------------------ data checks
 
-from snaplake.operators import quality as dq  # noqa: E402
-from snaplake.plans.checks import RULES, scoped  # noqa: E402
-from snaplake.schemas import STATUS_ACTIVE  # noqa: E402
 
 _EST_ALL_NOT_NULL = dq.not_null(*silver.CORE_COLUMNS)
 
@@ -446,9 +447,6 @@ def q_dq_all(spark, sf_dir):
 
 # -------------------------------------------------- landing and bronze files
 
-from snaplake.schemas import ALL_TABLES, FILE_PREFIXES  # noqa: E402
-from snaplake.sources import bronze, landing  # noqa: E402
-from snaplake.sources.derived import file_name_sql  # noqa: E402
 
 _LAKE: dict[tuple, tuple[str, str]] = {}
 EXTRACTION_DATE = "2026-02-20"
@@ -545,7 +543,6 @@ def q_bronze_monthly_dynamics(spark, sf_dir):
 
 # ------------------------------------------------- the whole flow, on disk
 
-from snaplake.plans.runner import Lakehouse  # noqa: E402
 
 
 def _built(spark, sf_dir, snapshot="as_loaded"):
@@ -614,7 +611,6 @@ def q_dq_parse_losses(spark, sf_dir):
 
 # ------------------------------------------------------------- streaming
 
-from snaplake.streaming import incremental as sinc  # noqa: E402
 
 
 @register("streamed_partners", O.ctes("stg_socios", "stg_paises", "stg_qualificacoes", extra=[
