@@ -202,6 +202,14 @@ class Lakehouse:
                 failed.append((v, str(e)))
         return ok, failed
 
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Drop table files the newest ``keep`` versions no longer reference."""
+        removed = []
+        for m in MODELS:
+            if m.kind != "view":
+                removed += tables.vacuum(self.spark, self.path(m.name), keep)
+        return removed
+
     def check(self, models: list[str] | None = None) -> DataFrame:
         """The declared data tests over the built models (lazy report)."""
         names = [m for m in RULES if models is None or m in models]

@@ -46,7 +46,8 @@ def committed_versions(spark: SparkSession, root: str) -> list[int]:
     out = []
     for st in fs.listStatus(hroot):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(VERSION_PREFIX):
+        if (st.isDirectory() and name.startswith(VERSION_PREFIX)
+                and name[len(VERSION_PREFIX):].isdigit()):
             marker = jvm.org.apache.hadoop.fs.Path(st.getPath(), MARKER)
             if fs.exists(marker):
                 out.append(int(name[len(VERSION_PREFIX):]))
@@ -257,3 +258,59 @@ def merge_into(spark: SparkSession, root: str, source: DataFrame, keys: list[str
 
 def row_counts(df: DataFrame, by: list[str]) -> DataFrame:
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete files no reader of the last ``keep`` versions can reach.
+
+    Keeps every partition folder referenced by the manifests of the newest
+    ``keep`` committed versions, and those versions' markers; removes other
+    partition folders, versions left with nothing referenced, and
+    uncommitted folders older than the newest committed version (failed
+    writes). Returns the removed paths.
+    """
+    versions = committed_versions(spark, root)
+    if not versions:
+        return []
+    kept_versions = versions[-keep:]
+    live: dict[int, set[str]] = {}
+    for v in kept_versions:
+        for rel, owner in read_meta(spark, root, v)["manifest"].items():
+            live.setdefault(owner, set()).add(rel)
+    fs, hroot, jvm = _fs(spark, root)
+    removed = []
+    for st in fs.listStatus(hroot):
+        name = st.getPath().getName()
+        digits = name[len(VERSION_PREFIX):]
+        if not (st.isDirectory() and name.startswith(VERSION_PREFIX) and digits.isdigit()):
+            continue
+        v = int(digits)
+        if v > versions[-1]:
+            continue  # possibly a write in progress
+        if v in kept_versions:
+            refs = live.get(v, set())
+            if "" in refs:
+                continue
+            meta = read_meta(spark, root, v)
+            depth = len(meta["partition_by"])
+            for rel in _partition_dirs(spark, version_path(root, v), depth):
+                if rel not in refs:
+                    p = f"{version_path(root, v)}/{rel}"
+                    fs.delete(jvm.org.apache.hadoop.fs.Path(p), True)
+                    removed.append(p)
+            continue
+        refs = live.get(v)
+        if not refs:
+            fs.delete(st.getPath(), True)
+            removed.append(version_path(root, v))
+            continue
+        if "" in refs:
+            continue
+        depth = len(read_meta(spark, root, v)["partition_by"]) if fs.exists(
+            jvm.org.apache.hadoop.fs.Path(st.getPath(), MARKER)) else 0
+        for rel in _partition_dirs(spark, version_path(root, v), depth):
+            if rel not in refs:
+                p = f"{version_path(root, v)}/{rel}"
+                fs.delete(jvm.org.apache.hadoop.fs.Path(p), True)
+                removed.append(p)
+    return removed

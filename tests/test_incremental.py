@@ -132,3 +132,23 @@ def test_merge_rewrites_only_touched_partitions(spark, scratch):
     assert tables.read_table(spark, root).count() == 4
     # an untouched-partition read path still works after several versions
     assert {r.uf for r in tables.read_table(spark, root).collect()} == {"SP", "RJ"}
+
+
+def test_vacuum_keeps_what_readers_need(spark, scratch):
+    root = f"{scratch}/vac"
+    t = spark.createDataFrame([(str(i), "x", i, uf, "2026-01") for i, uf in
+                               enumerate(["AC", "SP", "RJ"])], SCHEMA)
+    tables.write_version(t, root, partition_by=["uf"])                       # v1: AC SP RJ
+    s = spark.createDataFrame([("1", "x", 10, "SP", "2026-02")], SCHEMA)
+    tables.merge_into(spark, root, s, ["k"], partition_by=["uf"])            # v2: SP
+    s = spark.createDataFrame([("2", "x", 20, "RJ", "2026-03")], SCHEMA)
+    tables.merge_into(spark, root, s, ["k"], partition_by=["uf"])            # v3: RJ
+    spark.createDataFrame([("9", "x", 9, "AC", "x")], SCHEMA).write.parquet(
+        tables.version_path(root, 1) + "_broken")                            # not a version
+    before = rows(tables.read_table(spark, root))
+    removed = tables.vacuum(spark, root, keep=1)
+    # v1's SP and RJ folders are superseded; its AC folder is still read
+    assert sorted(r.rsplit("/", 1)[-1] for r in removed) == ["uf=RJ", "uf=SP"]
+    assert all("/_v=000001/" in r for r in removed)
+    assert rows(tables.read_table(spark, root)) == before
+    assert tables.read_table(spark, root, version=3).count() == 3
