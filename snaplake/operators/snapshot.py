@@ -19,18 +19,22 @@ def latest_period(df: DataFrame, period: str = "_competencia") -> str | None:
 
 
 def latest_snapshot(df: DataFrame, period: str = "_competencia",
-                    by: list[str] | None = None) -> DataFrame:
+                    by: list[str] | None = None, latest: str | None = None) -> DataFrame:
     """Rows of the latest period, over the whole table or per ``by`` scope.
 
     Without ``by`` the maximum is a scalar subquery, so the plan stays lazy
     and, on a table partitioned by ``period``, the filter prunes partitions.
+    When the caller knows the latest period from table metadata (a manifest,
+    a folder listing), ``latest=`` skips that subquery's scan entirely.
     With ``by`` (e.g. ``["uf"]``) the maximum is taken per scope with a
     partial aggregate and semi-joined back, broadcast when the number of
     scopes is proven small (no window over a possibly hot scope).
     """
+    if latest is not None:
+        # Known from table metadata: a literal, so partition pruning is static.
+        return df.where(F.col(period) == F.lit(latest))
     if not by:
-        latest = df.select(F.max(period)).scalar()
-        return df.where(F.col(period) == latest)
+        return df.where(F.col(period) == df.select(F.max(period)).scalar())
     from snaplake.operators.enrich import maybe_broadcast
 
     tag = "__latest_period"

@@ -109,10 +109,21 @@ class Lakehouse:
             return self._compute(m, None)
         return tables.read_table(self.spark, self.path(name))
 
+    def _latest(self, name: str, df: DataFrame) -> DataFrame:
+        """Latest snapshot of a model; for tables partitioned by month the
+        latest month comes from the manifest (no scan)."""
+        m = BY_NAME.get(name)
+        if m is not None and m.kind != "view" and "_competencia" in m.partition_by:
+            months = [p for p in tables.partition_values(self.spark, self.path(name),
+                                                         "_competencia") if p]
+            if months:
+                return latest_snapshot(df, latest=months[-1])
+        return latest_snapshot(df)
+
     def _inputs(self, m: Model) -> list[DataFrame]:
         dfs = [self.table(d) for d in m.deps]
         if self.snapshot == "latest" and m.name.startswith("mrt_"):
-            dfs = [latest_snapshot(d) for d in dfs]
+            dfs = [self._latest(d, df) for d, df in zip(m.deps, dfs)]
         return dfs
 
     # ---------------------------------------------------------- builders

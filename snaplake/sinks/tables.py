@@ -181,6 +181,25 @@ def read_table(spark: SparkSession, root: str, version: int | None = None,
     return df.select(*names)
 
 
+def partition_values(spark: SparkSession, root: str, column: str) -> list[str | None]:
+    """Distinct values of a partition column, from the newest manifest (no
+    data is read). Null partitions come back as None."""
+    versions = committed_versions(spark, root)
+    if not versions:
+        return []
+    meta = read_meta(spark, root, versions[-1])
+    if column not in meta["partition_by"]:
+        raise ValueError(f"{column} is not a partition column of {root}")
+    out = set()
+    for rel in meta["manifest"]:
+        for seg in rel.split("/"):
+            name, _, value = seg.partition("=")
+            if name == column:
+                value = unquote(value)
+                out.add(None if value == "__HIVE_DEFAULT_PARTITION__" else value)
+    return sorted(out, key=lambda v: (v is None, v or ""))
+
+
 def write_full(df: DataFrame, root: str, partition_by: list[str] | None = None,
                sort_by: list[str] | None = None) -> DataFrame:
     """Full-refresh materialisation: write a version, return the table."""

@@ -68,3 +68,15 @@ def test_gold_filters_reach_the_silver_scan(spark):
     assert "EqualTo(cod_situacao_cadastral,02)" in plan      # row-group filter at the scan
     assert "PartitionFilters: [isnotnull(uf" in plan and "(uf" in plan and "= AC)" in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_latest_snapshot_from_manifest(spark):
+    from snaplake.sinks import tables
+    lh = Q.built(spark, SF)
+    assert tables.partition_values(spark, lh.path("stg_estabelecimentos"), "_competencia") == \
+        ["2026-01", "2026-02"]
+    latest = Lakehouse(spark, lh.root, snapshot="latest")
+    df = latest._latest("stg_estabelecimentos", lh.table("stg_estabelecimentos"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Subquery" not in plan and "2026-02" in plan
+    assert {r._competencia for r in df.select("_competencia").distinct().collect()} == {"2026-02"}
