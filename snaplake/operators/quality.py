@@ -154,3 +154,9 @@ def check_all(models: dict[str, tuple[DataFrame, list[Rule]]]) -> DataFrame:
 
 def failed(report: DataFrame) -> DataFrame:
     return report.where(F.col("failures") > 0)
+
+
+def with_status(report: DataFrame) -> DataFrame:
+    """Add ``status``: ``PASS`` when a rule has no failing rows, else ``FAIL``."""
+    return report.withColumn("status", F.when(F.col("failures") == 0, F.lit("PASS"))
+                             .otherwise(F.lit("FAIL")))

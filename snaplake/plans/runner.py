@@ -222,6 +222,7 @@ class Lakehouse:
         return removed
 
     def check(self, models: list[str] | None = None) -> DataFrame:
-        """The declared data tests over the built models (lazy report)."""
+        """The declared data tests over the built models: one row per rule
+        with its failing-row count and PASS/FAIL (lazy report)."""
         names = [m for m in RULES if models is None or m in models]
-        return dq.check_all({m: (self.table(m), RULES[m]) for m in names})
+        return dq.with_status(dq.check_all({m: (self.table(m), RULES[m]) for m in names}))

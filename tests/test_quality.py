@@ -24,3 +24,18 @@ def test_forty_declared_tests():
     kinds = [r.test for rs in RULES.values() for r in rs]
     assert kinds.count("not_null") == 29 and kinds.count("unique") == 10
     assert kinds.count("accepted_values") == 1
+
+
+def test_status_column(spark):
+    df = spark.createDataFrame([("1",), (None,)], "k string")
+    rep = dq.with_status(dq.check(df, "m", dq.not_null("k")))
+    assert [(r.failures, r.status) for r in rep.collect()] == [(1, "FAIL")]
+
+
+def test_snapshot_join_never_multiplies_months(spark):
+    from snaplake.operators.enrich import snapshot_join
+    est = spark.createDataFrame([("1", "2026-01"), ("1", "2026-02")], "cnpj_basico string, _competencia string")
+    emp = spark.createDataFrame([("1", "A", "2026-01"), ("1", "B", "2026-02")],
+                                "cnpj_basico string, razao_social string, _competencia string")
+    got = sorted(tuple(r) for r in snapshot_join(est, emp, ["cnpj_basico"]).collect())
+    assert got == [("1", "2026-01", "A"), ("1", "2026-02", "B")]

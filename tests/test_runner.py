@@ -51,8 +51,9 @@ def test_run_by_continues_after_failure(spark):
 
 def test_checks_on_built_models(spark):
     lh = Q.built(spark, SF)
-    rep = {(r.model, r.column_name, r.test_name): r.failures for r in lh.check().collect()}
-    assert len(rep) == 40
+    rows = lh.check().collect()
+    rep = {(r.model, r.column_name, r.test_name): r.failures for r in rows}
+    assert len(rep) == 40 and {r.status for r in rows} <= {"PASS", "FAIL"}
     assert rep[("mrt_estabelecimentos_ativos", "cod_situacao_cadastral", "accepted_values")] == 0
     assert rep[("stg_estabelecimentos", "cnpj", "unique")] == 0
 
