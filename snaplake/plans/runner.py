@@ -79,12 +79,15 @@ class Lakehouse:
     input (one row per key when several months are loaded); the default
     ``"as_loaded"`` joins whatever is loaded, like the reference.
     ``remove_inactive`` drops establishments that stopped being active from
-    the active mart (the reference keeps them forever).
+    the active mart (the reference keeps them forever). Month-partitioned
+    tables load only months they do not have yet; ``refresh_months`` forces
+    re-staging of months that were re-issued.
     """
 
     def __init__(self, spark: SparkSession, root: str, snapshot: str = "as_loaded",
-                 remove_inactive: bool = True):
+                 remove_inactive: bool = True, refresh_months: list[str] | None = None):
         self.spark = spark
+        self.refresh_months = list(refresh_months or [])
         self.root = root.rstrip("/")
         self.bronze_root = f"{self.root}/bronze"
         self.snapshot = snapshot
@@ -138,6 +141,28 @@ class Lakehouse:
             return gold.monthly_dynamics(ins[0], ins[1], ordered=False)
         raise KeyError(n)
 
+    def _months_of(self, name: str) -> list[str]:
+        if name.startswith("bronze."):
+            return bronze.months(self.spark, self.bronze_root, name.split(".", 1)[1])
+        return [p for p in tables.partition_values(self.spark, self.path(name), "_competencia") if p]
+
+    def _build_months(self, m: Model) -> None:
+        """Month-partitioned table: stage only the months its input has and
+        it lacks (plus ``self.refresh_months``, e.g. a re-issued month), and
+        replace just those months' partitions."""
+        have = set(self._months_of(m.name))
+        available = set(self._months_of(m.deps[0]))
+        todo = sorted((available - have) | (available & set(self.refresh_months)))
+        if not todo:
+            return
+        src = self.table(m.deps[0]).where(F.col("_competencia").isin(*todo))
+        if m.name.startswith("stg_"):
+            df = silver.stage(m.name[4:], src)
+        else:
+            df = silver.establishments_core(src)
+        tables.replace_partitions(df, self.path(m.name), m.partition_by, "_competencia", todo,
+                                  m.sort_by)
+
     def _incremental(self, m: Model, uf: str | None, full_refresh: bool) -> DataFrame:
         root = self.path(m.name)
         current = None if full_refresh else tables.read_table(self.spark, root)
@@ -180,8 +205,11 @@ class Lakehouse:
                 self._compute(m, None).createOrReplaceTempView(m.name)
                 done.append((m.name, m.kind, None))
             elif m.kind == "table":
-                df = self._compute(m, uf)
-                tables.write_version(df, self.path(m.name), m.partition_by, m.sort_by)
+                if "_competencia" in m.partition_by and not full_refresh:
+                    self._build_months(m)
+                else:
+                    df = self._compute(m, uf)
+                    tables.write_version(df, self.path(m.name), m.partition_by, m.sort_by)
                 tables.publish(self.spark, m.name, self.path(m.name))
                 done.append((m.name, m.kind, tables.committed_versions(self.spark, self.path(m.name))[-1]))
             else:

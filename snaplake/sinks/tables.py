@@ -275,6 +275,43 @@ def merge_into(spark: SparkSession, root: str, source: DataFrame, keys: list[str
     return read_table(spark, root, schema=source.schema).select(*source.columns)
 
 
+def replace_partitions(df: DataFrame, root: str, partition_by: list[str],
+                       column: str, values: list[str], sort_by: list[str] | None = None) -> int:
+    """Replace every partition whose ``column`` is in ``values`` with ``df``.
+
+    ``df`` holds the new content of exactly those values (e.g. the months
+    being loaded); all other partitions are carried over by reference, so
+    loading one month writes one month. Returns the new version.
+    """
+    spark = df.sparkSession
+    versions = committed_versions(spark, root)
+    if not versions:
+        return write_version(df, root, partition_by, sort_by)
+    if column not in partition_by:
+        raise ValueError(f"{column} must be a partition column")
+    prev = read_meta(spark, root, versions[-1])
+    version = versions[-1] + 1
+    written = _write(df, root, version, partition_by, sort_by, None)
+    gone = {str(v) for v in values}
+
+    def hit(rel: str) -> bool:
+        for seg in rel.split("/"):
+            name, _, value = seg.partition("=")
+            if name == column and unquote(value) in gone:
+                return True
+        return False
+
+    manifest = {rel: v for rel, v in prev["manifest"].items() if not hit(rel)}
+    manifest.update({rel: version for rel in written})
+    _write_marker(spark, version_path(root, version), {
+        "schema": json.loads(df.schema.json()),
+        "partition_by": list(partition_by),
+        "manifest": manifest,
+        "written": dict(prev.get("written", {}), **{str(version): len(written)}),
+    })
+    return version
+
+
 def row_counts(df: DataFrame, by: list[str]) -> DataFrame:
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"))
 

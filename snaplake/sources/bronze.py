@@ -66,6 +66,21 @@ def write_table(df: DataFrame, root: str, table: str,
      .parquet(f"{root.rstrip('/')}/tabela={table}"))
 
 
+def months(spark: SparkSession, root: str, table: str) -> list[str]:
+    """Months present in bronze for ``table`` (folder listing, no data read)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/tabela={table}")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    out = []
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(f"{PERIOD_DIR}="):
+            out.append(name.split("=", 1)[1])
+    return sorted(out)
+
+
 def read_table(spark: SparkSession, root: str, table: str,
                periods: list[str] | None = None) -> DataFrame:
     """Declared columns + metadata of one bronze table over all its months.

@@ -81,3 +81,19 @@ def test_latest_snapshot_from_manifest(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Subquery" not in plan and "2026-02" in plan
     assert {r._competencia for r in df.select("_competencia").distinct().collect()} == {"2026-02"}
+
+
+def test_month_tables_load_only_new_months(spark):
+    from snaplake.sinks import tables
+    lh = Q.built(spark, SF)   # built 2026-01 first, then 2026-02
+    root = lh.path("stg_estabelecimentos")
+    versions = tables.committed_versions(spark, root)
+    meta = tables.read_meta(spark, root, versions[-1])
+    owners = {rel.split("/")[-1]: v for rel, v in meta["manifest"].items()}
+    # 2026-01 partitions were written once (version 1) and carried over;
+    # the second build wrote only 2026-02
+    assert {v for k, v in owners.items() if k == "_competencia=2026-01"} == {versions[0]}
+    assert {v for k, v in owners.items() if k == "_competencia=2026-02"} == {versions[-1]}
+    # a rebuild with nothing new writes no version
+    lh.build(["stg_estabelecimentos"])
+    assert tables.committed_versions(spark, root) == versions
