@@ -57,6 +57,7 @@ def main() -> None:
         Q.lake(spark, sf_dir)
 
     times: dict[str, float] = {}
+    extra: dict[str, float] = {}
     if os.environ.get("BENCH_INGEST", "1") == "1":
         # Landing -> bronze for every table and both months (the reference's
         # one heavy timed step), into a fresh bronze folder each run.
@@ -64,14 +65,17 @@ def main() -> None:
         from snaplake.sources import bronze
 
         land, _ = Q.lake(spark, sf_dir)
-        best = None
+        best, rows = None, 0
         for _ in range(repeat):
             t0 = time.perf_counter()
-            bronze.ingest(spark, land, work_dir(spark, "bench-bronze"), ["2026-01", "2026-02"],
-                          "2026-02-20").collect()
+            summary = bronze.ingest(spark, land, work_dir(spark, "bench-bronze"),
+                                    ["2026-01", "2026-02"], "2026-02-20").collect()
             dt = time.perf_counter() - t0
+            rows = sum(r["n_rows"] for r in summary)
             best = dt if best is None else min(best, dt)
         times["ingest_zips_to_bronze"] = round(best, 3)
+        extra["ingest_rows"] = rows
+        extra["ingest_rows_per_sec"] = round(rows / best)
     for name in names:
         best = None
         for _ in range(repeat):
@@ -89,6 +93,7 @@ def main() -> None:
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
         "repeat": repeat,
+        **extra,
     }))
     spark.stop()
 
