@@ -464,10 +464,12 @@ def lake(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
         return _LAKE[key]
     base = work_dir(spark, "lake")
     land, stage_dir, bz = f"{base}/landing", f"{base}/staging", f"{base}/bronze"
-    for t in ALL_TABLES:
+    def write(t):
         raw = raw_table(spark, sf_dir, t)
         raw = raw.withColumn("nome", F.expr(file_name_sql(t, "spark")))
         landing.write_extracts(raw, land, f"{stage_dir}/{t}", t).collect()
+
+    bronze.run_concurrently(write, ALL_TABLES, 4)
     periods = [r["pasta"] for r in landing.periods(spark, land).collect()]
     bronze.ingest(spark, land, bz, periods, EXTRACTION_DATE)
     _LAKE[key] = (land, bz)

@@ -95,8 +95,21 @@ def read_table(spark: SparkSession, root: str, table: str,
                      "_data_extracao")
 
 
+def run_concurrently(fn, items, max_jobs: int = 4) -> list:
+    """``[fn(x) for x in items]`` with up to ``max_jobs`` Spark jobs in
+    flight (Spark schedules jobs from several driver threads side by side);
+    the first error is raised."""
+    if max_jobs <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max_jobs) as pool:
+        return list(pool.map(fn, items))
+
+
 def ingest(spark: SparkSession, landing_root: str, bronze_root: str, periods: list[str],
-           extraction_date: str, tables: list[str] | None = None, na_tokens=None) -> DataFrame:
+           extraction_date: str, tables: list[str] | None = None, na_tokens=None,
+           max_jobs: int = 4) -> DataFrame:
     """Landing zips of ``periods`` -> bronze: one listing job, then one scan
     and one write job per table covering all the months (each zip's month
     comes from its folder). Returns per-table row counts read back (lazy).
@@ -113,16 +126,19 @@ def ingest(spark: SparkSession, landing_root: str, bronze_root: str, periods: li
     by_table: dict[str, list[str]] = {}
     for r in listing:
         by_table.setdefault(r["tabela"], []).append(r["path"])
-    done = []
-    for table in wanted:
+    def load(table: str) -> str | None:
         paths = sorted(by_table.get(table, []))
         if not paths:
-            continue
+            return None
         df = read_zips(spark, paths, table=table, na_tokens=na_tokens, with_path=True)
         df = df.withColumn("_competencia",
                            F.regexp_extract(F.col(PATH_COLUMN), r"competencia=([^/]+)/[^/]+$", 1))
         write_table(with_metadata(df.drop(PATH_COLUMN), None, extraction_date), bronze_root, table)
-        done.append(table)
+        return table
+
+    # Tables are independent jobs; submitting them together keeps the
+    # cluster busy while single-zip code tables run one task each.
+    done = [t for t in run_concurrently(load, wanted, max_jobs) if t]
     return summary(spark, bronze_root, done, periods)
 
 
