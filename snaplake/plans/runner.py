@@ -189,21 +189,25 @@ class Lakehouse:
         return tables.read_table(self.spark, root)
 
     def build(self, targets: list[str] | None = None, uf: str | None = None,
-              full_refresh: bool = False) -> list[tuple[str, str, int | None]]:
+              full_refresh: bool = False, max_jobs: int = 4) -> list[tuple[str, str, int | None]]:
         """Build ``targets`` (default: all) in dependency order.
 
+        Models whose inputs are ready are built side by side (up to
+        ``max_jobs`` Spark jobs in flight, like the reference's thread pool).
         ``uf`` restricts the active-establishments mart to one state (its
         watermark is then taken within that state); other models ignore it.
         Returns ``(model, kind, version)`` per model built.
         """
-        wanted = set(targets or BY_NAME)
-        done = []
-        for m in MODELS:
-            if m.name not in wanted:
-                continue
+        wanted = [m for m in MODELS if targets is None or m.name in targets]
+        names = {m.name for m in wanted}
+        level: dict[str, int] = {}
+        for m in MODELS:  # MODELS is listed in dependency order
+            level[m.name] = 1 + max((level.get(d, -1) for d in m.deps if d in names), default=-1)
+
+        def one(m: Model):
             if m.kind == "view":
                 self._compute(m, None).createOrReplaceTempView(m.name)
-                done.append((m.name, m.kind, None))
+                version = None
             elif m.kind == "table":
                 if "_competencia" in m.partition_by and not full_refresh:
                     self._build_months(m)
@@ -211,11 +215,17 @@ class Lakehouse:
                     df = self._compute(m, uf)
                     tables.write_version(df, self.path(m.name), m.partition_by, m.sort_by)
                 tables.publish(self.spark, m.name, self.path(m.name))
-                done.append((m.name, m.kind, tables.committed_versions(self.spark, self.path(m.name))[-1]))
+                version = tables.committed_versions(self.spark, self.path(m.name))[-1]
             else:
                 self._incremental(m, uf, full_refresh).createOrReplaceTempView(m.name)
-                done.append((m.name, m.kind, tables.committed_versions(self.spark, self.path(m.name))[-1]))
+                version = tables.committed_versions(self.spark, self.path(m.name))[-1]
             log.info("built %s", m.name)
+            return (m.name, m.kind, version)
+
+        done = []
+        for lv in sorted({level[m.name] for m in wanted}):
+            batch = [m for m in wanted if level[m.name] == lv]
+            done += bronze.run_concurrently(one, batch, max_jobs)
         return done
 
     def backfill(self, landing_root: str, periods: list[str], extraction_date: str,
