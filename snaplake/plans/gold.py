@@ -154,7 +154,8 @@ def active_establishments(stg_est: DataFrame, companies: DataFrame, tax: DataFra
                           motivos: DataFrame, paises: DataFrame,
                           uf: str | None = None,
                           since: str | None = None,
-                          hot_key_rows: int | None = None) -> DataFrame:
+                          hot_key_rows: int | None = None,
+                          month_aware: bool = False) -> DataFrame:
     """Active establishments with company, tax regime and code labels.
 
     The status filter (and the optional state / watermark filters) runs first
@@ -164,20 +165,29 @@ def active_establishments(stg_est: DataFrame, companies: DataFrame, tax: DataFra
     and the establishments meet them in a single shuffled join: AQE can split
     a hot company's partition there, and ``hot_key_rows`` additionally routes
     companies with that many active establishments through a broadcast join.
-    The code tables are broadcast after a size check.
+    The code tables are broadcast after a size check. ``month_aware=True``
+    matches companies and tax regime of the establishment's own month
+    (key and ``_competencia``), so loading several months never multiplies
+    rows.
     """
     a = stg_est.where(F.col("cod_situacao_cadastral") == STATUS_ACTIVE)
     if uf is not None:
         a = a.where(F.col("uf") == uf)
     if since is not None:
         a = a.where(F.col("_competencia") > since)
-    emp = companies.select(*COMPANY_COLUMNS)
-    smp = tax.select(*TAX_COLUMNS)
-    company_side = emp.join(smp, "cnpj_basico", "full")
+    keys = ["cnpj_basico"]
+    if month_aware:
+        keys.append("__month")
+        companies = companies.withColumn("__month", F.col("_competencia"))
+        tax = tax.withColumn("__month", F.col("_competencia"))
+        a = a.withColumn("__month", F.col("_competencia"))
+    emp = companies.select(*COMPANY_COLUMNS, *keys[1:])
+    smp = tax.select(*TAX_COLUMNS, *keys[1:])
+    company_side = emp.join(smp, keys, "full")
     if hot_key_rows:
-        out = split_hot_join(a, company_side, ["cnpj_basico"], "left", min_rows=hot_key_rows)
+        out = split_hot_join(a, company_side, keys, "left", min_rows=hot_key_rows)
     else:
-        out = a.join(company_side, "cnpj_basico", "left")
+        out = a.join(company_side, keys, "left")
     out = lookup(out, municipios, "cod_municipio", "nome_municipio")
     out = lookup(out, cnaes, "cod_cnae_principal", "descricao_cnae_principal")
     out = lookup(out, naturezas, "cod_natureza_juridica", "descricao_natureza_juridica")

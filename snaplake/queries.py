@@ -209,6 +209,12 @@ def q_active_establishments(spark, sf_dir):
     return _active(spark, sf_dir)
 
 
+@register("active_establishments_by_month", O.ctes(*O.ACTIVE_DEPS) + O.active_sql(month_aware=True))
+def q_active_establishments_by_month(spark, sf_dir):
+    """Companies and tax regime of each establishment's own month (D3)."""
+    return _active(spark, sf_dir, month_aware=True)
+
+
 @register("active_by_state", O.ctes(*O.ACTIVE_DEPS) + O.active_sql("AND uf = 'RJ'"))
 def q_active_by_state(spark, sf_dir):
     return _active(spark, sf_dir, uf="RJ")
