@@ -15,15 +15,23 @@ from pyspark.sql import SparkSession
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = "local[*]", shuffle_partitions: int | None = 8,
                   app_name: str = "snaplake", extra: dict | None = None) -> SparkSession:
-    """A session tuned for the pipeline: AQE on, UI off, UTC, Arrow on."""
+    """A session tuned for the pipeline: AQE on, UI off, UTC, Arrow on.
+
+    ``master=None`` leaves the master to ``spark-submit``;
+    ``shuffle_partitions=None`` keeps the cluster's setting (AQE coalesces).
+    """
+    builder = SparkSession.builder
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = (
-        SparkSession.builder.master(master)
+        builder
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
