@@ -54,6 +54,9 @@ def _filesystem(uri: str):
         return pafs.LocalFileSystem(), uri[len("file:"):]
     if "://" not in uri:
         return pafs.LocalFileSystem(), uri
+    scheme, rest = uri.split("://", 1)
+    if scheme in ("s3a", "s3n"):  # Hadoop's S3 schemes; pyarrow names it s3
+        uri = f"s3://{rest}"
     return pafs.FileSystem.from_uri(uri)
 
 
