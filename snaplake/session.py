@@ -76,26 +76,34 @@ def ship_code(spark: SparkSession) -> None:
     """Make ``snaplake`` importable in Python workers (data source, pandas
     functions, foreachBatch), wherever the driver was started from.
 
-    The package is zipped into the shared folder and added with
-    ``addPyFile`` once per SparkContext.
+    The package is zipped into the shared checkpoint folder and added with
+    ``addPyFile`` once per SparkContext (on clusters, ``--py-files`` does
+    the same at submit time).
     """
     sc = spark.sparkContext
     if id(sc) in _SHIPPED:
         return
+    import io
     import os
     import zipfile
 
     pkg = os.path.dirname(os.path.abspath(__file__))
-    target = local_path(work_dir(spark, "code")) + ".zip"
-    if not is_local_fs(target):
-        raise RuntimeError("ship_code needs a local or mounted checkpoint folder")
-    os.makedirs(os.path.dirname(target), exist_ok=True)
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
         for folder, _, files in os.walk(pkg):
             for f in files:
                 if f.endswith(".py"):
                     full = os.path.join(folder, f)
-                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+                    zf.writestr(os.path.relpath(full, os.path.dirname(pkg)), open(full, "rb").read())
+    target = work_dir(spark, "code") + ".zip"
+    # Written through Hadoop's filesystem API, so the shared folder may be
+    # HDFS, S3 or a mount; addPyFile then ships it to every executor.
+    jvm = sc._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(target)
+    fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(hpath, True)
+    out.write(bytearray(buf.getvalue()))
+    out.close()
     sc.addPyFile(target)
     _SHIPPED.add(id(sc))
 
