@@ -48,6 +48,34 @@ def build_session(master: str | None = "local[*]", shuffle_partitions: int | Non
     return spark
 
 
+def cluster_conf(input_bytes: int, total_cores: int,
+                 target_partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Settings that keep shuffle and scan partitions near
+    ``target_partition_bytes`` for a job reading ``input_bytes``.
+
+    The initial shuffle width is sized for the input (at least 3 waves of
+    the cluster's cores) and AQE coalesces it down at runtime, so
+    partitions neither spill from being too large nor flood the scheduler
+    from being tiny. Skewed partitions over 4x the target are split by AQE.
+    """
+    width = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(width),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+
+
 def _conf(spark: SparkSession, key: str) -> str | None:
     value = spark.conf.get(key, None)
     if value:

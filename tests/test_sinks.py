@@ -40,3 +40,10 @@ def test_register_bronze_skips_absent(spark, scratch):
     assert created == ["cnaes"] and "empresas" in skipped
     assert spark.sql("select * from bronze_cnaes").columns == [
         "codigo", "descricao", "_fonte", "_competencia", "_arquivo_origem", "_data_extracao"]
+
+
+def test_cluster_conf_sizes_partitions():
+    from snaplake.session import cluster_conf
+    c = cluster_conf(100 << 40, 8000)                     # 100 TB on 8000 cores
+    assert int(c["spark.sql.shuffle.partitions"]) == (100 << 40) // (128 << 20)
+    assert int(cluster_conf(1 << 30, 64)["spark.sql.shuffle.partitions"]) == 192
