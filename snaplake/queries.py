@@ -116,8 +116,8 @@ def q_parse_compact_date(spark, sf_dir):
                     parse_compact_date("data_situacao_especial").alias("data_situacao_especial"))
 
 
-@register("decode_size", O.ctes("stg_empresas") + "SELECT emp.cnpj_basico, emp.cod_porte_empresa, "
-          + O.PORTE_CASE + " AS descricao_porte_empresa FROM stg_empresas emp")
+@register("decode_size", O.ctes("stg_empresas") + "SELECT co.cnpj_basico, co.cod_porte_empresa, "
+          + O.PORTE_CASE + " AS descricao_porte_empresa FROM stg_empresas co")
 def q_decode_size(spark, sf_dir):
     e = stg(spark, sf_dir, "empresas")
     return e.select("cnpj_basico", "cod_porte_empresa",
