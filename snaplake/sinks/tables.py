@@ -216,6 +216,12 @@ def publish(spark: SparkSession, name: str, root: str) -> DataFrame:
     return table
 
 
+def keys_unique(df: DataFrame, keys: list[str]) -> bool:
+    """True when no key (nulls compared as equal) occurs twice; reads the
+    key columns only and stops at the first duplicate group."""
+    return df.groupBy(*keys).count().where(F.col("count") > 1).limit(1).count() == 0
+
+
 def merge_into(spark: SparkSession, root: str, source: DataFrame, keys: list[str],
                partition_by: list[str] | None = None, sort_by: list[str] | None = None,
                order: list[str] | None = None, deletes: DataFrame | None = None,
@@ -240,10 +246,13 @@ def merge_into(spark: SparkSession, root: str, source: DataFrame, keys: list[str
         write_version(merged, root, partition_by, sort_by)
         return read_table(spark, root, schema=source.schema).select(*source.columns)
 
-    # The deduplicated source feeds three steps (touched partitions, the
-    # folders they replace, the write): materialise it once in the shared
-    # checkpoint folder, which also cuts its lineage.
-    src = latest_per_key(source, keys, order).checkpoint(eager=True)
+    # The source feeds three steps (touched partitions, the folders they
+    # replace, the write): materialise it once in the shared checkpoint
+    # folder, which also cuts its lineage. Deduplication (a sort aggregate
+    # over whole rows) runs only when a key-only check finds duplicates.
+    src = source.checkpoint(eager=True)
+    if not keys_unique(src, keys):
+        src = latest_per_key(src, keys, order).checkpoint(eager=True)
     gone = src.select(*keys)
     if deletes is not None:
         gone = gone.unionByName(deletes.select(*keys))
