@@ -28,6 +28,21 @@ def bounded(df: DataFrame, max_rows: int) -> bool:
     return seen[max_rows]
 
 
+def bounded_many(dfs: list[DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS) -> list[bool]:
+    """``bounded`` for several frames in one Spark job (answers memoised)."""
+    todo = [i for i, d in enumerate(dfs) if max_rows not in _CHECKED.get(d, {})]
+    if todo:
+        parts = None
+        for i in todo:
+            p = dfs[i].limit(max_rows + 1).select(F.lit(i).alias("i"))
+            parts = p if parts is None else parts.unionByName(p)
+        counts = {r["i"]: r["n"] for r in
+                  parts.groupBy("i").agg(F.count(F.lit(1)).alias("n")).collect()}
+        for i in todo:
+            _CHECKED.setdefault(dfs[i], {})[max_rows] = counts.get(i, 0) <= max_rows
+    return [_CHECKED[d][max_rows] for d in dfs]
+
+
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``F.broadcast(df)`` when its row count is proven small, else ``df``."""
     return F.broadcast(df) if bounded(df, max_rows) else df

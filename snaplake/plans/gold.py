@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snaplake.functions import decode, flag, month_start
-from snaplake.operators.enrich import lookup, split_hot_join
+from snaplake.operators.enrich import bounded_many, lookup, split_hot_join
 from snaplake.schemas import (
     PORTE_LABELS,
     STATUS_ACTIVE,
@@ -188,6 +188,7 @@ def active_establishments(stg_est: DataFrame, companies: DataFrame, tax: DataFra
         out = split_hot_join(a, company_side, keys, "left", min_rows=hot_key_rows)
     else:
         out = a.join(company_side, keys, "left")
+    bounded_many([municipios, cnaes, naturezas, motivos, paises])  # one job for all
     out = lookup(out, municipios, "cod_municipio", "nome_municipio")
     out = lookup(out, cnaes, "cod_cnae_principal", "descricao_cnae_principal")
     out = lookup(out, naturezas, "cod_natureza_juridica", "descricao_natureza_juridica")
