@@ -85,3 +85,27 @@ def test_arrow_parser_equals_python_rules(spark, scratch, rows_, quote_all):
     got = {p: rows(read_zips(spark, path, columns=cols, parser=p).drop("_arquivo_origem"))
            for p in ["arrow", "python"]}
     assert got["arrow"] == got["python"]
+
+
+EST_ROW = st.tuples(
+    st.sampled_from(["01", "02", "03", "04", "08", None]),          # status
+    st.one_of(st.none(), st.dates(min_value=__import__("datetime").date(2023, 1, 1),
+                                  max_value=__import__("datetime").date(2023, 4, 30))),
+    st.one_of(st.none(), st.dates(min_value=__import__("datetime").date(2023, 1, 1),
+                                  max_value=__import__("datetime").date(2023, 4, 30))),
+    st.sampled_from(["0000001", "0000002", None]),                    # activity code
+    st.sampled_from(["AC", "SP", None]),                              # state
+)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=st.lists(EST_ROW, max_size=25), null_safe=st.booleans())
+def test_one_pass_dynamics_equals_join_formulation(spark, data, null_safe):
+    from snaplake.plans import gold
+    core = spark.createDataFrame(
+        data, "cod_situacao_cadastral string, data_situacao_cadastral date, "
+              "data_inicio_atividade date, cod_cnae_principal string, uf string")
+    cn = spark.createDataFrame([("0000001", "X")], "codigo string, descricao string")
+    one = gold.monthly_dynamics(core, cn, null_safe=null_safe, ordered=False)
+    two = gold.monthly_dynamics_by_join(core, cn, null_safe=null_safe)
+    assert rows(one) == rows(two.select(*one.columns))
