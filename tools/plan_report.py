@@ -67,7 +67,19 @@ def main(argv):
            "Physical plans of the headline operators over the materialised silver tables",
            f"(`{sf}`, written by the model runner), with `autoBroadcastJoinThreshold=-1` so joins",
            "take their large-scale shape. Code tables are still broadcast: `lookup()` broadcasts",
-           "explicitly after a row-count bound. Generated by `tools/plan_report.py`.", ""]
+           "explicitly after a row-count bound. Generated by `tools/plan_report.py`.", "",
+           "Notes:", "",
+           "- active_establishments: 4 shuffles by design. Companies and tax regime are",
+           "  full-outer-joined on the company key, and the result is re-shuffled on the",
+           "  coalesced key, so the establishments meet them in one shuffled join whose",
+           "  children are both shuffle stages. That lets AQE split a company owning a",
+           "  large share of the establishments. Two successive left joins would save",
+           "  that shuffle, but AQE cannot split skew there.",
+           "- monthly_dynamics: one scan with an OR filter pushed to Parquet, one partially",
+           "  aggregated shuffle, and the code-table lookup broadcast after aggregation.",
+           "- upsert: one shuffle each for the target, the source keys (null-safe anti",
+           "  join) and the latest-wins aggregate; no window over a possibly hot key.",
+           "- data tests: one scan and one grouping-sets shuffle per model.", ""]
     for name, df in plans.items():
         out += [f"## {name}", "", "```", tree(df), "```", ""]
         out += [f"- {k}: {v}" for k, v in facts(df).items()] + [""]
