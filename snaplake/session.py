@@ -71,11 +71,6 @@ def cluster_conf(input_bytes: int, total_cores: int,
     }
 
 
-def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-
-
 def _conf(spark: SparkSession, key: str) -> str | None:
     value = spark.conf.get(key, None)
     if value:
@@ -97,7 +92,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_code(spark: SparkSession) -> None:
@@ -109,7 +104,7 @@ def ship_code(spark: SparkSession) -> None:
     the same at submit time).
     """
     sc = spark.sparkContext
-    if id(sc) in _SHIPPED:
+    if sc.applicationId in _SHIPPED:
         return
     import io
     import os
@@ -133,7 +128,7 @@ def ship_code(spark: SparkSession) -> None:
     out.write(bytearray(buf.getvalue()))
     out.close()
     sc.addPyFile(target)
-    _SHIPPED.add(id(sc))
+    _SHIPPED.add(sc.applicationId)
 
 
 def session_key(spark: SparkSession) -> tuple:
