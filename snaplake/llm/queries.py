@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from snaplake.llm import pii, url_filter
+from snaplake.llm import packing, pii, token_file, url_filter
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
+VOCABULARY = "byte_bpe_50k.json"
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 
@@ -50,3 +52,14 @@ FROM ruled
 @register
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(table(spark, sf_dir, "documents"))
+
+
+@register
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+
+
+@register
+def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_file.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+    return token_file.read_tokens(files)
