@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from snaplake.llm import decontaminate, packing, pii, token_file, url_filter
+from snaplake.llm import decontaminate, packing, pii, token_file, url_filter, warc
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -61,6 +61,11 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(table(spark, sf_dir, "documents"))
 
 
+@register
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_warc(warc.archive(table(spark, sf_dir, "pages")))
+
+
 @register
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
