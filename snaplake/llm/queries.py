@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from snaplake.llm import decontaminate, packing, pii, token_file, url_filter, warc
+from snaplake.llm import decontaminate, packing, pii, quality, token_file, toxicity, url_filter, warc
+from snaplake.llm.labels import fold
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,6 +34,15 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "contamination.*")
 
 
+@register
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"), parts=3, held=1)
+    scored = toxicity.score_toxicity(docs, model, out="score")
+    return scored.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 @register
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "action string, rule string")
@@ -61,6 +72,15 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(table(spark, sf_dir, "documents"))
 
 
+@register
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit_quality(docs, table(spark, sf_dir, "labels"), parts=5, held=0)
+    scored = quality.score_quality(docs, model, out="score")
+    return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @register
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_warc(warc.archive(table(spark, sf_dir, "pages")))
