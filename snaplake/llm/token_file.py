@@ -138,7 +138,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
                                    "docs_path": [f"{name}.docs.arrow"], "n_tokens": pa.array([out.total], pa.int64())})
 
     ordered = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-               .repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text"))
+               .repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text"))
     files = settle(ordered.mapInArrow(write, "part long, ids_path string, docs_path string, n_tokens long"), "token-files")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
     return files.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))

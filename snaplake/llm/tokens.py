@@ -15,7 +15,8 @@ from functools import lru_cache
 import numpy as np
 
 END_ID = 2
-KEPT = 200_000
+PIECES_KEPT = 300_000
+WORDS_KEPT = 1_000_000
 LINE_BREAK = 198  # the id of a lone line break in the byte-level vocabulary
 ENDINGS = ".,!?|%$&*#;:"
 _ODD = re.compile(r"[ \n](?:\s|\Z)")
@@ -52,37 +53,46 @@ class Encoder:
             first, rest = "", [first, *rest]
         return [first, *(p[1:] if p[0] == " " else p for p in rest)]
 
+    def _learn_words(self, words: set[str]) -> None:
+        """Encode together, a line each, and tell apart at the line breaks."""
+        self.words[""] = b""
+        new = list(words.difference(self.words))
+        if not new:
+            return
+        ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(new)], add_special_tokens=False)[0].ids, self.width)
+        breaks = np.flatnonzero(ids == LINE_BREAK) * self.width.itemsize
+        if len(breaks) != len(new) - 1:
+            self.words.update((w, self._encode(w)) for w in new)
+            return
+        raw, step = ids.tobytes(), self.width.itemsize
+        starts, ends = [0, *(breaks + step).tolist()], [*breaks.tolist(), len(raw)]
+        self.words.update(zip(new, [raw[x:y] for x, y in zip(starts, ends)]))
+
     def _learn(self, missing: set[str]) -> None:
-        """Ids of pieces not yet known: whole words, and the marks that end them,
-        are encoded together, a line each, and told apart at the line breaks."""
-        parts, plain = {}, set()
-        for piece in missing:
-            broken = piece[:1] == "\n"
-            body = piece[1:] if broken else piece
-            if self.lone is None or not body or _BLANK.search(body):
-                self.pieces[piece] = self._encode(piece if broken else " " + piece)
-                continue
-            stem = body.rstrip(ENDINGS)
-            if not stem or not stem[-1].isalnum():
-                stem = body
-            word, ending = stem if broken else " " + stem, body[len(stem):]
-            parts[piece] = (self.lone if broken else b"", word, ending)
-            plain.update((word, ending) if ending else (word,))
-        new = [w for w in plain if w not in self.words]
-        if new:
-            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(new)], add_special_tokens=False)[0].ids, self.width)
-            groups = np.split(ids, np.flatnonzero(ids == LINE_BREAK))
-            if len(groups) == len(new):
-                self.words.update((w, (g if i == 0 else g[1:]).tobytes()) for i, (w, g) in enumerate(zip(new, groups)))
-            else:
-                self.words.update((w, self._encode(w)) for w in new)
-        for piece, (lead, word, ending) in parts.items():
-            self.pieces[piece] = lead + self.words[word] + (self.words[ending] if ending else b"")
+        """Ids of pieces not yet known, from those of whole words and of the marks that
+        end them; a piece with blanks inside is encoded on its own."""
+        missing.discard("")
+        self.pieces[""] = self._encode(" ")
+        broken = [p[1:] for p in missing if p[0] == "\n"]
+        plain = [p for p in missing if p[0] != "\n"]
+        for bodies, lead, ids in ((plain, " ", b""), (broken, "", self.lone)):
+            if ids is None or _BLANK.search("\0".join(bodies)):
+                own = [b for b in bodies if ids is None or _BLANK.search(b)]
+                self.pieces.update((b if lead else "\n" + b, self._encode((lead or "\n") + b)) for b in own)
+                bodies = [] if ids is None else [b for b in bodies if not _BLANK.search(b)]
+            stems = [b.rstrip(ENDINGS) for b in bodies]
+            stems = [s if s and s[-1].isalnum() else b for s, b in zip(stems, bodies)]
+            words = [lead + s for s in stems]
+            marks = [b[len(s):] for s, b in zip(stems, bodies)]
+            self._learn_words(set(words).union(marks))
+            get = self.words.__getitem__
+            keys = bodies if lead else ["\n" + b for b in bodies]
+            self.pieces.update((k, ids + get(w) + get(m) if m else ids + get(w)) for k, w, m in zip(keys, words, marks))
 
     def many(self, texts: list[str | None]) -> list[np.ndarray]:
-        if len(self.pieces) > KEPT:
+        if len(self.pieces) > PIECES_KEPT:
             self.pieces.clear()
-        if len(self.words) > KEPT:
+        if len(self.words) > WORDS_KEPT:
             self.words.clear()
         cut = [self._cut(t or "") for t in texts]
         firsts = [self._encode(c.pop(0)) for c in cut]
