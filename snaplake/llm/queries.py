@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaplake.llm import decontaminate, packing, pii, quality, token_file, toxicity, url_filter, warc
+from snaplake.llm import decontaminate, ngram_join, packing, pii, quality, token_file, toxicity, url_filter, warc
 from snaplake.llm.labels import fold
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,8 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = token_file.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
     return token_file.read_tokens(files)
+
+
+@register
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
