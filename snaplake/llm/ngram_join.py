@@ -318,14 +318,13 @@ def _derived(long_lists: DataFrame, answers: DataFrame, parts: DataFrame, percen
         x, y = cell[cell.own == key[1]], cell[cell.own == key[2]]
         col = lambda c: (x[c].to_numpy()[:, None], y[c].to_numpy()[None, :])
         (ra, rb), (ca, cb), (na, nb), (pa_, pb) = col("rep"), col("component"), col("n"), col("pos")
-        most_a = np.where(x["common"].isna(), np.inf, x["common"])[:, None]
-        most_b = np.where(y["common"].isna(), np.inf, y["common"])[None, :]
         ok = (ca != cb) & _fits(na, pa_, nb, pb, percent)
         if key[1] == key[2]:
             ok &= ra < rb
-        with np.errstate(invalid="ignore"):  # an unknown answer bounds nothing
-            reach = np.fmin(most_b + na - most_a, most_a + nb - most_b)
-        ok &= ~(reach < least_overlap(na, nb, percent))
+        ha, hb = (v.astype(float) for v in col("common"))
+        most_a, most_b = np.where(np.isnan(ha), np.inf, ha), np.where(np.isnan(hb), np.inf, hb)  # an unknown answer bounds nothing
+        reach = np.minimum(most_b + na - np.nan_to_num(ha), most_a + nb - np.nan_to_num(hb))
+        ok &= reach >= least_overlap(na, nb, percent)
         i, j = np.nonzero(ok)
         a, b = ra[i, 0], rb[0, j]
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
