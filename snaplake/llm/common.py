@@ -13,6 +13,14 @@ from pyspark.sql import functions as F
 from snaplake.session import work_dir
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a table in the shared folder and read it back.
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
-from snaplake.llm.common import text_slices
+from snaplake.llm.common import free_name, text_slices
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
@@ -168,18 +168,16 @@ def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text"
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW,
-                       block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` with struct column ``contamination``: n_words, n_hit, n_items,
+                       block_bytes: int = BLOCK_BYTES, out: str = "contamination") -> DataFrame:
+    """``docs`` with struct column ``out``: n_words, n_hit, n_items,
     items_sha256, longest (words of the longest verbatim match that reaches a
     window), contaminated.
 
     A window is ``window`` consecutive words of an item, or all words of a
     shorter one; items and documents without words match nothing. Null item ids
     read "null"; repeated ids count once. Every row of ``docs`` stays, with all
-    its columns."""
-    spark = docs.sparkSession
-    if "contamination" in docs.columns:
-        raise ValueError("the table has a column contamination; rename it")
+    its other columns; a column named ``out`` is replaced."""
+    spark, docs = docs.sparkSession, docs.drop(out)
     sent = [spark.sparkContext.broadcast(b) for b in blocks(benchmark, window=window, block_bytes=block_bytes)]
     place = docs.columns.index(text_col)
 
@@ -205,13 +203,14 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
             cols = [pa.array(sizes), pa.array(n_hit), pa.array([len(s) for s in items], pa.int64()), pa.array(sha),
                     pa.array(longest), pa.array(n_hit > 0)]
             found = pa.StructArray.from_arrays(cols, names)
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, "contamination"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, out])
 
     names = _STRUCT.names
-    return docs.mapInArrow(search, StructType([*docs.schema.fields, StructField("contamination", _STRUCT)]))
+    return docs.mapInArrow(search, StructType([*docs.schema.fields, StructField(out, _STRUCT)]))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """``docs`` without the rows that hold a window of a benchmark item."""
-    found = find_contamination(docs, benchmark, text_col, window)
-    return found.where(~F.col("contamination.contaminated")).drop("contamination")
+    out = free_name(docs, "contamination")
+    found = find_contamination(docs, benchmark, text_col, window, out=out)
+    return found.where(~F.col(f"{out}.contaminated")).drop(out)

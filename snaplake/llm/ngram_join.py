@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snaplake.llm.common import connected_components, settle, text_slices
+from snaplake.llm.common import connected_components, free_name, settle, text_slices
 
 WORDS = 5
 PERCENT = 80
@@ -373,5 +373,6 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that are not the smallest id of their component; rows
     without an id stay, and of repeated rows with the kept id, all stay."""
-    gone = similar_documents(docs, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    name = free_name(docs, "gone")
+    gone = similar_documents(docs, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col(id_col) == F.col(name), "left_anti")

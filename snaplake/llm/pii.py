@@ -74,9 +74,9 @@ def with_spans(docs: DataFrame, text_col: str = "text", out: str = "pii") -> Dat
 
     Null and empty texts have no spans. Each kind's matches are leftmost and
     do not overlap; matches that fail their check are dropped without a retry,
-    and spans of different kinds may overlap. All other columns stay."""
-    if out in docs.columns:
-        raise ValueError(f"the table has a column {out}; name another")
+    and spans of different kinds may overlap. All rows and other columns stay; a
+    column named ``out`` is replaced."""
+    docs = docs.drop(out)
     keep = [F.col(f"`{c}`") for c in docs.columns]
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     names = {k: f"__{out}_{k}" for k in KINDS}

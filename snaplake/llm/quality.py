@@ -131,11 +131,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, parts: int = 5, held: int =
 
 
 def score_quality(docs: DataFrame, model: Model, text_col: str = "text", out: str = "quality_score") -> DataFrame:
-    """``docs`` with a score from 0 to 1 in column ``out``; null texts count as empty, all rows and columns stay."""
+    """``docs`` with a score from 0 to 1 in column ``out``; null texts count
+    as empty, all rows and other columns stay, and a column named ``out`` is replaced."""
     from pyspark.sql.types import DoubleType, StructField, StructType
 
-    if out in docs.columns:
-        raise ValueError(f"the table has a column {out}; name another")
+    docs = docs.drop(out)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # a few thousand numbers
     place = docs.columns.index(text_col)
 

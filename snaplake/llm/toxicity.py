@@ -288,11 +288,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, parts: int = 3, held: int =
 
 def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", out: str = "toxicity") -> DataFrame:
     """``docs`` with a score from 0 to 1 in column ``out``. Null and empty texts get the
-    score of a text without words; all rows and columns stay."""
+    score of a text without words; all rows and other columns stay, and a column named
+    ``out`` is replaced."""
     from pyspark.sql.types import DoubleType, StructField, StructType
 
-    if out in docs.columns:
-        raise ValueError(f"the table has a column {out}; name another")
+    docs = docs.drop(out)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # a weight per triple and nothing of the corpus
     place = docs.columns.index(text_col)
 
