@@ -1,7 +1,7 @@
 """Command line: ``python -m snaplake <command> ...`` (or via spark-submit).
 
   ingest   --landing DIR --root DIR --periods 2026-01,2026-02 --date 2026-02-20
-  build    --root DIR [--targets a,b] [--uf SP] [--full-refresh] [--snapshot latest]
+  build    --root DIR [--targets a,b] [--uf SP] [--full-refresh] [--snapshot as_loaded] [--refresh-months 2026-02]
   run-by   --root DIR [--states AC,AL,...]      batch the active mart by state
   check    --root DIR                            the declared data tests
   vacuum   --root DIR [--keep 2]
@@ -27,7 +27,8 @@ def main(argv=None) -> int:
     p.add_argument("--states", default="")
     p.add_argument("--keep", type=int, default=2)
     p.add_argument("--full-refresh", action="store_true")
-    p.add_argument("--snapshot", default="as_loaded", choices=["as_loaded", "latest"])
+    p.add_argument("--snapshot", default="latest", choices=["as_loaded", "latest"])
+    p.add_argument("--refresh-months", default="", help="re-issued months, comma-separated")
     p.add_argument("--master", default=os.environ.get("SNAPLAKE_MASTER"))
     a = p.parse_args(argv)
 
@@ -42,7 +43,7 @@ def main(argv=None) -> int:
         for r in landing.periods(spark, a.landing).collect():
             print(r["pasta"])
         return 0
-    lh = Lakehouse(spark, a.root, snapshot=a.snapshot)
+    lh = Lakehouse(spark, a.root, snapshot=a.snapshot, refresh_months=split(a.refresh_months))
     if a.command == "ingest":
         periods = split(a.periods) or [landing.latest_period(spark, a.landing)]
         lh.ingest(a.landing, periods, a.date).show(100, truncate=False)

@@ -1,118 +1,73 @@
-"""Dimension lookups and snapshot-aware joins.
+"""Dimension lookups and skew-aware joins.
 
-A lookup is a left join against a code table. Code tables are broadcast only
-after their row count is proven below a bound (``limit(n+1).count()`` stops
-reading once the bound is passed); a larger table falls back to a shuffled
-join, which AQE may still turn into a broadcast from runtime sizes.
+A lookup is a left join against a code table. A code table is broadcast only when
+the optimizer's size estimate, in bytes, is below a bound; otherwise the join is left
+to adaptive execution, which may still broadcast it from runtime sizes.
 """
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-# Size checks already made, per code-table frame (a frame is an immutable
-# plan, so its answer holds while the frame lives).
-_CHECKED: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
-
+BROADCAST_BYTES = 32 << 20
+SALTS = 32
 
-def bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most n+1)."""
-    seen = _CHECKED.setdefault(df, {})
-    if max_rows not in seen:
-        seen[max_rows] = df.limit(max_rows + 1).count() <= max_rows
-    return seen[max_rows]
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's upper estimate of the size of ``df``; runs no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-def bounded_many(dfs: list[DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS) -> list[bool]:
-    """``bounded`` for several frames in one Spark job (answers memoised)."""
-    todo = [i for i, d in enumerate(dfs) if max_rows not in _CHECKED.get(d, {})]
-    if todo:
-        parts = None
-        for i in todo:
-            p = dfs[i].limit(max_rows + 1).select(F.lit(i).alias("i"))
-            parts = p if parts is None else parts.unionByName(p)
-        counts = {r["i"]: r["n"] for r in
-                  parts.groupBy("i").agg(F.count(F.lit(1)).alias("n")).collect()}
-        for i in todo:
-            _CHECKED.setdefault(dfs[i], {})[max_rows] = counts.get(i, 0) <= max_rows
-    return [_CHECKED[d][max_rows] for d in dfs]
 
-
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when its row count is proven small, else ``df``."""
-    return F.broadcast(df) if bounded(df, max_rows) else df
+def maybe_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``F.broadcast(df)`` when its estimated size is small, else ``df``."""
+    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: str | Column, as_: str,
-           key: str = "codigo", value: str = "descricao",
-           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+           key: str = "codigo", value: str = "descricao", period: str | None = None,
+           max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Left-join ``dim[value]`` as column ``as_`` where ``df[on] = dim[key]``.
 
     Plain equality: a null code finds nothing. The same ``dim`` may be used
-    several times under different ``as_`` names (role-playing dimension).
+    several times under different ``as_`` names (role-playing dimension). With
+    ``period``, the label is that of the row's own snapshot.
     """
     tag = f"__lk_{as_}"
-    right = dim.select(F.col(key).alias(tag), F.col(value).alias(as_))
-    if bounded(dim, max_broadcast_rows):
-        right = F.broadcast(right)
-    left_key = F.col(on) if isinstance(on, str) else on
-    return df.join(right, left_key == F.col(tag), "left").drop(tag)
-
-
-def snapshot_join(left: DataFrame, right: DataFrame, keys: list[str],
-                  period: str = "_competencia", how: str = "left") -> DataFrame:
-    """Join on ``keys`` *and* the snapshot period, so months never multiply.
-
-    ``right``'s own period column is dropped from the output.
-    """
-    tag = f"__snap_{period}"
-    r = right.withColumnRenamed(period, tag)
-    cond = [left[k] == r[k] for k in keys] + [left[period] == r[tag]]
-    out = left.join(r, cond, how)
-    for k in keys:
-        out = out.drop(r[k])
-    return out.drop(tag)
+    cols = [F.col(key).alias(tag), F.col(value).alias(as_)]
+    if period:
+        cols.append(F.col(period).alias(f"{tag}_period"))
+    right = maybe_broadcast(dim.select(*cols), max_bytes)
+    cond = (F.col(on) if isinstance(on, str) else on) == F.col(tag)
+    if period:
+        cond = cond & (F.col(period) == F.col(f"{tag}_period"))
+    return df.join(right, cond, "left").drop(tag, f"{tag}_period")
 
 
 def hot_keys(df: DataFrame, keys: list[str], min_rows: int) -> DataFrame:
-    """Keys holding at least ``min_rows`` rows of ``df`` (partial aggregate).
-
-    There can be at most ``count(df) / min_rows`` of them, so the result is
-    small by construction when ``min_rows`` is a fraction of the table.
-    """
-    present = None
+    """Keys holding at least ``min_rows`` rows of ``df`` (partial aggregate)."""
+    present = F.lit(True)
     for k in keys:
-        e = F.col(k).isNotNull()
-        present = e if present is None else present & e
+        present = present & F.col(k).isNotNull()
     return (df.where(present).groupBy(*keys).count()
             .where(F.col("count") >= min_rows).select(*keys))
 
 
 def split_hot_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left",
-                   min_rows: int = 1_000_000, max_hot_keys: int = 10_000,
-                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Equi-join that routes hot keys of ``left`` around the shuffle.
-
-    Rows of keys with at least ``min_rows`` rows on the left join a broadcast
-    of the right side's rows for those keys (no single task receives a hot
-    key); the rest takes the ordinary shuffled join. When there are no hot
-    keys, or their right-side rows are not provably small, this is the plain
-    join (AQE's skew-join splitting still applies to it).
+                   min_rows: int = 1_000_000, salts: int = SALTS) -> DataFrame:
+    """Equi-join in which the hot keys of ``left`` are salted.
+
+    Rows of keys with at least ``min_rows`` rows on the left get one of ``salts``
+    salts, and the right side's rows of those keys are repeated for each, so that
+    no task receives a whole hot key however many there are. ``how`` is ``left``
+    or ``inner``: repeated right rows would come out of other joins.
     """
-    hot = hot_keys(left, keys, min_rows)
-    if not bounded(hot, max_hot_keys) or hot.limit(1).count() == 0:
-        return left.join(right, keys, how)
-    hot_b = F.broadcast(hot)
-    right_hot = right.join(hot_b, keys, "left_semi")
-    if not bounded(right_hot, max_broadcast_rows):
-        return left.join(right, keys, how)
-    left_hot = left.join(hot_b, keys, "left_semi")
-    left_cold = left.join(hot_b, keys, "left_anti")
-    out_hot = left_hot.join(F.broadcast(right_hot), keys, how)
-    out_cold = left_cold.join(right, keys, how)
-    return out_cold.unionByName(out_hot.select(*out_cold.columns))
+    if how not in ("left", "inner"):
+        raise ValueError(f"how={how!r}: only left and inner joins can be split")
+    hot = hot_keys(left, keys, min_rows).withColumn("__hot", F.lit(True))
+    a = left.join(hot, keys, "left").withColumn(
+        "__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")).otherwise(0)).drop("__hot")
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    b = right.join(hot, keys, "left").withColumn(
+        "__salt", F.explode(F.when(F.col("__hot"), every).otherwise(F.array(F.lit(0))))).drop("__hot")
+    return a.join(b, [*keys, "__salt"], how).drop("__salt")

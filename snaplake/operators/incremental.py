@@ -4,7 +4,7 @@
 batch scope, so a batch for one state does not hide the same month for the
 next state). ``since`` keeps source rows past it. ``upsert`` computes the new
 content of a keyed table: target rows whose key is not in the source (nor in
-``deletes``), plus the source deduplicated so the latest period wins.
+``deletes``), plus all rows of each source key's latest period.
 ``sinks.tables.merge_into`` writes that content as a new table version.
 """
 
@@ -42,28 +42,37 @@ def since(source: DataFrame, mark: str | None, period: str = "_competencia",
     return source.where(c >= mark if inclusive else c > mark)
 
 
-def _key_match(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bool) -> Column:
-    cond = None
+IDENTITY = "__identity"
+
+
+def with_identity(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """``df`` with a column that is null where every key part is present, and a
+    digest of the remaining columns (period and extraction date aside) where one is
+    missing: rows without a whole key are the same thing only if they say the same."""
+    order = order or ["_competencia"]
+    rest = [c for c in df.columns if c not in (*keys, *order, "_data_extracao")]
+    missing = F.lit(False)
     for k in keys:
-        e = left[k].eqNullSafe(right[k]) if null_safe else left[k] == right[k]
-        cond = e if cond is None else cond & e
-    return cond
+        missing = missing | F.col(k).isNull()
+    said = F.sha2(F.to_json(F.struct(*rest), {"ignoreNullFields": "false"}), 256) if rest else F.lit("")
+    return df.withColumn(IDENTITY, F.when(missing, said))
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
-    """One row per key: the largest ``order`` (then the largest row) wins.
+    """Every distinct row of each key's largest ``order``; older rows go.
 
-    Done as ``max(struct(order..., rest...))`` grouped by key: an aggregate
-    with a map-side partial step, so a hot key collapses before the shuffle
-    instead of piling into one window partition. Ties on ``order`` resolve
-    to the row with the largest remaining values, which is deterministic.
-    """
+    Rows that lack a key part are told apart by all they say (``with_identity``).
+    The largest period per key is a map-side combined aggregate, joined back, so a
+    hot key never meets in one window partition and no row of its latest period is lost."""
     order = order or ["_competencia"]
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.struct(*[F.col(c) for c in order + rest]).alias("__row")
-    best = df.groupBy(*keys).agg(F.max(packed).alias("__row"))
-    return best.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in order + rest]) \
-        .select(*df.columns)
+    tagged = with_identity(df.distinct(), keys, order)
+    by = [*keys, IDENTITY]
+    best = tagged.groupBy(*by).agg(F.max(F.struct(*order)).alias("__latest"))
+    best = best.select(*[F.col(c).alias(f"__b_{c}") for c in by], "__latest")
+    cond = F.struct(*order).eqNullSafe(F.col("__latest"))
+    for c in by:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"__b_{c}"))
+    return tagged.join(best, cond, "left_semi").select(*df.columns)
 
 
 def upsert(target: DataFrame | None, source: DataFrame, keys: list[str],
@@ -71,19 +80,39 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: list[str],
            null_safe: bool = True, dedup: bool = True) -> DataFrame:
     """New content of a keyed table after merging ``source`` into ``target``.
 
-    Matched keys take the source row, new keys are inserted, other target
-    rows stay. ``deletes`` holds keys to drop (rows that left the table's
-    scope, e.g. establishments no longer active). Keys compare null-safely by
-    default, so a null part of a composite key matches itself. Running the
-    same upsert twice gives the same content.
+    A key in the source takes all the source's rows of its latest period, new keys
+    are inserted, other target rows stay. ``deletes`` holds keys to drop (rows that
+    left the table's scope, e.g. establishments no longer active); they also win
+    over the source. A row that lacks a key part matches only a row that says the
+    same; with ``null_safe=False`` it matches nothing. Running the same upsert twice
+    gives the same content.
     """
     src = latest_per_key(source, keys, order) if dedup else source
+    if deletes is not None:
+        gone = deletes.select(*[F.col(k).alias(f"__d_{k}") for k in keys])
+        src = src.join(gone, _plain_match(keys, "__d_"), "left_anti")
     if target is None:
         return src
     cols = target.columns
-    # The anti join needs the source keys, not distinct ones: no aggregate.
-    gone = source.select(*keys)
+    kept = drop_matched(target, source, keys, order, null_safe)
     if deletes is not None:
-        gone = gone.unionByName(deletes.select(*keys))
-    kept = target.join(gone, _key_match(target, gone, keys, null_safe), "left_anti")
+        kept = kept.join(gone, _plain_match(keys, "__d_"), "left_anti")
     return kept.select(*cols).unionByName(src.select(*cols))
+
+
+def _plain_match(keys: list[str], prefix: str) -> Column:
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & (F.col(k) == F.col(prefix + k))
+    return cond
+
+
+def drop_matched(target: DataFrame, source: DataFrame, keys: list[str], order: list[str] | None = None,
+                 null_safe: bool = True, how: str = "left_anti") -> DataFrame:
+    """Target rows whose key is not in the source (``left_semi``: those whose is)."""
+    by = [*keys, IDENTITY]
+    there = with_identity(source, keys, order).select(*[F.col(c).alias(f"__s_{c}") for c in by])
+    cond = F.lit(True)
+    for c in by:
+        cond = cond & (F.col(c).eqNullSafe(F.col(f"__s_{c}")) if null_safe or c == IDENTITY else F.col(c) == F.col(f"__s_{c}"))
+    return with_identity(target, keys, order).join(there, cond, how).select(*target.columns)

@@ -68,22 +68,6 @@ def null_counts(df: DataFrame, model: str, rules: list[Rule]) -> DataFrame | Non
     return counts.select(F.inline(packed))
 
 
-def duplicate_count(df: DataFrame, model: str, rule: Rule) -> DataFrame:
-    cols = rule.columns
-    present = None
-    for c in cols:
-        e = F.col(c).isNotNull()
-        present = e if present is None else present & e
-    dups = (df.where(present).groupBy(*rule.per, *cols).count()
-            .where(F.col("count") > 1))
-    return dups.agg(*_row(model, rule, F.count(F.lit(1))))
-
-
-def rejected_count(df: DataFrame, model: str, rule: Rule) -> DataFrame:
-    c = F.col(rule.column)
-    bad = df.groupBy(c.alias("v")).count().where(~F.col("v").isin(*rule.values))
-    return bad.agg(*_row(model, rule, F.count(F.lit(1))))
-
 
 def check(df: DataFrame, model: str, rules: Iterable[Rule]) -> DataFrame:
     """Report frame with one row per rule (lazy; ``failures == 0`` passes).

@@ -27,8 +27,8 @@ def latest_snapshot(df: DataFrame, period: str = "_competencia",
     When the caller knows the latest period from table metadata (a manifest,
     a folder listing), ``latest=`` skips that subquery's scan entirely.
     With ``by`` (e.g. ``["uf"]``) the maximum is taken per scope with a
-    partial aggregate and semi-joined back, broadcast when the number of
-    scopes is proven small (no window over a possibly hot scope).
+    partial aggregate and semi-joined back, broadcast when the estimated size is
+    small (no window over a possibly hot scope).
     """
     if latest is not None:
         # Known from table metadata: a literal, so partition pruning is static.
@@ -38,6 +38,6 @@ def latest_snapshot(df: DataFrame, period: str = "_competencia",
     from snaplake.operators.enrich import maybe_broadcast
 
     tag = "__latest_period"
-    scopes = maybe_broadcast(df.groupBy(*by).agg(F.max(period).alias(tag)), 100_000)
+    scopes = maybe_broadcast(df.groupBy(*by).agg(F.max(period).alias(tag)))
     cond = [df[c].eqNullSafe(scopes[c]) for c in by] + [df[period] == scopes[tag]]
     return df.join(scopes, cond, "left_semi")

@@ -1,14 +1,14 @@
 """DuckDB SQL for the correctness check.
 
-Each query registered in ``__spark_entry__.queries()`` has a SQL twin here,
-written straight from the reference's model semantics (staging CTEs, plain
-joins, full outer join, FILTER counts), so the Spark plans are checked
-against an independent formulation on the same raw rows.
+Each query registered in :mod:`snaplake.queries` has a SQL twin here, in a
+formulation of its own: labels are scalar subqueries over one long table of
+codes, dynamics are one union of events grouped once, and the latest rows of a
+key are those whose month equals the key's largest.
 """
 
 from __future__ import annotations
 
-from snaplake.schemas import DOMAIN_TABLES, PORTE_LABELS, RAW_COLUMNS, STATES
+from snaplake.schemas import DOMAIN_TABLES, PORTE_LABELS
 from snaplake.sources.derived import VARIANTS, raw_sql
 
 
@@ -28,7 +28,6 @@ def pdate(c: str, alias: str | None = None) -> str:
 
 
 META = "_competencia, _data_extracao"
-KEYF = "WHERE NULLIF(TRIM({k}), '') IS NOT NULL"
 
 
 def _stg_body(table: str, src: str | None = None) -> str:
@@ -106,6 +105,10 @@ def ctes(*names: str, extra: list[tuple[str, str]] | None = None) -> str:
         elif name == "int_estabelecimentos":
             want("stg_estabelecimentos")
             add(name, CORE_SQL)
+        elif name in ("codes", "codes_full"):
+            for t in CODE_TABLES:
+                want(f"stg_{t}{name[5:]}")
+            add("codes", codes_sql(name[5:]))
         else:
             raise ValueError(name)
 
@@ -116,43 +119,61 @@ def ctes(*names: str, extra: list[tuple[str, str]] | None = None) -> str:
     return "WITH " + ",\n".join(f"{n} AS (\n{b}\n)" for n, b in need) + "\n"
 
 
-PORTE_CASE = "CASE co.cod_porte_empresa " + " ".join(
-    f"WHEN '{code}' THEN '{label}'" for code, label in PORTE_LABELS) + " END"
+CODE_TABLES = ["municipios", "cnaes", "naturezas", "motivos", "paises", "qualificacoes"]
+
+
+def codes_sql(suffix: str = "", tables: list[str] = CODE_TABLES) -> str:
+    """One long table of labels: (kind, codigo, descricao, _competencia)."""
+    return " UNION ALL ".join(f"SELECT '{t}' AS kind, codigo, descricao, _competencia FROM stg_{t}{suffix}" for t in tables)
+
+
+def _label(kind: str, code: str, month: str | None = None) -> str:
+    when = f" AND w._competencia = {month}" if month else ""
+    return f"(SELECT w.descricao FROM codes w WHERE w.kind = '{kind}' AND w.codigo = {code}{when})"
+
+
+_COMPANY = ["razao_social", "capital_social", "cod_porte_empresa", "ente_federativo_responsavel",
+            "cod_natureza_juridica", "cod_qualificacao_responsavel"]
+_REGIME = ["opcao_pelo_simples", "data_opcao_simples", "data_exclusao_simples", "opcao_pelo_mei",
+           "data_opcao_mei", "data_exclusao_mei"]
 
 
 def active_sql(where_extra: str = "", src: str = "stg_estabelecimentos",
-               month_aware: bool = False) -> str:
-    m_emp = " AND e._competencia = co._competencia" if month_aware else ""
-    m_smp = " AND e._competencia = tx._competencia" if month_aware else ""
-    return f"""SELECT e.cnpj, e.cnpj_basico, e.cnpj_ordem, e.cnpj_dv, e.identificador_matriz_filial,
- co.razao_social, e.nome_fantasia, co.capital_social, co.cod_porte_empresa,
- {PORTE_CASE} AS descricao_porte_empresa,
- co.ente_federativo_responsavel, co.cod_natureza_juridica,
- d_leg.descricao AS descricao_natureza_juridica, co.cod_qualificacao_responsavel,
- e.cod_situacao_cadastral, e.data_situacao_cadastral, e.cod_motivo_situacao_cadastral,
- d_why.descricao AS descricao_motivo_situacao_cadastral, e.situacao_especial, e.data_situacao_especial,
- e.cod_cnae_principal, d_act.descricao AS descricao_cnae_principal, e.cnae_fiscal_secundaria,
- e.tipo_logradouro, e.logradouro, e.numero, e.complemento, e.bairro, e.cep, e.uf,
- e.cod_municipio, d_mun.descricao AS nome_municipio, e.nome_cidade_exterior, e.cod_pais,
- d_ctry.descricao AS nome_pais, e.ddd_1, e.telefone_1, e.ddd_2, e.telefone_2, e.ddd_fax, e.fax, e.email,
- e.data_inicio_atividade, CAST(YEAR(e.data_inicio_atividade) AS INTEGER) AS ano_abertura,
- CAST(MONTH(e.data_inicio_atividade) AS INTEGER) AS mes_abertura,
- tx.opcao_pelo_simples, CASE WHEN tx.opcao_pelo_simples = 'S' THEN TRUE ELSE FALSE END AS is_simples,
- tx.data_opcao_simples, tx.data_exclusao_simples, tx.opcao_pelo_mei,
- CASE WHEN tx.opcao_pelo_mei = 'S' THEN TRUE ELSE FALSE END AS is_mei,
- tx.data_opcao_mei, tx.data_exclusao_mei, e._competencia, e._data_extracao
-FROM (SELECT * FROM {src} WHERE cod_situacao_cadastral = '02' {where_extra}) e
-LEFT JOIN stg_empresas co ON e.cnpj_basico = co.cnpj_basico{m_emp}
-LEFT JOIN stg_simples tx ON e.cnpj_basico = tx.cnpj_basico{m_smp}
-LEFT JOIN stg_municipios d_mun ON e.cod_municipio = d_mun.codigo
-LEFT JOIN stg_cnaes d_act ON e.cod_cnae_principal = d_act.codigo
-LEFT JOIN stg_naturezas d_leg ON co.cod_natureza_juridica = d_leg.codigo
-LEFT JOIN stg_motivos d_why ON e.cod_motivo_situacao_cadastral = d_why.codigo
-LEFT JOIN stg_paises d_ctry ON e.cod_pais = d_ctry.codigo"""
-
-
-ACTIVE_DEPS = ["stg_estabelecimentos", "stg_empresas", "stg_simples", "stg_municipios",
-               "stg_cnaes", "stg_naturezas", "stg_motivos", "stg_paises"]
+               month_aware: bool = False, suffix: str = "") -> str:
+    """Active establishments; needs the CTE ``codes`` (``codes_sql``)."""
+    month = "f._competencia" if month_aware else None
+    own = {c: f"f.{c}" for c in ACTIVE_OWN}
+    own |= {c: f"f.company.{c}" for c in _COMPANY} | {c: f"f.regime.{c}" for c in _REGIME}
+    sizes = " ".join(f"WHEN '{code}' THEN '{label}'" for code, label in PORTE_LABELS)
+    own["descricao_porte_empresa"] = f"CASE f.company.cod_porte_empresa {sizes} END"
+    own["descricao_natureza_juridica"] = _label("naturezas", "f.company.cod_natureza_juridica", month)
+    own["descricao_motivo_situacao_cadastral"] = _label("motivos", "f.cod_motivo_situacao_cadastral", month)
+    own["descricao_cnae_principal"] = _label("cnaes", "f.cod_cnae_principal", month)
+    own["nome_municipio"] = _label("municipios", "f.cod_municipio", month)
+    own["nome_pais"] = _label("paises", "f.cod_pais", month)
+    own["ano_abertura"] = "CAST(EXTRACT(year FROM f.data_inicio_atividade) AS INTEGER)"
+    own["mes_abertura"] = "CAST(EXTRACT(month FROM f.data_inicio_atividade) AS INTEGER)"
+    own["is_simples"] = "f.regime.opcao_pelo_simples IS NOT DISTINCT FROM 'S'"
+    own["is_mei"] = "f.regime.opcao_pelo_mei IS NOT DISTINCT FROM 'S'"
+    same = " AND x._competencia = z._competencia" if month_aware else ""
+
+    def one(table: str, cols: list[str]) -> str:
+        pack = ", ".join(f"{c} := x.{c}" for c in cols)
+        return f"(SELECT struct_pack({pack}) FROM stg_{table}{suffix} x WHERE x.cnpj_basico = z.cnpj_basico{same})"
+
+    return ("SELECT " + ", ".join(f"{text} AS {name}" for name, text in own.items())
+            + f" FROM (SELECT z.*, {one('empresas', _COMPANY)} AS company, {one('simples', _REGIME)} AS regime"
+            + f" FROM {src} z WHERE z.cod_situacao_cadastral = '02' {where_extra}) f")
+
+
+ACTIVE_OWN = ["cnpj", "cnpj_basico", "cnpj_ordem", "cnpj_dv", "identificador_matriz_filial", "nome_fantasia",
+              "cod_situacao_cadastral", "data_situacao_cadastral", "cod_motivo_situacao_cadastral", "situacao_especial",
+              "data_situacao_especial", "cod_cnae_principal", "cnae_fiscal_secundaria", "tipo_logradouro", "logradouro",
+              "numero", "complemento", "bairro", "cep", "uf", "cod_municipio", "nome_cidade_exterior", "cod_pais", "ddd_1",
+              "telefone_1", "ddd_2", "telefone_2", "ddd_fax", "fax", "email", "data_inicio_atividade", "_competencia",
+              "_data_extracao"]
+
+ACTIVE_DEPS = ["stg_estabelecimentos", "stg_empresas", "stg_simples", "codes"]
 
 OPENINGS_SQL = """SELECT CAST(DATE_TRUNC('month', data_inicio_atividade) AS DATE) AS mes_referencia,
  uf, cod_cnae_principal, COUNT(*) AS qtd_aberturas
@@ -171,37 +192,56 @@ WHERE cod_situacao_cadastral IN ('03', '04', '08')
 GROUP BY 1, 2, 3"""
 
 
+def dynamics_body(null_safe: bool = False, src: str = "int_estabelecimentos") -> str:
+    """One row per event, grouped once. Events without an activity code stay apart
+    by side unless ``null_safe``. Needs the CTE ``codes``."""
+    side = "" if null_safe else ", CASE WHEN code IS NULL THEN what = 'opening' END"
+    return f"""SELECT g.*, qtd_aberturas - qtd_baixadas AS saldo_liquido,
+ {_label('cnaes', 'g.cod_cnae_principal')} AS descricao_cnae_principal
+FROM (
+ SELECT happened AS mes_referencia, uf, code AS cod_cnae_principal,
+  COUNT(*) FILTER (WHERE what = 'opening') AS qtd_aberturas, COUNT(*) FILTER (WHERE what = '08') AS qtd_baixadas,
+  COUNT(*) FILTER (WHERE what = '04') AS qtd_inaptadas, COUNT(*) FILTER (WHERE what = '03') AS qtd_suspensas
+ FROM (
+  SELECT CAST(DATE_TRUNC('month', data_inicio_atividade) AS DATE) AS happened, uf, cod_cnae_principal AS code,
+   'opening' AS what FROM {src}
+  UNION ALL
+  SELECT CAST(DATE_TRUNC('month', data_situacao_cadastral) AS DATE), uf, cod_cnae_principal, cod_situacao_cadastral
+  FROM {src} WHERE cod_situacao_cadastral IN ('03', '04', '08'))
+ WHERE happened IS NOT NULL AND uf IS NOT NULL
+ GROUP BY happened, uf, code{side}) g"""
+
+
 def dynamics_sql(null_safe: bool) -> str:
-    op = "IS NOT DISTINCT FROM" if null_safe else "="
-    body = f"""SELECT
- COALESCE(o.mes_referencia, c.mes_referencia) AS mes_referencia,
- COALESCE(o.uf, c.uf) AS uf,
- COALESCE(o.cod_cnae_principal, c.cod_cnae_principal) AS cod_cnae_principal,
- COALESCE(o.qtd_aberturas, 0) AS qtd_aberturas,
- COALESCE(c.qtd_baixadas, 0) AS qtd_baixadas,
- COALESCE(c.qtd_inaptadas, 0) AS qtd_inaptadas,
- COALESCE(c.qtd_suspensas, 0) AS qtd_suspensas,
- COALESCE(o.qtd_aberturas, 0) - COALESCE(c.qtd_baixadas, 0) AS saldo_liquido
-FROM opened o FULL OUTER JOIN closed c
- ON o.mes_referencia = c.mes_referencia AND o.uf = c.uf
- AND o.cod_cnae_principal {op} c.cod_cnae_principal"""
-    return ctes("int_estabelecimentos", "stg_cnaes",
-                extra=[("opened", OPENINGS_SQL), ("closed", CLOSINGS_SQL),
-                       ("merged", body)]) + """SELECT m.*, d.descricao AS descricao_cnae_principal
-FROM merged m LEFT JOIN stg_cnaes d ON m.cod_cnae_principal = d.codigo
-WHERE m.mes_referencia IS NOT NULL
-ORDER BY mes_referencia, uf, cod_cnae_principal"""
-
-
-PARTNERS_SQL = """SELECT pt.cnpj_basico, pt.identificador_socio, pt.nome_socio_razao_social, pt.cnpj_cpf_socio,
- pt.cod_qualificacao_socio, q_role.descricao AS descricao_qualificacao_socio, pt.data_entrada_sociedade,
- pt.cod_pais, ctry.descricao AS nome_pais, pt.cpf_representante_legal, pt.nome_representante,
- pt.cod_qualificacao_representante, q_rep.descricao AS descricao_qualificacao_representante,
- pt.cod_faixa_etaria, pt._competencia, pt._data_extracao
-FROM {src} pt
-LEFT JOIN stg_paises ctry ON pt.cod_pais = ctry.codigo
-LEFT JOIN stg_qualificacoes q_role ON pt.cod_qualificacao_socio = q_role.codigo
-LEFT JOIN stg_qualificacoes q_rep ON pt.cod_qualificacao_representante = q_rep.codigo"""
+    return ctes("int_estabelecimentos", "codes") + dynamics_body(null_safe)
+
+
+PARTNER_OWN = ["cnpj_basico", "identificador_socio", "nome_socio_razao_social", "cnpj_cpf_socio", "cod_qualificacao_socio",
+               "data_entrada_sociedade", "cod_pais", "cpf_representante_legal", "nome_representante",
+               "cod_qualificacao_representante", "cod_faixa_etaria", "_competencia", "_data_extracao"]
+
+
+def partners_sql(src: str = "stg_socios", month_aware: bool = False) -> str:
+    """Partners with labels; needs the CTE ``codes``."""
+    month = "v._competencia" if month_aware else None
+    return (f"SELECT {', '.join(f'v.{c}' for c in PARTNER_OWN)}, {_label('paises', 'v.cod_pais', month)} AS nome_pais, "
+            f"{_label('qualificacoes', 'v.cod_qualificacao_socio', month)} AS descricao_qualificacao_socio, "
+            f"{_label('qualificacoes', 'v.cod_qualificacao_representante', month)} AS descricao_qualificacao_representante "
+            f"FROM {src} v")
+
+
+def identity_expr(keys: list[str], cols: list[str]) -> str:
+    """Null for a whole key, else all that the row says."""
+    rest = [c for c in cols if c not in (*keys, "_competencia", "_data_extracao")]
+    said = " || '|' || ".join(f"COALESCE('=' || CAST({c} AS VARCHAR), '')" for c in rest)
+    return f"CASE WHEN {' OR '.join(f'{k} IS NULL' for k in keys)} THEN {said} END"
+
+
+def latest_sql(src: str, keys: list[str], cols: list[str]) -> str:
+    """Distinct rows of each key's latest month."""
+    by = ", ".join([*keys, identity_expr(keys, cols)])
+    return (f"SELECT DISTINCT * EXCLUDE (newest) FROM (SELECT *, MAX(_competencia) OVER (PARTITION BY {by}) AS newest "
+            f"FROM {src}) WHERE _competencia = newest")
 
 
 def domain_union_sql() -> str:
@@ -209,11 +249,6 @@ def domain_union_sql() -> str:
     return ctes(*[f"stg_{t}" for t in DOMAIN_TABLES]) + "\nUNION ALL\n".join(parts)
 
 
-__all__ = ["ctes", "active_sql", "dynamics_sql", "domain_union_sql", "PARTNERS_SQL",
-           "OPENINGS_SQL", "CLOSINGS_SQL", "ACTIVE_DEPS", "pdate_expr", "nn", "RAW_COLUMNS",
-           "STATES", "KEYF"]
-
-
 def dq_sql(model: str, src: str, rules) -> list[str]:
     """One SELECT per rule, same report columns as ``quality.check``."""
     out = []
@@ -232,8 +267,3 @@ def dq_sql(model: str, src: str, rules) -> list[str]:
             out.append(head + f"CAST(count(*) AS BIGINT) AS failures FROM (SELECT {r.column} AS v "
                        f"FROM {src} GROUP BY {r.column}) WHERE v NOT IN ({vals})")
     return out
-
-
-def dynamics_body(null_safe: bool = False) -> str:
-    """The dynamics query without its ORDER BY, usable as a CTE body."""
-    return dynamics_sql(null_safe).rsplit("ORDER BY", 1)[0]

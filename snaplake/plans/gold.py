@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snaplake.functions import decode, flag, month_start
-from snaplake.operators.enrich import bounded_many, lookup, split_hot_join
+from snaplake.operators.enrich import lookup, split_hot_join
 from snaplake.schemas import (
     PORTE_LABELS,
     STATUS_ACTIVE,
@@ -97,33 +97,23 @@ def monthly_dynamics(core: DataFrame, cnaes: DataFrame, null_safe: bool = False,
 
 def monthly_dynamics_by_join(core: DataFrame, cnaes: DataFrame,
                              null_safe: bool = False) -> DataFrame:
-    """The two-aggregate + full-outer-join formulation (kept for comparison)."""
-    a, f = openings(core).alias("a"), closings(core).alias("f")
-
-    def c(side, name):
-        return F.col(f"{side}.{name}")
-
-    def eq(k):
-        return c("a", k).eqNullSafe(c("f", k)) if null_safe else c("a", k) == c("f", k)
-
-    joined = a.join(f, [eq(k) for k in DYNAMICS_KEYS], "full")
-    zero = F.lit(0).cast("long")
-    opened = F.coalesce(c("a", "qtd_aberturas"), zero)
-    closed = F.coalesce(c("f", "qtd_baixadas"), zero)
-    out = joined.select(
-        *[F.coalesce(c("a", k), c("f", k)).alias(k) for k in DYNAMICS_KEYS],
-        opened.alias("qtd_aberturas"),
-        closed.alias("qtd_baixadas"),
-        F.coalesce(c("f", "qtd_inaptadas"), zero).alias("qtd_inaptadas"),
-        F.coalesce(c("f", "qtd_suspensas"), zero).alias("qtd_suspensas"),
-        (opened - closed).alias("saldo_liquido"),
-    )
-    out = lookup(out, cnaes, "cod_cnae_principal", "descricao_cnae_principal")
-    return out.where(F.col("mes_referencia").isNotNull())
+    """The same from the two aggregates and a full outer join (kept for comparison)."""
+    closed = closings(core).select(*[F.col(k).alias(f"closing_{k}") for k in DYNAMICS_KEYS],
+                                   "qtd_baixadas", "qtd_inaptadas", "qtd_suspensas")
+    same = F.lit(True)
+    for k in DYNAMICS_KEYS:
+        left, right = F.col(k), F.col(f"closing_{k}")
+        same = same & (left.eqNullSafe(right) if null_safe else left == right)
+    both = openings(core).join(closed, same, "full").na.fill(0)
+    both = both.withColumns({k: F.coalesce(k, f"closing_{k}") for k in DYNAMICS_KEYS})
+    both = both.withColumn("saldo_liquido", F.col("qtd_aberturas") - F.col("qtd_baixadas"))
+    out = lookup(both, cnaes, "cod_cnae_principal", "descricao_cnae_principal")
+    return out.where(F.col("mes_referencia").isNotNull()).select(*DYNAMICS_COLUMNS)
 
 
 # ------------------------------------------------------ active establishments
 
+# Output columns: fixed values.
 ACTIVE_COLUMNS = [
     "cnpj", "cnpj_basico", "cnpj_ordem", "cnpj_dv", "identificador_matriz_filial",
     "razao_social", "nome_fantasia", "capital_social", "cod_porte_empresa",
@@ -159,16 +149,13 @@ def active_establishments(stg_est: DataFrame, companies: DataFrame, tax: DataFra
     """Active establishments with company, tax regime and code labels.
 
     The status filter (and the optional state / watermark filters) runs first
-    and reaches the Parquet scan. Companies and tax regime share the key
-    ``cnpj_basico``, so they are joined to each other first (full outer
-    join, equal to two successive left joins from the establishments side)
-    and the establishments meet them in a single shuffled join: AQE can split
-    a hot company's partition there, and ``hot_key_rows`` additionally routes
-    companies with that many active establishments through a broadcast join.
-    The code tables are broadcast after a size check. ``month_aware=True``
-    matches companies and tax regime of the establishment's own month
-    (key and ``_competencia``), so loading several months never multiplies
-    rows.
+    and reaches the Parquet scan. Companies and tax regime are joined one after
+    the other on ``cnpj_basico``, so the establishments are shuffled once: three
+    exchanges. When a filter leaves few establishments, both sides are first
+    reduced to their companies. ``hot_key_rows`` salts companies with that many
+    active establishments. ``month_aware=True`` matches companies, tax regime
+    and labels of the establishment's own month, so loading several months never
+    multiplies rows.
     """
     a = stg_est.where(F.col("cod_situacao_cadastral") == STATUS_ACTIVE)
     if uf is not None:
@@ -176,25 +163,25 @@ def active_establishments(stg_est: DataFrame, companies: DataFrame, tax: DataFra
     if since is not None:
         a = a.where(F.col("_competencia") > since)
     keys = ["cnpj_basico"]
+    emp, smp = companies.select(*COMPANY_COLUMNS, "_competencia"), tax.select(*TAX_COLUMNS, "_competencia")
     if month_aware:
-        keys.append("__month")
-        companies = companies.withColumn("__month", F.col("_competencia"))
-        tax = tax.withColumn("__month", F.col("_competencia"))
-        a = a.withColumn("__month", F.col("_competencia"))
-    emp = companies.select(*COMPANY_COLUMNS, *keys[1:])
-    smp = tax.select(*TAX_COLUMNS, *keys[1:])
-    company_side = emp.join(smp, keys, "full")
-    if hot_key_rows:
-        out = split_hot_join(a, company_side, keys, "left", min_rows=hot_key_rows)
+        keys.append("_competencia")
     else:
-        out = a.join(company_side, keys, "left")
-    bounded_many([municipios, cnaes, naturezas, motivos, paises])  # one job for all
-    out = lookup(out, municipios, "cod_municipio", "nome_municipio")
-    out = lookup(out, cnaes, "cod_cnae_principal", "descricao_cnae_principal")
-    out = lookup(out, naturezas, "cod_natureza_juridica", "descricao_natureza_juridica")
+        emp, smp = emp.drop("_competencia"), smp.drop("_competencia")
+    if uf is not None or since is not None:
+        wanted = a.select("cnpj_basico").distinct()
+        emp, smp = emp.join(wanted, "cnpj_basico", "left_semi"), smp.join(wanted, "cnpj_basico", "left_semi")
+    out = a
+    for side in (emp, smp):
+        out = (split_hot_join(out, side, keys, "left", min_rows=hot_key_rows) if hot_key_rows
+               else out.join(side, keys, "left"))
+    period = "_competencia" if month_aware else None
+    out = lookup(out, municipios, "cod_municipio", "nome_municipio", period=period)
+    out = lookup(out, cnaes, "cod_cnae_principal", "descricao_cnae_principal", period=period)
+    out = lookup(out, naturezas, "cod_natureza_juridica", "descricao_natureza_juridica", period=period)
     out = lookup(out, motivos, "cod_motivo_situacao_cadastral",
-                 "descricao_motivo_situacao_cadastral")
-    out = lookup(out, paises, "cod_pais", "nome_pais")
+                 "descricao_motivo_situacao_cadastral", period=period)
+    out = lookup(out, paises, "cod_pais", "nome_pais", period=period)
     out = out.withColumns({
         "descricao_porte_empresa": decode("cod_porte_empresa", PORTE_LABELS),
         "ano_abertura": F.year("data_inicio_atividade"),

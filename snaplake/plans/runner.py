@@ -9,7 +9,8 @@ stg_<domain> (6), stg_socios   view         lazy frame + temp view
 stg_empresas, stg_simples      table        partitioned by ``_competencia``
 stg_estabelecimentos           table        ``uf, _competencia``; sorted by status
 int_estabelecimentos           table        ``uf, _competencia``; sorted by status
-int_socios                     incremental  merge on (cnpj_basico, cnpj_cpf_socio)
+int_socios                     incremental  merge on (cnpj_basico, cnpj_cpf_socio);
+                                            ``_competencia``
 mrt_dinamica_mensal            table        ``uf``; sorted by month
 mrt_estabelecimentos_ativos    incremental  merge on cnpj; ``uf, ano_abertura``
 =============================  ===========  =====================================
@@ -61,7 +62,7 @@ MODELS: list[Model] = [
     Model("int_estabelecimentos", "table", ["stg_estabelecimentos"],
           ["uf", "_competencia"], ["cod_situacao_cadastral"]),
     Model("int_socios", "incremental", ["stg_socios", "stg_paises", "stg_qualificacoes"],
-          keys=["cnpj_basico", "cnpj_cpf_socio"]),
+          ["_competencia"], keys=["cnpj_basico", "cnpj_cpf_socio"]),
     Model("mrt_dinamica_mensal", "table", ["int_estabelecimentos", "stg_cnaes"],
           ["uf"], ["mes_referencia"]),
     Model("mrt_estabelecimentos_ativos", "incremental",
@@ -75,18 +76,26 @@ BY_NAME = {m.name: m for m in MODELS}
 class Lakehouse:
     """Bronze, silver and gold folders under one root, plus the model runs.
 
-    ``snapshot="latest"`` feeds each gold mart the latest snapshot of every
-    input (one row per key when several months are loaded); the default
-    ``"as_loaded"`` joins whatever is loaded, like the reference.
+    Inputs are monthly full snapshots. ``snapshot="latest"`` (the default) counts
+    dynamics over the latest snapshot, takes each establishment and partner from
+    its own latest month, and joins companies, tax regime and labels of that
+    month, so any number of loaded months gives one row per key, and loading them
+    one by one or all at once gives the same. ``"as_loaded"`` joins whatever is
+    loaded on the keys alone, for parity with runs that load one month.
     ``remove_inactive`` drops establishments that stopped being active from
-    the active mart (the reference keeps them forever). Month-partitioned
-    tables load only months they do not have yet; ``refresh_months`` forces
-    re-staging of months that were re-issued.
+    the active mart. Month-partitioned tables load only months they do not have
+    yet; ``refresh_months`` re-stages months that were re-issued and has the
+    incremental models read them again. Companies with ``hot_key_rows`` active
+    establishments or more are salted in the mart's joins.
     """
 
-    def __init__(self, spark: SparkSession, root: str, snapshot: str = "as_loaded",
-                 remove_inactive: bool = True, refresh_months: list[str] | None = None):
+    def __init__(self, spark: SparkSession, root: str, snapshot: str = "latest",
+                 remove_inactive: bool = True, refresh_months: list[str] | None = None,
+                 hot_key_rows: int | None = 1_000_000):
+        if snapshot not in ("latest", "as_loaded"):
+            raise ValueError(f"snapshot={snapshot!r}")
         self.spark = spark
+        self.hot_key_rows = hot_key_rows
         self.refresh_months = list(refresh_months or [])
         self.root = root.rstrip("/")
         self.bronze_root = f"{self.root}/bronze"
@@ -125,7 +134,7 @@ class Lakehouse:
 
     def _inputs(self, m: Model) -> list[DataFrame]:
         dfs = [self.table(d) for d in m.deps]
-        if self.snapshot == "latest" and m.name.startswith("mrt_"):
+        if self.snapshot == "latest" and m.name == "mrt_dinamica_mensal":
             dfs = [self._latest(d, df) for d, df in zip(m.deps, dfs)]
         return dfs
 
@@ -169,25 +178,35 @@ class Lakehouse:
         scope = {"uf": uf} if (uf is not None and "uf" in (current.columns if current else [])) else None
         mark = inc.watermark(current, scope=scope)
         ins = self._inputs(m)
+        by_month = self.snapshot == "latest"
+        fresh = self._fresh(ins[0], mark)
+        deletes = None
         if m.name == "int_socios":
-            src = silver.partners_enriched(inc.since(ins[0], mark), ins[1], ins[2])
-            deletes = None
+            src = silver.partners_enriched(fresh, ins[1], ins[2], month_aware=by_month)
         else:
-            est = ins[0] if uf is None else ins[0].where(F.col("uf") == uf)
-            est = inc.since(est, mark)
-            src = gold.active_establishments(est, *ins[1:])
-            deletes = None
-            if self.remove_inactive and current is not None:
+            est = fresh if uf is None else fresh.where(F.col("uf") == uf)
+            if by_month:  # each establishment as its latest month has it, active or not
+                est = inc.latest_per_key(est, m.keys)
+            src = gold.active_establishments(est, *ins[1:], month_aware=by_month, hot_key_rows=self.hot_key_rows)
+            if self.remove_inactive:
                 deletes = est.where(~F.col("cod_situacao_cadastral").eqNullSafe(STATUS_ACTIVE)) \
                     .select(*m.keys)
         if current is None:
-            # First load (or full refresh): the whole source, as a plain CTAS.
-            tables.write_version(src, root, m.partition_by, m.sort_by)
+            # First load (or full refresh): the same rows a merge would keep.
+            first = inc.latest_per_key(src, m.keys) if by_month else src
+            tables.write_version(first, root, m.partition_by, m.sort_by)
         else:
             tables.merge_into(self.spark, root, src, m.keys, m.partition_by, m.sort_by,
                               deletes=deletes)
         return tables.read_table(self.spark, root)
 
+    def _fresh(self, source: DataFrame, mark: str | None) -> DataFrame:
+        """Rows past the watermark, and those of re-issued months."""
+        new = inc.since(source, mark)
+        if mark is None or not self.refresh_months:
+            return new
+        return source.where((F.col("_competencia") > mark) | F.col("_competencia").isin(*self.refresh_months))
+
     def build(self, targets: list[str] | None = None, uf: str | None = None,
               full_refresh: bool = False, max_jobs: int = 4) -> list[tuple[str, str, int | None]]:
         """Build ``targets`` (default: all) in dependency order.

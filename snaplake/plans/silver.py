@@ -140,6 +140,7 @@ def stage(table: str, raw: DataFrame) -> DataFrame:
 
 # The intermediate establishments model: a column subset, no joins (domain
 # joins happen in gold after the business filter).
+# Column names: fixed values.
 CORE_COLUMNS = [
     "cnpj", "cnpj_basico", "cnpj_ordem", "cnpj_dv", "identificador_matriz_filial",
     "cod_situacao_cadastral", "data_situacao_cadastral", "cod_motivo_situacao_cadastral",
@@ -157,6 +158,7 @@ def establishments_core(stg_est: DataFrame) -> DataFrame:
     return stg_est.select(*CORE_COLUMNS)
 
 
+# Column names: fixed values.
 PARTNER_COLUMNS = [
     "cnpj_basico", "identificador_socio", "nome_socio_razao_social", "cnpj_cpf_socio",
     "cod_qualificacao_socio", "descricao_qualificacao_socio", "data_entrada_sociedade",
@@ -167,16 +169,18 @@ PARTNER_COLUMNS = [
 
 
 def partners_enriched(stg_partners: DataFrame, paises: DataFrame,
-                      qualificacoes: DataFrame) -> DataFrame:
-    """Partners with country and both qualification roles resolved.
+                      qualificacoes: DataFrame, month_aware: bool = False) -> DataFrame:
+    """Partners with country and both qualification roles resolved
+    (``month_aware``: with the labels of the partner's own month).
 
     ``qualificacoes`` plays two roles (partner, legal representative): two
     lookups of the same broadcast code table under different names.
     """
-    out = lookup(stg_partners, paises, "cod_pais", "nome_pais")
-    out = lookup(out, qualificacoes, "cod_qualificacao_socio", "descricao_qualificacao_socio")
+    period = "_competencia" if month_aware else None
+    out = lookup(stg_partners, paises, "cod_pais", "nome_pais", period=period)
+    out = lookup(out, qualificacoes, "cod_qualificacao_socio", "descricao_qualificacao_socio", period=period)
     out = lookup(out, qualificacoes, "cod_qualificacao_representante",
-                 "descricao_qualificacao_representante")
+                 "descricao_qualificacao_representante", period=period)
     return out.select(*PARTNER_COLUMNS)
 
 

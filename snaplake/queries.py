@@ -33,9 +33,9 @@ from snaplake.plans.checks import RULES
 from snaplake.plans.runner import Lakehouse
 from snaplake.schemas import ALL_TABLES, DOMAIN_TABLES, FILE_PREFIXES, PORTE_LABELS, STATUS_ACTIVE
 from snaplake.session import session_key, work_dir
-from snaplake.sinks import tables
-from snaplake.sources import bronze, landing
-from snaplake.sources.derived import file_name_sql, raw_table
+from snaplake.sinks import series, tables
+from snaplake.sources import bronze, catalog, landing
+from snaplake.sources.derived import SNAPSHOT_MONTHS, file_name_sql, raw_table
 from snaplake.streaming import incremental as sinc
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,8 +116,10 @@ def q_parse_compact_date(spark, sf_dir):
                     parse_compact_date("data_situacao_especial").alias("data_situacao_especial"))
 
 
-@register("decode_size", O.ctes("stg_empresas") + "SELECT co.cnpj_basico, co.cod_porte_empresa, "
-          + O.PORTE_CASE + " AS descricao_porte_empresa FROM stg_empresas co")
+@register("decode_size", O.ctes("stg_empresas", extra=[("sizes", " UNION ALL ".join(
+    f"SELECT '{code}' AS code, '{label}' AS label" for code, label in PORTE_LABELS))])
+          + "SELECT cnpj_basico, cod_porte_empresa, "
+          "(SELECT label FROM sizes WHERE code = cod_porte_empresa) AS descricao_porte_empresa FROM stg_empresas")
 def q_decode_size(spark, sf_dir):
     e = stg(spark, sf_dir, "empresas")
     return e.select("cnpj_basico", "cod_porte_empresa",
@@ -187,8 +189,7 @@ def q_establishments_core(spark, sf_dir):
     return silver.establishments_core(stg(spark, sf_dir, "estabelecimentos"))
 
 
-@register("partners_enriched", O.ctes("stg_socios", "stg_paises", "stg_qualificacoes")
-          + O.PARTNERS_SQL.format(src="stg_socios"))
+@register("partners_enriched", O.ctes("stg_socios", "codes") + O.partners_sql())
 def q_partners_enriched(spark, sf_dir):
     return silver.partners_enriched(stg(spark, sf_dir, "socios"), stg(spark, sf_dir, "paises"),
                                     stg(spark, sf_dir, "qualificacoes"))
@@ -293,8 +294,9 @@ def q_active_latest_snapshot(spark, sf_dir):
         *(latest_snapshot(d[t]) for t in ["municipios", "cnaes", "naturezas", "motivos", "paises"]))
 
 
-_PARTNERS = O.ctes("stg_socios", "stg_paises", "stg_qualificacoes", extra=[
-    ("p", O.PARTNERS_SQL.format(src="stg_socios")),
+PARTNER_KEYS = ["cnpj_basico", "cnpj_cpf_socio"]
+_PARTNERS = O.ctes("stg_socios", "codes", extra=[
+    ("p", O.partners_sql()),
     ("t", "SELECT * FROM p WHERE _competencia = '2026-01'"),
     ("s0", "SELECT * FROM p WHERE _competencia > (SELECT max(_competencia) FROM t)"),
 ])
@@ -308,31 +310,26 @@ def q_incremental_since(spark, sf_dir):
     return inc.since(p, inc.watermark(target))
 
 
-def _dedup_sql(src: str, keys: list[str], cols: list[str]) -> str:
-    rest = [c for c in cols if c not in keys and c != "_competencia"]
-    order = ", ".join(["_competencia DESC NULLS LAST"] + [f"{c} DESC NULLS LAST" for c in rest])
-    return (f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY "
-            f"{', '.join(keys)} ORDER BY {order}) AS rn FROM {src}) WHERE rn = 1")
+_LATEST_PARTNERS = _PARTNERS + O.latest_sql("p", PARTNER_KEYS, silver.PARTNER_COLUMNS)
 
 
 def _upsert_sql(keys: list[str], cols: list[str], deletes: str | None = None) -> str:
-    match = " AND ".join(f"g.{k} IS NOT DISTINCT FROM t.{k}" for k in keys)
-    gone = f"SELECT {', '.join(keys)} FROM s"
-    if deletes:
-        gone += f" UNION ALL {deletes}"
-    return (f", s AS ({_dedup_sql('s0', keys, cols)}),\n g AS ({gone})\n"
-            f"SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM g WHERE {match})\n"
-            "UNION ALL SELECT * FROM s")
+    """Target and source together, each key's latest rows; deleted keys gone."""
+    gone = f" WHERE ({', '.join(keys)}) NOT IN ({deletes})" if deletes else ""
+    names = ", ".join(cols)
+    return (f", both_sides AS (SELECT {names} FROM t UNION ALL SELECT {names} FROM s0),\n"
+            f"final AS ({O.latest_sql('both_sides', keys, cols)})\nSELECT * FROM final{gone}")
 
 
-@register("upsert_composite_key", _PARTNERS.rstrip() + _upsert_sql(
-    ["cnpj_basico", "cnpj_cpf_socio"], silver.PARTNER_COLUMNS))
+@register("upsert_composite_key", _LATEST_PARTNERS)
 def q_upsert_composite_key(spark, sf_dir):
+    """A first load of 2026-01 and a merge of what is newer: all rows of each key's
+    latest month, partners without an id told apart by all they say."""
     p = silver.partners_enriched(stg(spark, sf_dir, "socios"), stg(spark, sf_dir, "paises"),
                                  stg(spark, sf_dir, "qualificacoes"))
-    target = p.where(F.col("_competencia") == "2026-01")
+    target = inc.upsert(None, p.where(F.col("_competencia") == "2026-01"), PARTNER_KEYS)
     source = inc.since(p, inc.watermark(target))
-    return inc.upsert(target, source, ["cnpj_basico", "cnpj_cpf_socio"])
+    return inc.upsert(target, source, PARTNER_KEYS)
 
 
 _ACTIVE_NEXT = O.ctes(*O.ACTIVE_DEPS, "stg_estabelecimentos_next", extra=[
@@ -369,10 +366,13 @@ def q_upsert_single_key(spark, sf_dir):
     deletes="SELECT cnpj FROM stg_estabelecimentos_next "
             "WHERE cod_situacao_cadastral IS DISTINCT FROM '02'"))
 def q_upsert_with_deletes(spark, sf_dir):
-    """As above, and establishments no longer active leave the mart (D5)."""
+    """The same merge on disk, and establishments no longer active leave the mart."""
     target, source, nxt = _active_next(spark, sf_dir)
     gone = nxt.where(~F.col("cod_situacao_cadastral").eqNullSafe("02")).select("cnpj")
-    return inc.upsert(target, source, ["cnpj"], deletes=gone)
+    root = work_dir(spark, "active_mart_deletes")
+    parts = ["uf", "ano_abertura"]
+    tables.write_version(target, root, partition_by=parts)
+    return tables.merge_into(spark, root, source, ["cnpj"], partition_by=parts, deletes=gone)
 
 
 # ------------------------------------------------------------ data checks
@@ -437,8 +437,8 @@ def _models(spark, sf_dir) -> dict[str, DataFrame]:
     }
 
 
-_DQ_ALL_CTES = O.ctes(*O.ACTIVE_DEPS, "stg_socios", "stg_qualificacoes", "int_estabelecimentos",
-                      extra=[("int_socios", O.PARTNERS_SQL.format(src="stg_socios")),
+_DQ_ALL_CTES = O.ctes(*O.ACTIVE_DEPS, "stg_socios", "int_estabelecimentos",
+                      extra=[("int_socios", O.partners_sql()),
                              ("mrt_dinamica_mensal", O.dynamics_body()),
                              ("mrt_estabelecimentos_ativos", O.active_sql())])
 
@@ -553,42 +553,166 @@ def q_bronze_monthly_dynamics(spark, sf_dir):
 
 
 
-def _built(spark, sf_dir, snapshot="as_loaded"):
-    """Landing zips -> bronze (month by month) -> silver -> gold, on disk.
+def snapshot_lake(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Landing zips of three full monthly snapshots of every table, and a second
+    landing folder with a re-issue of the last month's establishments."""
+    key = (*session_key(spark), sf_dir, "snapshots")
+    if key not in _LAKE:
+        base = work_dir(spark, "snapshots")
 
-    The first month is ingested and built, then the second month is
-    ingested and the build rerun, so the incremental models go through a
-    first load and one merge.
-    """
-    land, _ = lake(spark, sf_dir)
-    lh = Lakehouse(spark, work_dir(spark, "lakehouse"), snapshot=snapshot)
-    for period in ["2026-01", "2026-02"]:
-        lh.ingest(land, [period], EXTRACTION_DATE)
-        lh.build()
-    return lh
+        def write(job):
+            source, t, land = job
+            raw = raw_table(spark, sf_dir, source).withColumn("nome", F.expr(file_name_sql(t, "spark")))
+            landing.write_extracts(raw, land, f"{base}/staging/{source}", t).collect()
+
+        jobs = [(f"{t}_full", t, f"{base}/landing") for t in ALL_TABLES]
+        jobs.append(("estabelecimentos_reissued", "estabelecimentos", f"{base}/reissued"))
+        bronze.run_concurrently(write, jobs, 4)
+        _LAKE[key] = (f"{base}/landing", f"{base}/reissued")
+    return _LAKE[key]
 
 
 _LH: dict[tuple, Lakehouse] = {}
+ACTIVE_MODELS = ["stg_estabelecimentos", "stg_empresas", "stg_simples", *[f"stg_{t}" for t in DOMAIN_TABLES],
+                 "mrt_estabelecimentos_ativos"]
 
 
-def built(spark, sf_dir) -> Lakehouse:
-    key = (*session_key(spark), sf_dir)
+def lakehouse(spark: SparkSession, sf_dir: str, steps: tuple[tuple[str, ...], ...], targets: list[str] | None = None) -> Lakehouse:
+    """Landing zips -> bronze -> silver -> gold on disk, ``steps`` of months each
+    ingested and built before the next; kept for the session."""
+    key = (*session_key(spark), sf_dir, steps, tuple(targets or ()))
     if key not in _LH:
-        _LH[key] = _built(spark, sf_dir)
+        land, _ = snapshot_lake(spark, sf_dir)
+        lh = Lakehouse(spark, work_dir(spark, "lakehouse"))
+        for months in steps:
+            lh.backfill(land, list(months), EXTRACTION_DATE, targets)
+        _LH[key] = lh
     return _LH[key]
 
 
-@register("lakehouse_monthly_dynamics", O.dynamics_sql(null_safe=False))
+MONTHLY = tuple((m,) for m in SNAPSHOT_MONTHS)
+
+
+def built(spark: SparkSession, sf_dir: str) -> Lakehouse:
+    """All models, month after month: a first load and two merges."""
+    return lakehouse(spark, sf_dir, MONTHLY)
+
+
+_EST_NOW = [("est_now", O.latest_sql("stg_estabelecimentos_full", ["cnpj"], silver.CORE_COLUMNS))]
+_ACTIVE_FULL = O.ctes("stg_estabelecimentos_full", "stg_empresas_full", "stg_simples_full", "codes_full", extra=_EST_NOW) \
+    + O.active_sql(src="est_now", month_aware=True, suffix="_full")
+
+
+@register("lakehouse_active_establishments", _ACTIVE_FULL)
+def q_lakehouse_active_establishments(spark, sf_dir):
+    """The active mart after three snapshots loaded one by one: names, options, states
+    and labels of each establishment's latest month; closed ones are gone."""
+    return built(spark, sf_dir).table("mrt_estabelecimentos_ativos").select(*gold.ACTIVE_COLUMNS)
+
+
+@register("lakehouse_backfill_active", _ACTIVE_FULL)
+def q_lakehouse_backfill_active(spark, sf_dir):
+    """The same mart from one run over all three months."""
+    lh = lakehouse(spark, sf_dir, (tuple(SNAPSHOT_MONTHS),), ACTIVE_MODELS)
+    return lh.table("mrt_estabelecimentos_ativos").select(*gold.ACTIVE_COLUMNS)
+
+
+@register("lakehouse_active_after_closure", _ACTIVE_FULL)
+def q_lakehouse_active_after_closure(spark, sf_dir):
+    """One month, then two in one merge: an establishment active in the second and
+    closed in the third does not come back."""
+    lh = lakehouse(spark, sf_dir, (MONTHLY[0], tuple(SNAPSHOT_MONTHS[1:])), ACTIVE_MODELS)
+    return lh.table("mrt_estabelecimentos_ativos").select(*gold.ACTIVE_COLUMNS)
+
+
+@register("incremental_reissued_month", O.ctes(
+    "stg_estabelecimentos_full", "stg_estabelecimentos_reissued", "stg_empresas_full", "stg_simples_full", "codes_full", extra=[
+        ("est_all", "SELECT * FROM stg_estabelecimentos_full WHERE _competencia < '2026-03' "
+                    "UNION ALL SELECT * FROM stg_estabelecimentos_reissued"),
+        ("est_now", O.latest_sql("est_all", ["cnpj"], silver.CORE_COLUMNS))])
+    + O.active_sql(src="est_now", month_aware=True, suffix="_full"))
+def q_incremental_reissued_month(spark, sf_dir):
+    """The last month comes again with other names; ``refresh_months`` re-stages it
+    and the incremental mart takes its rows again."""
+    key = (*session_key(spark), sf_dir, "reissued")
+    if key not in _LH:
+        land, again = snapshot_lake(spark, sf_dir)
+        lh = Lakehouse(spark, work_dir(spark, "lakehouse"))
+        lh.backfill(land, SNAPSHOT_MONTHS, EXTRACTION_DATE, ACTIVE_MODELS)
+        lh.refresh_months = SNAPSHOT_MONTHS[-1:]
+        lh.ingest(again, lh.refresh_months, EXTRACTION_DATE, ["estabelecimentos"])
+        lh.build(ACTIVE_MODELS)
+        _LH[key] = lh
+    return _LH[key].table("mrt_estabelecimentos_ativos").select(*gold.ACTIVE_COLUMNS)
+
+
+@register("lakehouse_monthly_dynamics", O.ctes("stg_estabelecimentos_full", "stg_cnaes_full", extra=[
+    ("newest", "SELECT * FROM stg_estabelecimentos_full WHERE _competencia = '2026-03'"),
+    ("codes", "SELECT 'cnaes' AS kind, codigo, descricao FROM stg_cnaes_full WHERE _competencia = '2026-03'")])
+    + O.dynamics_body(src="newest"))
 def q_lakehouse_monthly_dynamics(spark, sf_dir):
+    """Dynamics of the latest of three snapshots."""
     return built(spark, sf_dir).table("mrt_dinamica_mensal").select(*gold.DYNAMICS_COLUMNS)
 
 
-@register("lakehouse_incremental_partners", ORACLE["upsert_composite_key"])
+@register("lakehouse_incremental_partners", O.ctes("stg_socios_full", "codes_full", extra=[
+    ("p", O.partners_sql("stg_socios_full", month_aware=True))]) + O.latest_sql("p", PARTNER_KEYS, silver.PARTNER_COLUMNS))
 def q_lakehouse_incremental_partners(spark, sf_dir):
-    """int_socios after a first load of 2026-01 and a merge of 2026-02."""
+    """int_socios after a first load and two merges."""
     return built(spark, sf_dir).table("int_socios").select(*silver.PARTNER_COLUMNS)
 
 
+@register("lakehouse_published_view", O.ctes("stg_estabelecimentos_full") + """SELECT _competencia, uf,
+ CAST(count(*) AS BIGINT) AS n_rows FROM stg_estabelecimentos_full GROUP BY _competencia, uf""")
+def q_lakehouse_published_view(spark, sf_dir):
+    """The view that a build publishes, by SQL."""
+    tables.publish(spark, "stg_estabelecimentos", built(spark, sf_dir).path("stg_estabelecimentos"))
+    return spark.sql("SELECT _competencia, uf, count(*) AS n_rows FROM stg_estabelecimentos GROUP BY _competencia, uf")
+
+
+@register("run_by_state", O.ctes(*O.ACTIVE_DEPS) + O.active_sql("AND uf IN ('AC', 'AL')"))
+def q_run_by_state(spark, sf_dir):
+    """The active mart built state by state (as loaded); each state loads whole."""
+    key = (*session_key(spark), sf_dir, "run_by")
+    if key not in _LH:
+        land, _ = lake(spark, sf_dir)
+        lh = Lakehouse(spark, work_dir(spark, "lakehouse"), snapshot="as_loaded")
+        lh.backfill(land, ["2026-01", "2026-02"], EXTRACTION_DATE, ACTIVE_MODELS[:-1])
+        ok, failed = lh.run_by(["AC", "AL"])
+        if failed:
+            raise RuntimeError(failed)
+        _LH[key] = lh
+    return _LH[key].table("mrt_estabelecimentos_ativos").select(*gold.ACTIVE_COLUMNS)
+
+
+# ------------------------------------------- views, parameters, small sinks
+
+@register("bronze_views_sql", O.ctes("raw_socios") + """SELECT _competencia, identificador_socio,
+ CAST(count(*) AS BIGINT) AS n_rows FROM raw_socios WHERE _competencia = '2026-02' GROUP BY ALL""")
+def q_bronze_views_sql(spark, sf_dir):
+    """Bronze registered as views, then an ad-hoc query with a parameter."""
+    _, bz = lake(spark, sf_dir)
+    catalog.register_bronze(spark, bz)
+    return catalog.query(spark, "SELECT _competencia, identificador_socio, count(*) AS n_rows FROM bronze_socios "
+                         "WHERE _competencia = :month GROUP BY _competencia, identificador_socio",
+                         args={"month": landing.period_of("2026-02-20")})
+
+
+for _fmt in ("parquet", "json", "csv"):
+    def _make_series(fmt):
+        def q(spark, sf_dir):
+            """Company records written as a dated series and read back."""
+            root = work_dir(spark, f"series-{fmt}")
+            rows = stg(spark, sf_dir, "empresas").select("cnpj_basico", "razao_social", "cod_porte_empresa")
+            series.write_series(rows, root, "empresas", "2026-02-20", fmt=fmt)
+            back = series.read_series(spark, root, "empresas", fmt=fmt)
+            return back.select(F.lpad(F.col("cnpj_basico").cast("string"), 8, "0").alias("cnpj_basico"), "razao_social",
+                               F.lpad(F.col("cod_porte_empresa").cast("string"), 2, "0").alias("cod_porte_empresa"))
+        return q
+    register(f"series_{_fmt}", O.ctes("stg_empresas") + "SELECT cnpj_basico, razao_social, cod_porte_empresa FROM stg_empresas")(
+        _make_series(_fmt))
+
+
 def _loss_sql() -> str:
     parts = []
     for t, cols in silver.PARSED.items():
@@ -621,9 +745,7 @@ def q_dq_parse_losses(spark, sf_dir):
 
 
 
-@register("streamed_partners", O.ctes("stg_socios", "stg_paises", "stg_qualificacoes", extra=[
-    ("s0", O.PARTNERS_SQL.format(src="stg_socios"))]) + _dedup_sql(
-        "s0", ["cnpj_basico", "cnpj_cpf_socio"], silver.PARTNER_COLUMNS))
+@register("streamed_partners", _LATEST_PARTNERS)
 def q_streamed_partners(spark, sf_dir):
     """Bronze partner files streamed (availableNow, several micro-batches),
     staged, enriched and merged latest-wins into a versioned table."""
@@ -639,6 +761,6 @@ def q_streamed_partners(spark, sf_dir):
 
 @register("active_establishments_hot_split", ORACLE["active_establishments"])
 def q_active_establishments_hot_split(spark, sf_dir):
-    """The active mart with companies of 4+ active establishments joined
-    through the broadcast path (same rows as the plain join)."""
+    """The active mart with companies of 4+ active establishments salted in the
+    joins (same rows as the plain join)."""
     return _active(spark, sf_dir, hot_key_rows=4)

@@ -43,20 +43,8 @@ RAW_COLUMNS: dict[str, list[str]] = {
     "qualificacoes": ["codigo", "descricao"],
 }
 
-# File-name prefix -> table, checked in this order ("estabelecimentos" before
-# anything else starting with "e").
-FILE_PREFIXES: list[tuple[str, str]] = [
-    ("estabelecimentos", "estabelecimentos"),
-    ("empresas", "empresas"),
-    ("socios", "socios"),
-    ("simples", "simples"),
-    ("cnaes", "cnaes"),
-    ("motivos", "motivos"),
-    ("municipios", "municipios"),
-    ("naturezas", "naturezas"),
-    ("paises", "paises"),
-    ("qualificacoes", "qualificacoes"),
-]
+# A landing file's name begins with its table's name.
+FILE_PREFIXES: list[tuple[str, str]] = [(t, t) for t in RAW_COLUMNS]
 
 # Company size code -> label (no entry -> null).
 PORTE_LABELS: list[tuple[str, str]] = [

@@ -65,7 +65,8 @@ def _next_version(spark: SparkSession, root: str) -> int:
 
 def _write_marker(spark: SparkSession, path: str, meta: dict) -> None:
     fs, hpath, jvm = _fs(spark, path)
-    out = fs.create(jvm.org.apache.hadoop.fs.Path(hpath, MARKER), True)
+    # Created, never overwritten: of two writers of one version, the second fails.
+    out = fs.create(jvm.org.apache.hadoop.fs.Path(hpath, MARKER), False)
     out.write(bytearray(json.dumps(meta).encode("utf-8")))
     out.close()
 
@@ -113,7 +114,9 @@ def layout(df: DataFrame, partition_by: list[str] | None = None,
 
 def _write(df: DataFrame, root: str, version: int, partition_by, sort_by,
            max_records_per_file) -> list[str]:
-    w = layout(df, partition_by, sort_by).write.mode("overwrite").format("parquet")
+    # Static: what an attempt without a marker left in this folder goes first.
+    w = (layout(df, partition_by, sort_by).write.mode("overwrite").format("parquet")
+         .option("partitionOverwriteMode", "static"))
     if partition_by:
         w = w.partitionBy(*partition_by)
     if max_records_per_file:
@@ -216,10 +219,19 @@ def publish(spark: SparkSession, name: str, root: str) -> DataFrame:
     return table
 
 
-def keys_unique(df: DataFrame, keys: list[str]) -> bool:
-    """True when no key (nulls compared as equal) occurs twice; reads the
-    key columns only and stops at the first duplicate group."""
-    return df.groupBy(*keys).count().where(F.col("count") > 1).limit(1).count() == 0
+def _values(rel: str) -> tuple[str | None, ...]:
+    """Partition values of a folder such as ``uf=SP/ano=2020``, as text."""
+    raw = [unquote(seg.partition("=")[2]) for seg in rel.split("/")]
+    return tuple(None if v == "__HIVE_DEFAULT_PARTITION__" else v for v in raw)
+
+
+def read_partitions(spark: SparkSession, root: str, meta: dict, rels: set[str], schema) -> DataFrame:
+    """Only the live partition folders ``rels`` of a version."""
+    names = schema.fieldNames()
+    if not rels:
+        return spark.createDataFrame([], schema)
+    paths = [f"{version_path(root, meta['manifest'][rel])}/{rel}" for rel in sorted(rels)]
+    return spark.read.option("basePath", root.rstrip("/")).schema(schema).parquet(*paths).select(*names)
 
 
 def merge_into(spark: SparkSession, root: str, source: DataFrame, keys: list[str],
@@ -231,14 +243,14 @@ def merge_into(spark: SparkSession, root: str, source: DataFrame, keys: list[str
     Unpartitioned tables are rewritten whole. Partitioned tables rewrite the
     touched partitions only: partitions receiving source rows, plus the
     partitions currently holding matched or deleted keys (a key may move).
-    Their new content is the old rows minus matched/deleted keys plus the
-    deduplicated source; untouched partitions stay where they are.
+    The key join runs once, on key columns, to name the folders; the write then
+    reads those folders and no others.
     """
-    from snaplake.operators.incremental import _key_match, latest_per_key, upsert
+    from snaplake.operators.incremental import drop_matched, latest_per_key, upsert
 
     current = read_table(spark, root, schema=source.schema, with_file=bool(partition_by))
     if current is None:
-        write_version(latest_per_key(source, keys, order), root, partition_by, sort_by)
+        write_version(upsert(None, source, keys, order, deletes), root, partition_by, sort_by)
         return read_table(spark, root, schema=source.schema).select(*source.columns)
     if not partition_by:
         merged = upsert(current.select(*source.columns), source, keys, order=order,
@@ -248,33 +260,26 @@ def merge_into(spark: SparkSession, root: str, source: DataFrame, keys: list[str
 
     # The source feeds three steps (touched partitions, the folders they
     # replace, the write): materialise it once in the shared checkpoint
-    # folder, which also cuts its lineage. Deduplication (a sort aggregate
-    # over whole rows) runs only when a key-only check finds duplicates.
-    src = source.checkpoint(eager=True)
-    if not keys_unique(src, keys):
-        src = latest_per_key(src, keys, order).checkpoint(eager=True)
-    gone = src.select(*keys)
-    if deletes is not None:
-        gone = gone.unionByName(deletes.select(*keys))
-    moved = current.join(gone, _key_match(current, gone, keys, null_safe), "left_semi")
-    touched = src.select(*partition_by).unionByName(moved.select(*partition_by)).distinct()
-    cond = None
-    for c in partition_by:
-        e = current[c].eqNullSafe(touched[c])
-        cond = e if cond is None else cond & e
-    old_rows = current.join(F.broadcast(touched), cond, "left_semi")
-    # Directories being replaced: one row per partition folder reaches the
-    # driver (bounded by the table's partition count, not its files).
+    # folder, which also cuts its lineage.
+    src = latest_per_key(source, keys, order).checkpoint(eager=True)
+    meta = read_meta(spark, root, committed_versions(spark, root)[-1])
     rel = F.regexp_extract("__file", r"/_v=[0-9]+/(.+)/[^/]+$", 1).alias("rel")
-    replaced = {unquote(r["rel"]) for r in old_rows.select(rel).distinct().collect()}
-    new_content = upsert(old_rows.select(*source.columns), src, keys, deletes=deletes,
-                         null_safe=null_safe, dedup=False)
-    prev_meta = read_meta(spark, root, committed_versions(spark, root)[-1])
+    moved = drop_matched(current, src, keys, order, null_safe, how="left_semi").select(rel)
+    if deletes is not None:
+        moved = moved.unionByName(current.join(deletes.select(*keys).distinct(), keys, "left_semi").select(rel))
+    # One row per partition folder reaches the driver, twice: bounded by the
+    # table's partition count, which the manifest holds anyway.
+    replaced = {unquote(r["rel"]) for r in moved.distinct().collect()}
+    receiving = {tuple(r) for r in src.select(*[F.col(c).cast("string") for c in partition_by]).distinct().collect()}
+    replaced |= {rel for rel in meta["manifest"] if _values(rel) in receiving}
+    replaced = {rel for rel in meta["manifest"] if rel in replaced or unquote(rel) in replaced}
+    old_rows = read_partitions(spark, root, meta, replaced, source.schema)
+    new_content = upsert(old_rows, src, keys, order, deletes=deletes, null_safe=null_safe, dedup=False)
     version = _next_version(spark, root)
     written = _write(new_content, root, version, partition_by, sort_by, None)
-    manifest = {rel: v for rel, v in prev_meta["manifest"].items() if rel not in replaced}
+    manifest = {rel: v for rel, v in meta["manifest"].items() if rel not in replaced}
     manifest.update({rel: version for rel in written})
-    counts = dict(prev_meta.get("written", {}), **{str(version): len(written)})
+    counts = dict(meta.get("written", {}), **{str(version): len(written)})
     _write_marker(spark, version_path(root, version), {
         "schema": json.loads(source.schema.json()),
         "partition_by": list(partition_by),
@@ -321,10 +326,6 @@ def replace_partitions(df: DataFrame, root: str, partition_by: list[str],
     return version
 
 
-def row_counts(df: DataFrame, by: list[str]) -> DataFrame:
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"))
-
-
 def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     """Delete files no reader of the last ``keep`` versions can reach.
 

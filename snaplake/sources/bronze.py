@@ -1,7 +1,7 @@
 """Bronze: raw extracts as Parquet with four metadata columns.
 
 Layout: ``<root>/tabela=<table>/competencia=<YYYY-MM>/part-*.parquet``
-(Snappy, at most ``max_records_per_file`` rows per file). Writing one table
+(Snappy; a file per zip, or at most ``max_records_per_file`` rows each if given). Writing one table
 for any number of months is one Spark job over all their zips; dynamic
 partition overwrite replaces exactly the months written, so a rerun is
 idempotent and shards of one month never overwrite each other.
@@ -16,7 +16,6 @@ from snaplake.schemas import ALL_TABLES, SOURCE_TAG, columns_of
 from snaplake.sources.zip_csv import ORIGIN_COLUMN, read_zips
 
 PERIOD_DIR = "competencia"
-MAX_RECORDS_PER_FILE = 100_000
 
 
 def with_metadata(df: DataFrame, period: str | None, extraction_date: str,
@@ -35,22 +34,8 @@ def with_metadata(df: DataFrame, period: str | None, extraction_date: str,
     return df.withColumns(cols)
 
 
-def scan_period(spark: SparkSession, landing_root: str, period: str, table: str,
-                extraction_date: str, na_tokens=None) -> DataFrame:
-    """One table of one period, straight from its landing zips, with metadata."""
-    columns_of(table)
-    from snaplake.sources.landing import list_files
-
-    listing = list_files(spark, landing_root, period).where(F.col("tabela") == table)
-    paths = [r["path"] for r in listing.select("path").collect()]  # one row per zip
-    if not paths:
-        raise FileNotFoundError(f"no {table} zips for {period} under {landing_root}")
-    df = read_zips(spark, paths, table=table, na_tokens=na_tokens)
-    return with_metadata(df, period, extraction_date)
-
-
 def write_table(df: DataFrame, root: str, table: str,
-                max_records_per_file: int = MAX_RECORDS_PER_FILE) -> None:
+                max_records_per_file: int = 0) -> None:
     """Write bronze rows of ``table`` (any months) under ``root/tabela=table``.
 
     No shuffle: each scan task (one zip) writes its own files into its

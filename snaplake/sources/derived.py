@@ -144,6 +144,46 @@ _TEMPLATES["estabelecimentos_next"] = _next_snapshot(_TEMPLATES["estabelecimento
 # Derived tables that are not raw extracts of their own, and their layout.
 VARIANTS = {"estabelecimentos_next": "estabelecimentos"}
 
+SNAPSHOT_MONTHS = ["2026-01", "2026-02", "2026-03"]
+_PERIODS = ["case when o_orderkey%2=0 then '2026-01' else '2026-02' end _competencia", "'2026-01' _competencia"]
+
+# What changes from one full snapshot to the next, per table: (text, new text).
+_CHANGES = {
+    "empresas": [("c_name razao_social", "c_name||' {N}' razao_social")],
+    "simples": [("c_custkey%2=0 then 'S'", "(c_custkey+{I})%2=0 then 'S'")],
+    "socios": [("'SOCIO '||cast", "case when o_orderkey%7=0 then 'SOCI{I} ' else 'SOCIO ' end||cast"),
+               ("cast(o_orderkey%9 as {S}),2,'0') qualificacao_socio", "cast((o_orderkey+{I})%9 as {S}),2,'0') qualificacao_socio"),
+               ("from {orders}", "from {orders} where (o_orderkey+{I})%11<>0")],
+    "estabelecimentos": [
+        ("case when o_orderstatus='O' then '02'",
+         "case when (o_orderkey+{I})%3=0 and o_orderstatus='O' then '08' when (o_orderkey+{I})%3=0 then '02' when o_orderstatus='O' then '02'"),
+        ("{UF} uf", "case when (o_orderkey+{I})%4=0 then {UF2} else {UF} end uf"),
+        ("on o_custkey=c_custkey", "on o_custkey=c_custkey where (o_orderkey+{I})%13<>0")],
+}
+_LABELS = [("' '||n_name descricao", "' '||n_name||' {N}' descricao"), ("n_name descricao", "n_name||' {N}' descricao"),
+           ("r_name descricao", "r_name||' {N}' descricao")]
+
+
+def _snapshot(table: str, month: str, reissued: bool = False) -> str:
+    """One month's full snapshot of ``table``: companies are renamed, options, states
+    and statuses change, labels too, and some rows are absent in some months."""
+    i = SNAPSHOT_MONTHS.index(month)
+    text = _TEMPLATES[table]
+    for old, new in _CHANGES.get(table, _LABELS[:1] if _LABELS[0][0] in _TEMPLATES[table] else _LABELS[1:]):
+        text = text.replace(old, new.replace("{I}", str(i)).replace("{N}", f"M{i + 1}"))
+    for period in _PERIODS:
+        text = text.replace(period, f"'{month}' _competencia")
+    return text.replace("'LOJA '||", "'LOJA NOVA '||") if reissued else text
+
+
+for _table in list(_TEMPLATES):
+    if _table in VARIANTS:
+        continue
+    _TEMPLATES[f"{_table}_full"] = "\nUNION ALL\n".join(_snapshot(_table, m) for m in SNAPSHOT_MONTHS)
+    VARIANTS[f"{_table}_full"] = _table
+_TEMPLATES["estabelecimentos_reissued"] = _snapshot("estabelecimentos", SNAPSHOT_MONTHS[-1], reissued=True)
+VARIANTS["estabelecimentos_reissued"] = "estabelecimentos"
+
 
 def raw_sql(table: str, dialect: str) -> str:
     """SQL text deriving raw ``table`` from the base tables.
@@ -165,38 +205,14 @@ def raw_sql(table: str, dialect: str) -> str:
 _BASE_CACHE: dict[tuple, DataFrame] = {}
 
 
-# The test tables are single Parquet row groups, which Spark cannot split;
-# above this many rows the scan is spread over the session's cores before
-# the (string-heavy) derivation runs.
-SPREAD_MIN_ROWS = 50_000
-
-
 def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A base test table; the lazy frame is reused within a session."""
     key = (*session_key(spark), sf_dir.rstrip("/"), name)
     if key not in _BASE_CACHE:
-        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores and _rows(sf_dir, name) >= SPREAD_MIN_ROWS:
-            df = df.repartition(cores)
-        _BASE_CACHE[key] = df
+        _BASE_CACHE[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return _BASE_CACHE[key]
 
 
-def _rows(sf_dir: str, name: str) -> int:
-    """Row count from the Parquet footer (no scan)."""
-    try:
-        import pyarrow.parquet as pq
-
-        return pq.ParquetFile(f"{sf_dir.rstrip('/')}/{name}.parquet").metadata.num_rows
-    except Exception:  # noqa: BLE001 - a remote path: leave the scan as it is
-        return 0
-
-
-def base_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: base_table(spark, sf_dir, t) for t in BASE_TABLES}
-
-
 def raw_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """Raw extract ``table`` (all strings + ``_competencia``, ``_data_extracao``)."""
     text = raw_sql(table, "spark")
@@ -204,11 +220,6 @@ def raw_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.sql(text, **used)
 
 
-def raw_tables(spark: SparkSession, sf_dir: str, tables=None) -> dict[str, DataFrame]:
-    from snaplake.schemas import ALL_TABLES
-    return {t: raw_table(spark, sf_dir, t) for t in (tables or ALL_TABLES)}
-
-
 # Landing file name of each raw row: the three large tables are sharded into
 # ten zips by a number carried in the row, the others are single files.
 _FILE_NAME = {

@@ -9,7 +9,7 @@ path and merged into a versioned table by ``foreachBatch``.
 
 The merge is idempotent (merging a batch twice equals merging it once), so
 a micro-batch replayed after an executor or driver loss leaves the table as
-if it ran once. Across batches the row with the latest period wins, so the
+if it ran once. Across batches all rows of a key's latest period stay, so the
 result does not depend on the order files are picked up.
 """
 
@@ -77,7 +77,13 @@ def stream_merge(stream: DataFrame, root: str, keys: list[str],
     return w.start()
 
 
-def run_until_done(query: StreamingQuery, timeout_s: int = 3600) -> None:
-    query.awaitTermination(timeout_s)
+def run_until_done(query: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait for the stream to end; with a limit, stop it and raise when it is missed,
+    so that a partial table never passes for a whole one."""
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
+        query.stop()
+        raise TimeoutError(f"the stream did not end within {timeout_s} s; its table is incomplete")
     if query.exception() is not None:
         raise query.exception()

@@ -27,16 +27,95 @@ def test_upsert_order_insensitive_and_latest_wins(spark):
     s1 = spark.createDataFrame([("a", "x", 1, "AC", "2026-01"), ("a", "x", 2, "AC", "2026-02"),
                                 ("a", "x", 0, "AC", "2026-02")], SCHEMA)
     s2 = spark.createDataFrame(list(reversed(s1.collect())), SCHEMA)
-    assert rows(upsert(None, s1, ["k"])) == rows(upsert(None, s2, ["k"])) == [("a", "x", 2, "AC", "2026-02")]
+    # every row of the latest month stays, older ones go
+    assert rows(upsert(None, s1, ["k"])) == rows(upsert(None, s2, ["k"])) == [
+        ("a", "x", 0, "AC", "2026-02"), ("a", "x", 2, "AC", "2026-02")]
 
 
 def test_upsert_composite_null_safe(spark):
     t = spark.createDataFrame([("a", None, 1, "AC", "2026-01"), ("a", "y", 1, "AC", "2026-01")], SCHEMA)
-    s = spark.createDataFrame([("a", None, 9, "AC", "2026-02")], SCHEMA)
+    s = spark.createDataFrame([("a", None, 9, "AC", "2026-02"), ("a", None, 1, "AC", "2026-02")], SCHEMA)
     got = rows(upsert(t, s, ["k", "k2"]))
-    assert got == [("a", "y", 1, "AC", "2026-01"), ("a", None, 9, "AC", "2026-02")]
-    # plain equality would keep both null-keyed rows
-    assert len(rows(upsert(t, s, ["k", "k2"], null_safe=False))) == 3
+    # without a whole key, only a row that says the same is replaced
+    assert got == rows(spark.createDataFrame([("a", "y", 1, "AC", "2026-01"), ("a", None, 1, "AC", "2026-02"),
+                                              ("a", None, 9, "AC", "2026-02")], SCHEMA))
+    # plain equality would keep the old null-keyed row as well
+    assert len(rows(upsert(t, s, ["k", "k2"], null_safe=False))) == 4
+
+
+PARTNER = "cnpj_basico string, cnpj_cpf_socio string, nome string, _competencia string"
+
+
+def test_partners_without_id_all_survive(spark):
+    rows_ = [("1", None, "ANA", "2026-01"), ("1", None, "BIA", "2026-01"), ("1", "9", "CAIO", "2026-01")]
+    jan = spark.createDataFrame(rows_, PARTNER)
+    feb = spark.createDataFrame([(a, b, c, "2026-02") for a, b, c, _ in rows_[1:]], PARTNER)
+    keys = ["cnpj_basico", "cnpj_cpf_socio"]
+    got = rows(upsert(upsert(None, jan, keys), feb, keys))
+    assert {(r[2], r[3]) for r in got} == {("ANA", "2026-01"), ("BIA", "2026-02"), ("CAIO", "2026-02")}
+    assert got == rows(upsert(None, jan.unionByName(feb), keys))
+
+
+def test_deletes_win_over_the_source(spark):
+    s = spark.createDataFrame([("a", "x", 1, "AC", "2026-02"), ("b", "x", 1, "AC", "2026-02")], SCHEMA)
+    gone = spark.createDataFrame([("a",)], "k string")
+    assert [r[0] for r in rows(upsert(None, s, ["k"], deletes=gone))] == ["b"]
+
+
+def test_leftovers_of_a_failed_write_are_never_published(spark, scratch):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")  # as build_session sets it
+    try:
+        root = f"{scratch}/ghost"
+        t = spark.createDataFrame([("a", "x", 1, "AC", "2026-01"), ("b", "x", 2, "SP", "2026-01")], SCHEMA)
+        s = spark.createDataFrame([("a", "x", 9, "AC", "2026-02")], SCHEMA)
+        ghost = spark.createDataFrame([("ghost", "x", 0, "ZZ", "2026-01")], SCHEMA)
+        tables.write_version(t, root, partition_by=["uf"])
+        ghost.write.partitionBy("uf").parquet(tables.version_path(root, 2))
+        out = tables.merge_into(spark, root, s, ["k"], partition_by=["uf"])
+        assert {r.k for r in out.collect()} == {"a", "b"}
+        ghost.write.partitionBy("uf").parquet(tables.version_path(root, 3))
+        tables.write_version(t, root, partition_by=["uf"])
+        assert {r.k for r in tables.read_table(spark, root).collect()} == {"a", "b"}
+        ghost.write.partitionBy("uf").parquet(tables.version_path(root, 4))
+        tables.replace_partitions(s, root, ["uf"], "uf", ["AC"])
+        assert {r.k for r in tables.read_table(spark, root).collect()} == {"a", "b"}
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_second_writer_of_a_version_fails(spark, scratch):
+    import pytest
+    root = f"{scratch}/two"
+    tables.write_version(spark.createDataFrame([("a", "x", 1, "AC", "2026-01")], SCHEMA), root)
+    with pytest.raises(Exception, match="already exists|FileAlreadyExists"):
+        tables._write_marker(spark, tables.version_path(root, 1), {})
+
+
+def test_merge_reads_only_touched_partitions(spark, scratch):
+    root = f"{scratch}/pruned"
+    t = spark.createDataFrame([(str(i), "x", i, uf, "2026-01") for i, uf in enumerate(["AC", "SP", "RJ"])], SCHEMA)
+    tables.write_version(t, root, partition_by=["uf"])
+    meta = tables.read_meta(spark, root, 1)
+    got = tables.read_partitions(spark, root, meta, {"uf=SP"}, t.schema)
+    assert all("uf=SP" in f for f in got.inputFiles()) and got.count() == 1
+
+
+def test_stream_that_misses_its_limit_raises(spark):
+    import pytest
+
+    from snaplake.streaming.incremental import run_until_done
+
+    class Slow:
+        stopped = False
+
+        def awaitTermination(self, timeout=None):
+            return False
+
+        def stop(self):
+            self.stopped = True
+
+    with pytest.raises(TimeoutError):
+        run_until_done(Slow(), 0.1)
 
 
 def test_upsert_keys_unique_after(spark):

@@ -6,8 +6,10 @@ import __spark_entry__ as E
 from oracle_harness import compare, duck
 
 SF = "/root/testdata/sf0.001"
-SQL = E.oracle_sql()
-QUERIES = E.queries()
+from snaplake import queries as Q  # noqa: E402
+
+SQL = Q.ORACLE
+QUERIES = {name: fn for name, fn in E.queries().items() if name in Q.SPARK}
 
 
 @pytest.fixture(scope="module")

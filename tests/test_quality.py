@@ -32,10 +32,9 @@ def test_status_column(spark):
     assert [(r.failures, r.status) for r in rep.collect()] == [(1, "FAIL")]
 
 
-def test_snapshot_join_never_multiplies_months(spark):
-    from snaplake.operators.enrich import snapshot_join
-    est = spark.createDataFrame([("1", "2026-01"), ("1", "2026-02")], "cnpj_basico string, _competencia string")
-    emp = spark.createDataFrame([("1", "A", "2026-01"), ("1", "B", "2026-02")],
-                                "cnpj_basico string, razao_social string, _competencia string")
-    got = sorted(tuple(r) for r in snapshot_join(est, emp, ["cnpj_basico"]).collect())
-    assert got == [("1", "2026-01", "A"), ("1", "2026-02", "B")]
+def test_lookup_by_month_never_multiplies(spark):
+    from snaplake.operators.enrich import lookup
+    est = spark.createDataFrame([("1", "2026-01"), ("1", "2026-02"), ("9", "2026-02")], "cod string, _competencia string")
+    dim = spark.createDataFrame([("1", "old", "2026-01"), ("1", "new", "2026-02")], "codigo string, descricao string, _competencia string")
+    got = sorted(tuple(r) for r in lookup(est, dim, "cod", "nome", period="_competencia").fillna("-").collect())
+    assert got == [("1", "2026-01", "old"), ("1", "2026-02", "new"), ("9", "2026-02", "-")]

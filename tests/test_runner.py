@@ -17,7 +17,7 @@ def test_period_of():
 
 def test_batch_by_state_loads_every_state(spark):
     land, _ = Q.lake(spark, SF)
-    lh = Lakehouse(spark, work_dir(spark, "runner-test"))
+    lh = Lakehouse(spark, work_dir(spark, "runner-test"), snapshot="as_loaded")
     lh.backfill(land, ["2026-01", "2026-02"], "2026-02-20",
                 targets=[m for m in ["stg_estabelecimentos", "stg_empresas", "stg_simples"]])
     for t in ["stg_cnaes", "stg_municipios", "stg_naturezas", "stg_motivos", "stg_paises"]:
@@ -55,7 +55,7 @@ def test_checks_on_built_models(spark):
     rep = {(r.model, r.column_name, r.test_name): r.failures for r in rows}
     assert len(rep) == 40 and {r.status for r in rows} <= {"PASS", "FAIL"}
     assert rep[("mrt_estabelecimentos_ativos", "cod_situacao_cadastral", "accepted_values")] == 0
-    assert rep[("stg_estabelecimentos", "cnpj", "unique")] == 0
+    assert rep[("mrt_estabelecimentos_ativos", "cnpj", "unique")] == 0
 
 
 def test_gold_filters_reach_the_silver_scan(spark):
@@ -75,25 +75,24 @@ def test_latest_snapshot_from_manifest(spark):
     from snaplake.sinks import tables
     lh = Q.built(spark, SF)
     assert tables.partition_values(spark, lh.path("stg_estabelecimentos"), "_competencia") == \
-        ["2026-01", "2026-02"]
+        ["2026-01", "2026-02", "2026-03"]
     latest = Lakehouse(spark, lh.root, snapshot="latest")
     df = latest._latest("stg_estabelecimentos", lh.table("stg_estabelecimentos"))
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "Subquery" not in plan and "2026-02" in plan
-    assert {r._competencia for r in df.select("_competencia").distinct().collect()} == {"2026-02"}
+    assert "Subquery" not in plan and "2026-03" in plan
+    assert {r._competencia for r in df.select("_competencia").distinct().collect()} == {"2026-03"}
 
 
 def test_month_tables_load_only_new_months(spark):
     from snaplake.sinks import tables
-    lh = Q.built(spark, SF)   # built 2026-01 first, then 2026-02
+    lh = Q.built(spark, SF)   # built month after month
     root = lh.path("stg_estabelecimentos")
     versions = tables.committed_versions(spark, root)
     meta = tables.read_meta(spark, root, versions[-1])
     owners = {rel.split("/")[-1]: v for rel, v in meta["manifest"].items()}
-    # 2026-01 partitions were written once (version 1) and carried over;
-    # the second build wrote only 2026-02
-    assert {v for k, v in owners.items() if k == "_competencia=2026-01"} == {versions[0]}
-    assert {v for k, v in owners.items() if k == "_competencia=2026-02"} == {versions[-1]}
+    # each month's partitions were written once and then carried over
+    for month, version in zip(["2026-01", "2026-02", "2026-03"], versions):
+        assert {v for k, v in owners.items() if k == f"_competencia={month}"} == {version}
     # a rebuild with nothing new writes no version
     lh.build(["stg_estabelecimentos"])
     assert tables.committed_versions(spark, root) == versions

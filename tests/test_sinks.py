@@ -5,14 +5,14 @@ from snaplake.sources import catalog
 
 
 def test_series_formats_roundtrip(spark, scratch):
-    df = spark.createDataFrame([("Alice", 30), ("Bob", 25), ("Carol", 35)], "nome string, idade int")
+    df = spark.createDataFrame([("AC", 22), ("RJ", 92), ("TO", 139)], "uf string, municipios int")
     for fmt in ["parquet", "json", "csv"]:
         root = f"{scratch}/{fmt}"
-        series.write_series(df, root, "pessoas", "2026-03-26", fmt=fmt)
-        series.write_series(df, root, "pessoas", "2026-03-26", fmt=fmt)  # rerun replaces
-        back = series.read_series(spark, root, "pessoas", fmt=fmt)
+        series.write_series(df, root, "estados", "2026-03-26", fmt=fmt)
+        series.write_series(df, root, "estados", "2026-03-26", fmt=fmt)  # rerun replaces
+        back = series.read_series(spark, root, "estados", fmt=fmt)
         assert back.count() == 3
-        assert {r["nome"] for r in back.collect()} == {"Alice", "Bob", "Carol"}
+        assert {r["uf"] for r in back.collect()} == {"AC", "RJ", "TO"}
 
 
 def test_full_refresh_and_publish(spark, scratch):

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from snaplake.operators.enrich import hot_keys, split_hot_join
@@ -18,18 +19,27 @@ def test_split_hot_join_equals_join_with_a_third_on_one_key(spark):
     assert split.count() == n  # nothing dropped, nothing duplicated
 
 
-def test_company_side_single_shuffle(spark):
-    """Without broadcasts: one shuffled join between establishments and the company side."""
-    import sys
-    sys.path.insert(0, "/root/repo")
+def test_split_hot_join_refuses_right_and_full(spark):
+    df = spark.createDataFrame([("a", 1)], "k string, v int")
+    for how in ("right", "full"):
+        with pytest.raises(ValueError):
+            split_hot_join(df, df.withColumnRenamed("v", "w"), ["k"], how)
+
+
+def test_company_side_reduced_and_three_exchanges(spark):
+    """Without broadcasts: establishments, companies and tax regime are each shuffled
+    once; with a state filter both sides are first reduced to its companies."""
     from snaplake import queries as Q
+    from snaplake.plans import gold
+    sf = "/root/testdata/sf0.001"
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        df = Q.SPARK["active_establishments"](spark, "/root/testdata/sf0.001")
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        # one shuffled left join for the establishments (AQE can split a hot
-        # company's partition there), companies x tax pre-joined
-        assert plan.count("LeftOuter") - plan.count("BroadcastHashJoin") == 1
-        assert "FullOuter" in plan
+        d = Q.dims(spark, sf)
+        args = (Q.stg(spark, sf, "estabelecimentos"), Q.stg(spark, sf, "empresas"), Q.stg(spark, sf, "simples"),
+                d["municipios"], d["cnaes"], d["naturezas"], d["motivos"], d["paises"])
+        plan = gold.active_establishments(*args)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") <= 3 and "FullOuter" not in plan  # one of them makes the fixture
+        plan = gold.active_establishments(*args, uf="RJ")._jdf.queryExecution().executedPlan().toString()
+        assert "LeftSemi" in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
