@@ -20,6 +20,7 @@ Copies are never expanded into pairs, and no link between different sets is lost
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,45 +35,78 @@ from snaplake.llm.common import connected_components, free_name, settle, text_sl
 
 WORDS = 5
 PERCENT = 80
-BITS = 18  # of the table of counts
+BITS = 21  # of the table of counts
+SKETCH = 256
 MAP_BITS = 23  # of the bitmap of candidates
 SHORT = 16
 BLOCK = 2000
 BUCKET_BYTES = 16 << 20
-KEPT = 300_000
+HALF = np.uint64(1 << 63)
 ENTRY = np.dtype([("token", "<u4"), ("rep", "<i8"), ("n", "<i4"), ("pos", "<i4")])
 
 
-class _WordHash(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = out = xxhash.xxh3_64_intdigest(word)
-        return out
-
-
-_HASH = _WordHash()
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
+_ROOT = 0xD1342543DE82EF95
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+_BYTE = _mix(np.arange(1, 257, dtype=np.uint64) * _ODD[0])
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of the root and of its inverse, modulo 2 ** 64."""
+    if len(_POWERS[0]) < n:
+        for k, root in enumerate((_ROOT, pow(_ROOT, -1, 1 << 64))):
+            steps = np.full(max(n, 1 << 20), root, np.uint64)
+            steps[0] = 1
+            _POWERS[k] = np.cumprod(steps)
+    return _POWERS
+
+
+def shingle_sets(texts: list[str | None], words: int = WORDS) -> list[np.ndarray]:
+    """For each text, sorted hashes of the distinct shingles: runs of ``words`` words, or
+    all words of a shorter text; words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z.
+
+    Words are hashed from differences of one running sum over the bytes of all texts."""
+    raw = [(t or "").encode().lower() for t in texts]
+    flat = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
+    ends_of = np.cumsum([len(x) + 1 for x in raw])
+    up, down = _powers(len(flat))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[flat] * up[:len(flat)])])
+    edge = np.flatnonzero(np.diff(np.concatenate([[True], _BLANK[flat]]).view(np.int8)))
+    start, end = edge[::2], edge[1::2]
+    word = _mix((total[end] - total[start]) * down[start])
+    last = np.searchsorted(start, ends_of)  # words up to and including each text
+    odd = _ODD if words <= len(_ODD) else np.cumprod(np.full(words, _ODD[0])) | np.uint64(1)
+    whole = np.full(max(0, len(word) - words + 1), words, np.uint64)
+    for i in range(words):
+        whole += word[i:len(word) - words + 1 + i] * odd[i]
+    whole = _mix(whole)
+    out, first = [], 0
+    for stop in last.tolist():
+        n = stop - first
+        if n >= words:
+            own = np.sort(whole[first:stop - words + 1])
+            own = own[np.concatenate([[True], own[1:] != own[:-1]])]
+        elif n:
+            own = _mix(np.array([n], np.uint64) + (word[first:stop] * odd[:n]).sum(dtype=np.uint64))
+        else:
+            own = np.zeros(0, np.uint64)
+        out.append(own)
+        first = stop
+    return out
 
 
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
-    """Sorted hashes of the distinct shingles: runs of ``words`` words, or all words
-    of a shorter text; words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z."""
-    own = (text or "").encode().lower().split()
-    if not own:
-        return np.zeros(0, np.uint64)
-    if len(_HASH) > KEPT:
-        _HASH.clear()
-    h = np.fromiter(map(_HASH.__getitem__, own), np.uint64, len(own))
-    k = min(words, len(h))
-    out = np.full(len(h) - k + 1, k, np.uint64)
-    odd = _ODD if k <= len(_ODD) else np.cumprod(np.full(k, _ODD[0])) | np.uint64(1)
-    for i in range(k):
-        out += h[i:len(h) - k + 1 + i] * odd[i]
-    out ^= out >> np.uint64(30)
-    out *= np.uint64(0xBF58476D1CE4E5B9)
-    out ^= out >> np.uint64(27)
-    out *= np.uint64(0x94D049BB133111EB)
-    out ^= out >> np.uint64(31)
-    return np.unique(out)
+    return shingle_sets([text], words)[0]
 
 
 def _class_of(own: np.ndarray) -> tuple[int, int]:
@@ -85,63 +119,82 @@ def least_overlap(na, nb, percent: int):
     return -(-percent * (na + nb) // (100 + percent))
 
 
-def _folded(blobs: DataFrame, kind: str, merge) -> np.ndarray | None:
-    """Combine equally long arrays, one per task, to a few, and those on the driver;
-    the size is fixed whatever the corpus."""
+def _fold(blobs: DataFrame, parts: int, merge) -> DataFrame:
+    """Combine packed arrays of one fixed size, first ``parts`` ways, then in one task."""
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in batches:
             for blob in batch.column(0):
-                part = np.frombuffer(blob.as_buffer(), kind)
+                part = np.frombuffer(zlib.decompress(blob.as_buffer()), "<u4")
                 total = part.copy() if total is None else merge(total, part)
         if total is not None:
-            yield pa.record_batch({"blob": pa.array([total.tobytes()], pa.binary())})
+            yield pa.record_batch({"blob": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
+
+    for n in (parts, 1):
+        blobs = blobs.repartition(n).mapInArrow(fold, "blob binary")
+    return blobs
+
+
+def _packed(array: np.ndarray) -> pa.Array:
+    return pa.array([zlib.compress(array.tobytes(), 1)], pa.binary())
 
-    total = None
-    for row in blobs.repartition(8).mapInArrow(fold, "blob binary").collect():
-        part = np.frombuffer(row["blob"], kind)
-        total = part if total is None else merge(total, part)
-    return total
+
+def _place(hashes: np.ndarray) -> np.ndarray:
+    """Counter of each shingle in the lower half of the hash range, where prefixes lie."""
+    return (hashes >> np.uint64(63 - BITS)).astype(np.int64)
 
 
 def _classes(docs: DataFrame, words: int) -> DataFrame:
     """(doc_id, n, h1, h2) per row, and a row with counts per task (n = -1)."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << BITS, "<u8")
+        counts = np.zeros(1 << BITS, "<u4")
         for batch in text_slices(batches):
-            sets = [shingles(text, words) for text in batch.column(1).to_pylist()]
+            sets = shingle_sets(batch.column(1).to_pylist(), words)
             if sets:
-                counts += np.bincount((np.concatenate(sets) >> np.uint64(64 - BITS)).astype(np.int64), minlength=1 << BITS).astype("<u8")
+                every = np.concatenate(sets)
+                counts += np.bincount(_place(every[every < HALF]), minlength=1 << BITS).astype("<u4")
             one, two = zip(*map(_class_of, sets)) if sets else ((), ())
             yield pa.record_batch({"doc_id": batch.column(0), "n": pa.array([len(x) for x in sets], pa.int64()), "h1": pa.array(one, pa.int64()),
                                    "h2": pa.array(two, pa.int64()), "blob": pa.nulls(len(sets), pa.binary())})
         if counts.any():
             yield pa.record_batch({"doc_id": pa.nulls(1, pa.int64()), "n": pa.array([-1], pa.int64()), "h1": pa.nulls(1, pa.int64()),
-                                   "h2": pa.nulls(1, pa.int64()), "blob": pa.array([counts.tobytes()], pa.binary())})
+                                   "h2": pa.nulls(1, pa.int64()), "blob": _packed(counts)})
 
     return settle(docs.mapInArrow(make, "doc_id long, n long, h1 long, h2 long, blob binary"), "shingle-classes")
 
 
-def _levels(counts: np.ndarray | None) -> np.ndarray:
-    """Order level by count: 0 up to four times the mean, then by powers of two."""
-    if counts is None:
-        return np.zeros(1 << BITS, np.uint8)
-    usual = 4 * counts.mean() + 8
-    return np.maximum(0, np.ceil(np.log2(np.maximum(counts, 1) / usual))).astype(np.uint8)
+def _levels(counts: DataFrame) -> np.ndarray:
+    """Order level by count: 0 up to what chance makes of rare shingles that share
+    a counter, then by powers of two. A byte per counter reaches the driver."""
+    def level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blob in batch.column(0):
+                got = np.frombuffer(zlib.decompress(blob.as_buffer()), "<u4").astype(float)
+                usual = got.mean() + 6 * np.sqrt(got.mean()) + 8
+                yield pa.record_batch({"blob": _packed(np.maximum(0, np.ceil(np.log2(np.maximum(got, 1) / usual))).astype("u1"))})
+
+    rows = _fold(counts, 64, np.add).mapInArrow(level, "blob binary").collect()
+    return np.frombuffer(zlib.decompress(rows[0]["blob"]), "u1") if rows else np.zeros(1 << BITS, np.uint8)
+
+
+def _level_of(hashes: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(hashes), np.uint8)
+    low = int(np.searchsorted(hashes, HALF))
+    out[:low] = levels[_place(hashes[:low])]
+    return out
 
 
 def _prefixes(docs: DataFrame, levels: np.ndarray, words: int, percent: int) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(levels)  # a byte per count, of fixed size
+    sent = docs.sparkSession.sparkContext.broadcast(levels)  # a byte per counter, of fixed size
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = sent.value
         for batch in text_slices(batches):
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = shingles(text, words)
+            for doc, own in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), words)):
                 if doc is None or not len(own):
                     continue
-                lv = level[(own >> np.uint64(64 - BITS)).astype(np.int64)]
+                lv = _level_of(own, level)
                 most = len(own) + percent * len(own) // -100 + 1
                 head = own[np.argsort(lv, kind="stable")[:most]] if lv.any() else own[:most]
                 rows.append((doc, *_class_of(own), len(own), head.tobytes()))
@@ -253,32 +306,58 @@ def _spot(ids: np.ndarray) -> np.ndarray:
     return (x >> np.uint64(64 - MAP_BITS)).astype(np.int64)
 
 
-def verified(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
-    """(a, b, na, nb, common) for candidate pairs. A bitmap of fixed size keeps
-    most other documents' sets from being made; the joins are exact."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+def _counts(own: np.ndarray) -> bytes:
+    """Shingles by the last bits of their hash, 255 for that many or more: summed
+    minima of two such tables are no less than what the sets share."""
+    return np.minimum(np.bincount((own & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH), 255).astype("u1").tobytes()
+
 
+def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b, na, nb, common) for the candidate pairs that can reach the threshold by
+    a bound from small tables of counts; only their sets are joined. A bitmap of
+    fixed size keeps most other documents' sets from being made; the joins are exact."""
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(1 << MAP_BITS, bool)
         for batch in batches:
             bits[_spot(batch.column(0).to_numpy())] = True
-        yield pa.record_batch({"blob": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+        yield pa.record_batch({"blob": _packed(np.packbits(bits))})
 
-    bits = _folded(ids.mapInArrow(mark, "blob binary"), "u1", np.bitwise_or)
-    sent = docs.sparkSession.sparkContext.broadcast(np.unpackbits(bits).astype(bool) if bits is not None else np.zeros(1 << MAP_BITS, bool))
+    def sets_of(ids: DataFrame, schema: str, tell) -> DataFrame:
+        rows = _fold(ids.mapInArrow(mark, "blob binary"), 8, np.bitwise_or).collect()
+        bits = np.unpackbits(np.frombuffer(zlib.decompress(rows[0]["blob"]), "u1")) if rows else np.zeros(1 << MAP_BITS, "u1")
+        sent = docs.sparkSession.sparkContext.broadcast(bits.astype(bool))  # of fixed size
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches):
-            batch = batch.filter(pa.compute.is_valid(batch.column(0)))
-            batch = batch.filter(pa.array(sent.value[_spot(batch.column(0).to_numpy())]))
-            own = [shingles(t, words) for t in batch.column(1).to_pylist()]
-            yield pa.record_batch({"doc_id": batch.column(0), "n": pa.array([len(x) for x in own], pa.int64()),
-                                   "own": pa.array([x.tobytes() for x in own], pa.binary())})
+        def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in text_slices(batches):
+                batch = batch.filter(pa.compute.is_valid(batch.column(0)))
+                batch = batch.filter(pa.array(sent.value[_spot(batch.column(0).to_numpy())]))
+                if batch.num_rows:
+                    own = shingle_sets(batch.column(1).to_pylist(), words)
+                    yield pa.record_batch({"doc_id": batch.column(0), "n": pa.array([len(x) for x in own], pa.int64()),
+                                           "own": pa.array([tell(x) for x in own], pa.binary())})
+
+        return settle(docs.mapInArrow(make, schema).join(ids, "doc_id", "left_semi").distinct(), "shingle-sets")
+
+    def meet(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        return (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("own").alias("xa")), "a")
+                .join(sets.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("own").alias("xb")), "b")
+                .select("a", "b", "na", "nb", "xa", "xb"))
+
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, 4096):
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "u1").reshape(-1, SKETCH) for c in ("xa", "xb"))
+            na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
+            most = np.minimum(x, y).sum(1, dtype=np.int64) + np.where(np.minimum(x, y) == 255, na[:, None], 0).sum(1)
+            ok = pa.array(most >= least_overlap(na, nb, percent))
+            yield pa.record_batch({"a": batch.column("a").filter(ok), "b": batch.column("b").filter(ok)})
 
-    sets = docs.mapInArrow(make, "doc_id long, n long, own binary").join(ids, "doc_id", "left_semi").distinct()
-    sets = settle(sets, "shingle-sets")
-    both = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("own").alias("xa")), "a")
-            .join(sets.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("own").alias("xb")), "b"))
+    pairs = settle(pairs, "shingle-pairs")
+    small = sets_of(ends(pairs), "doc_id long, n long, own binary", _counts)
+    likely = settle(meet(pairs, small).mapInArrow(bound, "a long, b long").distinct(), "shingle-likely")
+    both = meet(likely, sets_of(ends(likely), "doc_id long, n long, own binary", np.ndarray.tobytes))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
@@ -286,7 +365,7 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
                       for x, y in zip(batch.column("xa"), batch.column("xb"))]
             yield pa.record_batch({c: batch.column(c) for c in ("a", "b", "na", "nb")} | {"common": pa.array(common, pa.int64())})
 
-    return settle(both.select("a", "b", "na", "nb", "xa", "xb").mapInArrow(compare, "a long, b long, na long, nb long, common long"),
+    return settle(both.mapInArrow(compare, "a long, b long, na long, nb long, common long"),
                   "shingle-answers")
 
 
@@ -344,18 +423,18 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     made = _classes(docs, words)
     own = made.where("n >= 0")
-    counts = _folded(made.where("n = -1").select("blob"), "<u8", np.add)
+    counts = made.where("n = -1").select("blob")
     entries = own.agg(F.sum(F.col("n") * (100 - percent) / 100 + 1)).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(entries * ENTRY.itemsize) // BUCKET_BYTES + 1)
     classes = own.where("n > 0 AND doc_id IS NOT NULL").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"))
     heads = (_prefixes(docs, _levels(counts), words, percent)
              .join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", "h1", "h2"], "left_semi"))
     lists = _candidates(_dealt(heads, buckets), percent)
-    answers = verified(docs, lists.where("b IS NOT NULL").select("a", "b").distinct(), words)
+    answers = verified(docs, lists.where("b IS NOT NULL").select("a", "b").distinct(), words, percent)
     links = _linked(answers, percent)
     parts = settle(connected_components(links), "shingle-components")
     again = settle(_derived(lists.where("b IS NULL"), answers, parts, percent), "shingle-derived")
-    more = _linked(verified(docs, again, words), percent)
+    more = _linked(verified(docs, again, words, percent), percent)
     stars = parts.select(F.col("node").alias("src"), F.col("component").alias("dst"))
     final = connected_components(stars.union(more))
     named = (classes.join(final, F.col("rep") == F.col("node"), "left")
