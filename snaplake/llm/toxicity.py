@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from snaplake.llm.common import text_slices
 from snaplake.llm.labels import fold, labelled_texts
 
-SAMPLE = {1: 2500, 0: 4000}
+SAMPLE = {1: 1500, 0: 2500}
 BITS = 18
 SPAN = 6
 DECAY = 0.6
