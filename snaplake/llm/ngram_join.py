@@ -86,9 +86,10 @@ def shingle_sets(texts: list[str | None], words: int = WORDS) -> list[np.ndarray
     word = _mix((total[end] - total[start]) * down[start])
     last = np.searchsorted(start, ends_of)  # words up to and including each text
     odd = _ODD if words <= len(_ODD) else np.cumprod(np.full(words, _ODD[0])) | np.uint64(1)
-    whole = np.full(max(0, len(word) - words + 1), words, np.uint64)
+    runs = max(0, len(word) - words + 1)
+    whole = np.full(runs, words, np.uint64)
     for i in range(words):
-        whole += word[i:len(word) - words + 1 + i] * odd[i]
+        whole += word[i:i + runs] * odd[i]
     whole = _mix(whole)
     out, first = [], 0
     for stop in last.tolist():
