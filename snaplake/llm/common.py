@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
@@ -57,6 +58,25 @@ def text_slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[
             yield batch.slice(at, rows)
 
 
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of sorted batches, a table for each run of equal integer ``keys``."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        spots = np.stack([batch.column(c).to_numpy() for c in keys], 1)
+        if held and any(held[0].column(c)[0].as_py() != x for c, x in zip(keys, spots[0].tolist())):
+            yield pa.Table.from_batches(held).combine_chunks()
+            held = []
+        last = 0
+        for cut in (np.flatnonzero((spots[1:] != spots[:-1]).any(1)) + 1).tolist():
+            yield pa.Table.from_batches([*held, batch.slice(last, cut - last)]).combine_chunks()
+            held, last = [], cut
+        held.append(batch.slice(last))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the undirected ``edges`` (src, dst);
     the component is its smallest node.

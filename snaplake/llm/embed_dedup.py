@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snaplake.llm.common import connected_components, settle, text_slices
+from snaplake.llm.common import connected_components, runs, settle, text_slices
 
 THRESHOLD = 0.9
 BLOCK = 2048
@@ -212,25 +212,10 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
              .repartition(*place).sortWithinPartitions(*place))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            spots = np.stack([batch.column(c).to_numpy() for c in place], 1)
-            cuts = np.flatnonzero((spots[1:] != spots[:-1]).any(1)) + 1
-            if held and tuple(held[0].column(c)[0].as_py() for c in place) != tuple(spots[0]):
-                yield from answer(held)
-                held = []
-            last = 0
-            for cut in cuts.tolist():
-                yield from answer([*held, batch.slice(last, cut - last)])
-                held, last = [], cut
-            held.append(batch.slice(last))
-        if held:
-            yield from answer(held)
+        for cell in runs(batches, place):
+            yield from answer(cell)
 
-    def answer(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell = pa.Table.from_batches(parts).combine_chunks()
+    def answer(cell: pa.Table) -> Iterator[pa.RecordBatch]:
         query = cell.column("query").to_numpy()
         if len(query) < 2 or query.all():
             return

@@ -24,14 +24,13 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snaplake.llm.common import connected_components, free_name, settle, text_slices
+from snaplake.llm.common import connected_components, free_name, runs, settle, text_slices
 
 WORDS = 5
 PERCENT = 80
@@ -291,15 +290,15 @@ def _candidates(dealt: DataFrame, percent: int) -> DataFrame:
         found = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
         for at in range(0, len(found), 50_000):
             part = found[at:at + 50_000]
-            yield pa.record_batch({"a": pa.array(part[:, 0]), "b": pa.array(part[:, 1]), "list": pa.nulls(len(part), pa.string()),
+            yield pa.record_batch({"a": pa.array(part[:, 0]), "b": pa.array(part[:, 1]), "list": pa.nulls(len(part), pa.int64()),
                                    "entries": pa.nulls(len(part), pa.binary())})
         for at in range(0, len(saved), 256):
             part = saved[at:at + 256]
             yield pa.record_batch({"a": pa.array([h for h, _ in part], pa.int64()), "b": pa.nulls(len(part), pa.int64()),
-                                   "list": [f"{bucket}-{at + i}" for i in range(len(part))],
+                                   "list": pa.array([(bucket << 32) + at + i for i in range(len(part))], pa.int64()),
                                    "entries": pa.array([x for _, x in part], pa.binary())})
 
-    return settle(dealt.mapInArrow(lists, "a long, b long, list string, entries binary"), "shingle-lists")
+    return settle(dealt.mapInArrow(lists, "a long, b long, list long, entries binary"), "shingle-lists")
 
 
 def _spot(ids: np.ndarray) -> np.ndarray:
@@ -380,26 +379,35 @@ def _derived(long_lists: DataFrame, answers: DataFrame, parts: DataFrame, percen
         for batch in batches:
             for hub, name, blob in zip(batch.column("a").to_pylist(), batch.column("list").to_pylist(), batch.column("entries")):
                 e = _entries(blob.as_buffer())
-                yield pa.record_batch({"list": [name] * len(e), "hub": pa.array(np.full(len(e), hub)), "rep": pa.array(e["rep"].copy()),
+                yield pa.record_batch({"list": pa.array(np.full(len(e), name)), "hub": pa.array(np.full(len(e), hub)), "rep": pa.array(e["rep"].copy()),
                                        "n": pa.array(e["n"].astype(np.int64)), "pos": pa.array(e["pos"].astype(np.int64))})
 
-    rows = long_lists.select("a", "list", "entries").mapInArrow(open_, "list string, hub long, rep long, n long, pos long")
+    rows = long_lists.select("a", "list", "entries").mapInArrow(open_, "list long, hub long, rep long, n long, pos long")
     rows = (rows.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
             .join(answers.groupBy(F.col("a").alias("hub"), F.col("b").alias("rep")).agg(F.max("common").alias("common")), ["hub", "rep"], "left"))
     rows = settle(rows, "shingle-members")
+    place = ["list", "i", "j"]
     split = (rows.groupBy("list").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi"))
              .where("lo <> hi").select("list", F.ceil(F.col("size") / BLOCK).alias("blocks")))
     cells = (rows.join(split, "list").withColumn("own", F.pmod(F.xxhash64("rep"), "blocks"))
              .withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
-             .select("list", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "hub", "rep", "n", "pos",
-                     "component", "common"))
+             .select("list", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "n", "pos",
+                     "component", "common")
+             .repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *place).sortWithinPartitions(*place))
 
-    def compare(key: tuple, cell: pd.DataFrame) -> pd.DataFrame:
-        x, y = cell[cell.own == key[1]], cell[cell.own == key[2]]
-        col = lambda c: (x[c].to_numpy()[:, None], y[c].to_numpy()[None, :])
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in runs(batches, place):
+            pairs = across({c: cell.column(c).to_numpy() for c in cell.column_names})
+            if len(pairs):
+                yield pa.record_batch({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+    def across(cell: dict[str, np.ndarray]) -> np.ndarray:
+        one = cell["i"][0] == cell["j"][0]
+        x, y = cell["own"] == cell["i"], cell["own"] == cell["j"]
+        col = lambda c: (cell[c][x][:, None], cell[c][y][None, :])
         (ra, rb), (ca, cb), (na, nb), (pa_, pb) = col("rep"), col("component"), col("n"), col("pos")
         ok = (ca != cb) & _fits(na, pa_, nb, pb, percent)
-        if key[1] == key[2]:
+        if one:
             ok &= ra < rb
         ha, hb = (v.astype(float) for v in col("common"))
         most_a, most_b = np.where(np.isnan(ha), np.inf, ha), np.where(np.isnan(hb), np.inf, hb)  # an unknown answer bounds nothing
@@ -407,9 +415,9 @@ def _derived(long_lists: DataFrame, answers: DataFrame, parts: DataFrame, percen
         ok &= reach >= least_overlap(na, nb, percent)
         i, j = np.nonzero(ok)
         a, b = ra[i, 0], rb[0, j]
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        return np.stack([np.minimum(a, b), np.maximum(a, b)], 1)
 
-    return cells.groupBy("list", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+    return cells.mapInArrow(compare, "a long, b long").distinct()
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
