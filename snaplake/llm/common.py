@@ -98,7 +98,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         both = e.union(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
         low = both.groupBy("src").agg(F.least(F.min("dst"), F.first("src")).alias("m"))
         large = (both.join(low, "src").where("dst > src").select(F.col("dst").alias("src"), F.col("m").alias("dst"))
-                 .where("src <> dst").distinct())
+                 .where("src <> dst"))
         down = large.groupBy("src").agg(F.min("dst").alias("m"))
         small = (large.join(down, "src").select(F.col("dst").alias("src"), F.col("m").alias("dst"))
                  .union(down.select("src", F.col("m").alias("dst"))).where("src <> dst").distinct())

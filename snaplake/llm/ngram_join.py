@@ -443,9 +443,12 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     links = _linked(answers, percent)
     parts = settle(connected_components(links), "shingle-components")
     again = settle(_derived(lists.where("b IS NULL"), answers, parts, percent), "shingle-derived")
-    more = _linked(verified(docs, again, words, percent), percent)
-    stars = parts.select(F.col("node").alias("src"), F.col("component").alias("dst"))
-    final = connected_components(stars.union(more))
+    final = parts
+    if not again.isEmpty():  # else the components stand
+        more = _linked(verified(docs, again, words, percent), percent)
+        if not more.isEmpty():
+            stars = parts.select(F.col("node").alias("src"), F.col("component").alias("dst"))
+            final = connected_components(stars.union(more))
     named = (classes.join(final, F.col("rep") == F.col("node"), "left")
              .select("h1", "h2", F.coalesce("component", "rep").alias("component")))
     found = own.join(named, ["h1", "h2"], "left")
