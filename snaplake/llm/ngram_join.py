@@ -8,9 +8,9 @@
    bounded buckets and sorted by set size and position. A pair counts at its first
    common prefix shingle, where both remainders must still be long enough, so whole
    stretches of a list are skipped by size and by position.
-3. A long list is answered through its hub, the set with the smallest id: the hub is
-   compared with every member. Pairs of members that are now in one component need
-   nothing more; for the others the hub's answers bound the overlap,
+3. A long list is answered through a few hubs, the same in all lists of a group: they
+   are compared with every member. Pairs of members that are now in one component need
+   nothing more; for the others the first hub's answers bound the overlap,
    ``|x & y| <= |h & y| + |x - h|``, and only pairs that could still reach the
    threshold are compared. Long lists are compared in blocks of bounded size.
 4. Candidate pairs meet the two sets by equi-joins; links become components.
@@ -34,10 +34,11 @@ from snaplake.llm.common import connected_components, free_name, runs, settle, t
 
 WORDS = 5
 PERCENT = 80
-BITS = 21  # of the table of counts
+BITS = 23  # of the table of counts
 SKETCH = 256
 MAP_BITS = 23  # of the bitmap of candidates
 SHORT = 16
+HUBS = 4
 BLOCK = 2000
 BUCKET_BYTES = 16 << 20
 HALF = np.uint64(1 << 63)
@@ -152,7 +153,7 @@ def _classes(docs: DataFrame, words: int) -> DataFrame:
             sets = shingle_sets(batch.column(1).to_pylist(), words)
             if sets:
                 every = np.concatenate(sets)
-                counts += np.bincount(_place(every[every < HALF]), minlength=1 << BITS).astype("<u4")
+                np.add.at(counts, _place(every[every < HALF]), 1)
             one, two = zip(*map(_class_of, sets)) if sets else ((), ())
             yield pa.record_batch({"doc_id": batch.column(0), "n": pa.array([len(x) for x in sets], pa.int64()), "h1": pa.array(one, pa.int64()),
                                    "h2": pa.array(two, pa.int64()), "blob": pa.nulls(len(sets), pa.binary())})
@@ -169,7 +170,7 @@ def _levels(counts: DataFrame) -> np.ndarray:
     def level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for blob in batch.column(0):
-                got = np.frombuffer(zlib.decompress(blob.as_buffer()), "<u4").astype(float)
+                got = np.frombuffer(zlib.decompress(blob.as_buffer()), "<u4").astype("f4")
                 usual = got.mean() + 6 * np.sqrt(got.mean()) + 8
                 yield pa.record_batch({"blob": _packed(np.maximum(0, np.ceil(np.log2(np.maximum(got, 1) / usual))).astype("u1"))})
 
@@ -283,10 +284,11 @@ def _candidates(dealt: DataFrame, percent: int) -> DataFrame:
         saved = []
         for k in np.flatnonzero(size > SHORT):
             one = e[starts[k]:starts[k] + size[k]]
-            hub = one[np.argmin(one["rep"])]
-            ok = (one["rep"] != hub["rep"]) & _fits(one["n"], one["pos"], hub["n"], hub["pos"], percent)
-            pairs.append(np.stack([np.full(ok.sum(), hub["rep"]), one["rep"][ok]], 1))
-            saved.append((int(hub["rep"]), _columns(one)))
+            hubs = one[np.argsort(_mix(one["rep"].astype(np.uint64)), kind="stable")[:HUBS]]  # the same in all lists of a group
+            for hub in hubs:
+                ok = (one["rep"] != hub["rep"]) & _fits(one["n"], one["pos"], hub["n"], hub["pos"], percent)
+                pairs.append(np.stack([np.minimum(hub["rep"], one["rep"][ok]), np.maximum(hub["rep"], one["rep"][ok])], 1))
+            saved.append((int(hubs[0]["rep"]), _columns(one)))
         found = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
         for at in range(0, len(found), 50_000):
             part = found[at:at + 50_000]
@@ -382,9 +384,11 @@ def _derived(long_lists: DataFrame, answers: DataFrame, parts: DataFrame, percen
                 yield pa.record_batch({"list": pa.array(np.full(len(e), name)), "hub": pa.array(np.full(len(e), hub)), "rep": pa.array(e["rep"].copy()),
                                        "n": pa.array(e["n"].astype(np.int64)), "pos": pa.array(e["pos"].astype(np.int64))})
 
+    known = (answers.select(F.col("a").alias("hub"), F.col("b").alias("rep"), "common").union(answers.select("b", "a", "common"))
+             .groupBy("hub", "rep").agg(F.max("common").alias("common")))
     rows = long_lists.select("a", "list", "entries").mapInArrow(open_, "list long, hub long, rep long, n long, pos long")
     rows = (rows.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-            .join(answers.groupBy(F.col("a").alias("hub"), F.col("b").alias("rep")).agg(F.max("common").alias("common")), ["hub", "rep"], "left"))
+            .join(known, ["hub", "rep"], "left"))
     rows = settle(rows, "shingle-members")
     place = ["list", "i", "j"]
     split = (rows.groupBy("list").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi"))
