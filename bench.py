@@ -78,12 +78,12 @@ def main() -> None:
         extra["ingest_rows"] = rows
         extra["ingest_rows_per_sec"] = round(rows / best)
     if os.environ.get("BENCH_BUILD", "1") == "1":
-        # The whole model run on disk: two months landed one after the other,
+        # The whole model run on disk: two full snapshots landed one after the other,
         # each followed by a build of all models (first load, then merges).
         from snaplake.plans.runner import Lakehouse
         from snaplake.session import work_dir
 
-        land, _ = Q.lake(spark, sf_dir)
+        land, _ = Q.snapshot_lake(spark, sf_dir)
         best = None
         for _ in range(repeat):
             t0 = time.perf_counter()
