@@ -96,3 +96,12 @@ def test_month_tables_load_only_new_months(spark):
     # a rebuild with nothing new writes no version
     lh.build(["stg_estabelecimentos"])
     assert tables.committed_versions(spark, root) == versions
+
+
+def test_batch_over_all_states_is_the_whole_mart(spark):
+    def rows(name):
+        return {(r.uf, r._competencia): r.n for r in Q.SPARK[name](spark, SF)
+                .groupBy("uf", "_competencia").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    want = rows("active_establishments")
+    assert len({uf for uf, _ in want}) > 20 and rows("run_by_all_states") == want
