@@ -121,12 +121,14 @@ def described(docs: DataFrame) -> np.ndarray:
 def fit_quality(docs: DataFrame, labels: DataFrame, parts: int = 5, held: int = 0, positives: int = POSITIVES,
                 unlabelled: int = UNLABELLED) -> Model:
     """Fit on ``positives`` documents labelled good outside fold ``held`` and ``unlabelled``
-    documents picked by hash from all. The prior is the share of good ones among the labelled
+    documents picked by hash from all, a repeated id once. The prior is the share of good ones among the labelled
     rows outside ``held``, one of each added. Without positives every score is the prior."""
     known = labels.where(fold(F.col("doc_id"), parts) != held)
     good, bad = known.agg(F.count_if(F.col("quality") == 1), F.count_if(F.col("quality") == 0)).first()
-    web_ids = (docs.select("doc_id").where("doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id", F.lit("web")), "doc_id").limit(unlabelled).distinct())
-    web = docs.select("doc_id", "text").join(F.broadcast(web_ids), "doc_id")  # a bounded number of ids
+    ids = docs.select("doc_id").where("doc_id IS NOT NULL").distinct()
+    web_ids = ids.orderBy(F.xxhash64("doc_id", F.lit("web")), "doc_id").limit(unlabelled)
+    # a bounded number of ids, and of a repeated one the smallest text
+    web = docs.select("doc_id", "text").join(F.broadcast(web_ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
     return train(described(labelled_texts(docs, known, "quality", {1: positives})), described(web), (good + 1) / (good + bad + 2))
 
 

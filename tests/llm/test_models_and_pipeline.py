@@ -63,6 +63,19 @@ def test_quality_held_out():
     assert np.isfinite(model.scores(["", None])).all()
 
 
+def test_quality_sample_takes_each_id_once(spark, monkeypatch):
+    """The id with the smallest hash holds most rows; it fills one place of the unlabelled sample."""
+    ids = spark.range(1, 41).select(F.col("id").alias("doc_id"))
+    hot = ids.orderBy(F.xxhash64("doc_id", F.lit("web"))).first().doc_id
+    docs = spark.createDataFrame([(i, f"text number {i}") for i in [*range(1, 41), *[hot] * 60]], "doc_id long, text string")
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda good, web, prior: seen.append(web))
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    quality.fit_quality(docs, labels, unlabelled=8)
+    quality.fit_quality(docs.distinct(), labels, unlabelled=8)
+    assert seen[0].shape[0] == 8 and np.array_equal(*seen)
+
+
 def test_models_score_every_row(spark, machine):
     docs = plain.edge_docs(spark)
     got = toxicity.score_toxicity(docs, machine[0])
