@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from snaplake.llm.common import text_slices
 from snaplake.llm.labels import fold, labelled_texts
 
-SAMPLE = {1: 1500, 0: 4000}
+SAMPLE = {1: 2500, 0: 4000}
 BITS = 18
 SPAN = 6
 DECAY = 0.6
@@ -207,16 +207,20 @@ class Model:
 def distinct(rows: list[tuple[str | None, int]]) -> list[tuple[str | None, int]]:
     """The rows without copies and near copies of earlier ones with the same label:
     texts that share a smallest word hash and at least half their words."""
-    firsts: dict[tuple[int, int, int], set[str]] = {}
+    firsts: dict[tuple[int, int, int], np.ndarray] = {}
+    number: dict[str, int] = {}  # a word is held once, a document as numbers
     out = []
     for text, label in rows:
         words = set((text or "").split())
         raw = [w.encode() for w in words]
         keys = [(label, seed, min((zlib.crc32(w, seed) for w in raw), default=0)) for seed in range(8)]
-        if any(2 * len(words & other) >= len(words | other) for other in (firsts[k] for k in keys if k in firsts)):
+        own = np.sort(np.array([number.setdefault(w, len(number)) for w in words], np.int32))
+        near = {id(firsts[k]): firsts[k] for k in keys if k in firsts}
+        common = ((len(np.intersect1d(own, other, assume_unique=True)), len(own) + len(other)) for other in near.values())
+        if any(2 * both >= size - both for both, size in common):
             continue
         for k in keys:
-            firsts.setdefault(k, words)
+            firsts.setdefault(k, own)
         out.append((text, label))
     return out
 
@@ -228,17 +232,22 @@ def train(rows: list[tuple[str | None, int]]) -> Model:
     y = np.array([label for _, label in rows], int)
     if not len(y) or y.min() == y.max():
         return Model(None, 0, 0, 0, float(y[0]) if len(y) else 0.0)
-    sentences = [[s for s in _SENTENCE.split(t or "")] for t, _ in rows]
-    words = [sorted({p for s in doc for t in tokens_of(s) for p in parts_of(t)}) for doc in sentences]
-    every = sorted(set().union(*words))
-    number = {w: i for i, w in enumerate(every)}
-    held = [np.array([number[w] for w in doc], np.int64) for doc in words]
+    first: dict[str, int] = {}
+    held = []
+    for text, _ in rows:
+        words = {p for s in _SENTENCE.split(text or "") for t in tokens_of(s) for p in parts_of(t)}
+        held.append(np.array([first.setdefault(w, len(first)) for w in words], np.int32))
+    del rows
+    every = sorted(first)
+    place = np.empty(len(every), np.int32)
+    place[[first[w] for w in every]] = np.arange(len(every))
+    held = [np.sort(place[doc]) for doc in held]
 
     # how much more often a triple occurs in toxic than in clean documents
     seen = np.zeros((2, 1 << BITS))
-    for doc, label in zip(words, y):
-        if doc:
-            there = np.unique(np.concatenate([idx[ok] for idx, w, ok in triples(doc) if w >= DECAY]))
+    for doc, label in zip(held, y):
+        if len(doc):
+            there = np.unique(np.concatenate([idx[ok] for idx, w, ok in triples([every[i] for i in doc]) if w >= DECAY]))
             seen[label, there] += 1
     share = (seen + 0.5) / (np.bincount(y, minlength=2)[:, None] + 1)
     odds = np.log(share[1] / share[0]) * (seen.sum(0) >= 5)

@@ -13,6 +13,7 @@ from snaplake.llm import quality, toxicity
 from snaplake.llm.common import settle
 
 FITTED = "/root/testdata/sf0.1"
+LARGER = "/root/testdata/check_s"
 
 
 def rows_of(label, parts, held, limit):
@@ -35,6 +36,21 @@ def test_toxicity_held_out(machine):
     assert (said == y).mean() >= 0.92 and said[y == 0].mean() <= 0.01
 
 
+def test_toxicity_finds_held_out_toxic_documents():
+    """Fitted on up to ``SAMPLE`` rows of each label; sf0.1 has too few labels."""
+    assert toxicity.SAMPLE[1] >= 2500 and toxicity.SAMPLE[0] >= 4000
+    read = f"FROM '{LARGER}/documents.parquet' JOIN '{LARGER}/labels.parquet' USING (doc_id)"
+    rows = duckdb.sql(f"SELECT doc_id, text, toxic {read} ORDER BY hash(doc_id) LIMIT 40000").fetchall()
+    side = lambda r: zlib.crc32(str(r[0]).encode()) % 3 == 1
+    train = [r[1:] for v, n in toxicity.SAMPLE.items() for r in [r for r in rows if r[2] == v and not side(r)][:n]]
+    test = [r[1:] for r in rows if side(r)][:3000]
+    y = np.array([t for _, t in test])
+    said = toxicity.train(train).scores([t for t, _ in test]) >= 0.7
+    got = len(train), (said == y).mean(), said[y == 1].mean()
+    print(got)
+    assert got[1] >= 0.97 and got[2] >= 0.9, got
+
+
 def test_toxicity_gaps_and_empty_texts(machine):
     model, _ = machine
     plain_, marked, spelled = model.margins(["you idiot there", "you i.d-i*o.t there", "you i d i o t there"])
