@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaplake.llm import decontaminate, embed_dedup, ngram_join, packing, pii, quality, token_file, toxicity, url_filter, warc
+from snaplake.llm import decontaminate, embed_dedup, html_text, ngram_join, packing, pii, quality, token_file, toxicity, url_filter, warc
 from snaplake.llm.labels import fold
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,8 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op5_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
