@@ -12,7 +12,8 @@ import math
 
 import duckdb
 
-BASE = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+BASE = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark",
+        "labels", "conversations"]
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
