@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaplake.llm import decontaminate, embed_dedup, html_text, ngram_join, packing, pii, quality, token_file, toxicity, url_filter, warc
+from snaplake.llm import decontaminate, embed_dedup, hard_negatives, html_text, ngram_join, packing, pii, quality, token_file, toxicity, url_filter, warc
 from snaplake.llm.labels import fold
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,31 @@ def op5_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
+@register
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_negatives(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op12_hard_negatives"] = """
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM vectors a JOIN vectors b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positive AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other_id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)
+QUALIFY row_number() OVER w <= 5
+"""
