@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaplake.llm import decontaminate, embed_dedup, hard_negatives, html_text, ngram_join, packing, pii, quality, token_file, toxicity, url_filter, warc
+from snaplake.llm import decontaminate, embed_dedup, hard_negatives, html_text, ngram_join, packing, phrases, pii, quality, token_file, toxicity, url_filter, warc
 from snaplake.llm.labels import fold
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,40 @@ WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * p
 WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)
 QUALIFY row_number() OVER w <= 5
 """
+
+
+@register
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine_phrases(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_phrases"] = r"""
+WITH pieces AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda w: w <> '') AS words
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents WHERE text IS NOT NULL)),
+placed AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM pieces WHERE len(words) > 0),
+grams AS (
+  SELECT lang, words[i:i + size - 1] AS phrase, count(*) AS f
+  FROM placed, (VALUES (1), (2), (3)) AS sizes(size)
+  WHERE i + size - 1 <= len(words) GROUP BY ALL),
+sizes AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE len(phrase) = 1 GROUP BY lang),
+candidate AS (SELECT lang, phrase, f AS a FROM grams WHERE len(phrase) > 1 AND f >= 10),
+inside AS (
+  SELECT lang, part, max(a) AS longer
+  FROM (SELECT lang, a, unnest([phrase[1:2], phrase[2:3]]) AS part FROM candidate WHERE len(phrase) = 3) GROUP BY lang, part),
+kept AS (
+  SELECT c.* FROM candidate c LEFT JOIN inside i ON c.lang = i.lang AND c.phrase = i.part
+  WHERE i.longer IS NULL OR 100 * i.longer < 50 * c.a),
+cuts AS (SELECT *, unnest(range(1, len(phrase))) AS k FROM kept),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, CAST(1000000 * c.a::HUGEINT * c.a // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN grams x ON x.lang = c.lang AND x.phrase = c.phrase[1:c.k]
+  JOIN grams y ON y.lang = c.lang AND y.phrase = c.phrase[c.k + 1:]),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(phrase, ' ')) AS rank,
+         array_to_string(phrase, ' ') AS phrase, a, l, r, score FROM lowest)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
