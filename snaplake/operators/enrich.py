@@ -54,17 +54,18 @@ def hot_keys(df: DataFrame, keys: list[str], min_rows: int) -> DataFrame:
 
 
 def split_hot_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left",
-                   min_rows: int = 1_000_000, salts: int = SALTS) -> DataFrame:
+                   min_rows: int = 1_000_000, salts: int = SALTS, hot: DataFrame | None = None) -> DataFrame:
     """Equi-join in which the hot keys of ``left`` are salted.
 
     Rows of keys with at least ``min_rows`` rows on the left get one of ``salts``
     salts, and the right side's rows of those keys are repeated for each, so that
     no task receives a whole hot key however many there are. ``how`` is ``left``
-    or ``inner``: repeated right rows would come out of other joins.
+    or ``inner``: repeated right rows would come out of other joins. ``hot`` gives the hot
+    keys where the caller has counted them (``hot_keys``).
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how={how!r}: only left and inner joins can be split")
-    hot = hot_keys(left, keys, min_rows).withColumn("__hot", F.lit(True))
+    hot = (hot_keys(left, keys, min_rows) if hot is None else hot).withColumn("__hot", F.lit(True))
     a = left.join(hot, keys, "left").withColumn(
         "__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")).otherwise(0)).drop("__hot")
     every = F.sequence(F.lit(0), F.lit(salts - 1))

@@ -10,7 +10,7 @@ content of a keyed table: target rows whose key is not in the source (nor in
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -29,6 +29,26 @@ def watermark(target: DataFrame | None, period: str = "_competencia",
     return None if row is None else row["w"]
 
 
+def watermark_from_footers(spark: SparkSession, paths: list[str], column: str, explain: list | None = None):
+    """Largest value of a number or date column of Parquet files, from their footers.
+
+    The files are read as a version 2 source with aggregate push-down, so the maximum comes from
+    the row groups' statistics and no column is decoded. Text has no usable statistics (the
+    reader scans it): for a text period, partition by it (``tables.latest_value``)."""
+    wanted = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        found = spark.read.parquet(*paths).agg(F.max(column).alias("w"))
+        if explain is not None:
+            explain.append(found._jdf.queryExecution().executedPlan().toString())
+        return found.first()["w"]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def since(source: DataFrame, mark: str | None, period: str = "_competencia",
           inclusive: bool = False) -> DataFrame:
     """Rows newer than the watermark; everything when the watermark is null.
@@ -42,6 +62,39 @@ def since(source: DataFrame, mark: str | None, period: str = "_competencia",
     return source.where(c >= mark if inclusive else c > mark)
 
 
+def watermarks(target: DataFrame | None, by: str, period: str = "_competencia") -> dict[str | None, str]:
+    """Largest ``period`` of each batch scope in ``target`` (a state, say): one grouped scan
+    of two columns and a row per scope, instead of a scan per scope."""
+    if target is None:
+        return {}
+    rows = target.groupBy(by).agg(F.max(period).alias("mark")).where("mark IS NOT NULL").limit(MOST_SCOPES + 1).collect()
+    if len(rows) > MOST_SCOPES:
+        raise ValueError(f"{by} has more than {MOST_SCOPES} values: not a batch scope")
+    return {r[by]: r["mark"] for r in rows}
+
+
+def since_each(source: DataFrame, marks: dict[str | None, str], by: str, period: str = "_competencia",
+               scopes: list[str | None] | None = None, again: list[str] | None = None) -> DataFrame:
+    """Rows newer than the watermark of their own scope; all rows of a scope without one.
+
+    The watermarks are a small relation (at most ``MOST_SCOPES`` rows) joined to the source
+    by broadcast. Where each of the source's ``scopes`` has one, the smallest also becomes a
+    static filter, which prunes partitions by period. ``again`` names periods read anyway."""
+    again = again or []
+    if not marks:
+        return source
+    if scopes is not None and all(s in marks for s in scopes):
+        source = since(source, min(marks.values()), period) if not again else source.where(
+            (F.col(period) > min(marks.values())) | F.col(period).isin(*again))
+    rows = source.sparkSession.createDataFrame(list(marks.items()), "__scope string, __mark string")
+    marked = source.join(F.broadcast(rows), F.col(by).eqNullSafe(F.col("__scope")), "left")
+    new = F.col("__mark").isNull() | (F.col(period) > F.col("__mark"))
+    if again:
+        new = new | F.col(period).isin(*again)
+    return marked.where(new).drop("__scope", "__mark")
+
+
+MOST_SCOPES = 10_000
 IDENTITY = "__identity"
 
 
@@ -58,21 +111,35 @@ def with_identity(df: DataFrame, keys: list[str], order: list[str] | None = None
     return df.withColumn(IDENTITY, F.when(missing, said))
 
 
+#: What stands for a missing key part; the identity tells such rows apart.
+_ABSENT = {"date": "1970-01-01", "timestamp": "1970-01-01", "timestamp_ntz": "1970-01-01", "binary": ""}
+
+
+def with_match(df: DataFrame, keys: list[str], order: list[str] | None = None) -> tuple[DataFrame, list[str]]:
+    """``df`` with columns that are never null and equal exactly for rows of the same key (and
+    identity), so that joins on them are plain equi-joins; and the columns' names."""
+    kinds = dict(df.dtypes)
+    names = [f"__k{i}" for i in range(len(keys))]
+    cols = {n: F.coalesce(F.col(k), F.lit(_ABSENT.get(kinds[k], "0")).cast(kinds[k])) for n, k in zip(names, keys)}
+    cols[IDENTITY] = F.coalesce(IDENTITY, F.lit(""))
+    return with_identity(df, keys, order).withColumns(cols), [*names, IDENTITY]
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """Every distinct row of each key's largest ``order``; older rows go.
 
     Rows that lack a key part are told apart by all they say (``with_identity``).
-    The largest period per key is a map-side combined aggregate, joined back, so a
-    hot key never meets in one window partition and no row of its latest period is lost."""
+    The largest period per key is a map-side combined aggregate over keys and periods alone,
+    joined back, so a hot key never meets in one window partition and no row of its latest
+    period is lost. Repeats go last, among the rows that are left, where they already lie."""
     order = order or ["_competencia"]
-    tagged = with_identity(df.distinct(), keys, order)
-    by = [*keys, IDENTITY]
+    tagged, by = with_match(df, keys, order)
     best = tagged.groupBy(*by).agg(F.max(F.struct(*order)).alias("__latest"))
-    best = best.select(*[F.col(c).alias(f"__b_{c}") for c in by], "__latest")
+    best = best.select(*[F.col(c).alias(f"__b{c}") for c in by], "__latest")
     cond = F.struct(*order).eqNullSafe(F.col("__latest"))
     for c in by:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"__b_{c}"))
-    return tagged.join(best, cond, "left_semi").select(*df.columns)
+        cond = cond & (F.col(c) == F.col(f"__b{c}"))
+    return tagged.join(best, cond, "left_semi").distinct().select(*df.columns)
 
 
 def upsert(target: DataFrame | None, source: DataFrame, keys: list[str],
@@ -94,9 +161,7 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: list[str],
     if target is None:
         return src
     cols = target.columns
-    kept = drop_matched(target, source, keys, order, null_safe)
-    if deletes is not None:
-        kept = kept.join(gone, _plain_match(keys, "__d_"), "left_anti")
+    kept = drop_matched(target, source, keys, order, null_safe, deletes=deletes)
     return kept.select(*cols).unionByName(src.select(*cols))
 
 
@@ -107,12 +172,38 @@ def _plain_match(keys: list[str], prefix: str) -> Column:
     return cond
 
 
-def drop_matched(target: DataFrame, source: DataFrame, keys: list[str], order: list[str] | None = None,
-                 null_safe: bool = True, how: str = "left_anti") -> DataFrame:
-    """Target rows whose key is not in the source (``left_semi``: those whose is)."""
-    by = [*keys, IDENTITY]
-    there = with_identity(source, keys, order).select(*[F.col(c).alias(f"__s_{c}") for c in by])
+def _whole(keys: list[str]) -> Column:
     cond = F.lit(True)
-    for c in by:
-        cond = cond & (F.col(c).eqNullSafe(F.col(f"__s_{c}")) if null_safe or c == IDENTITY else F.col(c) == F.col(f"__s_{c}"))
-    return with_identity(target, keys, order).join(there, cond, how).select(*target.columns)
+    for k in keys:
+        cond = cond & F.col(k).isNotNull()
+    return cond
+
+
+def drop_matched(target: DataFrame, source: DataFrame, keys: list[str], order: list[str] | None = None,
+                 null_safe: bool = True, how: str = "left_anti", deletes: DataFrame | None = None) -> DataFrame:
+    """Target rows whose key is neither in the source nor in ``deletes`` (``left_semi``: those
+    whose is), by one join of the target."""
+    there, by = with_match(source if null_safe else source.where(_whole(keys)), keys, order)
+    there = there.select(*by)
+    if deletes is not None:  # a key to delete is whole
+        there = there.unionByName(with_match(deletes.select(*keys).where(_whole(keys)), keys, order)[0].select(*by))
+    tagged, _ = with_match(target, keys, order)
+    return tagged.join(there, by, how).select(*target.columns)
+
+
+def holders(target: DataFrame, source: DataFrame, keys: list[str], columns: list[str], order: list[str] | None = None,
+            null_safe: bool = True, deletes: DataFrame | None = None) -> DataFrame:
+    """``columns`` of the target rows whose key is in the source or in ``deletes``. Of rows with
+    a whole key, only the key and ``columns`` are read; rows that lack a key part, which
+    need all they say, come from a scan of their own that skips the others."""
+    wanted = source.select(*keys)
+    if deletes is not None:
+        wanted = wanted.unionByName(deletes.select(*keys))
+    wanted = wanted.where(_whole(keys)).distinct()
+    found = target.where(_whole(keys)).select(*keys, *columns).join(wanted, keys, "left_semi").select(*columns)
+    if not null_safe:
+        return found
+    said = [*(order or ["_competencia"]), *columns]  # aside from what a row says
+    odd = drop_matched(target.where(~_whole(keys)), source.where(~_whole(keys)).select(*[c for c in target.columns if c in source.columns]),
+                       keys, said, how="left_semi")
+    return found.unionByName(odd.select(*columns))

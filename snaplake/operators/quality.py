@@ -69,8 +69,9 @@ def null_counts(df: DataFrame, model: str, rules: list[Rule]) -> DataFrame | Non
 
 
 
-def check(df: DataFrame, model: str, rules: Iterable[Rule]) -> DataFrame:
-    """Report frame with one row per rule (lazy; ``failures == 0`` passes).
+def check(df: DataFrame, model: str, rules: Iterable[Rule], by: str | None = None) -> DataFrame:
+    """Report frame with one row per rule (lazy; ``failures == 0`` passes); with ``by``, one
+    row per rule and value of that column (a state, say), which comes first.
 
     All rules of a model come from one scan: a ``GROUPING SETS`` aggregate
     with one set per ``unique`` / ``accepted_values`` rule plus the empty set
@@ -84,15 +85,21 @@ def check(df: DataFrame, model: str, rules: Iterable[Rule]) -> DataFrame:
             raise ValueError(f"unknown test {r.test!r}")
     nulls = [r for r in rules if r.test == "not_null"]
     grouped = [r for r in rules if r.test != "not_null"]
-    if not grouped:
+    if not grouped and by is None:
         return null_counts(df, model, nulls)
-    sets, cols = [], []
+    scope = () if by is None else (by,)
+    sets, cols = [], list(scope)
+
+    def key_of(r: Rule) -> tuple[str, ...]:
+        return scope + tuple(c for c in (*r.per, *r.columns) if c not in scope)
+
     for r in grouped:
-        key = tuple(r.per) + tuple(r.columns)
+        key = key_of(r)
         if key not in sets:
             sets.append(key)
         cols += [c for c in key if c not in cols]
-    sets.append(())
+    if scope not in sets:
+        sets.append(scope)
     aggs = [F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__gid")]
     aggs += [F.count_if(F.col(r.column).isNull()).alias(f"__null{i}") for i, r in enumerate(nulls)]
     g = df.groupingSets([[F.col(c) for c in k] for k in sets], *cols).agg(*aggs)
@@ -109,11 +116,11 @@ def check(df: DataFrame, model: str, rules: Iterable[Rule]) -> DataFrame:
     gid_col = F.col("__gid")
     counts, rows = [], []
     for i, r in enumerate(nulls):
-        counts.append(F.coalesce(F.max(F.when(gid_col == gid(()), F.col(f"__null{i}"))),
+        counts.append(F.coalesce(F.max(F.when(gid_col == gid(scope), F.col(f"__null{i}"))),
                                  F.lit(0)).alias(f"__f{len(rows)}"))
         rows.append(r)
     for r in grouped:
-        key = tuple(r.per) + tuple(r.columns)
+        key = key_of(r)
         cond = gid_col == gid(key)
         for c in r.columns:
             cond = cond & F.col(c).isNotNull()
@@ -124,7 +131,7 @@ def check(df: DataFrame, model: str, rules: Iterable[Rule]) -> DataFrame:
         counts.append(F.count_if(cond).alias(f"__f{len(rows)}"))
         rows.append(r)
     packed = F.array(*[F.struct(*_row(model, r, F.col(f"__f{i}"))) for i, r in enumerate(rows)])
-    return g.agg(*counts).select(F.inline(packed))
+    return g.groupBy(*scope).agg(*counts).select(*scope, F.inline(packed))
 
 
 def check_all(models: dict[str, tuple[DataFrame, list[Rule]]]) -> DataFrame:
@@ -136,6 +143,55 @@ def check_all(models: dict[str, tuple[DataFrame, list[Rule]]]) -> DataFrame:
     return out
 
 
+# ------------------------------------------------- tests from kept summaries
+
+MARK = -1  # rule of the row that says a partition has been summarised
+SUMMARY_COLUMNS = ["rule", "key", "n"]
+
+
+def _key(rule: Rule):
+    """The values a rule groups by, as one text that no other values have."""
+    return F.to_json(F.array(*[F.col(c).cast("string") for c in (*rule.per, *rule.columns)]), {"ignoreNullFields": "false"})
+
+
+def summarise(df: DataFrame, rules: Iterable[Rule], by: list[str]) -> DataFrame:
+    """(__part_<c> per partition column, rule, key, n): what each partition adds to each
+    rule, in one scan: its nulls (``not_null``), its rows per key (``unique``), or the
+    values outside the list (``accepted_values``). Summaries of partitions add up."""
+    items = []
+    for i, r in enumerate(rules):
+        key = F.lit(None).cast("string")
+        hit = F.lit(True)
+        for c in r.columns:
+            hit = hit & F.col(c).isNotNull()
+        if r.test == "not_null":
+            hit = F.col(r.column).isNull()
+        else:
+            key = _key(r)
+            if r.test == "accepted_values":
+                hit = hit & ~F.col(r.column).isin(*r.values)
+        items.append(F.when(hit, F.struct(F.lit(i).alias("rule"), key.alias("key"))))
+    parts = [F.col(c).cast("string").alias(f"__part_{c}") for c in by]
+    rows = df.select(*parts, F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("x")).select("*", "x.*").drop("x")
+    return rows.groupBy(*[f"__part_{c}" for c in by], "rule", "key").agg(F.count(F.lit(1)).alias("n"))
+
+
+def merged(summaries: DataFrame, model: str, rules: Iterable[Rule]) -> DataFrame:
+    """The report of ``check`` from the summaries of all partitions."""
+    rules = list(rules)
+    unique_rules = [i for i, r in enumerate(rules) if r.test == "unique"]
+    per_key = summaries.where(F.col("rule") >= 0).groupBy("rule", "key").agg(F.sum("n").alias("n"))
+    counts = []
+    for i, r in enumerate(rules):
+        own = F.col("rule") == i
+        if r.test == "not_null":
+            counts.append(F.coalesce(F.sum(F.when(own, F.col("n"))), F.lit(0)).alias(f"c{i}"))
+        else:
+            counts.append(F.count_if(own & (F.col("n") > 1) if i in unique_rules else own).alias(f"c{i}"))
+    packed = F.array(*[F.struct(*_row(model, r, F.col(f"c{i}"))) for i, r in enumerate(rules)])
+    return per_key.agg(*counts).select(F.inline(packed))
+
+
 def failed(report: DataFrame) -> DataFrame:
     return report.where(F.col("failures") > 0)
 

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snaplake.functions import decode, flag, month_start
-from snaplake.operators.enrich import lookup, split_hot_join
+from snaplake.operators.enrich import hot_keys, lookup, split_hot_join
+from snaplake.sinks.buckets import bucketed_join
 from snaplake.schemas import (
     PORTE_LABELS,
     STATUS_ACTIVE,
@@ -48,18 +49,13 @@ def closings(core: DataFrame) -> DataFrame:
     )
 
 
-def monthly_dynamics(core: DataFrame, cnaes: DataFrame, null_safe: bool = False,
-                     ordered: bool = True) -> DataFrame:
-    """Openings and closings per (month, state, activity) in one scan, one shuffle.
+DYNAMICS_COUNTS = ["qtd_aberturas", "qtd_baixadas", "qtd_inaptadas", "qtd_suspensas"]
+SIDE = "__side"
 
-    Each establishment emits up to two events: an opening in the month its
-    activity started and a closing in the month its status changed to
-    closed/unfit/suspended. One partial (map-side) aggregate counts both,
-    which equals the full outer join of the two separate aggregates without
-    performing it. With plain ``=`` in that join a null activity code never
-    matches, so the opening and closing counts of a null code stay on two
-    rows; ``null_safe=True`` merges them (one row per grain).
-    """
+
+def dynamics_events(core: DataFrame, *carried: str) -> DataFrame:
+    """Up to two events per establishment: an opening (``o``) in the month its activity
+    started, a closing in the month its status ``st`` changed to closed/unfit/suspended."""
     status = F.col("cod_situacao_cadastral")
     opens = F.col("data_inicio_atividade").isNotNull()
     closes = status.isin(*CLOSING_STATUSES) & F.col("data_situacao_cadastral").isNotNull()
@@ -69,30 +65,73 @@ def monthly_dynamics(core: DataFrame, cnaes: DataFrame, null_safe: bool = False,
         F.when(closes, F.struct(F.lit(False).alias("o"),
                                 month_start("data_situacao_cadastral").alias("m"))),
     )
-    ev = (
+    return (
         core.where(F.col("uf").isNotNull() & (opens | closes))
-        .select("uf", "cod_cnae_principal", status.alias("st"),
+        .select("uf", "cod_cnae_principal", status.alias("st"), *carried,
                 F.explode(events).alias("e"))
         .where(F.col("e").isNotNull())
     )
-    is_open = F.col("e.o")
-    keys = [F.col("e.m").alias("mes_referencia"), F.col("uf"), F.col("cod_cnae_principal")]
-    if not null_safe:
-        keys.append(F.when(F.col("cod_cnae_principal").isNull(), is_open).alias("__side"))
-    closing = ~is_open
-    agg = ev.groupBy(*keys).agg(
-        F.count_if(is_open).alias("qtd_aberturas"),
-        F.count_if(closing & (F.col("st") == STATUS_CLOSED)).alias("qtd_baixadas"),
-        F.count_if(closing & (F.col("st") == STATUS_UNFIT)).alias("qtd_inaptadas"),
-        F.count_if(closing & (F.col("st") == STATUS_SUSPENDED)).alias("qtd_suspensas"),
-    )
-    out = agg.select(
-        *DYNAMICS_KEYS, "qtd_aberturas", "qtd_baixadas", "qtd_inaptadas", "qtd_suspensas",
+
+
+def dynamics_keys() -> list:
+    """Month, state and activity; an opening and a closing of a null activity stay apart,
+    as they never match in a join on the activity."""
+    side = F.when(F.col("cod_cnae_principal").isNull(), F.col("e.o")).alias(SIDE)
+    return [F.col("e.m").alias("mes_referencia"), F.col("uf"), F.col("cod_cnae_principal"), side]
+
+
+def _event_kinds() -> dict:
+    closing = ~F.col("e.o")
+    return {"qtd_aberturas": F.col("e.o"), "qtd_baixadas": closing & (F.col("st") == STATUS_CLOSED),
+            "qtd_inaptadas": closing & (F.col("st") == STATUS_UNFIT), "qtd_suspensas": closing & (F.col("st") == STATUS_SUSPENDED)}
+
+
+def monthly_dynamics(core: DataFrame, cnaes: DataFrame, null_safe: bool = False,
+                     ordered: bool = True) -> DataFrame:
+    """Openings and closings per (month, state, activity) in one scan, one shuffle.
+
+    Each establishment emits up to two events (``dynamics_events``). One partial (map-side)
+    aggregate counts both, which equals the full outer join of the two separate aggregates
+    without performing it. With plain ``=`` in that join a null activity code never
+    matches, so the opening and closing counts of a null code stay on two
+    rows; ``null_safe=True`` merges them (one row per grain).
+    """
+    keys = dynamics_keys()[:3 if null_safe else 4]
+    agg = dynamics_events(core).groupBy(*keys).agg(*[F.count_if(k).alias(c) for c, k in _event_kinds().items()])
+    out = labelled_dynamics(agg, cnaes)
+    return out.orderBy(*DYNAMICS_KEYS) if ordered else out
+
+
+def labelled_dynamics(counts: DataFrame, cnaes: DataFrame) -> DataFrame:
+    """The mart from its counts: net balance and activity label."""
+    out = counts.select(
+        *DYNAMICS_KEYS, *DYNAMICS_COUNTS,
         (F.col("qtd_aberturas") - F.col("qtd_baixadas")).alias("saldo_liquido"),
     )
     out = lookup(out, cnaes, "cod_cnae_principal", "descricao_cnae_principal")
-    out = out.where(F.col("mes_referencia").isNotNull())
-    return out.orderBy(*DYNAMICS_KEYS) if ordered else out
+    return out.where(F.col("mes_referencia").isNotNull())
+
+
+def dynamics_delta(before: DataFrame | None, after: DataFrame) -> DataFrame:
+    """What the counts of ``after`` add to those of ``before``: groups whose counts change.
+
+    Establishments lose the events they had and get those they have; what did not change
+    cancels out in the map-side step, so only the groups of changed rows are left."""
+    columns = ["uf", "cod_cnae_principal", "cod_situacao_cadastral", "data_inicio_atividade", "data_situacao_cadastral"]
+    rows = after.select(*columns, F.lit(1).alias("sign"))
+    if before is not None:
+        rows = rows.unionByName(before.select(*columns, F.lit(-1).alias("sign")))
+    signed = [F.sum(F.when(k, F.col("sign")).otherwise(0)).alias(c) for c, k in _event_kinds().items()]
+    delta = dynamics_events(rows, "sign").groupBy(*dynamics_keys()).agg(*signed)
+    return delta.where(" OR ".join(f"{c} <> 0" for c in DYNAMICS_COUNTS))
+
+
+def apply_delta(state: DataFrame | None, delta: DataFrame) -> DataFrame:
+    """Counts after ``delta``; groups at zero go."""
+    both = delta if state is None else state.select(*delta.columns).unionByName(delta)
+    keys = [*DYNAMICS_KEYS, SIDE]
+    total = both.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in DYNAMICS_COUNTS])
+    return total.where(" OR ".join(f"{c} <> 0" for c in DYNAMICS_COUNTS))
 
 
 def monthly_dynamics_by_join(core: DataFrame, cnaes: DataFrame,
@@ -145,7 +184,9 @@ def active_establishments(stg_est: DataFrame, companies: DataFrame, tax: DataFra
                           uf: str | None = None,
                           since: str | None = None,
                           hot_key_rows: int | None = None,
-                          month_aware: bool = False) -> DataFrame:
+                          month_aware: bool = False,
+                          bucketed: bool = False,
+                          runtime_filter: bool = False) -> DataFrame:
     """Active establishments with company, tax regime and code labels.
 
     The status filter (and the optional state / watermark filters) runs first
@@ -155,7 +196,11 @@ def active_establishments(stg_est: DataFrame, companies: DataFrame, tax: DataFra
     reduced to their companies. ``hot_key_rows`` salts companies with that many
     active establishments. ``month_aware=True`` matches companies, tax regime
     and labels of the establishment's own month, so loading several months never
-    multiplies rows.
+    multiplies rows. ``bucketed=True`` says that the three large tables are bucketed on
+    ``cnpj_basico`` (``sinks.buckets``): neither large join then has an exchange.
+    ``runtime_filter=True`` leaves the reduction of companies and tax regime to Spark's
+    Bloom filter (``session.runtime_filter_conf``), which tests their rows at the scan,
+    before their one exchange, instead of joining them with the distinct companies first.
     """
     a = stg_est.where(F.col("cod_situacao_cadastral") == STATUS_ACTIVE)
     if uf is not None:
@@ -168,13 +213,21 @@ def active_establishments(stg_est: DataFrame, companies: DataFrame, tax: DataFra
         keys.append("_competencia")
     else:
         emp, smp = emp.drop("_competencia"), smp.drop("_competencia")
-    if uf is not None or since is not None:
+    if (uf is not None or since is not None) and not (bucketed or runtime_filter):
         wanted = a.select("cnpj_basico").distinct()
         emp, smp = emp.join(wanted, "cnpj_basico", "left_semi"), smp.join(wanted, "cnpj_basico", "left_semi")
+    hot = None
+    if hot_key_rows:  # counted once, on the establishments alone; of a bucketed table without an exchange
+        hot = hot_keys(a, keys[:1] if bucketed else keys, hot_key_rows).checkpoint()
+        hot = None if hot.isEmpty() else hot
     out = a
     for side in (emp, smp):
-        out = (split_hot_join(out, side, keys, "left", min_rows=hot_key_rows) if hot_key_rows
-               else out.join(side, keys, "left"))
+        if bucketed:
+            out = bucketed_join(out, side, "cnpj_basico", "_competencia" if month_aware else None, hot)
+        elif hot is not None:
+            out = split_hot_join(out, side, keys, "left", hot=hot)
+        else:
+            out = out.join(side, keys, "left")
     period = "_competencia" if month_aware else None
     out = lookup(out, municipios, "cod_municipio", "nome_municipio", period=period)
     out = lookup(out, cnaes, "cod_cnae_principal", "descricao_cnae_principal", period=period)

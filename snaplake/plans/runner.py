@@ -176,7 +176,10 @@ class Lakehouse:
         root = self.path(m.name)
         current = None if full_refresh else tables.read_table(self.spark, root)
         scope = {"uf": uf} if (uf is not None and "uf" in (current.columns if current else [])) else None
-        mark = inc.watermark(current, scope=scope)
+        if current is not None and scope is None and "_competencia" in m.partition_by:
+            mark = tables.latest_value(self.spark, root, "_competencia")  # from the manifest
+        else:
+            mark = inc.watermark(current, scope=scope)
         ins = self._inputs(m)
         by_month = self.snapshot == "latest"
         fresh = self._fresh(ins[0], mark)
@@ -270,6 +273,143 @@ class Lakehouse:
                 failed.append((v, str(e)))
         return ok, failed
 
+    COUNTED = "int_estabelecimentos"
+
+    def update_dynamics(self) -> DataFrame:
+        """The dynamics of the latest snapshot, kept up by signed changes of the counts.
+
+        The state table holds the counts per month, state and activity, and in each row the
+        snapshot and table version they stand for. A new snapshot adds its events and
+        subtracts those of the snapshot counted before; a re-issued one is compared with the
+        version counted before, and partitions that both versions share are not read.
+        The state is written whole, as one new version: it is as small as the mart, and a
+        lost run leaves the old one. Returns the mart."""
+        root, state_root = self.path(self.COUNTED), self.path("mrt_dinamica_contagens")
+        version = tables.committed_versions(self.spark, root)[-1]
+        month = self._months_of(self.COUNTED)[-1]
+        state = tables.read_table(self.spark, state_root)
+        known = None if state is None else state.select("contado_mes", "contado_versao").first()
+        if known is not None and not tables.readable(self.spark, root, known["contado_versao"]):
+            known = None  # its files were vacuumed: count afresh
+        if known is None or (known["contado_mes"], known["contado_versao"]) != (month, version):
+            before, after = self.changed_snapshots(known, month, version)
+            kept = None if known is None else state.drop("contado_mes", "contado_versao")
+            counts = gold.apply_delta(kept, gold.dynamics_delta(before, after))
+            tables.write_version(counts.withColumns({"contado_mes": F.lit(month), "contado_versao": F.lit(version)}),
+                                 state_root, ["uf"], ["mes_referencia"])
+            state = tables.read_table(self.spark, state_root)
+        labels = self._latest("stg_cnaes", self.table("stg_cnaes"))
+        return gold.labelled_dynamics(state, labels).select(*gold.DYNAMICS_COLUMNS)
+
+    def changed_snapshots(self, known, month: str, version: int) -> tuple[DataFrame | None, DataFrame]:
+        """The snapshot counted before and the one to count, without the partitions they share."""
+        root = self.path(self.COUNTED)
+        meta = {v: tables.read_meta(self.spark, root, v) for v in ({version} if known is None else {version, known["contado_versao"]})}
+
+        def folders(v: int, m: str) -> set[str]:
+            return {rel for rel in meta[v]["manifest"] if f"_competencia={m}" in rel.split("/")}
+
+        new = folders(version, month)
+        if known is None:
+            old: set[str] = set()
+        else:
+            old = folders(known["contado_versao"], known["contado_mes"])
+            if known["contado_mes"] == month:
+                same = {rel for rel in new & old if meta[version]["manifest"][rel] == meta[known["contado_versao"]]["manifest"][rel]}
+                new, old = new - same, old - same
+        schema = tables.read_table(self.spark, root).schema
+        after = tables.read_partitions(self.spark, root, meta[version], new, schema)
+        return (None if known is None else tables.read_partitions(self.spark, root, meta[known["contado_versao"]], old, schema)), after
+
+    def build_states(self, states: list[str | None] | None = None,
+                     rules: list[dq.Rule] | None = None) -> tuple[list[str | None], list[tuple[str | None, str]]]:
+        """The active mart for ``states`` (default: all that staging holds) in one job and one merge.
+
+        Every state's rows past its own watermark are built together, so companies, tax
+        regime and labels are read once, not once per state. ``rules`` (default: the mart's
+        declared tests) are then counted per state in one aggregate, and a state that fails
+        one is held back: neither its rows nor moves into or out of it are merged, its
+        partitions stay as they are, and its watermark makes the next run take it again.
+        If the job itself fails, its states are halved until the ones at fault are alone.
+        Returns (ok states, [(failed state, why)])."""
+        m = BY_NAME["mrt_estabelecimentos_ativos"]
+        if states is None:
+            states = tables.partition_values(self.spark, self.path(m.deps[0]), "uf")
+        rules = RULES[m.name] if rules is None else rules
+        try:
+            held = self._merge_states(m, states, rules)
+        except Exception as e:  # noqa: BLE001 - isolate the state, like a batch that goes on
+            if len(states) == 1:
+                log.error("state %s failed: %s", states[0], e)
+                return [], [(states[0], str(e))]
+            half = len(states) // 2
+            (ok, failed), (ok2, failed2) = (self.build_states(part, rules) for part in (states[:half], states[half:]))
+            return ok + ok2, failed + failed2
+        return [s for s in states if s not in held], sorted(held.items(), key=lambda x: x[0] or "")
+
+    def states_batch(self, states: list[str | None]) -> tuple[DataFrame, DataFrame]:
+        """(rows, latest) that ``build_states`` merges: the mart's rows past each state's
+        watermark, and every establishment behind them (``cnpj``, ``uf``, whether active)."""
+        m = BY_NAME["mrt_estabelecimentos_ativos"]
+        source, *others = self._inputs(m)
+        current = tables.read_table(self.spark, self.path(m.name))
+        marks = inc.watermarks(current, "uf")
+        known = tables.partition_values(self.spark, self.path(m.deps[0]), "uf")
+        by_month = self.snapshot == "latest"
+        late = {s: w for s, w in marks.items() if w < max(marks.values())} if by_month and marks else {}
+        if late:
+            # A state held back before: what lives there may have moved to a state that is ahead, and
+            # what it has may be older than what such a state has, so each key's newest row decides.
+            if all(s in marks for s in known) and not self.refresh_months:
+                source = inc.since(source, min(late.values()))
+            newest = inc.latest_per_key(source, m.keys)
+            there = current.where(F.col("uf").isin(*[s for s in late if s is not None])).select(*m.keys).distinct()
+            est = inc.since_each(newest, marks, "uf", again=self.refresh_months)
+            est = est.unionByName(newest.join(there, m.keys, "left_semi")).distinct()
+        else:
+            est = inc.since_each(source, marks, "uf", scopes=known, again=self.refresh_months)
+        named = [s for s in states if s is not None]
+        wanted = F.col("uf").isin(*named) if named else F.lit(False)
+        est = est.where(wanted | F.col("uf").isNull() if None in states else wanted)
+        if by_month:
+            est = inc.latest_per_key(est, m.keys)
+        rows = gold.active_establishments(est, *others, month_aware=by_month, hot_key_rows=self.hot_key_rows)
+        active = F.col("cod_situacao_cadastral").eqNullSafe(STATUS_ACTIVE)
+        return rows, est.select("cnpj", "uf", active.alias("active"))
+
+    def _merge_states(self, m: Model, states: list[str | None], rules: list[dq.Rule]) -> dict[str | None, str]:
+        rows, latest = self.states_batch(states)
+        rows, latest = rows.checkpoint(), latest.checkpoint()
+        held: dict[str | None, str] = {}
+        if rules:
+            failed = dq.failed(dq.check(rows, m.name, rules, by="uf")).collect()  # a row per state and rule
+            for r in failed:
+                why = f"{r['test_name']}({r['column_name']}): {r['failures']}"
+                held[r["uf"]] = f"{held[r['uf']]}; {why}" if r["uf"] in held else why
+        current = tables.read_table(self.spark, self.path(m.name))
+        deletes = latest.where(~F.col("active")) if self.remove_inactive else None
+        if held:
+            log.error("states held back: %s", held)
+            names = [s for s in held if s is not None]
+            inside = F.col("uf").isin(*names) if names else F.lit(False)
+            inside = F.coalesce(inside, F.lit(None in held))
+            home = None if current is None else current.where(inside).select(*m.keys).distinct()
+
+            def let_in(df: DataFrame) -> DataFrame:
+                df = df.where(~inside)
+                return df if home is None else df.join(home, m.keys, "left_anti")
+
+            rows = let_in(rows)
+            deletes = None if deletes is None else let_in(deletes)
+        deletes = None if deletes is None else deletes.select(*m.keys)
+        if current is None:
+            first = inc.latest_per_key(rows, m.keys) if self.snapshot == "latest" else rows
+            tables.write_version(first, self.path(m.name), m.partition_by, m.sort_by)
+        else:
+            tables.merge_into(self.spark, self.path(m.name), rows, m.keys, m.partition_by, m.sort_by, deletes=deletes)
+        tables.publish(self.spark, m.name, self.path(m.name))
+        return held
+
     def vacuum(self, keep: int = 2) -> list[str]:
         """Drop table files the newest ``keep`` versions no longer reference."""
         removed = []
@@ -278,6 +418,55 @@ class Lakehouse:
                 removed += tables.vacuum(self.spark, self.path(m.name), keep)
         return removed
 
+    def check_incremental(self, models: list[str] | None = None) -> DataFrame:
+        """The declared data tests from summaries that are kept per partition of each table.
+
+        Only partitions that are new, or rewritten since they were last summarised, are
+        read; the report is merged from the summaries (null counts, and a count per key for
+        ``unique``). Views and tables without partitions are tested as they are."""
+        out = None
+        for name in [m for m in RULES if models is None or m in models]:
+            m = BY_NAME[name]
+            if m.kind == "view" or not m.partition_by:
+                report = dq.check(self.table(name), name, RULES[name])
+            else:
+                report = dq.merged(self._summaries(m), name, RULES[name])
+            out = report if out is None else out.unionByName(report)
+        return dq.with_status(out)
+
+    def unsummarised(self, m: Model) -> tuple[dict, set[str], DataFrame | None]:
+        """(newest manifest, partitions without a summary of it, the summaries kept)."""
+        root, kept_root = self.path(m.name), f"{self.root}/tests/{m.name}"
+        meta = tables.read_meta(self.spark, root, tables.committed_versions(self.spark, root)[-1])
+        kept = tables.read_table(self.spark, kept_root)
+        have = set()
+        if kept is not None:  # as many rows as the table has partitions
+            have = {(r["parte"], r["versao"]) for r in kept.where(F.col("rule") == dq.MARK).select("parte", "versao").collect()}
+        return meta, {rel for rel, v in meta["manifest"].items() if (rel, v) not in have}, kept
+
+    def _summaries(self, m: Model) -> DataFrame:
+        root, kept_root = self.path(m.name), f"{self.root}/tests/{m.name}"
+        meta, todo, kept = self.unsummarised(m)
+        gone = kept is not None and {r[0] for r in kept.select("parte").distinct().collect()} - set(meta["manifest"])
+        if todo or gone:
+            schema = tables.read_table(self.spark, root).schema
+            rows = tables.read_partitions(self.spark, root, meta, todo, schema)
+            names = self.spark.createDataFrame([(rel, meta["manifest"][rel], *tables._values(rel)) for rel in sorted(todo)], ", ".join(
+                ["parte string", "versao int", *(f"__p{i} string" for i in range(len(m.partition_by)))]))
+            new = dq.summarise(rows, RULES[m.name], m.partition_by)
+            same = F.lit(True)
+            for i, c in enumerate(m.partition_by):
+                same = same & F.col(f"__part_{c}").eqNullSafe(F.col(f"__p{i}"))
+            new = new.join(F.broadcast(names), same).select("parte", "versao", *dq.SUMMARY_COLUMNS)
+            marks = names.select("parte", "versao", F.lit(dq.MARK).alias("rule"), F.lit(None).cast("string").alias("key"), F.lit(0).cast("long").alias("n"))
+            new = new.unionByName(marks)
+            replaced = sorted(todo | (gone or set()))
+            if kept is None:
+                tables.write_version(new, kept_root, ["parte"])
+            else:
+                tables.replace_partitions(new, kept_root, ["parte"], "parte", replaced)
+        return tables.read_table(self.spark, kept_root)
+
     def check(self, models: list[str] | None = None) -> DataFrame:
         """The declared data tests over the built models: one row per rule
         with its failing-row count and PASS/FAIL (lazy report)."""

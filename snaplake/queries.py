@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaplake import oracle as O
+from snaplake.functions import sql as sql_functions
 from snaplake.functions import (
     blank_to_null,
     concat_key,
@@ -26,15 +27,16 @@ from snaplake.functions import (
     trim_spaces,
 )
 from snaplake.operators import incremental as inc
+from snaplake.operators.enrich import estimated_bytes
 from snaplake.operators import quality as dq
 from snaplake.operators.snapshot import latest_snapshot
 from snaplake.plans import gold, silver
 from snaplake.plans.checks import RULES
 from snaplake.plans.runner import Lakehouse
-from snaplake.schemas import ALL_TABLES, DOMAIN_TABLES, FILE_PREFIXES, PORTE_LABELS, STATES, STATUS_ACTIVE
+from snaplake.schemas import ALL_TABLES, DOMAIN_TABLES, FILE_PREFIXES, PORTE_LABELS, STATES, STATUS_ACTIVE, columns_of
 from snaplake.session import session_key, work_dir
-from snaplake.sinks import series, tables
-from snaplake.sources import bronze, catalog, landing
+from snaplake.sinks import append, buckets, series, tables
+from snaplake.sources import bronze, catalog, csv_dialect, landing, zip_stream
 from snaplake.sources.derived import SNAPSHOT_MONTHS, file_name_sql, raw_table
 from snaplake.streaming import incremental as sinc
 
@@ -549,6 +551,61 @@ def q_bronze_monthly_dynamics(spark, sf_dir):
     return gold.monthly_dynamics(core, cn)
 
 
+def _damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three snapshots of companies as quoted lines; every 20th line has fields too many
+    (the last one empty), every 30th has two too few."""
+    raw = raw_table(spark, sf_dir, "empresas_full")
+    cells = [F.concat(F.lit('"'), F.replace(F.coalesce(F.col(c), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"')) for c in columns_of("empresas")]
+    kind = F.col("cnpj_basico").cast("int")
+    line = (F.when(kind % 20 == 3, F.concat_ws(";", *cells, F.lit('"x;y"'), F.lit("")))
+            .when(kind % 30 == 7, F.concat_ws(";", *cells[:-2])).otherwise(F.concat_ws(";", *cells)))
+    return raw.select(line.alias("linha"), F.expr(file_name_sql("empresas", "spark")).alias("nome"), "_competencia")
+
+
+_DAMAGED = O.ctes("raw_empresas_full").rstrip() + f""", lines AS (
+ SELECT *, {file_name_sql("empresas", "duckdb")} AS arquivo, CAST(cnpj_basico AS INTEGER) % 20 = 3 AS too_long,
+  CAST(cnpj_basico AS INTEGER) % 30 = 7 AS too_short FROM raw_empresas_full)
+"""
+
+
+def damaged_bronze(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """(report, bronze folder) of an ingestion whose zips hold lines of wrong lengths."""
+    key = (*session_key(spark), sf_dir, "damaged")
+    if key not in _LAKE:
+        base = work_dir(spark, "damaged")
+        landing.write_lines(_damaged_lines(spark, sf_dir), f"{base}/landing", f"{base}/staging", "linha").collect()
+        report = bronze.ingest_report(spark, f"{base}/landing", f"{base}/bronze", SNAPSHOT_MONTHS, EXTRACTION_DATE, ["empresas"])
+        _LAKE[key] = (report, f"{base}/bronze")
+    return _LAKE[key]
+
+
+@register("ingest_zip_counts", _DAMAGED + """SELECT 'empresas' AS tabela, _competencia AS competencia, arquivo,
+ CAST(count(*) FILTER (WHERE NOT too_long) AS BIGINT) AS n_rows, CAST(count(*) FILTER (WHERE too_short AND NOT too_long) AS BIGINT) AS n_padded,
+ CAST(count(*) FILTER (WHERE too_long) AS BIGINT) AS n_rejected FROM lines GROUP BY ALL""")
+def q_ingest_zip_counts(spark, sf_dir):
+    """What each zip gave, counted while bronze is written."""
+    return damaged_bronze(spark, sf_dir)[0]
+
+
+@register("ingest_rejected_lines", _DAMAGED + """SELECT 'empresas' AS tabela, _competencia AS competencia, arquivo,
+ concat_ws(';', """ + ", ".join(f"""'"' || coalesce({c}, '') || '"'""" for c in columns_of("empresas"))
+          + """, '"x;y"', '') AS linha, """ + f"{len(columns_of('empresas')) + 2} AS n_campos FROM lines WHERE too_long")
+def q_ingest_rejected_lines(spark, sf_dir):
+    """The lines that bronze did not take, as they are in the zips."""
+    return bronze.read_rejects(spark, damaged_bronze(spark, sf_dir)[1])
+
+
+@register("csv_dialect_scan", _DAMAGED + "SELECT " + ", ".join(
+    f"CASE WHEN too_short AND {i} >= {len(columns_of('empresas')) - 2} THEN NULL ELSE NULLIF({c}, '') END AS {c}"
+    for i, c in enumerate(columns_of("empresas"))) + " FROM lines WHERE NOT too_long")
+def q_csv_dialect_scan(spark, sf_dir):
+    """The same lines as plain files, by Spark's CSV reader: short rows padded, long rows
+    dropped though their last field is empty."""
+    path = work_dir(spark, "csv-lines")
+    _damaged_lines(spark, sf_dir).select("linha").write.text(path)
+    return csv_dialect.read_csv(spark, path, "empresas").select(*columns_of("empresas"))
+
+
 # ------------------------------------------------- the whole flow, on disk
 
 
@@ -662,6 +719,23 @@ def q_lakehouse_incremental_partners(spark, sf_dir):
     return built(spark, sf_dir).table("int_socios").select(*silver.PARTNER_COLUMNS)
 
 
+@register("dq_incremental", O.ctes("stg_estabelecimentos_full", "stg_empresas_full", "stg_simples_full") + "\nUNION ALL\n".join(
+    part for t in ("stg_estabelecimentos", "stg_empresas", "stg_simples") for part in O.dq_sql(t, f"{t}_full", RULES[t])))
+def q_dq_incremental(spark, sf_dir):
+    """The tests of three partitioned tables after three loads, each of which summarised
+    its own month only."""
+    key = (*session_key(spark), sf_dir, "summaries")
+    models = ["stg_estabelecimentos", "stg_empresas", "stg_simples"]
+    if key not in _LH:
+        land, _ = snapshot_lake(spark, sf_dir)
+        lh = Lakehouse(spark, work_dir(spark, "lakehouse"))
+        for month in SNAPSHOT_MONTHS:
+            lh.backfill(land, [month], EXTRACTION_DATE, models)
+            lh.check_incremental(models)
+        _LH[key] = lh
+    return _LH[key].check_incremental(models).drop("status")
+
+
 @register("lakehouse_published_view", O.ctes("stg_estabelecimentos_full") + """SELECT _competencia, uf,
  CAST(count(*) AS BIGINT) AS n_rows FROM stg_estabelecimentos_full GROUP BY _competencia, uf""")
 def q_lakehouse_published_view(spark, sf_dir):
@@ -670,6 +744,47 @@ def q_lakehouse_published_view(spark, sf_dir):
     return spark.sql("SELECT _competencia, uf, count(*) AS n_rows FROM stg_estabelecimentos GROUP BY _competencia, uf")
 
 
+@register("dynamics_by_deltas", ORACLE["lakehouse_monthly_dynamics"])
+def q_dynamics_by_deltas(spark, sf_dir):
+    """Dynamics kept up over three snapshots by signed changes: equal to a recount."""
+    key = (*session_key(spark), sf_dir, "deltas")
+    if key not in _LH:
+        land, _ = snapshot_lake(spark, sf_dir)
+        lh = Lakehouse(spark, work_dir(spark, "lakehouse"))
+        for month in SNAPSHOT_MONTHS:
+            lh.backfill(land, [month], EXTRACTION_DATE, DYNAMICS_MODELS)
+            lh.update_dynamics()
+        _LH[key] = lh
+    return _LH[key].update_dynamics()
+
+
+DYNAMICS_MODELS = ["stg_estabelecimentos", "int_estabelecimentos", "stg_cnaes"]
+
+
+@register("dynamics_by_deltas_reissued", O.ctes("stg_estabelecimentos_reissued", "stg_cnaes_full", extra=[
+    ("again", "SELECT * FROM stg_estabelecimentos_reissued WHERE uf <> 'AC' AND cod_situacao_cadastral <> '03'"),
+    ("codes", "SELECT 'cnaes' AS kind, codigo, descricao FROM stg_cnaes_full WHERE _competencia = '2026-03'")])
+    + O.dynamics_body(src="again"))
+def q_dynamics_by_deltas_reissued(spark, sf_dir):
+    """The last month comes again without one state and without suspended establishments:
+    their events are taken back."""
+    key = (*session_key(spark), sf_dir, "deltas-reissued")
+    if key not in _LH:
+        land, _ = snapshot_lake(spark, sf_dir)
+        base = work_dir(spark, "again")
+        raw = raw_table(spark, sf_dir, "estabelecimentos_reissued").withColumn("nome", F.expr(file_name_sql("estabelecimentos", "spark")))
+        raw = raw.where("trim(uf) <> 'AC' AND trim(situacao_cadastral) <> '03'")
+        landing.write_extracts(raw, f"{base}/landing", f"{base}/staging", "estabelecimentos").collect()
+        lh = Lakehouse(spark, work_dir(spark, "lakehouse"))
+        lh.backfill(land, SNAPSHOT_MONTHS, EXTRACTION_DATE, DYNAMICS_MODELS)
+        lh.update_dynamics()
+        lh.refresh_months = SNAPSHOT_MONTHS[-1:]
+        lh.ingest(f"{base}/landing", lh.refresh_months, EXTRACTION_DATE, ["estabelecimentos"])
+        lh.build(DYNAMICS_MODELS)
+        _LH[key] = lh
+    return _LH[key].update_dynamics()
+
+
 def _run_by(spark, sf_dir, states):
     """The active mart as loaded, built by one run for each of ``states``."""
     key = (*session_key(spark), sf_dir, "run_by", tuple(states))
@@ -698,6 +813,137 @@ def q_run_by_all_states(spark, sf_dir):
     return _run_by(spark, sf_dir, STATES)
 
 
+@register("states_in_one_job", ORACLE["active_establishments"])
+def q_states_in_one_job(spark, sf_dir):
+    """The batch over all states (as loaded) as one job and one merge, each state past its
+    own watermark: the same rows as state by state."""
+    key = (*session_key(spark), sf_dir, "states")
+    if key not in _LH:
+        land, _ = lake(spark, sf_dir)
+        lh = Lakehouse(spark, work_dir(spark, "lakehouse"), snapshot="as_loaded")
+        lh.backfill(land, ["2026-01", "2026-02"], EXTRACTION_DATE, ACTIVE_MODELS[:-1])
+        _, failed = lh.build_states(rules=[])
+        if failed:
+            raise RuntimeError(failed)
+        _LH[key] = lh
+    return _LH[key].table("mrt_estabelecimentos_ativos").select(*gold.ACTIVE_COLUMNS)
+
+
+HELD_STATE = "AC"
+_HELD = O.ctes("stg_estabelecimentos_full", "stg_empresas_full", "stg_simples_full", "codes_full", extra=[
+    ("est_first", f"SELECT * FROM stg_estabelecimentos_full WHERE _competencia = '{SNAPSHOT_MONTHS[0]}'"),
+    *_EST_NOW,
+    ("kept_back", f"SELECT cnpj FROM est_first WHERE uf = '{HELD_STATE}' AND cod_situacao_cadastral = '02' "
+                  f"UNION SELECT cnpj FROM est_now WHERE uf = '{HELD_STATE}'"),
+    ("est_mixed", "SELECT * FROM est_now WHERE cnpj NOT IN (SELECT cnpj FROM kept_back WHERE cnpj IS NOT NULL) "
+                  "UNION ALL SELECT * FROM est_first WHERE cnpj IN (SELECT cnpj FROM kept_back)")]) \
+    + O.active_sql(src="est_mixed", month_aware=True, suffix="_full")
+
+
+def held_lakehouse(spark: SparkSession, sf_dir: str) -> Lakehouse:
+    """One month, then two more in which one state's rows break a rule."""
+    key = (*session_key(spark), sf_dir, "held")
+    if key not in _LH:
+        land, _ = snapshot_lake(spark, sf_dir)
+        lh = Lakehouse(spark, work_dir(spark, "lakehouse"))
+        lh.backfill(land, SNAPSHOT_MONTHS[:1], EXTRACTION_DATE, ACTIVE_MODELS[:-1])
+        lh.build_states(rules=[])
+        lh.backfill(land, SNAPSHOT_MONTHS[1:], EXTRACTION_DATE, ACTIVE_MODELS[:-1])
+        _, failed = lh.build_states(rules=[dq.accepted_values("uf", [s for s in STATES if s != HELD_STATE])])
+        if [s for s, _ in failed] != [HELD_STATE]:
+            raise RuntimeError(failed)
+        _LH[key] = lh
+    return _LH[key]
+
+
+@register("states_one_held_back", _HELD)
+def q_states_one_held_back(spark, sf_dir):
+    """A batch in which one state breaks a rule: it and all moves into and out of it stay
+    as they were after the first month, every other state is up to date."""
+    return held_lakehouse(spark, sf_dir).table("mrt_estabelecimentos_ativos").select(*gold.ACTIVE_COLUMNS)
+
+
+@register("active_by_state_filtered", ORACLE["active_by_state"])
+def q_active_by_state_filtered(spark, sf_dir):
+    """One state's active establishments; companies and tax regime are left to Spark's
+    runtime filter instead of a join with the state's distinct companies."""
+    return _active(spark, sf_dir, uf="RJ", runtime_filter=True)
+
+
+@register("watermark_from_footers", O.ctes("stg_estabelecimentos") + """SELECT max(data_situacao_cadastral) AS newest_change,
+ max(_competencia) AS newest_month FROM stg_estabelecimentos""")
+def q_watermark_from_footers(spark, sf_dir):
+    """The newest change of status from Parquet footers, and the newest month from a
+    table's manifest: neither reads a row."""
+    root = work_dir(spark, "footers")
+    tables.write_version(stg(spark, sf_dir, "estabelecimentos"), root, ["_competencia"])
+    newest = inc.watermark_from_footers(spark, [tables.version_path(root, 1)], "data_situacao_cadastral")
+    return spark.createDataFrame([(newest, tables.latest_value(spark, root, "_competencia"))], "newest_change date, newest_month string")
+
+
+def bucketed_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Establishments, companies and tax regime staged into tables bucketed on the company."""
+    key = (*session_key(spark), sf_dir, "bucketed")
+    if key not in _LAKE:
+        staged = {t: stg(spark, sf_dir, t) for t in ("estabelecimentos", "empresas", "simples")}
+        n = buckets.buckets_for(max(estimated_bytes(raw_table(spark, sf_dir, t)) for t in staged))
+        base = work_dir(spark, "bucketed")
+        _LAKE[key] = {t: buckets.write_bucketed(df, f"{base}/{t}", "cnpj_basico", n, ["_competencia"]) for t, df in staged.items()}
+    return _LAKE[key]
+
+
+def _active_bucketed(spark, sf_dir, **kw):
+    t, d = bucketed_tables(spark, sf_dir), dims(spark, sf_dir)
+    return gold.active_establishments(t["estabelecimentos"], t["empresas"], t["simples"], *[d[k] for k in (
+        "municipios", "cnaes", "naturezas", "motivos", "paises")], hot_key_rows=1_000_000, bucketed=True, **kw)
+
+
+@register("active_establishments_bucketed", ORACLE["active_establishments"])
+def q_active_establishments_bucketed(spark, sf_dir):
+    """The active mart from bucketed silver tables: neither large join shuffles."""
+    return _active_bucketed(spark, sf_dir)
+
+
+@register("active_bucketed_by_month", ORACLE["active_establishments_by_month"])
+def q_active_bucketed_by_month(spark, sf_dir):
+    """The same with companies and tax regime of the establishment's own month."""
+    return _active_bucketed(spark, sf_dir, month_aware=True)
+
+
+_SQL_STAGE = """SELECT trim(cnpj_basico) AS cnpj_basico, trim(cnpj_ordem) AS cnpj_ordem, trim(cnpj_dv) AS cnpj_dv,
+ concat_key(cnpj_basico, cnpj_ordem, cnpj_dv) AS cnpj,
+ blank_to_null(situacao_cadastral) AS cod_situacao_cadastral, blank_to_null(motivo_situacao_cadastral) AS cod_motivo_situacao_cadastral,
+ blank_to_null(pais) AS cod_pais, blank_to_null(cnae_fiscal_principal) AS cod_cnae_principal, blank_to_null(municipio) AS cod_municipio,
+ compact_date(data_situacao_cadastral) AS data_situacao_cadastral, compact_date(data_inicio_atividade) AS data_inicio_atividade,
+ compact_date(data_situacao_especial) AS data_situacao_especial,
+ {same}, _competencia, _data_extracao
+FROM raw_establishments WHERE blank_to_null(cnpj_basico) IS NOT NULL"""
+_SAME_NAME = ["identificador_matriz_filial", "nome_fantasia", "nome_cidade_exterior", "cnae_fiscal_secundaria", "tipo_logradouro", "logradouro", "numero",
+              "complemento", "bairro", "cep", "uf", "ddd_1", "telefone_1", "ddd_2", "telefone_2", "ddd_fax", "fax", "email", "situacao_especial"]
+
+
+@register("sql_stage_establishments", ORACLE["stage_establishments"])
+def q_sql_stage_establishments(spark, sf_dir):
+    """Staging written in SQL alone, with the registered functions."""
+    sql_functions.register(spark)
+    raw_table(spark, sf_dir, "estabelecimentos").createOrReplaceTempView("raw_establishments")
+    return spark.sql(_SQL_STAGE.format(same=", ".join(f"blank_to_null({c}) AS {c}" for c in _SAME_NAME)))
+
+
+@register("sql_companies_decoded", O.ctes("stg_empresas", "stg_simples", extra=[("sizes", " UNION ALL ".join(
+    f"SELECT '{k}' AS code, '{v}' AS label" for k, v in PORTE_LABELS))]) + """SELECT e.cnpj_basico, e.capital_social, s.label AS tamanho,
+ coalesce(t.opcao_pelo_simples = 'S', FALSE) AS is_simples FROM stg_empresas e LEFT JOIN sizes s ON s.code = e.cod_porte_empresa
+ LEFT JOIN stg_simples t ON t.cnpj_basico = e.cnpj_basico""")
+def q_sql_companies_decoded(spark, sf_dir):
+    """Decimal comma, decode and flag from SQL."""
+    sql_functions.register(spark)
+    raw_table(spark, sf_dir, "empresas").createOrReplaceTempView("raw_companies")
+    stg(spark, sf_dir, "simples").createOrReplaceTempView("stg_tax_regime")
+    return spark.sql("""SELECT trim(e.cnpj_basico) AS cnpj_basico, decimal_comma(e.capital_social) AS capital_social,
+ company_size(blank_to_null(e.porte_empresa)) AS tamanho, is_yes(t.opcao_pelo_simples) AS is_simples
+FROM raw_companies e LEFT JOIN stg_tax_regime t ON t.cnpj_basico = trim(e.cnpj_basico) WHERE blank_to_null(e.cnpj_basico) IS NOT NULL""")
+
+
 # ------------------------------------------- views, parameters, small sinks
 
 @register("bronze_views_sql", O.ctes("raw_socios") + """SELECT _competencia, identificador_socio,
@@ -767,11 +1013,38 @@ def q_streamed_partners(spark, sf_dir):
     root = work_dir(spark, "streamed_partners")
     stream = silver.stage_partners(sinc.bronze_stream(spark, bz, "socios", max_files_per_trigger=8))
     q = sinc.stream_merge(stream, root, ["cnpj_basico", "cnpj_cpf_socio"],
-                          transform=lambda b: silver.partners_enriched(b, paises, quals))
+                          transform=lambda b: silver.partners_enriched(b, paises, quals), partition_by=["_competencia"])
     sinc.run_until_done(q)
     return tables.read_table(spark, root).select(*silver.PARTNER_COLUMNS)
 
 
+@register("streamed_bronze", O.ctes("stg_empresas_full") + "SELECT * FROM stg_empresas_full")
+def q_streamed_bronze(spark, sf_dir):
+    """Company zips that land month by month, each month taken in by a stream started anew:
+    staged, they are what one batch over all months gives."""
+    key = (*session_key(spark), sf_dir, "arrived")
+    if key not in _LAKE:
+        base = work_dir(spark, "arrived")
+        raw = raw_table(spark, sf_dir, "empresas_full").withColumn("nome", F.expr(file_name_sql("empresas", "spark")))
+        for month in reversed(SNAPSHOT_MONTHS):  # the oldest month comes last
+            landing.write_extracts(raw.where(F.col("_competencia") == month), f"{base}/landing", f"{base}/staging", "empresas").collect()
+            sinc.run_until_done(zip_stream.ingest_arrived(spark, f"{base}/landing", f"{base}/bronze", "empresas", EXTRACTION_DATE))
+        _LAKE[key] = (base, f"{base}/bronze")
+    bz = _LAKE[key][1]
+    return silver.stage_companies(bronze.read_table(spark, bz, "empresas")).withColumn(
+        "_data_extracao", F.concat("_competencia", F.lit("-20")))
+
+
+@register("appended_series", O.ctes("stg_empresas_full") + "SELECT cnpj_basico, razao_social, capital_social, _competencia FROM stg_empresas_full")
+def q_appended_series(spark, sf_dir):
+    """Companies appended month by month to a table by name; a repeated month adds nothing."""
+    root = work_dir(spark, "appended")
+    rows = stg(spark, sf_dir, "empresas_full").select("cnpj_basico", "razao_social", "capital_social", "_competencia")
+    for month in (*SNAPSHOT_MONTHS, SNAPSHOT_MONTHS[0]):
+        append.append_rows(rows.where(F.col("_competencia") == month), root, f"empresas-{month}")
+    return append.read_appended(spark, root, rows.schema)
+
+
 @register("active_establishments_hot_split", ORACLE["active_establishments"])
 def q_active_establishments_hot_split(spark, sf_dir):
     """The active mart with companies of 4+ active establishments salted in the

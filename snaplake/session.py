@@ -68,6 +68,18 @@ def cluster_conf(input_bytes: int, total_cores: int,
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        **runtime_filter_conf(),
+    }
+
+
+def runtime_filter_conf(creation_bytes: int = 1 << 30, scan_bytes: int = 10 << 30) -> dict[str, str]:
+    """Settings under which a join's filtered side, up to ``creation_bytes`` by estimate, makes a
+    Bloom filter for the scan of the other, from ``scan_bytes`` on. The filter has a fixed
+    size (8 MB); a side too large for it filters less and changes no row."""
+    return {
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": str(creation_bytes),
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": str(scan_bytes),
     }
 
 

@@ -203,6 +203,11 @@ def partition_values(spark: SparkSession, root: str, column: str) -> list[str |
     return sorted(out, key=lambda v: (v is None, v or ""))
 
 
+def latest_value(spark: SparkSession, root: str, column: str) -> str | None:
+    """Largest value of a partition column in the newest version: from the manifest, no scan."""
+    return max((v for v in partition_values(spark, root, column) if v is not None), default=None)
+
+
 def write_full(df: DataFrame, root: str, partition_by: list[str] | None = None,
                sort_by: list[str] | None = None) -> DataFrame:
     """Full-refresh materialisation: write a version, return the table."""
@@ -246,7 +251,7 @@ def merge_into(spark: SparkSession, root: str, source: DataFrame, keys: list[str
     The key join runs once, on key columns, to name the folders; the write then
     reads those folders and no others.
     """
-    from snaplake.operators.incremental import drop_matched, latest_per_key, upsert
+    from snaplake.operators.incremental import holders, latest_per_key, upsert
 
     current = read_table(spark, root, schema=source.schema, with_file=bool(partition_by))
     if current is None:
@@ -264,9 +269,7 @@ def merge_into(spark: SparkSession, root: str, source: DataFrame, keys: list[str
     src = latest_per_key(source, keys, order).checkpoint(eager=True)
     meta = read_meta(spark, root, committed_versions(spark, root)[-1])
     rel = F.regexp_extract("__file", r"/_v=[0-9]+/(.+)/[^/]+$", 1).alias("rel")
-    moved = drop_matched(current, src, keys, order, null_safe, how="left_semi").select(rel)
-    if deletes is not None:
-        moved = moved.unionByName(current.join(deletes.select(*keys).distinct(), keys, "left_semi").select(rel))
+    moved = holders(current, src, keys, ["__file"], order, null_safe, deletes).select(rel)
     # One row per partition folder reaches the driver, twice: bounded by the
     # table's partition count, which the manifest holds anyway.
     replaced = {unquote(r["rel"]) for r in moved.distinct().collect()}
@@ -289,6 +292,17 @@ def merge_into(spark: SparkSession, root: str, source: DataFrame, keys: list[str
     return read_table(spark, root, schema=source.schema).select(*source.columns)
 
 
+def readable(spark: SparkSession, root: str, version: int) -> bool:
+    """Whether a version is committed and all its partition folders are still there."""
+    if version not in committed_versions(spark, root):
+        return False
+    for rel, v in read_meta(spark, root, version)["manifest"].items():
+        fs, path, _ = _fs(spark, f"{version_path(root, v)}/{rel}")
+        if not fs.exists(path):
+            return False
+    return True
+
+
 def replace_partitions(df: DataFrame, root: str, partition_by: list[str],
                        column: str, values: list[str], sort_by: list[str] | None = None) -> int:
     """Replace every partition whose ``column`` is in ``values`` with ``df``.

@@ -9,7 +9,7 @@ idempotent and shards of one month never overwrite each other.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from snaplake.schemas import ALL_TABLES, SOURCE_TAG, columns_of
@@ -92,15 +92,22 @@ def run_concurrently(fn, items, max_jobs: int = 4) -> list:
         return list(pool.map(fn, items))
 
 
-def ingest(spark: SparkSession, landing_root: str, bronze_root: str, periods: list[str],
-           extraction_date: str, tables: list[str] | None = None, na_tokens=None,
-           max_jobs: int = 4) -> DataFrame:
+REPORT = ("tabela string, competencia string, arquivo string, n_rows bigint, n_padded bigint, n_rejected bigint")
+
+
+def ingest_report(spark: SparkSession, landing_root: str, bronze_root: str, periods: list[str],
+                  extraction_date: str, tables: list[str] | None = None, na_tokens=None,
+                  max_jobs: int = 4) -> DataFrame:
     """Landing zips of ``periods`` -> bronze: one listing job, then one scan
     and one write job per table covering all the months (each zip's month
-    comes from its folder). Returns per-table row counts read back (lazy).
+    comes from its folder). Returns a row per zip: rows read, rows padded, lines rejected.
+
+    The counts are observed while bronze is written (the source ends each zip with a row
+    that counts), so nothing is read again. Only zips that rejected lines are scanned a
+    second time, for the lines: they go to ``tabela=rejeitos`` (see ``read_rejects``).
     """
     from snaplake.sources.landing import list_files
-    from snaplake.sources.zip_csv import PATH_COLUMN
+    from snaplake.sources.zip_csv import COUNTS_COLUMN, PATH_COLUMN
 
     wanted = tables or ALL_TABLES
     for t in wanted:
@@ -111,20 +118,66 @@ def ingest(spark: SparkSession, landing_root: str, bronze_root: str, periods: li
     by_table: dict[str, list[str]] = {}
     for r in listing:
         by_table.setdefault(r["tabela"], []).append(r["path"])
-    def load(table: str) -> str | None:
+    period = F.regexp_extract(F.col(PATH_COLUMN), r"competencia=([^/]+)/[^/]+$", 1)
+
+    def load(table: str) -> list[tuple]:
         paths = sorted(by_table.get(table, []))
         if not paths:
-            return None
-        df = read_zips(spark, paths, table=table, na_tokens=na_tokens, with_path=True)
-        df = df.withColumn("_competencia",
-                           F.regexp_extract(F.col(PATH_COLUMN), r"competencia=([^/]+)/[^/]+$", 1))
-        write_table(with_metadata(df.drop(PATH_COLUMN), None, extraction_date), bronze_root, table)
-        return table
+            return []
+        seen = Observation()
+        df = read_zips(spark, paths, table=table, na_tokens=na_tokens, with_path=True, counts=True)
+        last = F.when(F.col(COUNTS_COLUMN).isNotNull(), F.struct(PATH_COLUMN, f"{COUNTS_COLUMN}.*"))
+        df = df.observe(seen, F.collect_list(last).alias("zips"))  # a row per zip, as the listing has
+        df = df.where(F.col(COUNTS_COLUMN).isNull()).withColumn("_competencia", period)
+        write_table(with_metadata(df.drop(PATH_COLUMN, COUNTS_COLUMN), None, extraction_date), bronze_root, table)
+        zips = sorted(tuple(z) for z in seen.get["zips"])
+        write_rejects(spark, bronze_root, table, paths, [z[0] for z in zips if z[3]])
+        return [(table, z[0].rsplit("competencia=", 1)[-1].split("/")[0], z[0].rsplit("/", 1)[-1], *z[1:]) for z in zips]
 
     # Tables are independent jobs; submitting them together keeps the
     # cluster busy while single-zip code tables run one task each.
-    done = [t for t in run_concurrently(load, wanted, max_jobs) if t]
-    return summary(spark, bronze_root, done, periods)
+    rows = [r for found in run_concurrently(load, wanted, max_jobs) for r in found]
+    return spark.createDataFrame(rows, REPORT)
+
+
+def ingest(spark: SparkSession, landing_root: str, bronze_root: str, periods: list[str],
+           extraction_date: str, tables: list[str] | None = None, na_tokens=None,
+           max_jobs: int = 4) -> DataFrame:
+    """``ingest_report`` summed up: zips read and rows landed per table and month."""
+    report = ingest_report(spark, landing_root, bronze_root, periods, extraction_date, tables, na_tokens, max_jobs)
+    return report.groupBy("tabela", "competencia").agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("n_rows").alias("n_rows"))
+
+
+REJECTS = "rejeitos"
+
+
+def write_rejects(spark: SparkSession, bronze_root: str, table: str, paths: list[str], guilty: list[str]) -> None:
+    """Replace the rejected lines of the ``paths``' months with those of ``guilty``."""
+    jvm = spark.sparkContext._jvm
+    months_read = sorted({p.rsplit("competencia=", 1)[-1].split("/")[0] for p in paths})
+    base = f"{bronze_root.rstrip('/')}/tabela={REJECTS}"
+    for month in months_read:  # a re-issued month leaves no old lines
+        path = jvm.org.apache.hadoop.fs.Path(f"{base}/origem={table}/{PERIOD_DIR}={month}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    for month in months_read:
+        zips = [p for p in guilty if f"competencia={month}/" in p]
+        if zips:
+            (read_zips(spark, zips, table=table, rejects=True).write.mode("overwrite")
+             .parquet(f"{base}/origem={table}/{PERIOD_DIR}={month}"))
+
+
+def read_rejects(spark: SparkSession, bronze_root: str) -> DataFrame:
+    """(tabela, competencia, arquivo, linha, n_campos): the lines that no bronze table took."""
+    from snaplake.sources.zip_csv import REJECT_SCHEMA
+
+    base = f"{bronze_root.rstrip('/')}/tabela={REJECTS}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        df = spark.createDataFrame([], f"{REJECT_SCHEMA}, origem string, {PERIOD_DIR} string")
+    else:
+        df = spark.read.schema(f"{REJECT_SCHEMA}, origem string, {PERIOD_DIR} string").parquet(base)
+    return df.select(F.col("origem").alias("tabela"), PERIOD_DIR, F.col("_arquivo_origem").alias("arquivo"), "linha", "n_campos")
 
 
 def summary(spark: SparkSession, bronze_root: str, tables: list[str],

@@ -2,15 +2,15 @@
 
 For unzipped members: ``;`` separator, no header, ISO-8859-1, ``"`` quotes
 with doubled quotes as the escape, quoted newlines allowed. Spark's reader
-keeps an over-long row truncated where the reference drops it, so rows whose
-field count exceeds the schema are flagged through ``_corrupt_record`` and
-filtered out (a surplus field that is empty cannot be seen this way; the
-zip source counts fields exactly).
+pads short rows and truncates over-long ones, and keeps the text of both (the
+corrupt-record column, with column pruning off so that every field is counted). The
+separators outside quotes in that text tell them apart: short rows stay padded, over-long
+rows are dropped, or come back as rejects with their number of fields.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,19 +26,40 @@ DIALECT = {
 }
 
 
-def read_csv(spark: SparkSession, path: str, table: str,
-             drop_long_rows: bool = True) -> DataFrame:
+RAW = "__line"
+ORIGIN = "_arquivo_origem"
+
+
+def n_fields(line: Column) -> Column:
+    """Number of fields of a line: separators outside quoted stretches, and one."""
+    bare = F.regexp_replace(line, r'"(?:[^"]|"")*+"', "")
+    return (F.length(bare) - F.length(F.replace(bare, F.lit(DIALECT["sep"]), F.lit(""))) + 1).cast("int")
+
+
+def _lines(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """Declared columns, and the text of each row whose number of fields is not theirs."""
+    schema = T.StructType([*raw_schema(table).fields, T.StructField(RAW, T.StringType(), True)])
+    return (spark.read.options(**DIALECT).option("columnNameOfCorruptRecord", RAW).option("columnPruning", "false")
+            .schema(schema).csv(path).withColumn(ORIGIN, F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1)))
+
+
+def _read(table: str) -> Column:
+    """Always true, and names a declared column: the reader wants one beside the line."""
+    return F.coalesce(F.length(raw_schema(table).fieldNames()[0]), F.lit(0)) >= 0
+
+
+def read_csv(spark: SparkSession, path: str, table: str, drop_long_rows: bool = True) -> DataFrame:
     """Raw extract ``table`` from plain CSV files at ``path``."""
-    schema = raw_schema(table)
-    if not drop_long_rows:
-        return spark.read.options(**DIALECT).schema(schema).csv(path) \
-            .withColumn("_arquivo_origem", F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1))
-    probe = T.StructType(schema.fields + [T.StructField("__extra", T.StringType(), True)])
-    df = spark.read.options(**DIALECT).schema(probe).csv(path)
-    # A row with more fields than declared fills the probe column.
-    out = df.where(F.col("__extra").isNull()).drop("__extra")
-    return out.withColumn("_arquivo_origem",
-                          F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1))
+    df = _lines(spark, path, table)
+    if drop_long_rows:
+        df = df.where(_read(table) & (F.col(RAW).isNull() | (n_fields(F.col(RAW)) <= len(raw_schema(table)))))
+    return df.drop(RAW)
+
+
+def read_rejects(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """(file, line, number of fields) of the over-long rows that ``read_csv`` drops."""
+    df = _lines(spark, path, table).withColumn("n_campos", n_fields(F.col(RAW)))
+    return df.where(_read(table) & (F.col("n_campos") > len(raw_schema(table)))).select(ORIGIN, F.col(RAW).alias("linha"), "n_campos")
 
 
 def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

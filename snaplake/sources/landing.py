@@ -144,13 +144,24 @@ def write_extracts(df: DataFrame, root: str, staging: str, table: str,
     job zips each folder in its own task, streaming, so no file passes
     through the driver. Returns ``(nome, csv_bytes)`` per zip (lazy).
     """
-    from snaplake.session import ship_code
-
-    spark = df.sparkSession
-    ship_code(spark)
     cols = columns_of(table)
     write_csv(df.select(*cols, F.col(period_col).alias("__p"), F.col(file_col).alias("__f")),
               staging, partition_by=["__p", "__f"])
+    return _zip_folders(df, root, staging, file_col, period_col)
+
+
+def write_lines(df: DataFrame, root: str, staging: str, line_col: str,
+                file_col: str = "nome", period_col: str = "_competencia") -> DataFrame:
+    """The same from lines of text as they are, well formed or not."""
+    out = df.select(F.col(line_col).alias("line"), F.col(period_col).alias("__p"), F.col(file_col).alias("__f"))
+    out.write.mode("overwrite").partitionBy("__p", "__f").text(staging)
+    return _zip_folders(df, root, staging, file_col, period_col)
+
+
+def _zip_folders(df: DataFrame, root: str, staging: str, file_col: str, period_col: str) -> DataFrame:
+    from snaplake.session import ship_code
+
+    ship_code(df.sparkSession)
     plan = (df.select(F.col(period_col).alias("p"), F.col(file_col).alias("f")).distinct()
             .select(
                 F.concat(F.lit(staging.rstrip("/") + "/__p="), F.col("p"), F.lit("/__f="), F.col("f"))

@@ -10,10 +10,14 @@ quotes and quoted newlines honoured) with pyarrow's streaming CSV parser,
 yielding Arrow batches, so a multi-GB member never sits in memory.
 
 Row rules (matching the reference's reader): empty lines are skipped; short
-rows are padded with nulls; rows with too many fields are dropped (counted
-in the Spark log); empty fields become null; ``na_tokens`` (default none)
-lists further field values to read as null. The output adds
-``_arquivo_origem``, the zip's file name.
+rows are padded with nulls; rows with too many fields are dropped; empty fields
+become null; ``na_tokens`` (default none) lists further field values to read as
+null. The output adds ``_arquivo_origem``, the zip's file name.
+
+Nothing is dropped unseen. With ``counts`` the last row of each zip carries how many rows
+it gave, how many of them were padded and how many lines were dropped (``_contagem``,
+null on every other row). With ``rejects`` the dropped lines are the rows: file, text
+and number of fields.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ import zipfile
 from collections.abc import Iterator
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from snaplake.schemas import columns_of
 
@@ -42,6 +46,9 @@ PANDAS_DEFAULT_NA = [
 
 ORIGIN_COLUMN = "_arquivo_origem"
 PATH_COLUMN = "_path"
+COUNTS_COLUMN = "_contagem"
+COUNTS_TYPE = "struct<n_rows:bigint,n_padded:bigint,n_rejected:bigint>"
+REJECT_SCHEMA = "_arquivo_origem string, linha string, n_campos int"
 
 
 def _filesystem(uri: str):
@@ -115,18 +122,51 @@ class ZipPartition(InputPartition):
         self.path = path
 
 
-def parse_lines(text: io.TextIOBase, width: int, na: frozenset[str]) -> Iterator[list]:
-    """Rows of exactly ``width`` fields; returns nothing for over-long rows."""
-    for fields in csv.reader(text, delimiter=";", quotechar='"', doublequote=True, strict=False):
-        if not fields:
-            continue
+class _Lines:
+    """Lines of a text, remembering those of the row being parsed."""
+
+    def __init__(self, text: io.TextIOBase):
+        self.text = text
+        self.said: list[str] = []
+
+    def __iter__(self) -> Iterator[str]:
+        for line in self.text:
+            self.said.append(line)
+            yield line
+
+
+def parse_lines(text: io.TextIOBase, width: int, na: frozenset[str], tally: Tally) -> Iterator[list]:
+    """Rows of exactly ``width`` fields; over-long rows are noted in ``tally``."""
+    lines = _Lines(text)
+    for fields in csv.reader(lines, delimiter=";", quotechar='"', doublequote=True, strict=False):
         if len(fields) > width:
-            yield None
-            continue
-        row = [None if (f == "" or f in na) else f for f in fields]
-        if len(row) < width:
-            row.extend([None] * (width - len(row)))
-        yield row
+            tally.reject("".join(lines.said).rstrip("\r\n"), len(fields))
+        elif fields:
+            row = [None if (f == "" or f in na) else f for f in fields]
+            if len(row) < width:
+                tally.padded += 1
+                row.extend([None] * (width - len(row)))
+            yield row
+        lines.said.clear()
+
+
+class Tally:
+    """What a zip gave: rows, how many of them padded, and the lines dropped (their texts
+    are kept up to the next ``take`` only where ``keep`` says so)."""
+
+    def __init__(self, keep: bool):
+        self.keep = keep
+        self.rows = self.padded = self.rejected = 0
+        self.held: list[tuple[str, int]] = []
+
+    def reject(self, text: str, fields: int) -> None:
+        self.rejected += 1
+        if self.keep:
+            self.held.append((text, fields))
+
+    def take(self) -> list[tuple[str, int]]:
+        held, self.held = self.held, []
+        return held
 
 
 class ZipCsvReader(DataSourceReader):
@@ -137,7 +177,9 @@ class ZipCsvReader(DataSourceReader):
         self.paths = [p for p in options.get("paths", "").split("\n") if p]
         if not self.path and not self.paths:
             raise ValueError("zipcsv needs a path (or paths)")
-        self.columns = [f.name for f in schema.fields if f.name not in (ORIGIN_COLUMN, PATH_COLUMN)]
+        self.rejects = options.get("rejects") == "true"
+        self.counts = any(f.name == COUNTS_COLUMN for f in schema.fields)
+        self.columns = declared(options)
         self.with_path = any(f.name == PATH_COLUMN for f in schema.fields)
         self.encoding = options.get("encoding", "iso-8859-1")
         self.chunk_rows = int(options.get("chunk_rows", 100_000))
@@ -162,13 +204,43 @@ class ZipCsvReader(DataSourceReader):
             members = zf.namelist()
             if not members:
                 raise RuntimeError(f"empty zip: {name}")
+            tally = Tally(self.rejects)
             with zf.open(members[0]) as stream:
-                if self.parser == "python":
-                    batches = self._read_python(stream, name)
-                else:
-                    batches = self._read_arrow(stream, name)
-                for b in batches:
-                    yield self._with_path(b, partition.path) if self.with_path else b
+                read = self._read_python if self.parser == "python" else self._read_arrow
+                for b in read(stream, name, tally):
+                    tally.rows += b.num_rows
+                    if not self.rejects:
+                        yield self._finished(b, partition.path)
+                    elif tally.held:
+                        yield self._rejected(tally.take(), name)
+            if self.rejects:
+                if tally.held:
+                    yield self._rejected(tally.take(), name)
+            elif self.counts:
+                yield self._finished(self._batch([[None] for _ in self.columns], name), partition.path, tally)
+            if tally.rejected and not self.rejects:
+                log.warning("%s: %d over-long rows skipped", name, tally.rejected)
+
+    @staticmethod
+    def _rejected(held: list[tuple[str, int]], name: str):
+        import pyarrow as pa
+
+        return pa.RecordBatch.from_arrays(
+            [pa.array([name] * len(held), pa.string()), pa.array([t for t, _ in held], pa.string()), pa.array([n for _, n in held], pa.int32())],
+            names=[ORIGIN_COLUMN, "linha", "n_campos"])
+
+    def _finished(self, batch, path: str, tally: Tally | None = None):
+        """With the zip's path and, on its last row, its counts."""
+        import pyarrow as pa
+
+        if self.with_path:
+            batch = self._with_path(batch, path)
+        if self.counts:
+            kind = pa.struct([("n_rows", pa.int64()), ("n_padded", pa.int64()), ("n_rejected", pa.int64())])
+            last = pa.nulls(batch.num_rows, kind) if tally is None else pa.array(
+                [{"n_rows": tally.rows, "n_padded": tally.padded, "n_rejected": tally.rejected}], kind)
+            batch = pa.RecordBatch.from_arrays([*batch.columns, last], names=[*batch.schema.names, COUNTS_COLUMN])
+        return batch
 
     @staticmethod
     def _with_path(batch, path: str):
@@ -185,25 +257,19 @@ class ZipCsvReader(DataSourceReader):
         arrays = [pa.array(c, pa.string()) for c in cols] + [pa.array([name] * n, pa.string())]
         return pa.RecordBatch.from_arrays(arrays, names=self.columns + [ORIGIN_COLUMN])
 
-    def _read_python(self, stream, name: str):
+    def _read_python(self, stream, name: str, tally: Tally):
         """Pure-Python parse (``csv`` module), ``chunk_rows`` rows per batch."""
-        width = len(self.columns)
         text = io.TextIOWrapper(stream, encoding=self.encoding, newline="")
-        rows, dropped = [], 0
-        for row in parse_lines(text, width, self.na):
-            if row is None:
-                dropped += 1
-                continue
+        rows = []
+        for row in parse_lines(text, len(self.columns), self.na, tally):
             rows.append(row)
             if len(rows) == self.chunk_rows:
                 yield self._batch([list(c) for c in zip(*rows)], name)
                 rows = []
         if rows:
             yield self._batch([list(c) for c in zip(*rows)], name)
-        if dropped:
-            log.warning("%s: %d over-long rows skipped", name, dropped)
 
-    def _read_arrow(self, stream, name: str):
+    def _read_arrow(self, stream, name: str, tally: Tally):
         """pyarrow's streaming C++ parser; rows with the wrong field count are
         handed back by its invalid-row hook and finished by ``parse_lines``
         (short rows padded, long rows dropped), so no row is lost."""
@@ -237,39 +303,42 @@ class ZipCsvReader(DataSourceReader):
                 yield pa.RecordBatch.from_arrays(list(batch.columns) + [origin],
                                                  names=self.columns + [ORIGIN_COLUMN])
             if len(odd) >= self.chunk_rows:
-                yield from self._finish(odd, width, name)
+                yield from self._finish(odd, width, name, tally)
                 odd = []
         if odd:
-            yield from self._finish(odd, width, name)
-
-    def _finish(self, texts: list[str], width: int, name: str):
-        rows, dropped = [], 0
-        for row in parse_lines(io.StringIO("\n".join(texts)), width, self.na):
-            if row is None:
-                dropped += 1
-            else:
-                rows.append(row)
-        if dropped:
-            log.warning("%s: %d over-long rows skipped", name, dropped)
+            yield from self._finish(odd, width, name, tally)
+
+    def _finish(self, texts: list[str], width: int, name: str, tally: Tally):
+        rows = list(parse_lines(io.StringIO("\n".join(texts), newline=""), width, self.na, tally))
         if rows:
             yield self._batch([list(c) for c in zip(*rows)], name)
 
 
+def declared(options: dict) -> list[str]:
+    """The table's own columns."""
+    cols = options.get("columns")
+    return cols.split(",") if cols else columns_of(options.get("table", ""))
+
+
 class ZipCsvDataSource(DataSource):
     """Options: ``table`` (schema by name) or ``columns`` (``a,b,c``),
     ``encoding``, ``na_tokens`` (``|``-separated, or ``pandas``),
     ``parser`` (``arrow``, default, or ``python``), ``chunk_rows``,
-    ``block_bytes``."""
+    ``block_bytes``, ``with_path``, ``counts``, ``rejects``."""
 
     @classmethod
     def name(cls) -> str:
         return "zipcsv"
 
     def schema(self):
-        cols = self.options.get("columns")
-        names = cols.split(",") if cols else columns_of(self.options.get("table", ""))
-        extra = [ORIGIN_COLUMN] + ([PATH_COLUMN] if self.options.get("with_path") == "true" else [])
-        return StructType([StructField(c, StringType(), True) for c in names + extra])
+        if self.options.get("rejects") == "true":
+            return REJECT_SCHEMA
+        fields = [f"`{c}` string" for c in declared(self.options)] + [f"{ORIGIN_COLUMN} string"]
+        if self.options.get("with_path") == "true":
+            fields.append(f"{PATH_COLUMN} string")
+        if self.options.get("counts") == "true":
+            fields.append(f"{COUNTS_COLUMN} {COUNTS_TYPE}")
+        return ", ".join(fields)
 
     def reader(self, schema: StructType) -> ZipCsvReader:
         return ZipCsvReader(self.options, schema)
@@ -285,14 +354,16 @@ def register(spark) -> None:
 def read_zips(spark, path: str | list[str], table: str | None = None,
               columns: list[str] | None = None,
               na_tokens: str | list[str] | None = None, encoding: str = "iso-8859-1",
-              parser: str = "arrow", with_path: bool = False):
+              parser: str = "arrow", with_path: bool = False, counts: bool = False, rejects: bool = False):
     """DataFrame over the zips at ``path`` (a zip, a folder, or a list of
-    zips): declared columns + ``_arquivo_origem``."""
+    zips): declared columns + ``_arquivo_origem``; with ``counts`` a last row per zip
+    that only counts; with ``rejects`` the dropped lines instead."""
     if table is not None:
         columns_of(table)  # unknown table -> ValueError before any read
     register(spark)
     r = (spark.read.format("zipcsv").option("encoding", encoding).option("parser", parser)
-         .option("with_path", "true" if with_path else "false"))
+         .option("with_path", "true" if with_path else "false")
+         .option("counts", "true" if counts else "false").option("rejects", "true" if rejects else "false"))
     if table is not None:
         r = r.option("table", table)
     if columns is not None:

@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from snaplake.operators.incremental import latest_per_key
+from snaplake.operators.incremental import drop_matched, latest_per_key
 from snaplake.schemas import raw_schema
 from snaplake.session import ensure_checkpoint_dir
 from snaplake.sinks import tables
@@ -45,10 +45,16 @@ def bronze_stream(spark: SparkSession, bronze_root: str, table: str,
 def merge_latest(spark: SparkSession, root: str, batch: DataFrame, keys: list[str],
                  order: list[str] | None = None, partition_by: list[str] | None = None,
                  sort_by: list[str] | None = None) -> None:
-    """Latest-wins merge of ``batch`` into the versioned table at ``root``."""
+    """Latest-wins merge of ``batch`` into the versioned table at ``root``.
+
+    A batch may be older than what the table has of its keys, so their rows join the batch
+    first; then only the partitions that hold or receive them are rewritten."""
     current = tables.read_table(spark, root, schema=batch.schema)
-    both = batch if current is None else current.select(*batch.columns).unionByName(batch)
-    tables.write_version(latest_per_key(both, keys, order), root, partition_by, sort_by)
+    if current is None:
+        tables.write_version(latest_per_key(batch, keys, order), root, partition_by, sort_by)
+        return
+    there = drop_matched(current.select(*batch.columns), batch, keys, order, how="left_semi")
+    tables.merge_into(spark, root, batch.unionByName(there), keys, partition_by, sort_by, order)
 
 
 def stream_merge(stream: DataFrame, root: str, keys: list[str],
