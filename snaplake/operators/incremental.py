@@ -121,7 +121,7 @@ def with_match(df: DataFrame, keys: list[str], order: list[str] | None = None) -
     kinds = dict(df.dtypes)
     names = [f"__k{i}" for i in range(len(keys))]
     cols = {n: F.coalesce(F.col(k), F.lit(_ABSENT.get(kinds[k], "0")).cast(kinds[k])) for n, k in zip(names, keys)}
-    cols[IDENTITY] = F.coalesce(IDENTITY, F.lit(""))
+    cols[IDENTITY] = F.coalesce(F.concat(F.lit("#"), F.col(IDENTITY)), F.lit(""))
     return with_identity(df, keys, order).withColumns(cols), [*names, IDENTITY]
 
 
