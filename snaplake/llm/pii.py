@@ -7,14 +7,19 @@ account) stay when their score reaches ``MIN_SCORE``.
 
 Patterns are written with possessive repeats and run-start anchors where those
 cannot change a match, so that long runs of digits or letters neither recurse
-deeply nor take quadratic time.
+deeply nor take quadratic time. Matches of a text are walked in runs of ``RUN``, so that
+the lists that grow along the walk, and the text it cuts from, stay short.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snaplake.llm.common import free_name
+
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "iban", "account")
 LOCAL = r"[A-Za-z0-9._%+-]"
@@ -37,6 +42,7 @@ CONTEXT = {
 }
 NEAR = 40
 MIN_SCORE = 0.5
+RUN = 128
 
 
 def _digits(text: Column) -> Column:
@@ -79,7 +85,8 @@ def with_spans(docs: DataFrame, text_col: str = "text", out: str = "pii") -> Dat
     docs = docs.drop(out)
     keep = [F.col(f"`{c}`") for c in docs.columns]
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    names = {k: f"__{out}_{k}" for k in KINDS}
+    names = {k: free_name(docs, f"__{out}_{k}") for k in KINDS}
+    empty = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,score:double>>")
 
     def hits(kind: str) -> Column:
         found = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), 0)
@@ -87,36 +94,63 @@ def with_spans(docs: DataFrame, text_col: str = "text", out: str = "pii") -> Dat
         return F.when(seek, found).otherwise(F.array().cast("array<string>")).alias(names[kind])
 
     def placed(kind: str) -> Column:
-        """Positions: what lies between matches, and the matches, have lengths."""
+        """Spans: what lies between matches, and the matches, have lengths."""
         got = F.col(names[kind])
-        pairs = F.arrays_zip(F.split(text, PATTERNS[kind], -1).alias("gap"), got.alias("hit"))
-        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int,hit:string>>").alias("all"))
-        walk = F.aggregate(F.slice(pairs, 1, F.size(got)), start, lambda acc, x: F.struct(
-            (acc["at"] + F.length(x["gap"]) + F.length(x["hit"])).alias("at"),
-            F.array_append(acc["all"], F.struct((acc["at"] + F.length(x["gap"])).alias("s"),
-                                                (acc["at"] + F.length(x["gap"]) + F.length(x["hit"])).alias("e"),
-                                                x["hit"].alias("hit"))).alias("all")))
-        return F.when(F.size(got) > 0, walk["all"]).alias(names[kind])
-
-    def scored(kind: str) -> Column:
         prior, check, context = SCORES[kind]
+        pairs = F.arrays_zip(F.split(text, PATTERNS[kind], -1).alias("gap"), got.alias("hit"))
+        steps = F.transform(F.slice(pairs, 1, F.size(got)), lambda x: F.struct(
+            F.length(x["gap"]).alias("gap"), F.length(x["hit"]).alias("hit"), F.coalesce(_valid(kind, x["hit"]), F.lit(False)).alias("good")))
+        length = lambda run: F.aggregate(run, F.lit(0), lambda n, x: n + x["gap"] + x["hit"])
+
+        def walk(run: Column, at: Column) -> Column:
+            first = F.greatest(at - NEAR, F.lit(0))  # of the stretch of text that this run's contexts are cut from
 
-        def span(x: Column) -> Column:
-            lo = F.greatest(x["s"] - NEAR, F.lit(0))
-            around = F.concat_ws(" ", F.substr(text, lo + 1, x["s"] - lo), F.substr(text, x["e"] + 1, F.lit(NEAR)))
-            near = F.when(F.regexp_like(F.lower(around), F.lit(CONTEXT[kind])), context).otherwise(0.0)
-            return F.struct(x["s"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), x["e"].alias("end"),
-                            F.lit(kind).alias("kind"), F.least(F.lit(1.0), F.lit(prior + check) + near).alias("score"))
+            def spans(piece: Column) -> Column:
+                def step(acc: Column, x: Column) -> Column:
+                    s, e = acc["at"] + x["gap"], acc["at"] + x["gap"] + x["hit"]
+                    lo = F.greatest(s - NEAR, F.lit(0))
+                    around = F.concat_ws(" ", F.substr(piece, lo - first + 1, s - lo), F.substr(piece, e - first + 1, F.lit(NEAR)))
+                    near = F.when(F.regexp_like(F.lower(around), F.lit(CONTEXT[kind])), context).otherwise(0.0)
+                    span = F.struct(s.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), e.alias("end"), F.lit(kind).alias("kind"),
+                                    F.least(F.lit(1.0), F.lit(prior + check) + near).alias("score"))
+                    return F.struct(e.alias("at"), F.when(x["good"], F.array_append(acc["all"], span)).otherwise(acc["all"]).alias("all"))
 
-        good = F.filter(F.col(names[kind]), lambda x: _valid(kind, x["hit"]))
-        spans = F.transform(good, span)
+                return F.aggregate(run, F.struct(at.alias("at"), empty.alias("all")), step)["all"]
+
+            return _let(F.substr(text, first + 1, at - first + length(run) + NEAR), spans)
+
+        found = _walked(steps, F.lit(0), lambda at, run: at + length(run), walk)
         if kind not in BASE:
-            spans = F.filter(spans, lambda x: x["score"] >= MIN_SCORE)
-        return F.coalesce(spans, F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,score:double>>"))
+            found = F.filter(found, lambda x: x["score"] >= MIN_SCORE)
+        return F.when(F.size(got) > 0, found).otherwise(empty).alias(names[kind])
 
     found = docs.select(*keep, *[hits(k) for k in KINDS])
     found = found.select(*keep, *[placed(k) for k in KINDS])
-    return found.select(*keep, F.array_sort(F.concat(*[scored(k) for k in KINDS])).alias(out))
+    return found.select(*keep, F.array_sort(F.concat(*[F.col(names[k]) for k in KINDS])).alias(out))
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _walked(items: Column, start: Column, after: Callable[[Column, Column], Column], walk: Callable[[Column, Column], Column]) -> Column:
+    """``walk(run, state)`` of each run of ``RUN`` items, one list after another; a run starts
+    with the state that ``after(state, run)`` made of the runs before it."""
+    def runs_of(all_: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / RUN).cast("int")),
+                           lambda i: F.slice(all_, (i * RUN + 1).cast("int"), F.lit(RUN)))
+
+    def states(runs: Column) -> Column:
+        zero = F.struct(start.alias("now"), F.array().cast("array<int>").alias("all"))
+        return F.aggregate(runs, zero, lambda acc, run: F.struct(
+            after(acc["now"], run).alias("now"), F.array_append(acc["all"], acc["now"]).alias("all")))["all"]
+
+    def joint(all_: Column) -> Column:
+        return _let(runs_of(all_), lambda runs: F.flatten(F.transform(
+            F.arrays_zip(runs.alias("run"), states(runs).alias("at")), lambda x: walk(x["run"], x["at"]))))
+
+    return _let(items, joint)
 
 
 def joined(spans: Column) -> Column:
@@ -128,22 +162,23 @@ def redact(docs: DataFrame, text_col: str = "text", spans_col: str = "pii") -> D
     """``docs`` with every span of ``spans_col`` replaced by ``<kind>``.
 
     Overlapping spans become one, named after the first; null texts stay null."""
-    flat = F.aggregate(
-        F.col(spans_col), F.array().cast("array<struct<start:int,end:int,kind:string>>"),
-        lambda acc, x: F.when((F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["end"] > x["start"]), F.concat(
-            F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.struct(
-                F.try_element_at(acc, F.lit(-1))["start"].alias("start"),
-                F.greatest(F.try_element_at(acc, F.lit(-1))["end"], x["end"]).alias("end"),
-                F.try_element_at(acc, F.lit(-1))["kind"].alias("kind")))))
-        .otherwise(F.array_append(acc, F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind")))))
-    spot = f"__{spans_col}_flat"
-    text, cuts = F.col(f"`{text_col}`"), F.col(spot)
-    parts = F.transform(cuts, lambda x, i: F.concat(
-        F.substr(text, F.coalesce(F.get(cuts, i - 1)["end"], F.lit(0)) + 1,
-                 x["start"] - F.coalesce(F.get(cuts, i - 1)["end"], F.lit(0))), F.lit("<"), x["kind"], F.lit(">")))
-    clean = F.concat(F.array_join(parts, ""), F.substr(text, F.try_element_at(cuts, F.lit(-1))["end"] + 1))
-    held = docs.withColumn(spot, flat)
-    return held.withColumn(text_col, F.when((F.size(cuts) > 0) & text.isNotNull(), clean).otherwise(text)).drop(spot)
+    text, cuts = F.col(f"`{text_col}`"), F.col(f"`{spans_col}`")
+    last = lambda run, start: F.aggregate(run, start, lambda n, x: F.greatest(n, x["end"]))
+
+    def walk(run: Column, at: Column) -> Column:
+        def parts(piece: Column) -> Column:
+            def step(acc: Column, x: Column) -> Column:
+                part = F.concat(F.substr(piece, acc["at"] - at + 1, x["start"] - acc["at"]), F.lit("<"), x["kind"], F.lit(">"))
+                return F.struct(F.greatest(acc["at"], x["end"]).alias("at"),
+                                F.when(x["start"] >= acc["at"], F.array_append(acc["all"], part)).otherwise(acc["all"]).alias("all"))
+
+            return F.aggregate(run, F.struct(at.alias("at"), F.array().cast("array<string>").alias("all")), step)["all"]
+
+        return _let(F.substr(text, at + 1, last(run, at) - at), parts)
+
+    clean = F.concat(F.array_join(_walked(cuts, F.lit(0), lambda at, run: last(run, at), walk), ""),
+                     F.substr(text, last(cuts, F.lit(0)) + 1))
+    return docs.withColumn(text_col, F.when((F.size(cuts) > 0) & text.isNotNull(), clean).otherwise(text))
 
 
 def pii_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import time
 
 import duckdb
 import pytest
@@ -133,3 +134,39 @@ def test_url_empty_tables(spark):
     assert [r.verdict for r in url_filter.url_verdicts(pages, none).collect()] == ["allow"]
     assert url_filter.url_verdicts(pages.where("false"), none).count() == 0
     assert F  # keep import
+
+
+def test_pii_long_texts_grow_in_proportion(spark):
+    def seconds(n):
+        text = "".join(f"call +44 20 7946 {i % 10000:04d} or mail a{i}@b.example, no {i % 90 + 10}. " for i in range(n))
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        start = time.perf_counter()
+        found = pii.with_spans(df).select(F.size("pii").alias("n")).first().n
+        pii.redact(pii.with_spans(df)).select(F.length("text")).first()
+        assert found >= 2 * n
+        return time.perf_counter() - start
+
+    seconds(100)
+    one, four = seconds(5_000), seconds(20_000)
+    assert four < 8 * one + 4
+
+
+def test_pii_walk_over_many_runs(spark, monkeypatch):
+    monkeypatch.setattr(pii, "RUN", 3)
+    text = " é ".join(f"a{i}@b.example 10.0.0.{i} +44 20 7946 0{i:03d} 4111 1111 1111 1111" for i in range(40))
+    df = spark.createDataFrame([(1, text), (2, None), (3, ""), (4, "x@y.zz")], "doc_id long, text string")
+    rows = {r.doc_id: r for r in pii.pii_report(df).collect()}
+    assert rows[1].spans.split(",") == plain.base_spans(text) and rows[2].spans == rows[3].spans == "" and rows[4].spans == "email:0:6"
+    clean = {r.doc_id: r.text for r in pii.redact(pii.with_spans(df)).collect()}
+    spans, want, at = plain.base_spans(text), "", 0
+    for kind, a, b in (s.split(":") for s in spans):
+        if int(a) >= at:
+            want += text[at:int(a)] + f"<{kind}>"
+        at = max(at, int(b))
+    assert clean == {1: want + text[at:], 2: None, 3: "", 4: "<email>"}
+
+
+def test_pii_column_names_may_clash(spark):
+    df = spark.createDataFrame([(1, "mail a@b.example", "x", "y")], "doc_id long, text string, __pii_email string, __pii_flat string")
+    got = pii.redact(pii.with_spans(df)).first()
+    assert got.text == "mail <email>" and (got["__pii_email"], got["__pii_flat"]) == ("x", "y")
