@@ -3,7 +3,7 @@ folder, and connected components."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +14,19 @@ from pyspark.sql import functions as F
 from snaplake.session import work_dir
 
 
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def hold(owner: str, drop: Callable[[], None]) -> None:
+    """Say, in a task, that ``owner`` keeps something in this worker that ``drop`` lets go.
+
+    Workers are used again by later stages; what other owners keep goes first, so tables
+    of one operator do not stay beside those of the next."""
+    for name in [n for n in _HELD if n != owner]:
+        _HELD.pop(name)()
+    _HELD[owner] = drop
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores added until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

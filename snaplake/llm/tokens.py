@@ -14,6 +14,8 @@ from functools import lru_cache
 
 import numpy as np
 
+from snaplake.llm.common import hold
+
 END_ID = 2
 PIECES_KEPT = 300_000
 WORDS_KEPT = 1_000_000
@@ -102,11 +104,16 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    """One encoder per worker process and vocabulary file."""
+def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def encoder(path: str) -> Encoder:
+    """One encoder per worker process and vocabulary file, until another operator's tasks come."""
+    hold("tokens", _encoder.cache_clear)
+    return _encoder(path)
+
+
 def end_of(ids: np.ndarray) -> np.ndarray:
     """The ids of a document: its text's ids and the end id."""
     return np.append(ids, np.array([END_ID], ids.dtype))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snaplake.llm.common import text_slices
+from snaplake.llm.common import hold, text_slices
 from snaplake.llm.labels import fold, labelled_texts
 
 SAMPLE = {1: 2500, 0: 4000}
@@ -312,6 +312,7 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", out: s
     place = docs.columns.index(text_col)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("toxicity", sent.value.known.clear)
         for batch in text_slices(batches, 256):
             got = sent.value.scores(batch.column(place).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.float64())], [*batch.schema.names, out])

@@ -1,5 +1,6 @@
 """Held-out accuracy of the fitted models, and the pipeline's stages."""
 
+import os
 import zlib
 
 import duckdb
@@ -36,10 +37,11 @@ def test_toxicity_held_out(machine):
     assert (said == y).mean() >= 0.92 and said[y == 0].mean() <= 0.01
 
 
+@pytest.mark.skipif(not os.path.exists(LARGER), reason="needs a table with more labelled rows than sf0.1 has")
 def test_toxicity_finds_held_out_toxic_documents():
     """Fitted on up to ``SAMPLE`` rows of each label; sf0.1 has too few labels."""
     assert toxicity.SAMPLE[1] >= 2500 and toxicity.SAMPLE[0] >= 4000
-    read = f"FROM '{LARGER}/documents.parquet' JOIN '{LARGER}/labels.parquet' USING (doc_id)"
+    read = f"FROM '{LARGER}/documents.parquet/*' JOIN '{LARGER}/labels.parquet/*' USING (doc_id)"
     rows = duckdb.sql(f"SELECT doc_id, text, toxic {read} ORDER BY hash(doc_id) LIMIT 40000").fetchall()
     side = lambda r: zlib.crc32(str(r[0]).encode()) % 3 == 1
     train = [r[1:] for v, n in toxicity.SAMPLE.items() for r in [r for r in rows if r[2] == v and not side(r)][:n]]
