@@ -6,16 +6,21 @@
    hash next. Two sets that reach the threshold share a shingle in their prefixes.
 2. Index lists (prefix shingles with the sets that hold them) are dealt out in
    bounded buckets and sorted by set size and position. A pair counts at its first
-   common prefix shingle, where both remainders must still be long enough, so whole
-   stretches of a list are skipped by size and by position.
-3. A long list is answered through a few hubs, the same in all lists of a group: they
-   are compared with every member. Pairs of members that are now in one component need
-   nothing more; for the others the first hub's answers bound the overlap,
-   ``|x & y| <= |h & y| + |x - h|``, and only pairs that could still reach the
-   threshold are compared. Long lists are compared in blocks of bounded size.
-4. Candidate pairs meet the two sets by equi-joins; links become components.
-
-Copies are never expanded into pairs, and no link between different sets is lost.
+   common prefix shingle, where both remainders must still be long enough. Short lists
+   give their pairs at once.
+3. Members of long lists are answered through pivots, a few rounds of them. In a round each
+   list offers its most central member, which is the same in most lists of a group, and each
+   set is compared with one of the pivots it is offered: as many pairs as sets, however
+   long the lists are. Links merge components, and only members of different ones go on.
+4. What is left in lists of several components is compared block by block, in blocks of a
+   size class and the next, so stretches of a list that cannot fit by size never meet. A
+   set's answer with its first pivot bounds those of sets with the same pivot,
+   ``|x & y| <= |p & y| + |x - p|``, small tables of counts bound the others, and only pairs
+   that could still reach the threshold leave the block.
+5. Candidate pairs meet the two sets by equi-joins; links become components.
+
+Copies are never expanded into pairs. Components are exact; pairs inside a component that
+is already known are not compared, so the links of a component are not all listed.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snaplake.llm.common import connected_components, free_name, runs, settle, text_slices
+from snaplake.llm.common import connected_components, free_name, hold, runs, settle, text_slices
 
 WORDS = 5
 PERCENT = 80
@@ -38,8 +43,9 @@ BITS = 23  # of the table of counts
 SKETCH = 256
 MAP_BITS = 23  # of the bitmap of candidates
 SHORT = 16
-HUBS = 4
+ROUNDS = 4
 BLOCK = 2000
+PAIRS = 1 << 14
 BUCKET_BYTES = 16 << 20
 HALF = np.uint64(1 << 63)
 ENTRY = np.dtype([("token", "<u4"), ("rep", "<i8"), ("n", "<i4"), ("pos", "<i4")])
@@ -148,6 +154,7 @@ def _place(hashes: np.ndarray) -> np.ndarray:
 def _classes(docs: DataFrame, words: int) -> DataFrame:
     """(doc_id, n, h1, h2) per row, and a row with counts per task (n = -1)."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("shingles", lambda: None)
         counts = np.zeros(1 << BITS, "<u4")
         for batch in text_slices(batches):
             sets = shingle_sets(batch.column(1).to_pylist(), words)
@@ -254,7 +261,7 @@ def _fits(na, pa_, nb, pb, percent):
 
 
 def _candidates(dealt: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of short lists and with hubs; long lists as entries too."""
+    """Pairs (a, b) of short lists; long lists as entries."""
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, bucket = [], None
         for batch in batches:
@@ -284,11 +291,7 @@ def _candidates(dealt: DataFrame, percent: int) -> DataFrame:
         saved = []
         for k in np.flatnonzero(size > SHORT):
             one = e[starts[k]:starts[k] + size[k]]
-            hubs = one[np.argsort(_mix(one["rep"].astype(np.uint64)), kind="stable")[:HUBS]]  # the same in all lists of a group
-            for hub in hubs:
-                ok = (one["rep"] != hub["rep"]) & _fits(one["n"], one["pos"], hub["n"], hub["pos"], percent)
-                pairs.append(np.stack([np.minimum(hub["rep"], one["rep"][ok]), np.maximum(hub["rep"], one["rep"][ok])], 1))
-            saved.append((int(hubs[0]["rep"]), _columns(one)))
+            saved.append(_columns(one))
         found = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
         for at in range(0, len(found), 50_000):
             part = found[at:at + 50_000]
@@ -296,9 +299,9 @@ def _candidates(dealt: DataFrame, percent: int) -> DataFrame:
                                    "entries": pa.nulls(len(part), pa.binary())})
         for at in range(0, len(saved), 256):
             part = saved[at:at + 256]
-            yield pa.record_batch({"a": pa.array([h for h, _ in part], pa.int64()), "b": pa.nulls(len(part), pa.int64()),
+            yield pa.record_batch({"a": pa.nulls(len(part), pa.int64()), "b": pa.nulls(len(part), pa.int64()),
                                    "list": pa.array([(bucket << 32) + at + i for i in range(len(part))], pa.int64()),
-                                   "entries": pa.array([x for _, x in part], pa.binary())})
+                                   "entries": pa.array(part, pa.binary())})
 
     return settle(dealt.mapInArrow(lists, "a long, b long, list long, entries binary"), "shingle-lists")
 
@@ -314,32 +317,41 @@ def _counts(own: np.ndarray) -> bytes:
     return np.minimum(np.bincount((own & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH), 255).astype("u1").tobytes()
 
 
-def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b, na, nb, common) for the candidate pairs that can reach the threshold by
-    a bound from small tables of counts; only their sets are joined. A bitmap of
-    fixed size keeps most other documents' sets from being made; the joins are exact."""
+def _sets_of(docs: DataFrame, ids: DataFrame, words: int, tell) -> DataFrame:
+    """(doc_id, n, own) for the documents ``ids``: size and ``tell`` of each set. A bitmap of
+    fixed size keeps most other documents' sets from being made; the join is exact."""
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(1 << MAP_BITS, bool)
         for batch in batches:
             bits[_spot(batch.column(0).to_numpy())] = True
         yield pa.record_batch({"blob": _packed(np.packbits(bits))})
 
-    def sets_of(ids: DataFrame, schema: str, tell) -> DataFrame:
-        rows = _fold(ids.mapInArrow(mark, "blob binary"), 8, np.bitwise_or).collect()
-        bits = np.unpackbits(np.frombuffer(zlib.decompress(rows[0]["blob"]), "u1")) if rows else np.zeros(1 << MAP_BITS, "u1")
-        sent = docs.sparkSession.sparkContext.broadcast(bits.astype(bool))  # of fixed size
+    rows = _fold(ids.mapInArrow(mark, "blob binary"), 8, np.bitwise_or).collect()
+    bits = np.unpackbits(np.frombuffer(zlib.decompress(rows[0]["blob"]), "u1")) if rows else np.zeros(1 << MAP_BITS, "u1")
+    sent = docs.sparkSession.sparkContext.broadcast(bits.astype(bool))  # of fixed size
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches):
+            batch = batch.filter(pa.compute.is_valid(batch.column(0)))
+            batch = batch.filter(pa.array(sent.value[_spot(batch.column(0).to_numpy())]))
+            if batch.num_rows:
+                own = shingle_sets(batch.column(1).to_pylist(), words)
+                yield pa.record_batch({"doc_id": batch.column(0), "n": pa.array([len(x) for x in own], pa.int64()),
+                                       "own": pa.array([tell(x) for x in own], pa.binary())})
 
-        def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in text_slices(batches):
-                batch = batch.filter(pa.compute.is_valid(batch.column(0)))
-                batch = batch.filter(pa.array(sent.value[_spot(batch.column(0).to_numpy())]))
-                if batch.num_rows:
-                    own = shingle_sets(batch.column(1).to_pylist(), words)
-                    yield pa.record_batch({"doc_id": batch.column(0), "n": pa.array([len(x) for x in own], pa.int64()),
-                                           "own": pa.array([tell(x) for x in own], pa.binary())})
+    found = docs.mapInArrow(make, "doc_id long, n long, own binary")
+    return settle(found.join(ids, "doc_id", "left_semi").distinct(), "shingle-sets")
 
-        return settle(docs.mapInArrow(make, schema).join(ids, "doc_id", "left_semi").distinct(), "shingle-sets")
 
+def _most_common(x: np.ndarray, y: np.ndarray, na: np.ndarray) -> np.ndarray:
+    """Upper bound of what sets share, from their tables of counts (a row each)."""
+    low = np.minimum(x, y)
+    return low.sum(1, dtype=np.int64) + np.where(low == 255, na[:, None], 0).sum(1)
+
+
+def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b, na, nb, common) for the candidate pairs that can reach the threshold by
+    a bound from small tables of counts; only their sets are joined."""
     def meet(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         return (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("own").alias("xa")), "a")
                 .join(sets.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("own").alias("xb")), "b")
@@ -352,14 +364,13 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Dat
         for batch in text_slices(batches, 4096):
             x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "u1").reshape(-1, SKETCH) for c in ("xa", "xb"))
             na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
-            most = np.minimum(x, y).sum(1, dtype=np.int64) + np.where(np.minimum(x, y) == 255, na[:, None], 0).sum(1)
-            ok = pa.array(most >= least_overlap(na, nb, percent))
+            ok = pa.array(_most_common(x, y, na) >= least_overlap(na, nb, percent))
             yield pa.record_batch({"a": batch.column("a").filter(ok), "b": batch.column("b").filter(ok)})
 
     pairs = settle(pairs, "shingle-pairs")
-    small = sets_of(ends(pairs), "doc_id long, n long, own binary", _counts)
+    small = _sets_of(docs, ends(pairs), words, _counts)
     likely = settle(meet(pairs, small).mapInArrow(bound, "a long, b long").distinct(), "shingle-likely")
-    both = meet(likely, sets_of(ends(likely), "doc_id long, n long, own binary", np.ndarray.tobytes))
+    both = meet(likely, _sets_of(docs, ends(likely), words, np.ndarray.tobytes))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
@@ -375,50 +386,90 @@ def _linked(answers: DataFrame, percent: int) -> DataFrame:
     return answers.where(F.expr(f"100 * common >= {percent} * (na + nb - common)")).select(F.col("a").alias("src"), F.col("b").alias("dst"))
 
 
-def _derived(long_lists: DataFrame, answers: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of long lists across components, by the hub's answers."""
+def _members(long_lists: DataFrame) -> DataFrame:
+    """(list, rep, n, pos) of every entry of the long lists."""
     def open_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for hub, name, blob in zip(batch.column("a").to_pylist(), batch.column("list").to_pylist(), batch.column("entries")):
+            for name, blob in zip(batch.column("list").to_pylist(), batch.column("entries")):
                 e = _entries(blob.as_buffer())
-                yield pa.record_batch({"list": pa.array(np.full(len(e), name)), "hub": pa.array(np.full(len(e), hub)), "rep": pa.array(e["rep"].copy()),
+                yield pa.record_batch({"list": pa.array(np.full(len(e), name)), "rep": pa.array(e["rep"].copy()),
                                        "n": pa.array(e["n"].astype(np.int64)), "pos": pa.array(e["pos"].astype(np.int64))})
 
-    known = (answers.select(F.col("a").alias("hub"), F.col("b").alias("rep"), "common").union(answers.select("b", "a", "common"))
-             .groupBy("hub", "rep").agg(F.max("common").alias("common")))
-    rows = long_lists.select("a", "list", "entries").mapInArrow(open_, "list long, hub long, rep long, n long, pos long")
-    rows = (rows.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-            .join(known, ["hub", "rep"], "left"))
-    rows = settle(rows, "shingle-members")
-    place = ["list", "i", "j"]
-    split = (rows.groupBy("list").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-             .where("lo <> hi").select("list", F.ceil(F.col("size") / BLOCK).alias("blocks")))
-    cells = (rows.join(split, "list").withColumn("own", F.pmod(F.xxhash64("rep"), "blocks"))
+    return settle(long_lists.select("list", "entries").mapInArrow(open_, "list long, rep long, n long, pos long"), "shingle-members")
+
+
+def _with_components(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """Members of the lists that still hold several components, with theirs."""
+    rows = (members.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep")))
+    several = rows.groupBy("list").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("list")
+    return settle(rows.join(several, "list", "left_semi"), "shingle-open")
+
+
+def _chosen(rows: DataFrame, used: DataFrame | None, percent: int) -> DataFrame:
+    """(rep, pivot): for each set one of the pivots that its lists offer, of another component
+    and within reach by size and position.
+
+    Lists offer their most central member that was no pivot before: the one whose lists have
+    most entries. The original of many near copies shares nearly all its shingles with them,
+    while each copy's own changes are rare shingles that take places in its prefix."""
+    sizes = rows.groupBy("list").agg(F.count("*").alias("entries"))
+    weights = rows.join(sizes, "list").groupBy("rep").agg(F.sum("entries").alias("w"))
+    if used is not None:
+        weights = weights.join(used.withColumnRenamed("pivot", "rep"), "rep", "left_anti")
+    key = [(-F.col("w")).alias("w"), F.xxhash64("rep").alias("h")]
+    first = F.min(F.struct(*key, "rep", "n", "pos", "component")).alias("p")
+    offered = rows.join(weights, "rep").groupBy("list").agg(first).select("list", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("w", "h", "rep", "n", "pos", "component")])
+    near = rows.join(offered, "list").where("component <> p_component").where(
+        f"least(n - pos, p_n - p_pos) * {100 + percent} >= {percent} * (n + p_n)")
+    return near.groupBy("rep").agg(F.min(F.struct("p_w", "p_h", "p_rep")).alias("p")).select("rep", F.col("p.p_rep").alias("pivot"))
+
+
+def _pair(one: str, two: str) -> list:
+    return [F.least(one, two).alias("a"), F.greatest(one, two).alias("b")]
+
+
+def _derived(rows: DataFrame, known: DataFrame, tables: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs across components, by size class, by the answers of a common pivot and
+    by their tables of counts. ``known`` is (rep, pivot, common), ``tables`` (rep, own)."""
+    rows = rows.join(known, "rep", "left").join(tables, "rep")
+    size = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(101 / percent)))  # fitting sizes are at most a class apart
+    rows = rows.withColumn("size", size.cast("long")).withColumn("cls", F.explode(F.array(F.col("size"), F.col("size") - 1)))
+    rows = rows.withColumn("base", F.col("size") == F.col("cls"))
+    split = (rows.groupBy("list", "cls").agg(F.count("*").alias("many"), F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                             F.max("base").alias("any")).where("lo <> hi AND any")
+             .select("list", "cls", F.ceil(F.col("many") / BLOCK).alias("blocks")))
+    place = ["list", "cls", "i", "j"]
+    cells = (rows.join(split, ["list", "cls"]).withColumn("own", F.pmod(F.xxhash64("rep"), "blocks"))
              .withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
-             .select("list", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "n", "pos",
-                     "component", "common")
+             .select("list", "cls", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "base", "rep", "n", "pos",
+                     "component", "pivot", "common", "own_table")
              .repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *place).sortWithinPartitions(*place))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in runs(batches, place):
-            pairs = across({c: cell.column(c).to_numpy() for c in cell.column_names})
+            tables = np.frombuffer(b"".join(cell.column("own_table").to_pylist()), "u1").reshape(-1, SKETCH)
+            pairs = across({c: cell.column(c).to_numpy() for c in cell.column_names if c != "own_table"}, tables)
             if len(pairs):
                 yield pa.record_batch({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
-    def across(cell: dict[str, np.ndarray]) -> np.ndarray:
+    def across(cell: dict[str, np.ndarray], tables: np.ndarray) -> np.ndarray:
         one = cell["i"][0] == cell["j"][0]
         x, y = cell["own"] == cell["i"], cell["own"] == cell["j"]
         col = lambda c: (cell[c][x][:, None], cell[c][y][None, :])
-        (ra, rb), (ca, cb), (na, nb), (pa_, pb) = col("rep"), col("component"), col("n"), col("pos")
-        ok = (ca != cb) & _fits(na, pa_, nb, pb, percent)
+        (ra, rb), (ca, cb), (na, nb), (pa_, pb), (ba, bb) = col("rep"), col("component"), col("n"), col("pos"), col("base")
+        ok = (ca != cb) & (ba | bb) & _fits(na, pa_, nb, pb, percent)
         if one:
             ok &= ra < rb
-        ha, hb = (v.astype(float) for v in col("common"))
-        most_a, most_b = np.where(np.isnan(ha), np.inf, ha), np.where(np.isnan(hb), np.inf, hb)  # an unknown answer bounds nothing
-        reach = np.minimum(most_b + na - np.nan_to_num(ha), most_a + nb - np.nan_to_num(hb))
-        ok &= reach >= least_overlap(na, nb, percent)
+        (va, vb), (ha, hb) = col("pivot"), col("common")  # floats, not a number where there is no answer
+        ha, hb = ha.astype(float), hb.astype(float)
+        reach = np.minimum(hb + na - ha, ha + nb - hb)
+        ok &= ~((va == vb) & (reach < least_overlap(na, nb, percent)))  # nothing unknown bounds anything
         i, j = np.nonzero(ok)
-        a, b = ra[i, 0], rb[0, j]
+        tx, ty, good = tables[x], tables[y], np.zeros(len(i), bool)
+        for at in range(0, len(i), PAIRS):
+            p, q = i[at:at + PAIRS], j[at:at + PAIRS]
+            good[at:at + PAIRS] = _most_common(tx[p], ty[q], na[p, 0]) >= least_overlap(na[p, 0], nb[0, q], percent)
+        a, b = ra[i[good], 0], rb[0, j[good]]
         return np.stack([np.minimum(a, b), np.maximum(a, b)], 1)
 
     return cells.mapInArrow(compare, "a long, b long").distinct()
@@ -444,15 +495,40 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
              .join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", "h1", "h2"], "left_semi"))
     lists = _candidates(_dealt(heads, buckets), percent)
     answers = verified(docs, lists.where("b IS NOT NULL").select("a", "b").distinct(), words, percent)
-    links = _linked(answers, percent)
-    parts = settle(connected_components(links), "shingle-components")
-    again = settle(_derived(lists.where("b IS NULL"), answers, parts, percent), "shingle-derived")
+    parts = settle(connected_components(_linked(answers, percent)), "shingle-components")
+    members = _members(lists.where("b IS NULL"))
+    known = used = None
+
+    def merge(parts: DataFrame, got: DataFrame) -> DataFrame:
+        stars = parts.select(F.col("node").alias("src"), F.col("component").alias("dst"))
+        return settle(connected_components(stars.union(_linked(got, percent))), "shingle-components")
+
+    rows = _with_components(members, parts)
+    for _ in range(ROUNDS):
+        chosen = settle(_chosen(rows, used, percent), "shingle-pivots")
+        if chosen.isEmpty():
+            break
+        pivots = chosen.select("pivot").distinct()
+        used = pivots if used is None else used.union(pivots).distinct()
+        pairs = chosen.select(*_pair("rep", "pivot")).distinct().join(answers.select("a", "b"), ["a", "b"], "left_anti")
+        got = verified(docs, pairs, words, percent)
+        answers = answers.unionByName(got)
+        if known is None:  # answers with the first pivot bound others
+            known = settle(chosen.withColumns({"a": F.least("rep", "pivot"), "b": F.greatest("rep", "pivot")}).join(
+                answers.select("a", "b", "common"), ["a", "b"]).select("rep", "pivot", "common"), "shingle-known")
+        if not _linked(got, percent).isEmpty():
+            parts = merge(parts, got)
+            rows = _with_components(members, parts)
+    if known is None:
+        known = spark.createDataFrame([], "rep long, pivot long, common long")
+    open_ = rows.select(F.col("rep").alias("doc_id")).distinct()
+    tables = _sets_of(docs, open_, words, _counts).groupBy("doc_id").agg(F.first("own").alias("own_table")).withColumnRenamed("doc_id", "rep")
+    again = settle(_derived(rows, known, tables, percent).join(answers.select("a", "b"), ["a", "b"], "left_anti"), "shingle-derived")
     final = parts
     if not again.isEmpty():  # else the components stand
-        more = _linked(verified(docs, again, words, percent), percent)
-        if not more.isEmpty():
-            stars = parts.select(F.col("node").alias("src"), F.col("component").alias("dst"))
-            final = connected_components(stars.union(more))
+        more = verified(docs, again, words, percent)
+        if not _linked(more, percent).isEmpty():
+            final = merge(parts, more)
     named = (classes.join(final, F.col("rep") == F.col("node"), "left")
              .select("h1", "h2", F.coalesce("component", "rep").alias("component")))
     found = own.join(named, ["h1", "h2"], "left")
