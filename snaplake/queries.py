@@ -1031,15 +1031,14 @@ def q_streamed_bronze(spark, sf_dir):
             sinc.run_until_done(zip_stream.ingest_arrived(spark, f"{base}/landing", f"{base}/bronze", "empresas", EXTRACTION_DATE))
         _LAKE[key] = (base, f"{base}/bronze")
     bz = _LAKE[key][1]
-    return silver.stage_companies(bronze.read_table(spark, bz, "empresas")).withColumn(
-        "_data_extracao", F.concat("_competencia", F.lit("-20")))
+    return silver.stage_companies(bronze.read_table(spark, bz, "empresas"))
 
 
 @register("appended_series", O.ctes("stg_empresas_full") + "SELECT cnpj_basico, razao_social, capital_social, _competencia FROM stg_empresas_full")
 def q_appended_series(spark, sf_dir):
     """Companies appended month by month to a table by name; a repeated month adds nothing."""
     root = work_dir(spark, "appended")
-    rows = stg(spark, sf_dir, "empresas_full").select("cnpj_basico", "razao_social", "capital_social", "_competencia")
+    rows = silver.stage_companies(raw_table(spark, sf_dir, "empresas_full")).select("cnpj_basico", "razao_social", "capital_social", "_competencia")
     for month in (*SNAPSHOT_MONTHS, SNAPSHOT_MONTHS[0]):
         append.append_rows(rows.where(F.col("_competencia") == month), root, f"empresas-{month}")
     return append.read_appended(spark, root, rows.schema)
