@@ -19,6 +19,12 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def counted_bytes(df: DataFrame) -> int:
+    """Rows of ``df``, counted, times the width that its schema allows for. For choosing a
+    number of partitions: of a join the optimizer's estimate is the product of its sides."""
+    return df.count() * int(df._jdf.schema().defaultSize())
+
+
 def maybe_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``F.broadcast(df)`` when its estimated size is small, else ``df``."""
     return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df

@@ -27,7 +27,7 @@ from snaplake.functions import (
     trim_spaces,
 )
 from snaplake.operators import incremental as inc
-from snaplake.operators.enrich import estimated_bytes
+from snaplake.operators.enrich import counted_bytes
 from snaplake.operators import quality as dq
 from snaplake.operators.snapshot import latest_snapshot
 from snaplake.plans import gold, silver
@@ -886,7 +886,7 @@ def bucketed_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     key = (*session_key(spark), sf_dir, "bucketed")
     if key not in _LAKE:
         staged = {t: stg(spark, sf_dir, t) for t in ("estabelecimentos", "empresas", "simples")}
-        n = buckets.buckets_for(max(estimated_bytes(raw_table(spark, sf_dir, t)) for t in staged))
+        n = buckets.buckets_for(max(counted_bytes(raw_table(spark, sf_dir, t)) for t in staged))
         base = work_dir(spark, "bucketed")
         _LAKE[key] = {t: buckets.write_bucketed(df, f"{base}/{t}", "cnpj_basico", n, ["_competencia"]) for t, df in staged.items()}
     return _LAKE[key]

@@ -19,12 +19,14 @@ from pyspark.sql import functions as F
 from snaplake.operators.enrich import SALTS, split_hot_join
 
 BUCKET_BYTES = 128 << 20
+MOST_BUCKETS = 1 << 16  # Spark takes up to 100,000
 
 
 def buckets_for(input_bytes: int, floor: int = 8, bucket_bytes: int = BUCKET_BYTES) -> int:
-    """A power of two of buckets of about ``bucket_bytes``; tables that join need the same."""
+    """A power of two of buckets of about ``bucket_bytes``, larger ones where Spark would not
+    take so many; tables that join need the same."""
     wanted = max(floor, -(-input_bytes // bucket_bytes))
-    return 1 << (wanted - 1).bit_length()
+    return min(1 << (wanted - 1).bit_length(), MOST_BUCKETS)
 
 
 def table_name(root: str) -> str:

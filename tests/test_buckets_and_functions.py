@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from snaplake import functions as fn
 from snaplake import queries as Q
 from snaplake.functions import sql as sql_functions
-from snaplake.operators.enrich import hot_keys
+from snaplake.operators.enrich import counted_bytes, estimated_bytes, hot_keys
 from snaplake.schemas import PORTE_LABELS
 from snaplake.sinks import buckets
 from snaplake.session import work_dir
@@ -144,3 +144,13 @@ def test_partner_watermark_comes_from_the_manifest(spark, monkeypatch):
     lh = Q.built(spark, SF)
     monkeypatch.setattr(inc, "watermark", lambda *a, **k: pytest.fail("scanned for the watermark"))
     lh._incremental(BY_NAME["int_socios"], None, False)
+
+
+def test_buckets_follow_the_rows_and_not_the_product_of_a_join(spark):
+    """The optimizer puts a join at the product of its sides: 150,000 orders of 15,000 customers had
+    16,384 buckets."""
+    a = spark.range(50_000).select(F.col("id").alias("k"), F.lit("x" * 50).alias("v"))
+    joined = a.join(spark.range(50_000).select(F.col("id").alias("k"), F.lit("y" * 50).alias("w")), "k").hint("merge")
+    assert counted_bytes(joined) == 50_000 * (8 + 20 + 20)
+    assert buckets.buckets_for(estimated_bytes(joined)) > 1000 and buckets.buckets_for(counted_bytes(joined)) == 8
+    assert buckets.buckets_for(1 << 60) <= 100_000  # the most that Spark takes
