@@ -183,7 +183,7 @@ class ZipCsvReader(DataSourceReader):
         self.with_path = any(f.name == PATH_COLUMN for f in schema.fields)
         self.encoding = options.get("encoding", "iso-8859-1")
         self.chunk_rows = int(options.get("chunk_rows", 100_000))
-        self.block_bytes = int(options.get("block_bytes", 8 << 20))
+        self.block_bytes = int(options.get("block_bytes", 1 << 20))
         self.parser = options.get("parser", "arrow")
         tokens = options.get("na_tokens", "")
         if tokens == "pandas":
@@ -285,8 +285,9 @@ class ZipCsvReader(DataSourceReader):
 
         reader = pc.open_csv(
             stream,
+            # On its own threads the parser reads as many blocks ahead as the machine has cores.
             read_options=pc.ReadOptions(column_names=self.columns, encoding=self.encoding,
-                                        block_size=self.block_bytes),
+                                        block_size=self.block_bytes, use_threads=False),
             parse_options=pc.ParseOptions(delimiter=";", quote_char='"', double_quote=True,
                                           newlines_in_values=True, ignore_empty_lines=True,
                                           invalid_row_handler=on_invalid),
