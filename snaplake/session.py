@@ -8,7 +8,9 @@ a local master (tests, laptops); on a cluster an unset value is an error.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -148,6 +150,31 @@ def session_key(spark: SparkSession) -> tuple:
     return (id(spark), spark.sparkContext.applicationId)
 
 
+WRITERS_KEY = "spark.sql.maxConcurrentOutputFileWriters"
+_WRITING: dict[tuple, list] = {}
+_WRITING_LOCK = threading.Lock()
+
+
+@contextmanager
+def unsorted_writes(spark: SparkSession, files: int = 64):
+    """Partitioned writes inside keep up to ``files`` files of a task open, so the rows of a
+    task that fills a few folders are not sorted (and spilled) by folder; a task that meets
+    more folders sorts the rest. Writes may overlap: the last to end restores the setting."""
+    key = session_key(spark)
+    with _WRITING_LOCK:
+        held = _WRITING.setdefault(key, [0, spark.conf.get(WRITERS_KEY)])
+        held[0] += 1
+        spark.conf.set(WRITERS_KEY, str(files))
+    try:
+        yield
+    finally:
+        with _WRITING_LOCK:
+            held[0] -= 1
+            if held[0] == 0:
+                spark.conf.set(WRITERS_KEY, held[1])
+                del _WRITING[key]
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

@@ -83,7 +83,7 @@ def read_meta(spark: SparkSession, root: str, version: int) -> dict:
     return json.loads(text)
 
 
-def _partition_dirs(spark: SparkSession, path: str, depth: int) -> list[str]:
+def partition_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
     """Relative partition directories ``depth`` levels below ``path``."""
     fs, hpath, jvm = _fs(spark, path)
     level = [("", hpath)]
@@ -123,7 +123,7 @@ def _write(df: DataFrame, root: str, version: int, partition_by, sort_by,
         w = w.option("maxRecordsPerFile", max_records_per_file)
     path = version_path(root, version)
     w.save(path)
-    return _partition_dirs(df.sparkSession, path, len(partition_by)) if partition_by else [""]
+    return partition_folders(df.sparkSession, path, len(partition_by)) if partition_by else [""]
 
 
 def write_version(df: DataFrame, root: str, partition_by: list[str] | None = None,
@@ -373,7 +373,7 @@ def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
                 continue
             meta = read_meta(spark, root, v)
             depth = len(meta["partition_by"])
-            for rel in _partition_dirs(spark, version_path(root, v), depth):
+            for rel in partition_folders(spark, version_path(root, v), depth):
                 if rel not in refs:
                     p = f"{version_path(root, v)}/{rel}"
                     fs.delete(jvm.org.apache.hadoop.fs.Path(p), True)
@@ -388,7 +388,7 @@ def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
             continue
         depth = len(read_meta(spark, root, v)["partition_by"]) if fs.exists(
             jvm.org.apache.hadoop.fs.Path(st.getPath(), MARKER)) else 0
-        for rel in _partition_dirs(spark, version_path(root, v), depth):
+        for rel in partition_folders(spark, version_path(root, v), depth):
             if rel not in refs:
                 p = f"{version_path(root, v)}/{rel}"
                 fs.delete(jvm.org.apache.hadoop.fs.Path(p), True)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from snaplake.schemas import ALL_TABLES, SOURCE_TAG, columns_of
+from snaplake.session import unsorted_writes
 from snaplake.sources.zip_csv import ORIGIN_COLUMN, read_zips
 
 PERIOD_DIR = "competencia"
@@ -38,17 +39,18 @@ def write_table(df: DataFrame, root: str, table: str,
                 max_records_per_file: int = 0) -> None:
     """Write bronze rows of ``table`` (any months) under ``root/tabela=table``.
 
-    No shuffle: each scan task (one zip) writes its own files into its
+    No shuffle and no sort: each scan task (one zip) writes its own files into its
     month's folder.
     """
     out = df.select(*columns_of(table), "_fonte", "_competencia", ORIGIN_COLUMN,
                     "_data_extracao", F.col("_competencia").alias(PERIOD_DIR))
-    (out.write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .option("maxRecordsPerFile", max_records_per_file)
-     .option("compression", "snappy")
-     .partitionBy(PERIOD_DIR)
-     .parquet(f"{root.rstrip('/')}/tabela={table}"))
+    with unsorted_writes(df.sparkSession):
+        (out.write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
+         .option("maxRecordsPerFile", max_records_per_file)
+         .option("compression", "snappy")
+         .partitionBy(PERIOD_DIR)
+         .parquet(f"{root.rstrip('/')}/tabela={table}"))
 
 
 def months(spark: SparkSession, root: str, table: str) -> list[str]:

@@ -62,10 +62,12 @@ def read_rejects(spark: SparkSession, path: str, table: str) -> DataFrame:
     return df.where(_read(table) & (F.col("n_campos") > len(raw_schema(table)))).select(ORIGIN, F.col(RAW).alias("linha"), "n_campos")
 
 
-def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Write ``df`` in the extract dialect (all fields quoted, like the source)."""
+def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None, compression: str = "none") -> None:
+    """Write ``df`` in the extract dialect (all fields quoted, like the source), in place of
+    all that ``path`` held."""
     w = df.write.mode("overwrite").options(**{k: v for k, v in DIALECT.items()
                                              if k != "multiLine"}).option("quoteAll", "true")
+    w = w.option("compression", compression).option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)

@@ -9,12 +9,16 @@ expression, not a Python loop.
 from __future__ import annotations
 
 import posixpath
+import re
 import zipfile
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaplake.schemas import FILE_PREFIXES, columns_of
+from snaplake.session import ship_code, unsorted_writes
+from snaplake.sinks.tables import partition_folders
 from snaplake.sources.csv_dialect import write_csv
 
 
@@ -103,9 +107,9 @@ def _zip_tasks(batches):
                 with zipfile.ZipFile(_Sink(raw), "w", compression=zipfile.ZIP_DEFLATED) as zf:
                     with zf.open(member, "w", force_zip64=True) as w:
                         for part in parts:
-                            with fs_src.open_input_stream(part) as r:
+                            with fs_src.open_input_stream(part, compression="detect") as r:
                                 while True:
-                                    block = r.read(8 << 20)
+                                    block = r.read(1 << 20)
                                     if not block:
                                         break
                                     w.write(block)
@@ -140,34 +144,37 @@ def write_extracts(df: DataFrame, root: str, staging: str, table: str,
                    file_col: str = "nome", period_col: str = "_competencia") -> DataFrame:
     """Write raw rows as landing zips: ``root/competencia=P/<nome>.zip``.
 
-    Spark writes the CSV members in parallel (one folder per zip); a second
+    Spark writes the CSV members in parallel (one folder per zip, gzipped); a second
     job zips each folder in its own task, streaming, so no file passes
     through the driver. Returns ``(nome, csv_bytes)`` per zip (lazy).
     """
     cols = columns_of(table)
-    write_csv(df.select(*cols, F.col(period_col).alias("__p"), F.col(file_col).alias("__f")),
-              staging, partition_by=["__p", "__f"])
-    return _zip_folders(df, root, staging, file_col, period_col)
+    with unsorted_writes(df.sparkSession):
+        write_csv(df.select(*cols, F.col(period_col).alias("__p"), F.col(file_col).alias("__f")),
+                  staging, partition_by=["__p", "__f"], compression="gzip")
+    return _zip_folders(df.sparkSession, root, staging)
 
 
 def write_lines(df: DataFrame, root: str, staging: str, line_col: str,
                 file_col: str = "nome", period_col: str = "_competencia") -> DataFrame:
     """The same from lines of text as they are, well formed or not."""
     out = df.select(F.col(line_col).alias("line"), F.col(period_col).alias("__p"), F.col(file_col).alias("__f"))
-    out.write.mode("overwrite").partitionBy("__p", "__f").text(staging)
-    return _zip_folders(df, root, staging, file_col, period_col)
-
-
-def _zip_folders(df: DataFrame, root: str, staging: str, file_col: str, period_col: str) -> DataFrame:
-    from snaplake.session import ship_code
-
-    ship_code(df.sparkSession)
-    plan = (df.select(F.col(period_col).alias("p"), F.col(file_col).alias("f")).distinct()
-            .select(
-                F.concat(F.lit(staging.rstrip("/") + "/__p="), F.col("p"), F.lit("/__f="), F.col("f"))
-                .alias("src_dir"),
-                F.concat(F.lit(root.rstrip("/") + "/competencia="), F.col("p"), F.lit("/"),
-                         F.col("f")).alias("dest"),
-                F.regexp_replace(F.col("f"), r"(?i)\.zip$", ".CSV").alias("member")))
-    n = max(1, plan.count())
-    return plan.repartition(n).mapInPandas(_zip_tasks, "nome string, csv_bytes long")
+    with unsorted_writes(df.sparkSession):
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy("__p", "__f").text(staging, compression="gzip"))
+    return _zip_folders(df.sparkSession, root, staging)
+
+
+def _zip_folders(spark: SparkSession, root: str, staging: str) -> DataFrame:
+    """Zips the folders that lie in ``staging``: they are listed, not found by making the
+    rows again."""
+    ship_code(spark)
+    rows = []
+    for rel in partition_folders(spark, staging, 2):
+        period, name = (unquote(seg.partition("=")[2]) for seg in rel.split("/"))
+        if "__HIVE_DEFAULT_PARTITION__" in (period, name):
+            raise ValueError(f"rows without a period or a file name in {staging}")
+        member = re.sub(r"(?i)\.zip$", ".CSV", name)
+        rows.append((f"{staging.rstrip('/')}/{rel}", f"{root.rstrip('/')}/competencia={period}/{name}", member))
+    plan = spark.createDataFrame(rows, "src_dir string, dest string, member string")  # a row per zip
+    return plan.repartition(max(1, len(rows))).mapInPandas(_zip_tasks, "nome string, csv_bytes long")
