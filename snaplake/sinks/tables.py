@@ -251,7 +251,7 @@ def merge_into(spark: SparkSession, root: str, source: DataFrame, keys: list[str
     The key join runs once, on key columns, to name the folders; the write then
     reads those folders and no others.
     """
-    from snaplake.operators.incremental import holders, latest_per_key, upsert
+    from snaplake.operators.incremental import holders, latest_per_key, unmatched, upsert
 
     current = read_table(spark, root, schema=source.schema, with_file=bool(partition_by))
     if current is None:
@@ -265,8 +265,11 @@ def merge_into(spark: SparkSession, root: str, source: DataFrame, keys: list[str
 
     # The source feeds three steps (touched partitions, the folders they
     # replace, the write): materialise it once in the shared checkpoint
-    # folder, which also cuts its lineage.
-    src = latest_per_key(source, keys, order).checkpoint(eager=True)
+    # folder, which also cuts its lineage. So do the keys to delete, which may
+    # come from as much work; rows they name leave the source at once.
+    if deletes is not None:
+        deletes = deletes.select(*keys).distinct().checkpoint(eager=True)
+    src = latest_per_key(source, keys, order, without=deletes).checkpoint(eager=True)
     meta = read_meta(spark, root, committed_versions(spark, root)[-1])
     rel = F.regexp_extract("__file", r"/_v=[0-9]+/(.+)/[^/]+$", 1).alias("rel")
     moved = holders(current, src, keys, ["__file"], order, null_safe, deletes).select(rel)
@@ -277,7 +280,8 @@ def merge_into(spark: SparkSession, root: str, source: DataFrame, keys: list[str
     replaced |= {rel for rel in meta["manifest"] if _values(rel) in receiving}
     replaced = {rel for rel in meta["manifest"] if rel in replaced or unquote(rel) in replaced}
     old_rows = read_partitions(spark, root, meta, replaced, source.schema)
-    new_content = upsert(old_rows, src, keys, order, deletes=deletes, null_safe=null_safe, dedup=False)
+    kept = unmatched(old_rows, src, keys, order, null_safe, deletes)
+    new_content = kept.unionByName(src.select(*kept.columns))
     version = _next_version(spark, root)
     written = _write(new_content, root, version, partition_by, sort_by, None)
     manifest = {rel: v for rel, v in meta["manifest"].items() if rel not in replaced}
