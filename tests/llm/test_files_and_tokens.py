@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 import plain
-from snaplake.llm import packing, token_file, warc
+from snaplake.llm import packing, token_file, tokens, warc
 from snaplake.llm import queries as Q
 from snaplake.llm.tokens import Encoder
 
@@ -154,3 +154,33 @@ def test_warc_query_and_chunks(spark):
     assert whole.decode() == rows[0][1] and all(len(c.data) <= 500 for c in chunks)
     assert [c.last for c in chunks] == [False] * (len(chunks) - 1) + [True]
     assert bytes(chunks[2].digest) == hashlib.sha1(whole[:1500]).digest()
+
+
+def test_words_of_letters_or_digits_skip_the_search_for_pieces():
+    """Such words go to the vocabulary as they are; ids equal those of the whole text."""
+    class Seen:
+        def __init__(self, inner):
+            self.inner, self.texts = inner, []
+
+        def encode_batch_fast(self, texts, **kw):
+            self.texts += texts
+            return self.inner.encode_batch_fast(texts, **kw)
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+    enc = Encoder(PATH)
+    enc.tokenizer = Seen(enc.tokenizer)
+    texts = ["A first thing, née Ångström ŠKODA 12345 ½ x2 don't\nNext line. ªº 中文 東京, ٣٤ ǅ áb", "größer: 007!? tail\n\nİstanbul ×÷ ß​ end.", "", None, " lead", "\nfoo",
+             "plainword Other, words; \nthird 99% of-it", "a  b\tc  d"]
+    for _ in range(2):
+        assert [x.tolist() for x in enc.many(texts)] == [ids_of(t)[:-1].tolist() for t in texts]
+    met = set(" ".join(enc.tokenizer.texts).split())
+    assert not met & {"thing", "née", "Ångström", "ŠKODA", "12345", "größer", "007", "Next", "plainword", "third"}
+    assert {"x2", "中文"} <= met
+
+
+def test_the_table_of_pieces_keeps_what_came_first():
+    assert list(tokens._bounded({w: b"" for w in "abcdef"}, 4)) == ["a", "b"]
+    kept = {w: b"" for w in "abcd"}
+    assert tokens._bounded(kept, 4) is kept
