@@ -76,10 +76,13 @@ class SequenceFile:
         self.source = pa.memory_map(inner) if local else fs.open_input_file(inner)
         self.reader = pa.ipc.open_file(self.source)
         self.length = self.reader.schema.field("ids").type.list_size
+        self.last = (-1, np.zeros(0))
 
     def batch(self, i: int) -> np.ndarray:
-        """All ids of batch ``i``, padding included."""
-        return self.reader.get_batch(i).column(0).flatten().to_numpy(zero_copy_only=True)
+        """All ids of batch ``i``, padding included; the last one asked for stays at hand."""
+        if self.last[0] != i:
+            self.last = (i, self.reader.get_batch(i).column(0).flatten().to_numpy(zero_copy_only=True))
+        return self.last[1]
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
         at = i % ROWS * self.length
@@ -97,6 +100,7 @@ class SequenceFile:
             start, count = start + len(part), count - len(part)
 
     def close(self) -> None:
+        self.last = (-1, np.zeros(0))  # a view of the file
         self.source.close()
 
 

@@ -184,3 +184,25 @@ def test_the_table_of_pieces_keeps_what_came_first():
     assert list(tokens._bounded({w: b"" for w in "abcdef"}, 4)) == ["a", "b"]
     kept = {w: b"" for w in "abcd"}
     assert tokens._bounded(kept, 4) is kept
+
+
+def test_documents_of_one_batch_read_it_once(tmp_path):
+    class Counted:
+        def __init__(self, inner):
+            self.inner, self.asked = inner, []
+
+        def get_batch(self, i):
+            self.asked.append(i)
+            return self.inner.get_batch(i)
+
+    step = token_file.ROWS * 8
+    out = token_file.SequenceWriter(str(tmp_path / "x.arrow"), 8, np.dtype("<u2"))
+    ids = (np.arange(step + 100) % 5000).astype("<u2")
+    out.add(ids)
+    out.close()
+    seqs = token_file.SequenceFile(str(tmp_path / "x.arrow"))
+    seqs.reader = Counted(seqs.reader)
+    got = [np.concatenate(list(seqs.tokens(at, 100))).tolist() for at in range(0, step + 100 - 100, 100)]
+    assert got == [ids[at:at + 100].tolist() for at in range(0, step, 100)]
+    assert seqs.reader.asked == [0, 1]
+    seqs.close()
