@@ -169,8 +169,10 @@ class Lakehouse:
             df = silver.stage(m.name[4:], src)
         else:
             df = silver.establishments_core(src)
+        source = BY_NAME.get(m.deps[0])
+        alike = source is not None and source.kind == "table" and source.partition_by == m.partition_by
         tables.replace_partitions(df, self.path(m.name), m.partition_by, "_competencia", todo,
-                                  m.sort_by)
+                                  m.sort_by, clustered=alike)
 
     def _incremental(self, m: Model, uf: str | None, full_refresh: bool) -> DataFrame:
         root = self.path(m.name)

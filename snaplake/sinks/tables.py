@@ -100,12 +100,13 @@ def partition_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
 
 
 def layout(df: DataFrame, partition_by: list[str] | None = None,
-           sort_by: list[str] | None = None) -> DataFrame:
+           sort_by: list[str] | None = None, clustered: bool = False) -> DataFrame:
     """Cluster rows for a partitioned write: one shuffle on the partition
     columns (AQE's rebalance splits hot partitions such as one large state),
-    then a local sort so Parquet min/max statistics prune well."""
+    then a local sort so Parquet min/max statistics prune well. ``clustered``:
+    the rows come from files of these very partitions, so they are not shuffled."""
     out = df
-    if partition_by:
+    if partition_by and not clustered:
         out = out.hint("rebalance", *partition_by)
     if partition_by or sort_by:
         out = out.sortWithinPartitions(*((partition_by or []) + (sort_by or [])))
@@ -113,9 +114,9 @@ def layout(df: DataFrame, partition_by: list[str] | None = None,
 
 
 def _write(df: DataFrame, root: str, version: int, partition_by, sort_by,
-           max_records_per_file) -> list[str]:
+           max_records_per_file, clustered: bool = False) -> list[str]:
     # Static: what an attempt without a marker left in this folder goes first.
-    w = (layout(df, partition_by, sort_by).write.mode("overwrite").format("parquet")
+    w = (layout(df, partition_by, sort_by, clustered).write.mode("overwrite").format("parquet")
          .option("partitionOverwriteMode", "static"))
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -127,11 +128,12 @@ def _write(df: DataFrame, root: str, version: int, partition_by, sort_by,
 
 
 def write_version(df: DataFrame, root: str, partition_by: list[str] | None = None,
-                  sort_by: list[str] | None = None, max_records_per_file: int | None = None) -> int:
+                  sort_by: list[str] | None = None, max_records_per_file: int | None = None,
+                  clustered: bool = False) -> int:
     """Write ``df`` as the next (full) version of the table at ``root``."""
     spark = df.sparkSession
     version = _next_version(spark, root)
-    parts = _write(df, root, version, partition_by or [], sort_by, max_records_per_file)
+    parts = _write(df, root, version, partition_by or [], sort_by, max_records_per_file, clustered)
     _write_marker(spark, version_path(root, version), {
         "schema": json.loads(df.schema.json()),
         "partition_by": list(partition_by or []),
@@ -312,22 +314,24 @@ def readable(spark: SparkSession, root: str, version: int) -> bool:
 
 
 def replace_partitions(df: DataFrame, root: str, partition_by: list[str],
-                       column: str, values: list[str], sort_by: list[str] | None = None) -> int:
+                       column: str, values: list[str], sort_by: list[str] | None = None,
+                       clustered: bool = False) -> int:
     """Replace every partition whose ``column`` is in ``values`` with ``df``.
 
     ``df`` holds the new content of exactly those values (e.g. the months
     being loaded); all other partitions are carried over by reference, so
-    loading one month writes one month. Returns the new version.
+    loading one month writes one month. ``clustered`` as in ``layout``. Returns the
+    new version.
     """
     spark = df.sparkSession
     versions = committed_versions(spark, root)
     if not versions:
-        return write_version(df, root, partition_by, sort_by)
+        return write_version(df, root, partition_by, sort_by, clustered=clustered)
     if column not in partition_by:
         raise ValueError(f"{column} must be a partition column")
     prev = read_meta(spark, root, versions[-1])
     version = versions[-1] + 1
-    written = _write(df, root, version, partition_by, sort_by, None)
+    written = _write(df, root, version, partition_by, sort_by, None, clustered)
     gone = {str(v) for v in values}
 
     def hit(rel: str) -> bool:

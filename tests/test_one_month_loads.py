@@ -80,3 +80,16 @@ def test_a_month_is_made_once(spark, scratch):
     fill(lh, spark, [r for r in ROWS if r[-1] == MONTHS[1]], seen)
     lh.build(["mrt_estabelecimentos_ativos"])
     assert seen.value <= 11  # rows of two months, in one pass (66 when the merge made them again)
+
+
+def test_core_is_written_without_a_shuffle(spark, scratch, monkeypatch):
+    lh = Lakehouse(spark, f"{scratch}/lh")
+    fill(lh, spark, [r for r in ROWS if r[-1] != MONTHS[2]])
+    laid, layout = [], tables.layout
+    monkeypatch.setattr(tables, "layout", lambda *a: (laid.append(layout(*a)), laid[-1])[1])
+    lh.build(["int_estabelecimentos"])
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in laid]
+    assert len(plans) == 1 and "Exchange" not in plans[0] and "Sort [uf" in plans[0]
+    del lh.table
+    read = [lh.table(t).select("cnpj", "uf", "cod_situacao_cadastral", "_competencia") for t in ("int_estabelecimentos", "stg_estabelecimentos")]
+    assert sorted(map(str, read[0].collect())) == sorted(map(str, read[1].collect())) and read[0].count() == 11
